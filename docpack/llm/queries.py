@@ -3,6 +3,10 @@
 from docpack.llm.exact import OP4_SQL, op4_exact_dedup
 from docpack.llm.lines import OP2_SQL, op2_line_dedup
 from docpack.llm.mixing import OP1_SQL, op1_mixing
+from docpack.llm.near import op7_near_dedup
+from docpack.llm.packing import op8_packing
+from docpack.llm.pii import op6_pii
+from docpack.llm.quality import op5_quality_rules
 from docpack.llm.sharding import op3_sharding
 
 QUERIES = {
@@ -10,5 +14,9 @@ QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_sharding": op3_sharding,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_quality_rules": op5_quality_rules,
+    "op6_pii": op6_pii,
+    "op7_near_dedup": op7_near_dedup,
+    "op8_packing": op8_packing,
 }
 SQL = {"op1_mixing": OP1_SQL, "op2_line_dedup": OP2_SQL, "op4_exact_dedup": OP4_SQL}
