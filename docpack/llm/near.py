@@ -156,7 +156,7 @@ def near_classes(docs: DataFrame, text: str = "text", key: str = "doc_id", least
     alone = copies.select(F.col("rep").alias("id"), "n", "fp1", "fp2")
     hashed = signed.where("n > 0").join(alone, ["id", "n", "fp1", "fp2"]).select("id", F.posexplode("bands").alias("band", "hash"))
     hashed = written(hashed, "bands")
-    buckets = hashed.groupBy("band", "hash").agg(F.min("id").alias("leader"), F.count("*").alias("members")).where("members > 1")
+    buckets = written(hashed.groupBy("band", "hash").agg(F.min("id").alias("leader"), F.count("*").alias("members")).where("members > 1"), "bucket-leaders")
     members = written(hashed.join(buckets.select("band", "hash", "leader"), ["band", "hash"]), "buckets")
     stars = written(members.where("id <> leader").select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct(), "stars")
     wanted = members.select("id").distinct()
@@ -169,8 +169,7 @@ def near_classes(docs: DataFrame, text: str = "text", key: str = "doc_id", least
     outside = placed.join(led, "leader", "left").where(F.col("root") != F.coalesce("led", "leader"))
     outside = written(outside.select("band", "hash", F.col("id").alias("a"), F.col("root").alias("root_a"), "leader"), "near-outside")
     rest = placed.select("band", "hash", F.col("id").alias("b"), "root", "leader").where("b <> leader")
-    inside = rest.join(outside.select("band", "hash").distinct(), ["band", "hash"], "left_semi")
-    pairs = outside.drop("leader").join(inside.drop("leader"), ["band", "hash"]).where("root_a <> root").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = outside.drop("leader").join(rest.drop("leader"), ["band", "hash"]).where("root_a <> root").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     more = written(_verified(written(pairs, "near-pairs"), texts, size, least, kind), "near-more")
     twins = signed.where("n > 0").join(copies.where("copies > 1"), ["n", "fp1", "fp2"]).where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct()
     # copies hang on their representative; the classes of representatives are found without them

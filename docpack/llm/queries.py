@@ -8,6 +8,8 @@ from docpack.llm.packing import op8_packing
 from docpack.llm.pii import op6_pii
 from docpack.llm.quality import op5_quality_rules
 from docpack.llm.sharding import op3_sharding
+from docpack.llm.toxicity import op10_toxicity
+from docpack.llm.warc import op9_warc
 
 QUERIES = {
     "op1_mixing": op1_mixing,
@@ -18,5 +20,7 @@ QUERIES = {
     "op6_pii": op6_pii,
     "op7_near_dedup": op7_near_dedup,
     "op8_packing": op8_packing,
+    "op9_warc": op9_warc,
+    "op10_toxicity": op10_toxicity,
 }
 SQL = {"op1_mixing": OP1_SQL, "op2_line_dedup": OP2_SQL, "op4_exact_dedup": OP4_SQL}
