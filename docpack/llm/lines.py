@@ -129,6 +129,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", min_ch
     suspects = marked.select("id", F.explode(F.filter(F.arrays_zip("keys", "hit"), lambda x: x["hit"])).alias("x")).select("id", F.col("x.keys").alias("line"))
     suspects = written(suspects, "line-suspects")
     repeats = suspects.groupBy("line").agg(F.count("*").alias("n"), F.max("id").alias("keeper")).where(F.col("n") >= min_docs)
+    repeats = written(repeats, "line-repeats")  # a table of its own, so that the join can split a very common line
     lost = suspects.join(repeats, "line").where(~F.col("id").eqNullSafe(F.col("keeper"))).groupBy("id").agg(F.collect_set("line").alias("lost"))
     lines = split_lines(F.col(text))
     kept = F.when(F.col("lost").isNull(), lines).otherwise(F.filter(lines, lambda x: ~F.array_contains("lost", line_key(x))))
