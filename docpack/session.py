@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(name: str = "docpack", cores: str = "*", partitions: int = 8) -> SparkSession:
@@ -51,3 +52,8 @@ def spread(spark: SparkSession) -> int:
     """A power of two of hash buckets that grows with the cluster's shuffle partitions, not with one key's rows."""
     want = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")) // 2)
     return min(1 << 16, 1 << (want - 1).bit_length())
+
+
+def sided(df: DataFrame, most: int = 200_000) -> DataFrame:
+    """``df`` (a written table of narrow rows) with a broadcast hint if it has few enough rows; Spark shuffles it otherwise."""
+    return F.broadcast(df) if df.count() <= most else df
