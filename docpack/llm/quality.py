@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docpack.session import written
+from docpack.session import sided, written
 
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
@@ -141,8 +141,8 @@ def drop_rejected(docs: DataFrame, text: str = "text", key: str = "doc_id", host
     marked = docs.withColumn("_content", content(F.col(text).cast("string"), F.col(host).cast("string")))
     rows = written(measured(marked.withColumn("_pair", F.struct(F.col(key).alias("key"), F.col("_content").alias("content"))), text, "_pair", host), "quality")
     bad_hosts = host_verdicts(rows, limit).where("NOT host_kept").select(F.col("host").alias("_host"))
-    lost = rows.where("few_words OR repeats").select(F.col("key.key").alias("_key"), F.col("key.content").alias("_c")).distinct()
-    kept = marked.join(lost, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_content") == F.col("_c")), "left_anti")
+    lost = written(rows.where("few_words OR repeats").select(F.col("key.key").alias("_key"), F.col("key.content").alias("_c")).distinct(), "quality-lost")
+    kept = marked.join(sided(lost), F.col(key).eqNullSafe(F.col("_key")) & (F.col("_content") == F.col("_c")), "left_anti")
     return kept.join(bad_hosts, F.col(host).cast("string") == F.col("_host"), "left_anti").select(*docs.columns)
 
 
