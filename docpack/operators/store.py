@@ -12,7 +12,7 @@ import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructType
 
 from docpack.functions.predicates import of_types
 from docpack.model import DOC, KEY, META
@@ -33,7 +33,7 @@ def scan(spark: SparkSession, root: str, indices: list[str] | None = None, types
     """Documents of some or (by default) all indices; index names prune partitions, the rest is pushed to the files."""
     if not _exists(spark, f"{root}/docs"):
         return spark.createDataFrame([], DOC_SCHEMA)
-    schema = StructType([*DOC_SCHEMA.fields]).add("bucket", "int")
+    schema = StructType([*DOC_SCHEMA.fields]).add("bucket", IntegerType())
     docs = spark.read.schema(schema).parquet(f"{root}/docs").select(*DOC_SCHEMA.names)
     if indices and indices != ["_all"]:
         docs = docs.where(F.col("index").isin(indices))
@@ -101,7 +101,7 @@ def upsert(docs: DataFrame, root: str, shards: int | DataFrame | None = None, or
     rows = highest_version(rows, order) if versions else last_writer(rows, [F.col(order)])
     rows = written(bucketed(rows.select(*DOC_SCHEMA.names), shards), "latest")
     if _exists(spark, f"{root}/docs"):
-        schema = StructType([*DOC_SCHEMA.fields]).add("bucket", "int")
+        schema = StructType([*DOC_SCHEMA.fields]).add("bucket", IntegerType())
         touched = rows.select("index", "bucket").distinct()
         stored = spark.read.schema(schema).parquet(f"{root}/docs").join(touched, ["index", "bucket"], "left_semi")
         accepted = version_gate(rows, stored.select(*DOC_SCHEMA.names)) if versions else rows

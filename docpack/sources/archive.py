@@ -6,7 +6,7 @@
 
 Reading makes one partition of each file, several of large zip files (by slices of the central directory) and, with
 ``splitBulk``, of large plain bulk files (by byte ranges). Writing makes at least one part of each task; ``maxBytes``
-starts another part after a part's payload exceeds it. Parts get their names when the whole job has ended well.
+starts another part with the next document when a part's payload exceeds it, so that no document lies in two parts. Parts get their names when the whole job has ended well.
 Paths may be of any file system that pyarrow opens; on a cluster all executors must reach them.
 """
 
@@ -224,16 +224,19 @@ class Writer(DataSourceWriter):
 
         task = TaskContext.get()
         number = task.partitionId() if task else 0
+        before = None
         for row in iterator:
+            now = (row["index"], row["type"], row["id"])
+            if out is not None and self.most and size > self.most and now != before:
+                close()
+                out = None
+            before = now
             if out is None:
                 path = f"{inner}/_part-{self.job}-{number:06d}-{len(done.files):06d}-{uuid.uuid4().hex[:8]}"
                 raw, f, out = self._open(fs, path)
                 packets = size = 0
             size += out.add(row.asDict(recursive=True))
             packets += 1
-            if self.most and size > self.most:
-                close()
-                out = None
         if out is not None:
             close()
         return done

@@ -189,9 +189,23 @@ class TarWriter:
         self.tar.close()
 
 
+class Forward(io.RawIOBase):
+    """A file that only goes forward; zip then writes sizes behind its entries."""
+
+    def __init__(self, f: BinaryIO):
+        self.f = f
+
+    def writable(self) -> bool:
+        return True
+
+    def write(self, data) -> int:
+        self.f.write(data)
+        return len(data)
+
+
 class ZipWriter:
     def __init__(self, f: BinaryIO):
-        self.zip = zipfile.ZipFile(f, "w", zipfile.ZIP_DEFLATED)
+        self.zip = zipfile.ZipFile(Forward(f), "w", zipfile.ZIP_DEFLATED)
 
     def add(self, packet: dict) -> int:
         data = (packet["payload"] or "").encode()
