@@ -12,10 +12,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from docpack.llm.text import SPACES
-from docpack.session import new_path, written
+from docpack.session import new_path, sided, written
 
-STORE = "spark.sql.streaming.stateStore.providerClass"
-ON_DISK = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: State on disk; only changes are uploaded with each batch, and no space is set aside for state yet to come.
+STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def normalised(text: Column) -> Column:
@@ -41,8 +45,9 @@ def stream_state(records: DataFrame, files_per_batch: int = 10_000) -> DataFrame
     first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("locator"))).alias("first")
     if path is None:
         return records.groupBy("digest").agg(first, F.count("*").alias("group_size")).select("digest", F.col("first.id").alias("keep_id"), F.col("first.locator").alias("keep_locator"), "group_size")
-    before = spark.conf.get(STORE, None)
-    spark.conf.set(STORE, ON_DISK)
+    before = {k: spark.conf.get(k, None) for k in STORE}
+    for k, v in STORE.items():
+        spark.conf.set(k, v)
     try:
         stream = spark.readStream.schema(records.schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
         state = stream.groupBy("digest").agg(first, F.count("*").alias("group_size"))
@@ -50,7 +55,8 @@ def stream_state(records: DataFrame, files_per_batch: int = 10_000) -> DataFrame
         run = state.writeStream.outputMode("update").foreachBatch(put).option("checkpointLocation", f"{log}/checkpoint").trigger(availableNow=True).start()
         run.awaitTermination()
     finally:
-        spark.conf.unset(STORE) if before is None else spark.conf.set(STORE, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     changes = spark.read.schema(state.schema).option("basePath", f"{log}/changes").parquet(f"{log}/changes")
     last = changes.groupBy("digest").agg(F.max_by("first", "group_size").alias("first"), F.max("group_size").alias("group_size"))
     return last.select("digest", F.col("first.id").alias("keep_id"), F.col("first.locator").alias("keep_locator"), "group_size")
@@ -68,7 +74,7 @@ def exact_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", diges
     source = docs.select(F.col(key).alias("id"), norm.alias("norm"), F.input_file_name().alias("locator"))
     records = written(source.select(digest(F.col("norm")).alias("digest"), "id", "locator"), "dedup-records")
     state = written(stream_state(records, files_per_batch), "dedup-groups")
-    repeated = state.where("group_size > 1")
+    repeated = written(state.where("group_size > 1"), "dedup-repeated")
     found = records.select("digest", "id").join(repeated, "digest", "left").select(
         F.col("id").alias("doc_id"),
         F.when(F.col("group_size").isNull(), F.col("id")).otherwise(F.col("keep_id")).alias("keep_id"),
@@ -76,8 +82,8 @@ def exact_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", diges
         "keep_locator",
         F.col("digest").alias("text_digest"),
     )
-    hits = source.withColumn("digest", digest(F.col("norm"))).join(repeated.select("digest", "keep_id"), "digest")
-    held = hits.where(F.col("id").eqNullSafe(F.col("keep_id"))).groupBy("digest").agg(F.min("norm").alias("held"))
+    hits = written(source.withColumn("digest", digest(F.col("norm"))).join(sided(repeated.select("digest", "keep_id")), "digest"), "dedup-hits")
+    held = written(hits.where(F.col("id").eqNullSafe(F.col("keep_id"))).groupBy("digest").agg(F.min("norm").alias("held")), "dedup-held")
     differ = written(hits.join(held, "digest").where(F.col("norm") != F.col("held")).select("digest", "id", "norm"), "dedup-differ")
     if not differ.isEmpty():
         found = _by_text(source.withColumn("digest", digest(F.col("norm"))), differ.select("digest").distinct(), found)
@@ -99,15 +105,14 @@ def _by_text(source: DataFrame, clashing: DataFrame, found: DataFrame) -> DataFr
 def drop_copies(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``docs`` with one row of each group of equal normalised texts."""
     columns = docs.columns
-    groups = exact_groups(docs, text, key)
-    lost = groups.where("NOT kept").select(F.col("doc_id").alias("_id"), F.col("text_digest").alias("_digest"), (F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("_again"))
-    marked = docs.withColumn("_digest", sha256(normalised(F.col(text))))
-    same = F.col(key).eqNullSafe(F.col("_id")) & (marked["_digest"] == lost["_digest"])
-    kept = marked.join(lost.where("NOT _again"), same, "left_anti")
-    again = written(lost.where("_again").select("_id", "_digest").distinct(), "dedup-again")
+    dropped = exact_groups(docs, text, key).where("NOT kept").select(F.col("doc_id").alias("_id"), F.col("text_digest").alias("_other"), F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("_again"))
+    lost = written(dropped, "dedup-lost")
+    same = F.col(key).eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_other"))
+    kept = docs.withColumn("_digest", sha256(normalised(F.col(text)))).join(sided(lost.where("NOT _again")), same, "left_anti")
+    again = lost.where("_again").select("_id", "_other").distinct()
     if again.isEmpty():
         return kept.select(*columns)
-    same = F.col(key).eqNullSafe(F.col("_id")) & (kept["_digest"] == again["_digest"])
+    # rows that repeat key and text
     once = kept.join(again, same, "left_semi").withColumn("_n", F.row_number().over(W.partitionBy(key, "_digest").orderBy(F.lit(0)))).where("_n = 1")
     return kept.join(again, same, "left_anti").select(*columns).unionByName(once.select(*columns))
 
