@@ -105,15 +105,15 @@ def _by_text(source: DataFrame, clashing: DataFrame, found: DataFrame) -> DataFr
 def drop_copies(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``docs`` with one row of each group of equal normalised texts."""
     columns = docs.columns
-    dropped = exact_groups(docs, text, key).where("NOT kept").select(F.col("doc_id").alias("_id"), F.col("text_digest").alias("_other"), F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("_again"))
+    dropped = exact_groups(docs, text, key).where("NOT kept").select(F.col("doc_id").alias("__dp_id"), F.col("text_digest").alias("__dp_other"), F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("__dp_again"))
     lost = written(dropped, "dedup-lost")
-    same = F.col(key).eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_other"))
-    kept = docs.withColumn("_digest", sha256(normalised(F.col(text)))).join(sided(lost.where("NOT _again")), same, "left_anti")
-    again = lost.where("_again").select("_id", "_other").distinct()
+    same = F.col(key).eqNullSafe(F.col("__dp_id")) & (F.col("__dp_digest") == F.col("__dp_other"))
+    kept = docs.withColumn("__dp_digest", sha256(normalised(F.col(text)))).join(sided(lost.where("NOT __dp_again")), same, "left_anti")
+    again = lost.where("__dp_again").select("__dp_id", "__dp_other").distinct()
     if again.isEmpty():
         return kept.select(*columns)
     # rows that repeat key and text
-    once = kept.join(again, same, "left_semi").withColumn("_n", F.row_number().over(W.partitionBy(key, "_digest").orderBy(F.lit(0)))).where("_n = 1")
+    once = kept.join(again, same, "left_semi").withColumn("__dp_n", F.row_number().over(W.partitionBy(key, "__dp_digest").orderBy(F.lit(0)))).where("__dp_n = 1")
     return kept.join(again, same, "left_anti").select(*columns).unionByName(once.select(*columns))
 
 

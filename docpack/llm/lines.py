@@ -130,12 +130,12 @@ def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", min_ch
     suspects = written(suspects, "line-suspects")
     repeats = suspects.groupBy("line").agg(F.count("*").alias("n"), F.max("id").alias("keeper")).where(F.col("n") >= min_docs)
     repeats = written(repeats, "line-repeats")  # a table of its own, so that the join can split a very common line
-    lost = suspects.join(repeats, "line").where(~F.col("id").eqNullSafe(F.col("keeper"))).groupBy("id").agg(F.collect_set("line").alias("lost"))
+    lost = suspects.join(repeats, "line").where(~F.col("id").eqNullSafe(F.col("keeper"))).groupBy("id").agg(F.collect_set("line").alias("__dp_lost"))
     lines = split_lines(F.col(text))
-    kept = F.when(F.col("lost").isNull(), lines).otherwise(F.filter(lines, lambda x: ~F.array_contains("lost", line_key(x))))
-    joined = docs.select(*columns).join(lost.withColumnRenamed("id", "_id"), F.col(key).eqNullSafe(F.col("_id")), "left")
-    out = joined.withColumn("_kept", kept)
-    return out.select(*columns, F.array_join("_kept", "\n").alias("kept_text"), F.size(lines).cast("long").alias("n_lines"), (F.size(lines) - F.size("_kept")).cast("long").alias("n_dropped"))
+    kept = F.when(F.col("__dp_lost").isNull(), lines).otherwise(F.filter(lines, lambda x: ~F.array_contains("__dp_lost", line_key(x))))
+    joined = docs.select(*columns).join(lost.withColumnRenamed("id", "__dp_id"), F.col(key).eqNullSafe(F.col("__dp_id")), "left")
+    out = joined.withColumn("__dp_kept", kept)
+    return out.select(*columns, F.array_join("__dp_kept", "\n").alias("kept_text"), F.size(lines).cast("long").alias("n_lines"), (F.size(lines) - F.size("__dp_kept")).cast("long").alias("n_dropped"))
 
 
 def op2_line_dedup(spark, sf_dir: str) -> DataFrame:

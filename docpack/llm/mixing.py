@@ -83,13 +83,13 @@ def mix(
     sums = light.groupBy(*KEYS, "mix_bucket").agg(F.sum("mix_size").alias("bucket_size"))
     goals = targets(sums.groupBy(*KEYS).agg(F.sum("bucket_size").alias("mix_total")), weights, max_repeats, share)
     along = W.partitionBy(*KEYS).orderBy("mix_bucket").rowsBetween(W.unboundedPreceding, -1)
-    starts = written(sums.withColumn("bucket_start", F.coalesce(F.sum("bucket_size").over(along), F.lit(0))).drop("bucket_size").join(goals, KEYS), "mix-starts")
+    starts = written(sums.withColumn("mix_start", F.coalesce(F.sum("bucket_size").over(along), F.lit(0))).drop("bucket_size").join(goals, KEYS), "mix-starts")
     budget = light.agg(F.sum("mix_size")).first()[0] or 0
     budget = budget * share if share != 1.0 else budget
 
     def with_finish(rows: DataFrame) -> DataFrame:
         queue = W.partitionBy(*KEYS, "mix_bucket").orderBy("mix_hash", F.col(key).cast("string") if key in rows.columns else "mix_key", "mix_size")
-        end = F.col("bucket_start") + F.sum("mix_size").over(queue.rowsBetween(W.unboundedPreceding, 0))
+        end = F.col("mix_start") + F.sum("mix_size").over(queue.rowsBetween(W.unboundedPreceding, 0))
         rows = rows.join(starts, [*KEYS, "mix_bucket"]).withColumn("mix_end", end)
         begin = lambda e: (F.col("mix_end") - F.col("mix_size") + e * F.col("mix_total")).cast("double")
         copy = lambda e: F.struct(

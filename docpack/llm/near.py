@@ -182,8 +182,8 @@ def near_classes(docs: DataFrame, text: str = "text", key: str = "doc_id", least
 
 def drop_near(docs: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
     """``docs`` with one document of each class: the one with the least key. Rows with a null key stay."""
-    lost = written(near_classes(docs, text, key, **options).where("doc_id <> class_id").select(F.col("doc_id").alias("_id")).distinct(), "near-lost")
-    return docs.join(sided(lost), F.col(key) == F.col("_id"), "left_anti").select(*docs.columns)
+    lost = written(near_classes(docs, text, key, **options).where("doc_id <> class_id").select(F.col("doc_id").alias("__dp_id")).distinct(), "near-lost")
+    return docs.join(sided(lost), F.col(key) == F.col("__dp_id"), "left_anti").select(*docs.columns)
 
 
 def op7_near_dedup(spark, sf_dir: str) -> DataFrame:

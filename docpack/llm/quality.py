@@ -138,12 +138,12 @@ def drop_rejected(docs: DataFrame, text: str = "text", key: str = "doc_id", host
     Rows that share a key are told apart by a digest of text and host.
     """
     content = lambda *c: F.xxhash64(*c)
-    marked = docs.withColumn("_content", content(F.col(text).cast("string"), F.col(host).cast("string")))
-    rows = written(measured(marked.withColumn("_pair", F.struct(F.col(key).alias("key"), F.col("_content").alias("content"))), text, "_pair", host), "quality")
-    bad_hosts = host_verdicts(rows, limit).where("NOT host_kept").select(F.col("host").alias("_host"))
-    lost = written(rows.where("few_words OR repeats").select(F.col("key.key").alias("_key"), F.col("key.content").alias("_c")).distinct(), "quality-lost")
-    kept = marked.join(sided(lost), F.col(key).eqNullSafe(F.col("_key")) & (F.col("_content") == F.col("_c")), "left_anti")
-    return kept.join(bad_hosts, F.col(host).cast("string") == F.col("_host"), "left_anti").select(*docs.columns)
+    marked = docs.withColumn("__dp_content", content(F.col(text).cast("string"), F.col(host).cast("string")))
+    rows = written(measured(marked.withColumn("__dp_pair", F.struct(F.col(key).alias("key"), F.col("__dp_content").alias("content"))), text, "__dp_pair", host), "quality")
+    bad_hosts = host_verdicts(rows, limit).where("NOT host_kept").select(F.col("host").alias("__dp_host"))
+    lost = written(rows.where("few_words OR repeats").select(F.col("key.key").alias("__dp_key"), F.col("key.content").alias("__dp_c")).distinct(), "quality-lost")
+    kept = marked.join(sided(lost), F.col(key).eqNullSafe(F.col("__dp_key")) & (F.col("__dp_content") == F.col("__dp_c")), "left_anti")
+    return kept.join(bad_hosts, F.col(host).cast("string") == F.col("__dp_host"), "left_anti").select(*docs.columns)
 
 
 def op5_quality_rules(spark, sf_dir: str) -> DataFrame:

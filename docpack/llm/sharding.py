@@ -35,15 +35,15 @@ def shard(docs: DataFrame, key: str = "doc_id", shards: dict[int, float] | int =
         {
             "shard": rendezvous(F.col(key), weighed(shards)),
             "grown_shard": rendezvous(F.col(key), weighed(grown)) if grown else F.lit(None).cast("int"),
-            "_hash": h,
-            "_bucket": hash_bucket(h, buckets),
+            "__dp_hash": h,
+            "__dp_bucket": hash_bucket(h, buckets),
         }
     )
-    counts = dealt.groupBy("shard", "_bucket").agg(F.count("*").alias("_n"))
-    before = W.partitionBy("shard").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    starts = counts.select("shard", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    own = W.partitionBy("shard", "_bucket").orderBy("_hash", F.col(key).cast("string"))
-    placed = dealt.join(starts, ["shard", "_bucket"]).withColumn("slot", F.col("_start") + F.row_number().over(own) - 1)
+    counts = dealt.groupBy("shard", "__dp_bucket").agg(F.count("*").alias("__dp_n"))
+    before = W.partitionBy("shard").orderBy("__dp_bucket").rowsBetween(W.unboundedPreceding, -1)
+    starts = counts.select("shard", "__dp_bucket", F.coalesce(F.sum("__dp_n").over(before), F.lit(0)).alias("__dp_start"))
+    own = W.partitionBy("shard", "__dp_bucket").orderBy("__dp_hash", F.col(key).cast("string"))
+    placed = dealt.join(starts, ["shard", "__dp_bucket"]).withColumn("slot", F.col("__dp_start") + F.row_number().over(own) - 1)
     return placed.select(*docs.columns, "shard", "slot", "grown_shard")
 
 
