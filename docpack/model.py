@@ -4,10 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, MapType, StringType, StructField, StructType
 
 PACKET = "index string, type string, id string, field string, payload string, meta map<string,string>, seq long, archive string, part int"
 DOC = "index string, type string, id string, _parent string, _routing string, _timestamp string, _version long, _source string, fields map<string,string>"
 META = "index string, kind string, name string, body string"
+_TYPES = {"string": StringType(), "long": LongType(), "map<string,string>": MapType(StringType(), StringType())}
+
+
+def struct(ddl: str) -> StructType:
+    """A schema text of this module as a type; works before there is a session."""
+    return StructType([StructField(name, _TYPES[kind]) for name, kind in (x.split(" ", 1) for x in ddl.split(", "))])
+
+
 KEY = ["index", "type", "id"]
 ATTRIBUTES = ["_parent", "_routing", "_timestamp", "_version"]
 

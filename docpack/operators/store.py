@@ -15,12 +15,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructType
 
 from docpack.functions.predicates import of_types
-from docpack.model import DOC, KEY, META
+from docpack.model import DOC, KEY, META, struct
 from docpack.operators.reshape import highest_version, last_writer
 from docpack.session import written
 
 SHARDS = 4
-DOC_SCHEMA, META_SCHEMA = StructType.fromDDL(DOC), StructType.fromDDL(META)
+DOC_SCHEMA, META_SCHEMA = struct(DOC), struct(META)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

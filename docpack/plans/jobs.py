@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from docpack.functions.predicates import SYSTEM_INDEX, not_system, of_types
 from docpack.model import ATTRIBUTES, KEY, PACKET
@@ -125,7 +124,7 @@ def put_metadata(meta: DataFrame, root: str, rename: dict | None, settings: dict
     meta = reshape.rename_metadata(meta if with_aliases else meta.where("kind <> '_alias'"), rename)
     given = {**{f"{k}_settings": v for k, v in (settings or {}).items()}, **{f"{k}_mapping": v for k, v in (mappings or {}).items()}}
     if given:
-        meta = reshape.override(meta, meta.sparkSession.createDataFrame(list(given.items()), StructType.fromDDL("key string, body string")))
+        meta = reshape.override(meta, meta.sparkSession.createDataFrame(list(given.items()), "key string, body string"))
     store.create_indices(meta, root, if_exists)
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from docpack.functions import names, predicates
 from docpack.operators import reshape, stats
@@ -92,7 +91,7 @@ OVERRIDES = "SELECT 'orders_settings' AS key, '{\"index.number_of_shards\":\"7\"
 def _overrides(spark, d):
     orders = T.table(spark, d, "orders")
     top = orders.where("o_orderstatus <> 'P'").groupBy("o_orderstatus").agg(F.concat(F.lit('{"max":'), F.max("o_orderkey").cast("string"), F.lit("}")).alias("body"))
-    settings = spark.createDataFrame([("orders_settings", '{"index.number_of_shards":"7"}')], StructType.fromDDL("key string, body string"))
+    settings = spark.createDataFrame([("orders_settings", '{"index.number_of_shards":"7"}')], "key string, body string")
     return top.select(F.concat(F.lit("orders_"), "o_orderstatus", F.lit("_mapping")).alias("key"), "body").unionByName(settings)
 
 

@@ -141,7 +141,7 @@ class Reader(DataSourceReader):
             f = codecs.reader(raw, codec)
             if kind == "bulk":
                 if s.last >= 0:
-                    pairs = bulk_range(raw, s.first, s.last)
+                    pairs = bulk_range(io.BufferedReader(raw), s.first, s.last)
                 else:
                     pairs = formats.read_bulk(io.BufferedReader(f) if not isinstance(f, io.IOBase) else f)
                 for n, (action, payload) in enumerate(pairs):
@@ -149,7 +149,8 @@ class Reader(DataSourceReader):
                     yield (s.first << 20) + n if s.first else n, [action["index"], action["type"], action["id"], "_source"], payload, meta or None
                 return
             if kind == "zip":
-                whole = raw if not codec else io.BytesIO(f.read())  # a compressed zip has no directory to seek in
+                # a compressed zip has no directory to seek in, and a tiny file no room for it
+                whole = raw if not codec and raw.size() > 1 << 16 else io.BytesIO(f.read())
                 entries = formats.read_zip(whole, (s.first, s.last) if s.last >= 0 else None)
             else:
                 entries = formats.READERS[kind](f)
