@@ -1,6 +1,5 @@
 """Small awkward tables that every operator must take."""
 
-from pyspark.sql.types import StructType
 
 SCHEMA = "doc_id long, text string, source string, lang string"
 # extra columns with names that operators use themselves
@@ -28,13 +27,13 @@ ROWS = [
 def awkward(spark, extra: bool = True):
     from pyspark.sql import functions as F
 
-    df = spark.createDataFrame(ROWS, StructType.fromDDL(SCHEMA))
+    df = spark.createDataFrame(ROWS, SCHEMA)
     return df.withColumns({c: F.lit(f"own {c}") for c in CLASHING}) if extra else df
 
 
 def nothing(spark):
-    return spark.createDataFrame([], StructType.fromDDL(SCHEMA))
+    return spark.createDataFrame([], SCHEMA)
 
 
 def all_null(spark):
-    return spark.createDataFrame([(None, None, None, None)] * 3, StructType.fromDDL(SCHEMA))
+    return spark.createDataFrame([(None, None, None, None)] * 3, SCHEMA)

@@ -71,6 +71,11 @@ def test_a_large_group_and_a_chain(spark):
         own = list(base)
         own[int(rng.integers(0, 300))] = f"new{k}"
         rows[k] = " ".join(own)
+    for k in range(40):  # pairs that are alike to each other but not to the base
+        own = list(base)
+        for j in rng.integers(0, 300, 16):
+            own[int(j)] = f"far{k}-{j}"
+        rows[500 + 2 * k], rows[501 + 2 * k] = " ".join(own), " ".join([*own[:150], "odd", *own[150:]])
     chain = [f"c{k}" for k in range(400)]
     for k in range(6):  # each is alike to its neighbours only
         rows[1000 + k] = " ".join(chain[k * 30 : k * 30 + 250])
