@@ -402,7 +402,7 @@ def overall_rate(spark, d):
     return stats.overall_rate(T.transfers(spark, d))
 
 
-@query("remaining_time", f"SELECT run, floor((2 * sum(bytes) + 12345 - sum(bytes)) / (sum(bytes)::DOUBLE / (max(second) - min(second))) + 0.5)::BIGINT AS remaining FROM ({T.TRANSFERS}) GROUP BY run")
+@query("remaining_time", f"SELECT run, CASE WHEN sum(bytes)::DOUBLE / (max(second) - min(second)) < 0.001 THEN 0 ELSE floor((2 * sum(bytes) + 12345 - sum(bytes)) / (sum(bytes)::DOUBLE / (max(second) - min(second))) + 0.5) END::BIGINT AS remaining FROM ({T.TRANSFERS}) GROUP BY run")
 def remaining_time(spark, d):
     took = F.unix_timestamp(F.max("ts")) - F.unix_timestamp(F.min("ts"))
     rows = T.transfers(spark, d).groupBy("run").agg((2 * F.sum("bytes") + 12345).alias("planned"), F.sum("bytes").alias("done"), (F.sum("bytes") / took).alias("rate"))

@@ -41,10 +41,13 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/docpack/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: its lineage is cut and survives lost executors."""
+def written(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: its lineage is cut and survives lost executors.
+
+    ``narrow`` is for rows of a few numbers: at most four files for each core, however many the shuffle partitions.
+    """
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.coalesce(4 * df.sparkSession.sparkContext.defaultParallelism) if narrow else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
