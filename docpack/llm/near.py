@@ -7,8 +7,9 @@ their weighted Jaccard similarity. Registers are banded, bands that agree give c
 by the exact overlap of their multisets.
 
 Copies are collapsed before banding. In a band's bucket every member is first compared with the bucket's leader alone; after
-the classes so found are joined, only members that are not in the leader's class are compared with the other classes'
-members of the bucket. So a group of thousands of near copies costs one comparison each, and no link is left out.
+the classes so found are joined, only members that are not in the leader's class are compared with members of other
+classes in the bucket, where their sizes and the shingles that they alone have leave room for enough overlap. So a group of
+thousands of near copies costs little more than one comparison each, and no link is left out.
 """
 
 from __future__ import annotations
@@ -99,12 +100,16 @@ def signatures(texts: list[str | None], size: int = 5, registers: int = REGISTER
     return out
 
 
-def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """Sum of the lesser counts over the sum of the greater; elements ascend in both."""
-    total = int(a[1].sum() + b[1].sum())
+def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> int:
+    """Sum of the lesser counts; elements ascend in both."""
     _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    both = int(np.minimum(a[1][i], b[1][j]).sum())
-    return both / (total - both) if total else 0.0
+    return int(np.minimum(a[1][i], b[1][j]).sum())
+
+
+def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
+    """Sum of the lesser counts over the sum of the greater."""
+    both = overlap(a, b)
+    return both / (int(a[1].sum() + b[1].sum()) - both) if len(a[0]) or len(b[0]) else 0.0
 
 
 def _sign(size: int, registers: int, bands: int):
@@ -126,17 +131,67 @@ def _check(size: int, least: float):
                 texts = list(dict.fromkeys([*part["text_a"], *part["text_b"]]))
                 elements, counts, starts = bags(texts, size)
                 bag = {t: (elements[starts[k] : starts[k + 1]], counts[starts[k] : starts[k + 1]]) for k, t in enumerate(texts)}
-                same = [weighted_jaccard(bag[x], bag[y]) >= least for x, y in zip(part["text_a"], part["text_b"], strict=True)]
-                yield part.loc[same, ["a", "b"]]
+                n = {t: int(c.sum()) for t, (_, c) in bag.items()}
+                both = [overlap(bag[x], bag[y]) for x, y in zip(part["text_a"], part["text_b"], strict=True)]
+                same = [o >= least * (n[x] + n[y] - o) for o, x, y in zip(both, part["text_a"], part["text_b"], strict=True)]
+                yield part[["a", "b"]].assign(o=both, same=same)
 
     return run
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, size: int, least: float, kind: str) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose multisets are similar enough."""
+    """``pairs`` (a, b) with the overlap ``o`` of their multisets and whether they are similar enough."""
     one = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
     two = one.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
-    return two.select("a", "b", "text_a", "text_b").mapInPandas(_check(size, least), f"a {kind}, b {kind}")
+    return two.select("a", "b", "text_a", "text_b").mapInPandas(_check(size, least), f"a {kind}, b {kind}, o long, same boolean")
+
+
+def _own(size: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at in range(0, len(batch), 128):
+                part = batch.iloc[at : at + 128]
+                elements, counts, starts = bags(part["text"].tolist(), size)
+                yield pd.DataFrame({"id": np.repeat(part["id"].to_numpy(), np.diff(starts)), "element": elements.astype(np.int64), "w": counts})
+
+    return run
+
+
+def _room(texts: DataFrame, copies: DataFrame, size: int, least: float, kind: str) -> DataFrame:
+    """For each document of ``texts`` its n shingles, the u of them that no other one has, and what sizes may be similar enough.
+
+    It shares n - u shingles with another at most, so the other has between ``least * n`` and ``(n - u) * (1 + least) / least - n``.
+    """
+    alone = texts.mapInPandas(_own(size), f"id {kind}, element long, w long").groupBy("element").agg(F.count("*").alias("docs"), F.min("id").alias("id"), F.sum("w").alias("w"))
+    own = alone.where("docs = 1").groupBy("id").agg(F.sum("w").alias("u"))
+    sizes = copies.select(F.col("rep").alias("id"), "n").join(texts.select("id"), "id").join(own, "id", "left").withColumn("u", F.coalesce("u", F.lit(0)))
+    most = F.floor((F.col("n") - F.col("u")) * ((1 + least) / least) - F.col("n") + 1e-6)
+    return written(sizes.select("id", "n", "u", F.ceil(F.col("n") * least - 1e-6).alias("least_n"), most.alias("most_n")), "near-sizes")
+
+
+def _outside_pairs(members: DataFrame, roots: DataFrame, compared: DataFrame, least: float) -> DataFrame:
+    """Pairs of members of different classes of a bucket, one of them not in its leader's class, with room for enough overlap.
+
+    Sizes are joined by bands of five per cent; a document with many shingles of its own has no partner to be joined with.
+    What two members can share is bounded by what each shares with the leader, and what each has besides
+    that is not its own alone.
+    """
+    placed = members.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    led = roots.select(F.col("node").alias("leader"), F.col("root").alias("led"))
+    placed = written(placed.join(led, "leader", "left").withColumn("out", F.col("root") != F.coalesce("led", "leader")).drop("led"), "near-placed")
+    held = compared.select(F.col("a").alias("_a"), F.col("b").alias("_b"), "o")
+    placed = placed.where("id <> leader").join(held, (F.least("id", "leader") == F.col("_a")) & (F.greatest("id", "leader") == F.col("_b"))).drop("_a", "_b")
+    placed = written(placed.withColumn("free", F.col("n") - F.col("o") - F.col("u")), "near-held")
+    outside = placed.where("out AND most_n >= least_n")
+    step = lambda c: F.floor(F.log(F.col(c).cast("double")) / float(np.log(1.05))).cast("int")
+    left = outside.withColumn("step", F.explode(F.sequence(step("least_n"), step("most_n"))))
+    left = left.select("band", "hash", "step", F.col("id").alias("a"), F.col("root").alias("root_a"), F.col("n").alias("n_a"), F.col("least_n").alias("least_a"), F.col("most_n").alias("most_a"), F.col("o").alias("o_a"), F.col("free").alias("free_a"))
+    right = placed.select("band", "hash", step("n").alias("step"), F.col("id").alias("b"), "root", "n", "least_n", "most_n", "o", "free")
+    shared = F.least("o_a", "o") + F.least("free_a", "free")
+    room = shared >= least * (F.col("n_a") + F.col("n") - shared) - 1e-6
+    fits = room & F.col("n").between(F.col("least_a"), F.col("most_a")) & F.col("n_a").between(F.col("least_n"), F.col("most_n")) & (F.col("root_a") != F.col("root"))
+    pairs = left.join(right, ["band", "hash", "step"]).where(fits)
+    return written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near-pairs")
 
 
 def near_classes(docs: DataFrame, text: str = "text", key: str = "doc_id", least: float = 0.8, size: int = 5, registers: int = REGISTERS, bands: int = BANDS) -> DataFrame:
@@ -156,21 +211,21 @@ def near_classes(docs: DataFrame, text: str = "text", key: str = "doc_id", least
     alone = copies.select(F.col("rep").alias("id"), "n", "fp1", "fp2")
     hashed = signed.where("n > 0").join(alone, ["id", "n", "fp1", "fp2"]).select("id", F.posexplode("bands").alias("band", "hash"))
     hashed = written(hashed, "bands")
-    buckets = written(hashed.groupBy("band", "hash").agg(F.min("id").alias("leader"), F.count("*").alias("members")).where("members > 1"), "bucket-leaders")
-    members = written(hashed.join(buckets.select("band", "hash", "leader"), ["band", "hash"]), "buckets")
-    stars = written(members.where("id <> leader").select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct(), "stars")
-    wanted = members.select("id").distinct()
+    open_ = written(hashed.groupBy("band", "hash").agg(F.count("*").alias("members")).where("members > 1"), "bucket-open")
+    shared = written(hashed.join(open_, ["band", "hash"]), "buckets-shared")
+    wanted = shared.select("id").distinct()
     texts = written(known.join(wanted, "id", "left_semi").dropDuplicates(["id"]), "near-texts")
-    links = written(_verified(stars, texts, size, least, kind), "near-links")
-    roots = components(links)
-    # members outside their leader's class, against the other classes of the bucket
-    placed = members.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    led = roots.select(F.col("node").alias("leader"), F.col("root").alias("led"))
-    outside = placed.join(led, "leader", "left").where(F.col("root") != F.coalesce("led", "leader"))
-    outside = written(outside.select("band", "hash", F.col("id").alias("a"), F.col("root").alias("root_a"), "leader"), "near-outside")
-    rest = placed.select("band", "hash", F.col("id").alias("b"), "root", "leader").where("b <> leader")
-    pairs = outside.drop("leader").join(rest.drop("leader"), ["band", "hash"]).where("root_a <> root").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = written(_verified(written(pairs, "near-pairs"), texts, size, least, kind), "near-more")
+    sizes = _room(texts, copies, size, least, kind)
+    # a bucket's leader is the member that meets most others in all its bands: in a group of altered copies, the one nearest to the rest
+    met = shared.groupBy("id").agg(F.sum("members").alias("met"))
+    sized = written(shared.join(sizes.join(met, "id"), "id"), "buckets-sized")
+    buckets = written(sized.groupBy("band", "hash").agg(F.min(F.struct(-F.col("met"), F.col("id"))).alias("first")).select("band", "hash", F.col("first.id").alias("leader")), "bucket-leaders")
+    members = written(sized.join(buckets, ["band", "hash"]), "buckets")
+    stars = written(members.where("id <> leader").select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct(), "stars")
+    compared = written(_verified(stars, texts, size, least, kind), "near-compared")
+    roots = components(compared.where("same"))
+    pairs = _outside_pairs(members, roots, compared, least)
+    more = written(_verified(pairs, texts, size, least, kind).where("same").select("a", "b"), "near-more")
     twins = signed.where("n > 0").join(copies.where("copies > 1"), ["n", "fp1", "fp2"]).where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct()
     # copies hang on their representative; the classes of representatives are found without them
     final = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)) if not more.isEmpty() else roots
