@@ -78,7 +78,7 @@ def rotate_parts(rows: DataFrame, group: str, order: str, size: str, most: int)
 
 
 def batch_numbers(rows: DataFrame, size: int = 1000, by: str = "index", order: str = "id") -> DataFrame:
-    """Numbers of batches of ``size`` rows of each index. Counts by hash bucket of the order's ranges keep a large index from one task."""
+    """Numbers of batches of ``size`` rows of each index, in order. One task orders one index, so give it keys without payloads."""
     return rows.withColumn("batch", F.floor((F.row_number().over(W.partitionBy(by).orderBy(order)) - 1) / size).cast("long"))
 
 
