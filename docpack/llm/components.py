@@ -11,14 +11,14 @@ from docpack.session import written
 def _large(links: DataFrame) -> DataFrame:
     """Links every larger neighbour of a node to the least of the node and its neighbours."""
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = written(both.groupBy("a").agg(F.least("a", F.min("b")).alias("m")), "least")  # a table of its own, so that a hot node's links can be split
+    least = written(both.groupBy("a").agg(F.least("a", F.min("b")).alias("m")), "least", narrow=True)  # a table of its own, so that a hot node's links can be split
     return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small(links: DataFrame) -> DataFrame:
     """Links a node and its smaller neighbours to the least of them."""
     down = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = written(down.groupBy("a").agg(F.min("b").alias("m")), "least")
+    least = written(down.groupBy("a").agg(F.min("b").alias("m")), "least", narrow=True)
     return down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
 
 
@@ -31,15 +31,15 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
 
     Each round is written to the shared folder. Rounds grow with the logarithm of the nodes; stops when nothing changes.
     """
-    now = written(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+    now = written(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links", narrow=True)
     size = _size(now)
     for _ in range(rounds):
         if not size[0]:
             break
-        now = written(_small(_large(now).where("a <> b").distinct()).where("a <> b").distinct(), "links")
+        now = written(_small(_large(now).where("a <> b").distinct()).where("a <> b").distinct(), "links", narrow=True)
         last, size = size, _size(now)
         if last == size:
             break
     else:
         raise RuntimeError("components did not settle")
-    return written(now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct(), "roots")
+    return written(now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct(), "roots", narrow=True)

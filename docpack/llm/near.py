@@ -166,7 +166,7 @@ def _room(texts: DataFrame, copies: DataFrame, size: int, least: float, kind: st
     own = alone.where("docs = 1").groupBy("id").agg(F.sum("w").alias("u"))
     sizes = copies.select(F.col("rep").alias("id"), "n").join(texts.select("id"), "id").join(own, "id", "left").withColumn("u", F.coalesce("u", F.lit(0)))
     most = F.floor((F.col("n") - F.col("u")) * ((1 + least) / least) - F.col("n") + 1e-6)
-    return written(sizes.select("id", "n", "u", F.ceil(F.col("n") * least - 1e-6).alias("least_n"), most.alias("most_n")), "near-sizes")
+    return written(sizes.select("id", "n", "u", F.ceil(F.col("n") * least - 1e-6).alias("least_n"), most.alias("most_n")), "near-sizes", narrow=True)
 
 
 def _outside_pairs(members: DataFrame, roots: DataFrame, compared: DataFrame, least: float) -> DataFrame:
@@ -178,10 +178,10 @@ def _outside_pairs(members: DataFrame, roots: DataFrame, compared: DataFrame, le
     """
     placed = members.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     led = roots.select(F.col("node").alias("leader"), F.col("root").alias("led"))
-    placed = written(placed.join(led, "leader", "left").withColumn("out", F.col("root") != F.coalesce("led", "leader")).drop("led"), "near-placed")
+    placed = written(placed.join(led, "leader", "left").withColumn("out", F.col("root") != F.coalesce("led", "leader")).drop("led"), "near-placed", narrow=True)
     held = compared.select(F.col("a").alias("_a"), F.col("b").alias("_b"), "o")
     placed = placed.where("id <> leader").join(held, (F.least("id", "leader") == F.col("_a")) & (F.greatest("id", "leader") == F.col("_b"))).drop("_a", "_b")
-    placed = written(placed.withColumn("free", F.col("n") - F.col("o") - F.col("u")), "near-held")
+    placed = written(placed.withColumn("free", F.col("n") - F.col("o") - F.col("u")), "near-held", narrow=True)
     outside = placed.where("out AND most_n >= least_n")
     step = lambda c: F.floor(F.log(F.col(c).cast("double")) / float(np.log(1.05))).cast("int")
     left = outside.withColumn("step", F.explode(F.sequence(step("least_n"), step("most_n"))))
@@ -191,7 +191,7 @@ def _outside_pairs(members: DataFrame, roots: DataFrame, compared: DataFrame, le
     room = shared >= least * (F.col("n_a") + F.col("n") - shared) - 1e-6
     fits = room & F.col("n").between(F.col("least_a"), F.col("most_a")) & F.col("n_a").between(F.col("least_n"), F.col("most_n")) & (F.col("root_a") != F.col("root"))
     pairs = left.join(right, ["band", "hash", "step"]).where(fits)
-    return written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near-pairs")
+    return written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near-pairs", narrow=True)
 
 
 def near_classes(docs: DataFrame, text: str = "text", key: str = "doc_id", least: float = 0.8, size: int = 5, registers: int = REGISTERS, bands: int = BANDS) -> DataFrame:
@@ -206,22 +206,22 @@ def near_classes(docs: DataFrame, text: str = "text", key: str = "doc_id", least
     known = source.where("id IS NOT NULL")
     signed = written(known.mapInPandas(_sign(size, registers, bands), f"id {kind}, n long, fp1 long, fp2 long, bands array<long>"), "signatures")
     copies = signed.where("n > 0").groupBy("n", "fp1", "fp2").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
-    copies = written(copies, "copies")
+    copies = written(copies, "copies", narrow=True)
     # of copies only the least key goes on
     alone = copies.select(F.col("rep").alias("id"), "n", "fp1", "fp2")
     hashed = signed.where("n > 0").join(alone, ["id", "n", "fp1", "fp2"]).select("id", F.posexplode("bands").alias("band", "hash"))
-    hashed = written(hashed, "bands")
-    open_ = written(hashed.groupBy("band", "hash").agg(F.count("*").alias("members")).where("members > 1"), "bucket-open")
-    shared = written(hashed.join(open_, ["band", "hash"]), "buckets-shared")
-    wanted = shared.select("id").distinct()
+    hashed = written(hashed, "bands", narrow=True)
+    open_ = written(hashed.groupBy("band", "hash").agg(F.count("*").alias("members")).where("members > 1"), "bucket-open", narrow=True)
+    shared = written(hashed.join(open_, ["band", "hash"]), "buckets-shared", narrow=True)
+    wanted = sided(written(shared.select("id").distinct(), "near-wanted", narrow=True))
     texts = written(known.join(wanted, "id", "left_semi").dropDuplicates(["id"]), "near-texts")
     sizes = _room(texts, copies, size, least, kind)
     # a bucket's leader is the member that meets most others in all its bands: in a group of altered copies, the one nearest to the rest
     met = shared.groupBy("id").agg(F.sum("members").alias("met"))
-    sized = written(shared.join(sizes.join(met, "id"), "id"), "buckets-sized")
-    buckets = written(sized.groupBy("band", "hash").agg(F.min(F.struct(-F.col("met"), F.col("id"))).alias("first")).select("band", "hash", F.col("first.id").alias("leader")), "bucket-leaders")
-    members = written(sized.join(buckets, ["band", "hash"]), "buckets")
-    stars = written(members.where("id <> leader").select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct(), "stars")
+    sized = written(shared.join(sizes.join(met, "id"), "id"), "buckets-sized", narrow=True)
+    buckets = written(sized.groupBy("band", "hash").agg(F.min(F.struct(-F.col("met"), F.col("id"))).alias("first")).select("band", "hash", F.col("first.id").alias("leader")), "bucket-leaders", narrow=True)
+    members = written(sized.join(buckets, ["band", "hash"]), "buckets", narrow=True)
+    stars = written(members.where("id <> leader").select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct(), "stars", narrow=True)
     compared = written(_verified(stars, texts, size, least, kind), "near-compared")
     roots = components(compared.where("same"))
     pairs = _outside_pairs(members, roots, compared, least)
