@@ -182,15 +182,21 @@ def _outside_pairs(members: DataFrame, roots: DataFrame, compared: DataFrame, le
     held = compared.select(F.col("a").alias("_a"), F.col("b").alias("_b"), "o")
     placed = placed.where("id <> leader").join(held, (F.least("id", "leader") == F.col("_a")) & (F.greatest("id", "leader") == F.col("_b"))).drop("_a", "_b")
     placed = written(placed.withColumn("free", F.col("n") - F.col("o") - F.col("u")), "near-held", narrow=True)
+    buckets = placed.groupBy("id").agg(F.collect_set(F.struct("band", "hash")).alias("own"))
+    placed = placed.join(buckets, "id")
     outside = placed.where("out AND most_n >= least_n")
     step = lambda c: F.floor(F.log(F.col(c).cast("double")) / float(np.log(1.05))).cast("int")
     left = outside.withColumn("step", F.explode(F.sequence(step("least_n"), step("most_n"))))
-    left = left.select("band", "hash", "step", F.col("id").alias("a"), F.col("root").alias("root_a"), F.col("n").alias("n_a"), F.col("least_n").alias("least_a"), F.col("most_n").alias("most_a"), F.col("o").alias("o_a"), F.col("free").alias("free_a"))
-    right = placed.select("band", "hash", step("n").alias("step"), F.col("id").alias("b"), "root", "n", "least_n", "most_n", "o", "free")
+    left = left.select("band", "hash", "step", F.col("id").alias("a"), F.col("root").alias("root_a"), F.col("n").alias("n_a"), F.col("least_n").alias("least_a"), F.col("most_n").alias("most_a"), F.col("o").alias("o_a"), F.col("free").alias("free_a"), F.col("own").alias("own_a"))
+    right = placed.select("band", "hash", step("n").alias("step"), F.col("id").alias("b"), "root", "n", "least_n", "most_n", "o", "free", "own", "out")
     shared = F.least("o_a", "o") + F.least("free_a", "free")
     room = shared >= least * (F.col("n_a") + F.col("n") - shared) - 1e-6
-    fits = room & F.col("n").between(F.col("least_a"), F.col("most_a")) & F.col("n_a").between(F.col("least_n"), F.col("most_n")) & (F.col("root_a") != F.col("root"))
-    pairs = left.join(right, ["band", "hash", "step"]).where(fits)
+    # a pair is taken from the first bucket that both share, and once if both are outside
+    first = F.array_min(F.array_intersect("own_a", "own")) == F.struct(left["band"], left["hash"])
+    once = ~F.col("out") | (F.col("a") < F.col("b"))
+    fits = once & room & F.col("n").between(F.col("least_a"), F.col("most_a")) & F.col("n_a").between(F.col("least_n"), F.col("most_n")) & (F.col("root_a") != F.col("root"))
+    same = (left["band"] == right["band"]) & (left["hash"] == right["hash"]) & (left["step"] == right["step"])
+    pairs = left.join(right, same & fits & first)
     return written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near-pairs", narrow=True)
 
 
