@@ -60,7 +60,7 @@ def cut_pieces(docs: DataFrame, text: str = "text", key: str = "doc_id", capacit
                     rows.append((k, piece, at, stop - at, ids[at:stop].astype("<u4").tobytes()))
                     at, piece = stop, piece + 1
                 size += len(ids)
-                if size > 1 << 22:
+                if size > 1 << 19:
                     yield pd.DataFrame(rows, columns=["key", "piece", "start", "length", "ids"]).astype({"key": batch["key"].dtype})
                     rows, size = [], 0
             yield pd.DataFrame(rows, columns=["key", "piece", "start", "length", "ids"]).astype({"key": batch["key"].dtype})
