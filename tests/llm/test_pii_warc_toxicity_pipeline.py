@@ -3,6 +3,7 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -76,6 +77,46 @@ def test_other_mentions_of_a_number_take_its_label(spark):
     assert "<card>" in pii.masked(rows[1][1], out[1]["spans"]) and "4111" not in pii.masked(rows[1][1], out[1]["spans"])
 
 
+def test_spaced_mentions_and_short_addresses_take_their_labels(spark):
+    rng, rows = random.Random(8), []
+    forms = ["4111 1111 1111 1111", "+1 415 555 2671", "10.0.0.1"]
+    for k in range(600):
+        body = [rng.choice(["alpha", "beta", "gamma", "delta"]) for _ in range(30)]
+        body[5] = body[20] = forms[k % 3]
+        rows.append([k, " ".join(body)])
+    other = {0: "4111.1111.1111.1111", 1: "1-415-555-2671", 2: "10-0-0-1", 3: "4111  1111  1111  1111"}
+    for k, x in other.items():
+        rows[k][1] += f" gamma {x} delta"
+    rows[5][1] += " gamma 10001 delta"  # the digits of 10.0.0.1, but parted otherwise
+    out = {r["doc_id"]: r["added"] for r in pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    found = {k: ["".join((kind, ":", rows[k][1][int(a) : int(b)])) for kind, a, b in (x.split(":") for x in v.split(","))] for k, v in out.items() if v}
+    assert found == {0: ["card:" + other[0]], 1: ["phone:" + other[1]], 2: ["ip:" + other[2]], 3: ["card:" + other[3]]}
+
+
+def test_labels_go_past_any_number_of_mentions():
+    counts = Counter()
+    for k in range(2000):
+        # as many numbers of this form are no cards
+        pii.observe(f"alpha 7222.3333.{1000 + k}.5555 beta {'4111-1111-1111-1111' if k % 2 else 7} and 4111-1111-1111-1111 gamma", counts)
+    field = pii.Field(counts)
+    form = "4111.1111.1111.1111"
+    for text in (" and ".join(["4111-1111-1111-1111", *[form] * 50]), " and ".join([*[form] * 50, "4111 1111 1111 1111"])):
+        added = field.added(text, pii.base_spans(text))
+        assert [text[a:b] for a, kind, b in added if kind == 2] == [form] * 50
+    # messages along a chain alone, with the label at its first end
+    n = 60
+    nodes, label = [(4 * k, 4 * k + 3, k > 0, "") for k in range(n)], pii.np.array([3] + [-1] * (n - 1))
+    field.unary, field.skip = [u * 0 for u in field.unary], pii.np.eye(5) * 8
+    p = field.marginals("123 " * n, nodes, label, [], [(k - 1, k) for k in range(1, n)])
+    move = pii.np.exp(field.skip) / pii.np.exp(field.skip).sum(1, keepdims=True)
+    assert abs(p[-1] - pii.np.linalg.matrix_power(move, n - 1)[3]).max() < 0.02
+
+
+def test_field_is_fitted_to_all_documents(spark):
+    docs = spark.range(4500).select(F.col("id").alias("doc_id"), F.lit("call 4111-1111-1111-1111").alias("text"))
+    assert pii.learn(docs, "text", "doc_id")["y", 3, 0] == 4500
+
+
 def test_pii_awkward(spark):
     assert pii.find_pii(awkward(spark)).count() == awkward(spark).count()
     assert pii.find_pii(nothing(spark)).count() == 0
