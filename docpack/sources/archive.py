@@ -272,23 +272,32 @@ class Writer(DataSourceWriter):
 
 
 class StreamReader(DataSourceStreamReader):
-    """Micro-batches of archive files that land in a directory: whole files, each new one named after those before it in code-point order."""
+    """Micro-batches of archive files that land in a directory, whole files, in any order of names.
+
+    The offset holds the names of the files that are taken, so it grows with the files in the directory; files that are
+    removed leave it. A file is known by its name: other content under a taken name is not read again.
+    """
 
     def __init__(self, options: dict):
         self.options = options
 
-    def _files(self) -> list[str]:
-        return sorted(p for p, _ in archives(self.options["path"]))
+    def _files(self) -> dict[str, str]:
+        return {base_name(p): p for p, _ in archives(self.options["path"])}
 
     def initialOffset(self) -> dict:
-        return {"after": ""}
+        return {"taken": []}
 
     def latestOffset(self) -> dict:
-        files = self._files()
-        return {"after": files[-1] if files else ""}
+        return {"taken": sorted(self._files())}
 
     def partitions(self, start: dict, end: dict) -> Sequence[InputPartition]:
-        return [Slice(p, 0, -1, part_of(p)) for p in self._files() if start["after"] < p <= end["after"]]
+        files = self._files()
+        # a checkpoint of an earlier version names the greatest path read
+        after = lambda offset: [n for n, p in files.items() if p <= offset["after"]] if "after" in offset else offset["taken"]
+        new = sorted(set(after(end)) - set(after(start)), key=lambda n: (part_of(n), n))
+        if lost := [n for n in new if n not in files]:
+            raise FileNotFoundError(f"removed before it was read: {lost[0]}")
+        return [Slice(files[n], 0, -1, part_of(n)) for n in new]
 
     def read(self, partition: Slice) -> Iterator[pa.RecordBatch]:
         return Reader(self.options).read(partition)

@@ -16,6 +16,7 @@ from docpack.operators import store
 from docpack.plans import jobs
 from docpack.session import new_path
 from docpack.sources import archive, codecs, formats
+from docpack.streaming import streams
 
 LONG = "https://example.org/" + "path/" * 40
 DOCS = [
@@ -220,3 +221,38 @@ def test_mixed_versions_are_refused(spark):
     rows = [("i", "t", "1", None, None, None, 3, "{}", None), ("i", "t", "2", None, None, None, None, "{}", None)]
     with pytest.raises(ValueError, match="version"):
         store.upsert(spark.createDataFrame(rows, schema_of(DOC)), new_path(spark, "root"))
+
+
+def test_streams_take_files_that_land_later_under_any_name(spark):
+    landing, root, out = new_path(spark, "landing"), new_path(spark, "store"), new_path(spark, "assembled")
+    points = new_path(spark, "points"), new_path(spark, "points")
+
+    def land(first: int, name: str) -> None:
+        rows = [("i", "t", str(k), None, None, None, None, "{}", None) for k in range(first, first + 12)]
+        jobs.export(spark.createDataFrame(rows, schema_of(DOC)).repartitionByRange(12, "id"), landing, name)
+
+    def taken() -> list[int]:
+        streams.import_stream(spark, landing, root, checkpoint=points[0]).awaitTermination()
+        streams.assemble_stream(spark, landing, out, checkpoint=points[1]).awaitTermination()
+        assembled = sorted(int(r["id"]) for r in spark.read.parquet(out).select("id").collect())
+        assert assembled == sorted(int(r["id"]) for r in store.scan(spark, root).select("id").collect())
+        return assembled
+
+    land(0, "pages-0.tar.gz")
+    assert taken() == list(range(12))
+    land(12, "pages-1.tar.gz")  # its parts but the first sort before pages-0.tar.gz
+    assert len(archive.archives(landing)) > 13
+    assert taken() == list(range(24))
+    land(24, "a.tar.gz")
+    assert taken() == list(range(36)) == taken()
+
+
+def test_stream_offsets(spark):
+    path = write(spark, "b.tar", b"")
+    reader = archive.StreamReader({"path": path})
+    end = reader.latestOffset()
+    files = [x.path for x in reader.partitions(reader.initialOffset(), end)]
+    assert [archive.base_name(x) for x in files] == ["b.tar"] and reader.partitions({"after": files[0]}, end) == []
+    assert reader.partitions(end, end) == []
+    with pytest.raises(FileNotFoundError, match="gone.tar"):
+        reader.partitions(end, {"taken": ["b.tar", "gone.tar"]})
