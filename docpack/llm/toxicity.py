@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docpack.llm.text import key_hash
@@ -62,11 +62,20 @@ def training_rows(labels: DataFrame, key: str = "doc_id", label: str = "toxic",
     return rows.orderBy(key_hash("toxic", F.col("id")), "id").limit(most)
 
 
+def root_ratio(toxic: Column, clean: Column, t: int, c: int) -> Column:
+    """The root of the log-likelihood ratio of two shares, ``toxic`` of ``t`` and ``clean`` of ``c``, against one; below 0 if the first is less."""
+    part = lambda x: F.when(x > 0, x * F.log(x.cast("double"))).otherwise(0.0)
+    both, n = toxic + clean, F.lit(t + c)
+    ratio = part(toxic) + part(clean) + part(F.lit(t) - toxic) + part(F.lit(c) - clean) - part(both) - part(n - both) - part(F.lit(t)) - part(F.lit(c)) + part(n)
+    return F.signum(toxic * float(c) - clean * float(t)) * F.sqrt(2 * F.greatest(ratio, F.lit(0.0)))
+
+
 def lexicon(docs: DataFrame, train: DataFrame, text: str = "text", key: str = "doc_id", strength: float = 1000.0, z_least: float = 4.5, most: int = 100_000) -> dict[bytes, float]:
     """Words whose log-odds towards toxic documents are significant, with their scores.
 
     The prior of a word has the mean of its share of all documents and ``strength`` documents in all. Words need a
-    z-score of ``z_least``; the ``most`` bounds what is broadcast, by z-score.
+    z-score of ``z_least``; the ``most`` bounds what is broadcast, by z-score. The z-score is the root of the likelihood
+    ratio of the counts alone, so that a word of no clean document gains with each toxic one, however rare it is.
     """
     labelled = docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text")).join(F.broadcast(train), "id", "left")
     parts = labelled.select("text", F.coalesce("label", F.lit(-1)).alias("label")).mapInPandas(_count, "word string, docs long, toxic long, clean long")
@@ -78,7 +87,7 @@ def lexicon(docs: DataFrame, train: DataFrame, text: str = "text", key: str = "d
     prior = F.col("docs") / F.lit(float(n)) * F.lit(strength)
     yt, yc = F.col("toxic") + prior * (t / (t + c)), F.col("clean") + prior * (c / (t + c))
     odds = F.log(yt / (t + strength * t / (t + c) - yt)) - F.log(yc / (c + strength * c / (t + c) - yc))
-    scored = counts.where((F.col("toxic") < t) & (F.col("clean") < c)).withColumn("odds", odds).withColumn("z", odds / F.sqrt(1 / yt + 1 / yc))
+    scored = counts.where((F.col("toxic") < t) & (F.col("clean") < c)).withColumn("odds", odds).withColumn("z", root_ratio(F.col("toxic"), F.col("clean"), t, c))
     best = scored.where((F.col("z") >= z_least) & (F.col("odds") > 1.0)).orderBy(F.desc("z"), "word").limit(most)
     return {r["word"].encode(): float(r["odds"]) for r in best.select("word", "odds").collect()}
 

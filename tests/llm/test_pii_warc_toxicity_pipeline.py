@@ -184,6 +184,13 @@ def test_toxicity_on_held_out_rows(spark):
     assert hit >= 0.5 * sum(y for _, y in own) and hit >= 0.7 * sum(p for p, _ in own)
 
 
+def test_rare_words_of_toxic_documents_alone_enter_the_lexicon(spark):
+    rare = F.when(F.col("doc_id") < 25, " vile").when(F.col("doc_id") % 2000 == 999, " even").otherwise("")  # 0.05 per cent of the documents
+    docs = spark.range(50_000).select(F.col("id").alias("doc_id")).select("doc_id", F.concat(F.lit("w"), F.col("doc_id") % 1000, rare).alias("text"))
+    train = docs.select(F.col("doc_id").alias("id"), (F.col("doc_id") < 10_000).cast("int").alias("label"))
+    assert set(toxicity.lexicon(docs, train)) == {b"vile"}
+
+
 def test_toxicity_awkward(spark):
     labels = spark.createDataFrame([(1, 1), (5, 0), (None, 1), (7, None), (7, 1)], "doc_id long, toxic int")
     model = toxicity.fit(awkward(spark), labels)
