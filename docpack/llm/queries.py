@@ -6,7 +6,7 @@ from docpack.llm.mixing import OP1_SQL, op1_mixing
 from docpack.llm.near import op7_near_dedup
 from docpack.llm.packing import op8_packing
 from docpack.llm.pii import op6_pii
-from docpack.llm.quality import op5_quality_rules
+from docpack.llm.quality import OP5_SQL, op5_quality_rules
 from docpack.llm.sharding import op3_sharding
 from docpack.llm.toxicity import op10_toxicity
 from docpack.llm.warc import op9_warc
@@ -23,4 +23,4 @@ QUERIES = {
     "op9_warc": op9_warc,
     "op10_toxicity": op10_toxicity,
 }
-SQL = {"op1_mixing": OP1_SQL, "op2_line_dedup": OP2_SQL, "op4_exact_dedup": OP4_SQL}
+SQL = {"op1_mixing": OP1_SQL, "op2_line_dedup": OP2_SQL, "op4_exact_dedup": OP4_SQL, "op5_quality_rules": OP5_SQL}
