@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, StringType, StructField, StructType
 
 
 def local_session(name: str = "docpack", cores: str = "*", partitions: int = 8) -> SparkSession:
@@ -57,6 +58,18 @@ def spread(spark: SparkSession) -> int:
     return min(1 << 16, 1 << (want - 1).bit_length())
 
 
-def sided(df: DataFrame, most: int = 200_000) -> DataFrame:
-    """``df`` (a written table of narrow rows) with a broadcast hint if it has few enough rows; Spark shuffles it otherwise."""
-    return F.broadcast(df) if df.count() <= most else df
+def _width(field: StructField):
+    """About how many bytes a value takes in memory, as a column."""
+    kind, value = field.dataType, F.col(f"`{field.name}`")
+    if isinstance(kind, StringType | BinaryType):
+        return F.coalesce(F.octet_length(value), F.lit(0)) + 16
+    if isinstance(kind, ArrayType):
+        own = F.octet_length(F.concat_ws("", value)) if isinstance(kind.elementType, StringType) else F.lit(0)
+        return F.coalesce(16 * F.greatest(F.size(value), F.lit(0)) + own, F.lit(0)) + 16
+    return F.lit(32 if isinstance(kind, StructType) else 8)
+
+
+def sided(df: DataFrame, most: int = 32 << 20) -> DataFrame:
+    """``df`` (a written table) with a broadcast hint if its rows take at most ``most`` bytes; Spark shuffles it otherwise."""
+    size = df.agg(F.sum(sum((_width(f) for f in df.schema), F.lit(16)).cast("long"))).first()[0] or 0
+    return F.broadcast(df) if size <= most else df
