@@ -2,35 +2,35 @@
 
 Each source's documents are shuffled by a hash and queue one behind the other, up to ``max_repeats`` times over.
 A copy's virtual finish time is the source's words up to its end, divided by the source's target. All copies are
-sorted by finish time over ranges of that time and the mix is cut where it reaches the total budget.
+sorted globally by ranges of finish time and the mix is cut where it reaches the total budget.
 
-Only counters travel: per (source, hash bucket) sums give running totals, so a source that holds most of all
-rows is dealt over as many tasks as buckets, and one sum per range of finish time finds the cut.
+Only counters are sorted: per (source, hash bucket) sums give running totals, so a source that holds most of all rows is dealt
+over as many tasks as buckets. The range of finish time that holds the cut is parted again until few copies are left to sort. As
+copies of one source are taken in the order of round and hash, the cut is one bound for each source, and a document is taken as
+often as its hash lies within it: no text is moved.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from docpack.llm.text import hash_bucket, key_hash, n_words
-from docpack.session import spread, written
+from docpack.session import sided, spread, written
 
 KEYS = ["mix_none", "mix_source"]
 
 
-def _queued(docs: DataFrame, size_of: str, source: str, key: str, seed: str, buckets: int) -> DataFrame:
-    h = key_hash(seed, F.col(key))
-    return docs.withColumns(
-        {
-            "mix_none": F.col(source).isNull(),
-            "mix_source": F.coalesce(F.col(source).cast("string"), F.lit("")),
-            "mix_size": n_words(F.col(size_of)),
-            "mix_hash": h,
-            "mix_bucket": hash_bucket(h, buckets),
-        }
-    )
+def _queued(docs: DataFrame, text: str, source: str, key: str, seed: str, size: bool = True) -> dict[str, Column]:
+    """Source, place in the queue (a hash of key and text) and, if asked for, size."""
+    content = F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary"))
+    return {
+        "mix_none": F.col(source).isNull(),
+        "mix_source": F.coalesce(F.col(source).cast("string"), F.lit("")),
+        "mix_hash": key_hash(seed, F.col(key), content),
+        **({"mix_size": n_words(F.col(text))} if size else {}),
+    }
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_repeats: int = 3, share: float = 1.0) -> DataFrame:
@@ -57,7 +57,73 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_repeats:
     )
 
 
-def mix(
+def _starts(light: DataFrame, goals: DataFrame, buckets: int) -> DataFrame:
+    """Rows that share source and hash as one unit, with ``mix_end``: the words of its source's queue up to its end."""
+    units = light.groupBy(*KEYS, "mix_hash").agg(F.sum("mix_size").alias("mix_size")).withColumn("bucket", hash_bucket(F.col("mix_hash"), buckets))
+    units = written(units, "mix-units")
+    along = W.partitionBy(*KEYS).orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
+    starts = units.groupBy(*KEYS, "bucket").agg(F.sum("mix_size").alias("n")).withColumn("start", F.coalesce(F.sum("n").over(along), F.lit(0))).drop("n")
+    starts = written(starts.join(goals, KEYS), "mix-starts")
+    queue = W.partitionBy(*KEYS, "bucket").orderBy("mix_hash").rowsBetween(W.unboundedPreceding, 0)
+    return units.withColumn("up_to", F.sum("mix_size").over(queue)).join(sided(starts), [*KEYS, "bucket"]).withColumn("mix_end", F.col("start") + F.col("up_to")).drop("up_to", "start", "bucket")
+
+
+def _finish(end: Column, round_: Column, total: Column, target: Column) -> Column:
+    return (end + round_ * total).cast("double") / target
+
+
+def _cut(copies: DataFrame, budget: float, few: int) -> tuple[float, DataFrame]:
+    """The finish time before which all copies are taken, and those of the others that are: at most ``few``, in one range.
+
+    Copies are taken in order while the middle of their words lies within the budget. Of 1024 ranges of finish time the one that
+    the budget ends in is parted again, until it has at most ``few`` copies or one time only (copies of different sources).
+    """
+    ends = [F.min("finish").alias("low"), F.max("finish").alias("high"), F.count("*").alias("rows"), F.sum("mix_size").alias("words")]
+    held, before = copies.agg(*ends).first(), 0
+    inside = copies
+    while held["rows"] > few and held["low"] < held["high"]:
+        step = (held["high"] - held["low"]) / 1024
+        place = F.least(F.floor((F.col("finish") - held["low"]) / step), F.lit(1023)).cast("int")
+        start = before
+        for r in inside.groupBy(place.alias("place")).agg(*ends).orderBy("place").collect():  # 1024 rows at most
+            if start > budget:
+                break
+            held, before = r, start
+            start += r["words"]
+        inside = copies.where(F.col("finish").between(held["low"], held["high"]))
+    sort = W.orderBy("finish", *KEYS, "round", "mix_hash").rowsBetween(W.unboundedPreceding, 0)
+    ordered = inside.withColumn("mixed", F.sum("mix_size").over(sort) + before)
+    return held["low"], ordered.where(2 * F.col("mixed") - F.col("mix_size") <= 2 * budget).drop("mixed")
+
+
+def _mixed(docs: DataFrame, keep: list[str], text: str, source: str, key: str, weights: tuple[int, ...], max_repeats: int, share: float, seed: str, few: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The table of sizes (with columns ``keep``), the bounds of sources, and the queues of their units."""
+    buckets = spread(docs.sparkSession)
+    queued = _queued(docs, text, source, key, seed)
+    light = written(docs.select(*keep, *[c.alias(n) for n, c in queued.items()]), "mix-sizes")
+    totals = light.groupBy(*KEYS).agg(F.sum("mix_size").alias("mix_total"))
+    goals = written(targets(totals, weights, max_repeats, share), "mix-targets")
+    budget = (goals.agg(F.sum("mix_total")).first()[0] or 0) * share
+    units = _starts(light, goals, buckets)
+    begin = lambda e: (F.col("mix_end") - F.col("mix_size") + e * F.col("mix_total")).cast("double")
+    rounds = F.filter(F.array(*[F.lit(e).cast("long") for e in range(max_repeats)]), lambda e: begin(e) < F.col("mix_target"))
+    copies = units.where("mix_target > 0").select(*KEYS, "mix_hash", "mix_size", "mix_end", "mix_total", "mix_target", F.explode(rounds).alias("round"))
+    copies = written(copies.select(*KEYS, "mix_hash", "mix_size", "round", _finish(F.col("mix_end"), F.col("round"), F.col("mix_total"), F.col("mix_target")).alias("finish")), "mix-copies")
+    last = F.max(F.struct("round", "mix_hash")).alias("last")
+    bounds = goals.withColumn("last", F.lit(None).cast("struct<round:long,mix_hash:long>"))
+    if not copies.isEmpty():
+        low, some = _cut(copies, budget, few)
+        taken = copies.where(F.col("finish") < low).groupBy(*KEYS).agg(last).unionByName(some.groupBy(*KEYS).agg(last))
+        bounds = goals.join(taken.groupBy(*KEYS).agg(F.max("last").alias("last")), KEYS, "left")
+    return light, written(bounds, "mix-bounds"), units
+
+
+def _times() -> Column:
+    """How often a row is taken: once for each round before the last one of its source, and in that one up to the bound."""
+    return F.when(F.col("last").isNull(), 0).otherwise(F.col("last.round") + (F.col("mix_hash") <= F.col("last.mix_hash")).cast("int")).cast("int")
+
+
+def mix_sizes(
     docs: DataFrame,
     text: str = "text",
     source: str = "source",
@@ -66,78 +132,58 @@ def mix(
     max_repeats: int = 3,
     share: float = 1.0,
     seed: str = "mix-0",
+    few: int = 50_000,
 ) -> DataFrame:
-    """``docs`` with what the mix takes of each row.
+    """What the mix takes of each row: ``key, mix_size`` (words), ``mix_total, mix_target`` (of its source) and ``mix_copies`` (0 to ``max_repeats``).
 
-    Adds ``mix_size`` (words), ``mix_total`` and ``mix_target`` (of its source), ``mix_copies`` (times taken, 0 to
-    ``max_repeats``) and ``mix_finish`` (finish times of the copies taken, ascending). Reruns agree: all sums are of
-    whole numbers, and the order depends on keys alone. Null or empty texts have size 0 and are taken with
-    their neighbours in the queue; null sources are one source, last in order; rows that agree in source and key queue
-    in any order of equals; an empty table gives an empty result. Columns named ``mix_...`` of ``docs`` are replaced.
+    Reruns agree: sums are of whole numbers, and the order depends on keys and texts alone. Null or empty texts have
+    size 0 and are taken with their neighbours in the queue; null sources are one source, last in order; null keys
+    are one key, whose rows queue by their texts. Rows that repeat both key and text are one unit of the queue, taken all or none.
+    An empty table gives an empty result; other columns are ignored.
     """
-    spark = docs.sparkSession
-    buckets = spread(spark)
-    docs = docs.drop(*[c for c in docs.columns if c.lower().startswith("mix_")])
-    queued = _queued(docs, text, source, key, seed, buckets)
-    light = written(queued.select(*KEYS, "mix_bucket", "mix_hash", F.col(key).cast("string").alias("mix_key"), "mix_size"), "mix-sizes")
-    sums = light.groupBy(*KEYS, "mix_bucket").agg(F.sum("mix_size").alias("bucket_size"))
-    goals = targets(sums.groupBy(*KEYS).agg(F.sum("bucket_size").alias("mix_total")), weights, max_repeats, share)
-    along = W.partitionBy(*KEYS).orderBy("mix_bucket").rowsBetween(W.unboundedPreceding, -1)
-    starts = written(sums.withColumn("mix_start", F.coalesce(F.sum("bucket_size").over(along), F.lit(0))).drop("bucket_size").join(goals, KEYS), "mix-starts")
-    budget = light.agg(F.sum("mix_size")).first()[0] or 0
-    budget = budget * share if share != 1.0 else budget
-
-    def with_finish(rows: DataFrame) -> DataFrame:
-        queue = W.partitionBy(*KEYS, "mix_bucket").orderBy("mix_hash", F.col(key).cast("string") if key in rows.columns else "mix_key", "mix_size")
-        end = F.col("mix_start") + F.sum("mix_size").over(queue.rowsBetween(W.unboundedPreceding, 0))
-        rows = rows.join(starts, [*KEYS, "mix_bucket"]).withColumn("mix_end", end)
-        begin = lambda e: (F.col("mix_end") - F.col("mix_size") + e * F.col("mix_total")).cast("double")
-        copy = lambda e: F.struct(
-            ((F.col("mix_end") + e * F.col("mix_total")).cast("double") / F.col("mix_target")).alias("finish"),
-            F.col("mix_none").alias("none"), F.col("mix_source").alias("source"), e.alias("round"), F.col("mix_hash").alias("hash"), F.col("mix_end").alias("end"), F.col("mix_size").alias("size"),
-        )
-        rounds = F.array(*[F.lit(e).cast("long") for e in range(max_repeats)])
-        return rows.withColumn("mix_queue", F.when(F.col("mix_target") > 0, F.transform(F.filter(rounds, lambda e: begin(e) < F.col("mix_target")), copy)))
-
-    copies = with_finish(light).select(F.explode("mix_queue").alias("c")).select("c", F.floor(F.least(F.col("c.finish"), F.lit(2.0)) * buckets).cast("int").alias("range"))
-    copies = written(copies, "mix-copies")
-    ranges = copies.groupBy("range").agg(F.sum("c.size").alias("range_size"))
-    ranges = ranges.withColumn("range_start", F.coalesce(F.sum("range_size").over(W.orderBy("range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
-    last = ranges.where(F.col("range_start") <= budget).agg(F.max(F.struct("range", "range_start"))).first()[0]
-    chosen = F.array().cast("array<double>")
-    if last is not None:
-        sort = W.orderBy("c").rowsBetween(W.unboundedPreceding, 0)
-        ordered = copies.where(F.col("range") == last["range"]).withColumn("mixed", F.sum("c.size").over(sort) + F.lit(last["range_start"]))
-        cut = ordered.where(2 * F.col("mixed") - F.col("c.size") <= 2 * F.lit(budget)).agg(F.max("c").alias("c")).first()["c"]
-        if cut is None:  # nothing of the range that holds the cut is taken
-            cut = copies.where(F.col("range") < last["range"]).agg(F.max("c").alias("c")).first()["c"]
-        if cut is not None:
-            limit = F.struct(*[F.lit(cut[f]).cast(t.dataType).alias(f) for f, t in zip(cut.__fields__, copies.schema["c"].dataType.fields, strict=True)])
-            chosen = F.coalesce(F.transform(F.filter("mix_queue", lambda c: c <= limit), lambda c: c["finish"]), chosen)
-    taken = with_finish(queued).withColumn("mix_finish", chosen).withColumn("mix_copies", F.size("mix_finish"))
-    return taken.select(*docs.columns, "mix_size", "mix_total", "mix_target", "mix_copies", "mix_finish")
-
-
-def mixed_rows(docs: DataFrame, ordered: bool = False, **options) -> DataFrame:
-    """The rows of the mix: each row of ``docs`` as often as it is taken, with its own columns only.
-
-    ``ordered`` sorts them by finish time over range partitions: the order in which a trainer would read them.
+    light, bounds, _ = _mixed(docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(source).alias("source")), ["key"], "text", "source", "key", weights, max_repeats, share, seed, few)
+    return light.join(sided(bounds), KEYS).select("key", "mix_size", "mix_total", "mix_target", _times().alias("mix_copies"))
+
+
+def mixed_rows(
+    docs: DataFrame,
+    ordered: bool = False,
+    text: str = "text",
+    source: str = "source",
+    key: str = "doc_id",
+    weights: tuple[int, ...] = (1, 2, 3),
+    max_repeats: int = 3,
+    share: float = 1.0,
+    seed: str = "mix-0",
+    few: int = 50_000,
+) -> DataFrame:
+    """The rows of the mix: each row of ``docs`` as often as ``mix_sizes`` says, with its own columns only, whatever their names.
+
+    Rows are chosen where they are, by the bounds of their sources. ``ordered`` sorts them by finish time over range
+    partitions: the order in which a trainer would read them.
     """
-    rows = mix(docs, **options).withColumn("mix_time", F.explode("mix_finish"))
-    return (rows.orderBy("mix_time") if ordered else rows).select(*docs.columns)
+    _, bounds, units = _mixed(docs, [], text, source, key, weights, max_repeats, share, seed, few)
+    own = F.struct(*[c.alias(n) for n, c in _queued(docs, text, source, key, seed, size=False).items()])
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), own.alias("own")).select("row", "own.*")
+    rows = rows.join(sided(bounds), KEYS).withColumn("copies", _times()).where("copies > 0")
+    rows = rows.select("row", *KEYS, "mix_hash", "mix_total", "mix_target", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("round"))
+    if ordered:
+        ends = units.select(*KEYS, "mix_hash", "mix_end")
+        rows = rows.join(ends, [*KEYS, "mix_hash"]).withColumn("finish", _finish(F.col("mix_end"), F.col("round"), F.col("mix_total"), F.col("mix_target")))
+        rows = rows.orderBy("finish", *KEYS, "round", "mix_hash")
+    return rows.select("row.*")
 
 
 def op1_mixing(spark, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    taken = mix(docs.select("doc_id", "text", "source"))
-    return taken.select("doc_id", F.col("mix_size").alias("size"), F.col("mix_total").alias("source_size"), F.col("mix_target").alias("target"), (F.col("mix_copies") * F.col("mix_size")).alias("taken"))
+    taken = mix_sizes(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return taken.select(F.col("key").alias("doc_id"), F.col("mix_size").alias("size"), F.col("mix_total").alias("source_size"), F.col("mix_target").alias("target"), (F.col("mix_copies") * F.col("mix_size")).alias("taken"))
 
 
 OP1_SQL = r"""
 WITH d AS (
   SELECT doc_id, source IS NULL AS none, coalesce(source, '') AS src,
          len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-         substr(md5('mix-0:' || coalesce(doc_id::VARCHAR, 'null')), 1, 15) AS h
+         substr(md5('mix-0:' || coalesce(doc_id::VARCHAR, 'null') || ':' || md5(coalesce(text, ''))), 1, 15) AS h
   FROM documents),
 s AS (SELECT none, src, sum(size)::BIGINT AS total FROM d GROUP BY ALL),
 w AS (SELECT *, 1 + (row_number() OVER (ORDER BY none, src) - 1) % 3 AS weight, sum(total) OVER ()::BIGINT AS budget FROM s),

@@ -1,8 +1,8 @@
 """Best-fit packing of tokenised documents by minimum bin slack.
 
-Documents are cut into pieces of at most one sequence. Pieces are dealt into pools of some thousand by a hash; in a
-pool, bins are filled one after the other: the longest piece left opens the bin, and a subset-sum dynamic program on
-bitsets over the other lengths left finds the fullest combination, which is removed.
+Documents are cut into pieces of at most one sequence. A full piece is a sequence of its own; the others are dealt evenly into
+pools of some thousand. In a pool, bins are filled one after the other: the longest piece left opens the bin, and a subset-sum
+dynamic program on bitsets over the other lengths left finds the fullest combination, which is removed.
 """
 
 from __future__ import annotations
@@ -17,7 +17,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docpack.session import written
+
 TWO_SPACES = re.compile(r"\s\s")
+# fixed value: the special token of the vocabulary
+SPECIAL = {"<|endoftext|>": 50256}
 
 
 @lru_cache
@@ -35,25 +39,31 @@ def encoders(vocabulary: str):
     return made("any", public_tokenizers.PATTERN), made("plain", public_tokenizers.PATTERN.replace(r"|\s+(?!\S)", ""))
 
 
-def token_ids(text: str, vocabulary: str) -> np.ndarray:
+def token_ids(text: str, vocabulary: str, special: dict[str, int] | None = None) -> np.ndarray:
+    """Ids of a text. A string of ``special`` is the one id that is given for it; what stands on either side is tokenised for itself."""
     every, plain = encoders(vocabulary)
-    return np.array((every if TWO_SPACES.search(text) else plain).encode_ordinary(text), "<u4")
+    encoded = lambda t: (every if TWO_SPACES.search(t) else plain).encode_ordinary(t)
+    if special and any(x in text for x in special):
+        parts = re.split("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")", text)
+        return np.array([i for k, t in enumerate(parts) for i in ([special[t]] if k % 2 else encoded(t))], "<u4")
+    return np.array(encoded(text), "<u4")
 
 
-def cut_pieces(docs: DataFrame, text: str = "text", key: str = "doc_id", capacity: int = 2048, vocabulary: str = "byte_bpe_50k.tiktoken", end_id: int = 0) -> DataFrame:
+def cut_pieces(docs: DataFrame, text: str = "text", key: str = "doc_id", capacity: int = 2048, vocabulary: str = "byte_bpe_50k.tiktoken", end_id: int = 0, special: dict[str, int] | None = None) -> DataFrame:
     """``key, piece, start, length, ids`` (little-endian 32-bit numbers): each document's tokens and then ``end_id``.
 
     Only documents longer than ``capacity`` are cut; all their pieces but the first are full, so that one
-    piece at most is left to pack. Null and empty texts are the one token ``end_id``. Strings of special tokens
-    in a text are ordinary text. The ids are those of the same vocabulary's ``tokenizers`` file.
+    piece at most is left to pack. Null and empty texts are the one token ``end_id``. The ids are those that the same
+    vocabulary's ``tokenizers`` file gives, with its one special token (``SPECIAL``) unless ``special`` names others.
     """
+    special = SPECIAL if special is None else special
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows: list[tuple] = []
             size = 0
             for k, t in zip(batch["key"], batch["text"], strict=True):
-                ids = np.append(token_ids(t, vocabulary), np.array([end_id], "<u4")) if t else np.array([end_id], "<u4")
+                ids = np.append(token_ids(t, vocabulary, special), np.array([end_id], "<u4")) if t else np.array([end_id], "<u4")
                 at, piece = 0, 0
                 while at < len(ids):
                     stop = at + ((len(ids) - at) % capacity or capacity)
@@ -117,18 +127,20 @@ def fill_bins(lengths: np.ndarray, capacity: int) -> list[list[int]]:
     return bins
 
 
-def pack(pieces: DataFrame, n_docs: int, capacity: int = 2048, pool: int = 4096) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = 2048, pool: int = 4096) -> DataFrame:
     """``pieces`` (with ``key``, ``piece``, ``length``) with ``sequence_id`` and ``offset``, gapless from 0 in each sequence.
 
-    ``n_docs`` sets the number of pools, so that a pool holds about ``pool`` documents and costs at most one bin of
-    slack. Rows that agree in key and piece are packed one by one. Pieces of length 0 do not occur.
+    Pieces that fill a sequence are given one where they are, with a number below 0. The others are dealt evenly into pools of
+    about ``pool``, by a hash of their row in the table of pieces, so that rows that agree in key, or in everything, are dealt like
+    any others; a pool costs at most one bin of slack. Pieces of length 0 do not occur.
     """
-    pools = max(1, -(-n_docs // pool))
     names = pieces.columns
+    table = written(pieces.withColumn("__dp_row", F.monotonically_increasing_id()), "pieces")
+    pools = max(1, -(-table.where(F.col("length") < capacity).count() // pool))
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["length", "key", "piece"], ascending=[False, True, True], kind="stable", na_position="last").reset_index(drop=True)
-        own = int(group["pool"].iloc[0])
+        group = group.sort_values(["length", "__dp_row"], ascending=[False, True], kind="stable").reset_index(drop=True)
+        own = int(group["__dp_pool"].iloc[0])
         lengths = group["length"].to_numpy()
         left = {int(v): list(at)[::-1] for v, at in pd.Series(np.arange(len(lengths))).groupby(lengths)}
         sequence, offset = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
@@ -141,19 +153,20 @@ def pack(pieces: DataFrame, n_docs: int, capacity: int = 2048, pool: int = 4096)
         return group[names].assign(sequence_id=sequence, offset=offset)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema) + ", sequence_id long, offset long"
-    dealt = pieces.withColumn("pool", F.pmod(F.xxhash64("key", "piece"), F.lit(pools)).cast("int"))
-    return dealt.groupBy("pool").applyInPandas(run, schema)
+    dealt = table.where(F.col("length") < capacity).withColumn("__dp_pool", F.pmod(F.xxhash64("__dp_row"), F.lit(pools)).cast("int"))
+    full = table.where(F.col("length") >= capacity).select(*names, (-1 - F.col("__dp_row")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    return dealt.groupBy("__dp_pool").applyInPandas(run, schema).unionByName(full)
 
 
-def pack_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", capacity: int = 2048, vocabulary: str = "byte_bpe_50k.tiktoken", pool: int = 4096, with_ids: bool = False) -> DataFrame:
+def pack_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", capacity: int = 2048, vocabulary: str = "byte_bpe_50k.tiktoken", pool: int = 4096, with_ids: bool = False, special: dict[str, int] | None = None) -> DataFrame:
     """Tokenises and packs ``docs``: one row per piece with ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``.
 
     ``with_ids`` adds the ids themselves, which then travel with the pieces. An empty table gives no rows; a null key
-    is packed like any other.
+    is packed like any other, and rows that repeat are packed one by one.
     """
-    pieces = cut_pieces(docs, text, key, capacity, vocabulary)
+    pieces = cut_pieces(docs, text, key, capacity, vocabulary, special=special)
     light = pieces.select("key", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), *["ids"] * with_ids)
-    packed = pack(light, docs.count(), capacity, pool)
+    packed = pack(light, capacity, pool)
     return packed.select(F.col("key").alias("doc_id"), "piece", "start", "length", "ids_crc32", *["ids"] * with_ids, "sequence_id", "offset")
 
 
