@@ -1,8 +1,9 @@
 """Line deduplication with two Bloom filters.
 
-Tasks read the hashes of lines into a filter of those seen once and one of those seen twice. Filters of tasks are merged
-segment by segment: seen twice is what either saw twice, or what both saw once. Only lines that the second filter
-suspects are shuffled, to be counted exactly by their text and to find the document that keeps them.
+Hashes of long lines are dealt into ranges, as many as the lines ask for. The task of a range reads them into a filter of those
+seen once and one of those seen twice, both of a fixed size, and then asks the second one for each hash of the range. Only lines that are
+suspected so are counted, and of these only the ones that enough documents hold are shuffled with their text, to be
+confirmed exactly and to find the document that keeps them.
 """
 
 from __future__ import annotations
@@ -13,96 +14,102 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StructField, StructType
 
 from docpack.llm.text import SPACES, U, mix
-from docpack.session import written
+from docpack.session import sided, written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-SEGMENT_BITS = 1 << 20
-PROBES = 3
+FILTER_BITS = 1 << 24
+RANGE_LINES = 1 << 20
+PROBES = 4
 
 
 def split_lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
-def line_key(line: Column) -> Column:
-    """The line without ASCII white space at both ends, A-Z in lower case."""
-    return F.translate(F.btrim(line, F.lit(SPACES)), UPPER, LOWER)
-
-
 def line_keys(text: Column) -> Column:
+    """Each line without ASCII white space at both ends, A-Z in lower case."""
     lowered = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
     return F.transform(F.split(lowered, "\n", -1), lambda x: F.btrim(x, F.lit(SPACES)))
 
 
-def filter_bits(docs: DataFrame, least: int = 1 << 20, most: int = 1 << 28, bits_per_doc: int = 256) -> int:
-    """Bits of one filter: 256 a document (about twelve for each of twenty long lines), within two bounds.
-
-    The upper bound (32 MB) is what may be broadcast. A corpus beyond it fills the filters more and more, so more
-    lines are suspected and shuffled; results stay exact.
-    """
-    return min(most, max(least, 1 << (max(1, docs.count() * bits_per_doc) - 1).bit_length()))
+def line_hashes(keys: Column, min_chars: int) -> Column:
+    """For each key its hash, or 0 if it is short."""
+    h = lambda x: F.xxhash64(x)
+    return F.transform(keys, lambda x: F.when(F.char_length(x) >= min_chars, F.when(h(x) == 0, 1).otherwise(h(x))).otherwise(0))
 
 
 def _bits(hashes: np.ndarray, bits: int) -> np.ndarray:
-    """For each hash its segment and bits inside it, as places in the whole filter: one row per probe."""
+    """Places of each hash in a filter: one row per probe."""
     h = hashes.astype(U)
-    segment = (mix(h) % U(bits // SEGMENT_BITS)) * U(SEGMENT_BITS)
-    return np.stack([segment + (mix(h + U(0x9E37 * (k + 1))) % U(SEGMENT_BITS)) for k in range(PROBES)]).astype(np.int64)
+    return np.stack([mix(h + U(0x9E37 * (k + 1))) % U(bits) for k in range(PROBES)]).astype(np.int64)
 
 
-def _has(filter_: np.ndarray, hashes: np.ndarray, bits: int) -> np.ndarray:
-    at = _bits(hashes, bits)
+def _has(filter_: np.ndarray, at: np.ndarray) -> np.ndarray:
     return ((filter_[at >> 3] >> (at & 7).astype(np.uint8)) & 1).all(axis=0)
 
 
-def _set(filter_: np.ndarray, hashes: np.ndarray, bits: int) -> None:
-    at = _bits(hashes, bits).ravel()
+def _set(filter_: np.ndarray, at: np.ndarray) -> None:
+    at = at.ravel()
     np.bitwise_or.at(filter_, at >> 3, np.left_shift(np.uint8(1), (at & 7).astype(np.uint8)))
 
 
-def _fill(bits: int):
+def _once(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Hashes of a batch of documents, each once, and whether the batch has it again: a common line travels once for each batch."""
+    for batch in batches:
+        lists = [x for x in batch["hashes"] if len(x)]
+        if lists:
+            seen, counts = np.unique(np.concatenate(lists), return_counts=True)
+            yield pd.DataFrame({"h": seen, "again": counts > 1})
+
+
+def _suspect(bits: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        once, twice = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8)
+        once, twice, held = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8), []
         for batch in batches:
-            lists = [x for x in batch["hashes"] if x is not None and len(x)]
-            if not lists:
-                continue
-            seen, counts = np.unique(np.concatenate(lists), return_counts=True)
-            _set(twice, seen[(counts > 1) | _has(once, seen, bits)], bits)
-            _set(once, seen, bits)
-        width = SEGMENT_BITS // 8
-        for k in range(bits // SEGMENT_BITS):
-            own = once[k * width : (k + 1) * width]
-            if own.any():
-                yield pd.DataFrame({"segment": [k], "once": [own.tobytes()], "twice": [twice[k * width : (k + 1) * width].tobytes()]})
+            h = batch["h"].to_numpy(np.int64)
+            seen, counts = np.unique(h, return_counts=True)
+            again = counts > 1
+            again[np.searchsorted(seen, h[batch["again"].to_numpy(bool)])] = True
+            at = _bits(seen, bits)
+            _set(twice, at[:, again | _has(once, at)])
+            _set(once, at)
+            held.append(seen)
+        asked = np.unique(np.concatenate(held)) if held else np.zeros(0, np.int64)
+        yield pd.DataFrame({"h": asked[_has(twice, _bits(asked, bits))]})
 
     return run
 
 
-def _merge(segment: tuple, parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    once, twice = np.zeros(SEGMENT_BITS // 8, np.uint8), np.zeros(SEGMENT_BITS // 8, np.uint8)
-    for part in parts:
-        for a, b in zip(part["once"], part["twice"], strict=True):
-            other = np.frombuffer(a, np.uint8)
-            twice |= np.frombuffer(b, np.uint8) | (once & other)
-            once |= other
-    yield pd.DataFrame({"segment": [segment[0]], "twice": [twice.tobytes()]})
+def suspected(hashes: DataFrame, bits: int = FILTER_BITS, range_lines: int = RANGE_LINES) -> DataFrame:
+    """Column ``h``: all hashes that two rows or more of ``hashes`` (array of long, distinct in each row) hold, and few others.
+
+    A range has about ``range_lines`` hashes for filters of ``bits``, so their number grows with the lines; nothing is broadcast.
+    """
+    n = hashes.agg(F.sum(F.size("hashes"))).first()[0] or 0
+    ranges = max(1, -(-n // range_lines))
+    found = hashes.mapInPandas(_once, "h long, again boolean").repartition(ranges, "h").mapInPandas(_suspect(bits), "h long")
+    return written(found, "line-suspects", narrow=True)
+
+
+PLACES = StructType([StructField("pos", ArrayType(IntegerType())), StructField("first", ArrayType(BooleanType()))])
 
 
-def seen_twice(hashes: DataFrame, bits: int) -> np.ndarray:
-    """The second filter over a table with one column ``hashes`` (array of long, distinct in each row)."""
-    parts = hashes.mapInPandas(_fill(bits), "segment int, once binary, twice binary")
-    merged = parts.groupBy("segment").applyInPandas(_merge, "segment int, twice binary")
-    width = SEGMENT_BITS // 8
-    out = np.zeros(bits // 8, np.uint8)
-    for row in merged.toLocalIterator():  # at most ``bits`` in all
-        out[row["segment"] * width : (row["segment"] + 1) * width] = np.frombuffer(row["twice"], np.uint8)
-    return out
+def _places(hashes: pd.Series, wanted: pd.Series) -> pd.DataFrame:
+    """Where ``wanted`` hashes are in ``hashes``, and whether it is the first place of that hash."""
+    pos, first = [], []
+    for h, w in zip(hashes, wanted, strict=True):
+        at = np.flatnonzero(np.isin(h, w))
+        new = np.zeros(len(at), bool)
+        new[np.unique(np.asarray(h)[at], return_index=True)[1]] = True
+        pos.append(at.astype(np.int32))
+        first.append(new)
+    return pd.DataFrame({"pos": pos, "first": first})
 
 
-def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", min_chars: int = 40, min_docs: int = 5, bits: int | None = None) -> DataFrame:
+def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", min_chars: int = 40, min_docs: int = 5, bits: int = FILTER_BITS, range_lines: int = RANGE_LINES) -> DataFrame:
     """``docs`` with ``kept_text``, ``n_lines`` and ``n_dropped``.
 
     Lines whose key has at least ``min_chars`` code points and is found in at least ``min_docs`` documents are dropped, but
@@ -110,32 +117,30 @@ def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", min_ch
     equal ``key`` count as documents of their own and share the verdict. A null key is the least: it keeps a line
     only if no other document holds it. An empty table gives an empty result; columns of the added names are replaced.
     """
-    spark = docs.sparkSession
-    columns = [c for c in docs.columns if c not in ("kept_text", "n_lines", "n_dropped")]
-    bits = bits or filter_bits(docs)
-    long_keys = F.array_distinct(F.filter(line_keys(F.col(text)), lambda x: F.char_length(x) >= min_chars))
-    found = docs.select(F.col(key).alias("id"), long_keys.alias("keys"))
-    twice = spark.sparkContext.broadcast(seen_twice(found.select(F.transform("keys", lambda x: F.xxhash64(x)).alias("hashes")), bits))
-
-    @F.pandas_udf("array<boolean>")
-    def suspected(hashes: pd.Series) -> pd.Series:
-        lengths = [0 if x is None else len(x) for x in hashes]
-        if not sum(lengths):
-            return pd.Series([[] for _ in lengths])
-        hits = _has(twice.value, np.concatenate([x for x in hashes if x is not None and len(x)]), bits).astype(bool)
-        return pd.Series(np.split(hits, np.cumsum(lengths)[:-1]))
-
-    marked = found.where(F.size("keys") > 0).withColumn("hit", suspected(F.transform("keys", lambda x: F.xxhash64(x))))
-    suspects = marked.select("id", F.explode(F.filter(F.arrays_zip("keys", "hit"), lambda x: x["hit"])).alias("x")).select("id", F.col("x.keys").alias("line"))
-    suspects = written(suspects, "line-suspects")
-    repeats = suspects.groupBy("line").agg(F.count("*").alias("n"), F.max("id").alias("keeper")).where(F.col("n") >= min_docs)
-    repeats = written(repeats, "line-repeats")  # a table of its own, so that the join can split a very common line
-    lost = suspects.join(repeats, "line").where(~F.col("id").eqNullSafe(F.col("keeper"))).groupBy("id").agg(F.collect_set("line").alias("__dp_lost"))
-    lines = split_lines(F.col(text))
-    kept = F.when(F.col("__dp_lost").isNull(), lines).otherwise(F.filter(lines, lambda x: ~F.array_contains("__dp_lost", line_key(x))))
-    joined = docs.select(*columns).join(lost.withColumnRenamed("id", "__dp_id"), F.col(key).eqNullSafe(F.col("__dp_id")), "left")
-    out = joined.withColumn("__dp_kept", kept)
-    return out.select(*columns, F.array_join("__dp_kept", "\n").alias("kept_text"), F.size(lines).cast("long").alias("n_lines"), (F.size(lines) - F.size("__dp_kept")).cast("long").alias("n_dropped"))
+    columns = [c for c in docs.columns if c.lower() not in ("kept_text", "n_lines", "n_dropped")]
+    rows = docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text"))
+    rows = rows.withColumn("content", F.xxhash64("text"))
+    hashes = F.array_distinct(F.filter(line_hashes(line_keys(F.col("text")), min_chars), lambda h: h != 0))
+    found = written(rows.select("id", "content", hashes.alias("hashes")).where(F.size("hashes") > 0), "line-hashes")
+    pairs = found.select("id", "content", F.explode("hashes").alias("h")).join(sided(suspected(found.select("hashes"), bits, range_lines)), "h", "left_semi")
+    often = written(pairs.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("h"), "line-often", narrow=True)
+    marked = found.select("id", "content", F.explode("hashes").alias("h")).join(sided(often), "h", "left_semi").groupBy("id", "content").agg(F.collect_set("h").alias("wanted"))
+    marked = written(marked.select(F.col("id").alias("_id"), F.col("content").alias("_content"), "wanted"), "line-marked")
+    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("content") == F.col("_content"))
+    holders = rows.join(sided(marked), same).withColumn("keys", line_keys(F.col("text")))
+    places = holders.withColumn("at", F.pandas_udf(_places, PLACES)(line_hashes(F.col("keys"), min_chars), "wanted"))
+    one = F.explode(F.transform(F.arrays_zip("at.pos", "at.first"), lambda p: F.struct(p["pos"].alias("pos"), p["first"].alias("first"), F.get("keys", p["pos"]).alias("line"))))
+    suspects = written(places.select("id", "content", one.alias("x")).select("id", "content", "x.*"), "line-texts")
+    repeats = suspects.groupBy("line").agg(F.sum(F.col("first").cast("long")).alias("n"), F.max("id").alias("keeper")).where(F.col("n") >= min_docs)
+    repeats = written(repeats.select("line", "keeper"), "line-repeats")  # a table of its own, so that the join can split a very common line
+    lost = suspects.join(sided(repeats), "line").where(~F.col("id").eqNullSafe(F.col("keeper"))).groupBy("id", "content").agg(F.collect_set("pos").alias("lost"))
+    lost = written(lost.select(F.col("id").alias("__dp_id"), F.col("content").alias("__dp_content"), F.col("lost").alias("__dp_lost")), "line-lost")
+    joined = docs.select(*[F.col(f"`{c}`") for c in columns]).join(sided(lost), F.col(f"`{key}`").eqNullSafe(F.col("__dp_id")) & (F.xxhash64(F.col(f"`{text}`").cast("string")) == F.col("__dp_content")), "left")
+    lines = split_lines(F.col(f"`{text}`").cast("string"))
+    places_left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "__dp_lost")
+    kept = F.when(F.col("__dp_lost").isNull(), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))).otherwise(F.array_join(F.transform(places_left, lambda p: F.get(lines, p)), "\n"))
+    n_dropped = F.coalesce(F.size("__dp_lost"), F.lit(0))
+    return joined.select(*[F.col(f"`{c}`") for c in columns], kept.alias("kept_text"), F.size(lines).cast("long").alias("n_lines"), F.when(F.col("__dp_lost").isNull(), 0).otherwise(n_dropped).cast("long").alias("n_dropped"))
 
 
 def op2_line_dedup(spark, sf_dir: str) -> DataFrame:
