@@ -1,14 +1,14 @@
 """Exact deduplication as a stateful stream.
 
 A stream runs through (digest, identifier, locator) of every document; its keyed state, kept on disk without expiry, retains
-for each digest the least identifier, where that content lies, and a count. Documents whose digest was met before are
-hits: their whole normalised texts are compared with the text of the document that the state names.
+for each digest the document that stays, where that content lies, and a count. Documents whose digest was met before are hits:
+their whole normalised texts are compared with the text that the state names. A folder keeps records, state and checkpoint, so
+that a later delivery of documents is held against all earlier ones.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from docpack.llm.text import SPACES
@@ -32,89 +32,139 @@ def sha256(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
-def stream_state(records: DataFrame, files_per_batch: int = 10_000) -> DataFrame:
-    """Runs the table ``records`` (digest, id, locator; written as Parquet) through the keyed state.
+RECORD = "digest string, id {kind}, content long, delivery long, place long, locator string"
 
-    Returns ``digest, keep_id, keep_locator, group_size``: the least id of each digest, null ids last. The
-    state's changes of each micro-batch are written under the batch's number, so that a batch that is run again replaces
-    its own. Counts only grow and the least id only falls, so the last change of a digest is its largest count.
+
+def deliver(docs: DataFrame, folder: str, digest=sha256) -> tuple[DataFrame, int]:
+    """Adds the records of ``docs`` (``id``, ``norm``, ``content``, ``locator``) to the folder as its next delivery; they and its number.
+
+    ``place`` numbers the rows of a delivery; once written it tells rows apart that agree in everything else.
+    """
+    spark = docs.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/records")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    number = len(fs.listStatus(path)) if fs.exists(path) else 0
+    own = f"{folder}/records/{number:09d}"
+    kind = docs.schema["id"].dataType.simpleString()
+    records = docs.select(digest(F.col("norm")).alias("digest"), "id", "content", F.lit(number).cast("long").alias("delivery"), F.monotonically_increasing_id().alias("place"), "locator")
+    records.write.parquet(own)
+    return spark.read.schema(RECORD.format(kind=kind)).parquet(own), number
+
+
+def stream_state(spark, folder: str, kind: str, files_per_batch: int = 10_000) -> DataFrame:
+    """Runs the records of ``folder`` that were not yet read through the keyed state, and returns all of it.
+
+    ``digest, first, group_size``: ``first`` is the row of the first delivery that had the digest, of these the one with the least
+    id (null ids last) and place. The state's changes of each micro-batch are written under the batch's number, so that a
+    batch that is run again replaces its own. Counts only grow, so the last change of a digest is its largest count.
     """
-    spark = records.sparkSession
-    path = records.inputFiles()[0].rsplit("/", 1)[0] if records.inputFiles() else None
-    log = new_path(spark, "dedup-state")
-    first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("locator"))).alias("first")
-    if path is None:
-        return records.groupBy("digest").agg(first, F.count("*").alias("group_size")).select("digest", F.col("first.id").alias("keep_id"), F.col("first.locator").alias("keep_locator"), "group_size")
     before = {k: spark.conf.get(k, None) for k in STORE}
     for k, v in STORE.items():
         spark.conf.set(k, v)
     try:
-        stream = spark.readStream.schema(records.schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
-        state = stream.groupBy("digest").agg(first, F.count("*").alias("group_size"))
-        put = lambda batch, n: batch.write.mode("overwrite").parquet(f"{log}/changes/batch={n}")
-        run = state.writeStream.outputMode("update").foreachBatch(put).option("checkpointLocation", f"{log}/checkpoint").trigger(availableNow=True).start()
-        run.awaitTermination()
+        stream = spark.readStream.schema(RECORD.format(kind=kind)).option("maxFilesPerTrigger", files_per_batch).option("recursiveFileLookup", "true").parquet(f"{folder}/records")
+        order = F.struct(F.col("delivery"), F.col("id").isNull().alias("none"), F.col("id"), F.col("place"), F.col("content"), F.col("locator"))
+        state = stream.groupBy("digest").agg(F.min(order).alias("first"), F.count("*").alias("group_size"))
+        put = lambda batch, n: batch.write.mode("overwrite").parquet(f"{folder}/changes/batch={n}")
+        state.writeStream.outputMode("update").foreachBatch(put).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    changes = spark.read.schema(state.schema).option("basePath", f"{log}/changes").parquet(f"{log}/changes")
-    last = changes.groupBy("digest").agg(F.max_by("first", "group_size").alias("first"), F.max("group_size").alias("group_size"))
-    return last.select("digest", F.col("first.id").alias("keep_id"), F.col("first.locator").alias("keep_locator"), "group_size")
+    changes = spark.read.schema(state.schema).option("basePath", f"{folder}/changes").parquet(f"{folder}/changes")
+    return changes.groupBy("digest").agg(F.max_by("first", "group_size").alias("first"), F.max("group_size").alias("group_size"))
+
 
+def _fetched(spark, wanted: DataFrame, text: str, key: str, kind: str) -> DataFrame:
+    """``id, content, norm`` of documents of earlier deliveries, from the files that their locators (``wanted``: ``id, content, locator``) name."""
+    files = [r["locator"] for r in wanted.select("locator").distinct().collect()]  # names of files that hold hits
+    if not all(files):
+        raise ValueError("documents of an earlier delivery did not come from files, so their texts cannot be compared")
+    if not files:
+        return wanted.select("id", "content", F.lit("").alias("norm")).where("false")
+    rows = spark.read.schema(f"`{key}` {kind}, `{text}` string").parquet(*files)
+    rows = rows.select(F.col(key).alias("id"), F.xxhash64(text).alias("content"), normalised(F.col(text)).alias("norm"))
+    return rows.join(sided(wanted.select(F.col("id").alias("_id"), F.col("content").alias("_content")).distinct()), F.col("id").eqNullSafe(F.col("_id")) & (F.col("content") == F.col("_content")), "left_semi")
 
-def exact_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", digest=sha256, files_per_batch: int = 10_000) -> DataFrame:
-    """One row per document: ``doc_id, keep_id, keep_locator, group_size, kept, text_digest``.
+
+def exact_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", digest=sha256, files_per_batch: int = 10_000, folder: str | None = None) -> DataFrame:
+    """One row per document: ``doc_id, keep_id, keep_locator, group_size, kept, text_digest``, and ``content`` (a hash of the text as it is).
 
     ``doc_id`` is the key. Of equal normalised texts the least key stays; null keys come last. Null texts count as empty,
     and empty texts are equal to each other. Rows that repeat key and text form one group with one row kept. Texts
     that share a digest but differ (``digest`` may be weak) are grouped by the texts themselves. Other columns of
     ``docs`` are ignored, whatever their names. An empty table gives an empty result.
+
+    With ``folder`` the documents are its next delivery: a text that an earlier one had is kept there and not again, and groups count
+    documents of all deliveries. Texts of earlier ones are read anew from their Parquet files, only those that hold hits.
+    Without, the state lives as long as the call.
     """
-    norm = normalised(F.col(text))
-    source = docs.select(F.col(key).alias("id"), norm.alias("norm"), F.input_file_name().alias("locator"))
-    records = written(source.select(digest(F.col("norm")).alias("digest"), "id", "locator"), "dedup-records")
-    state = written(stream_state(records, files_per_batch), "dedup-groups")
-    repeated = written(state.where("group_size > 1"), "dedup-repeated")
-    found = records.select("digest", "id").join(repeated, "digest", "left").select(
+    spark = docs.sparkSession
+    kind = docs.schema[key].dataType.simpleString()
+    folder = (folder or new_path(spark, "dedup")).rstrip("/")
+    raw = F.col(text).cast("string")
+    source = docs.select(F.col(key).alias("id"), normalised(raw).alias("norm"), F.xxhash64(raw).alias("content"), F.input_file_name().alias("locator"))
+    records, number = deliver(source, folder, digest)
+    state = stream_state(spark, folder, kind, files_per_batch).where("group_size > 1")
+    repeated = written(state.select("digest", "first", "group_size"), "dedup-repeated")
+    small = sided(repeated)
+    found = records.join(small, "digest", "left")
+    own = F.col("group_size").isNull() | ((F.col("first.delivery") == F.col("delivery")) & (F.col("first.place") == F.col("place")))
+    found = found.select(
         F.col("id").alias("doc_id"),
-        F.when(F.col("group_size").isNull(), F.col("id")).otherwise(F.col("keep_id")).alias("keep_id"),
+        F.when(F.col("group_size").isNull(), F.col("id")).otherwise(F.col("first.id")).alias("keep_id"),
+        F.when(F.col("group_size").isNull(), F.col("locator")).otherwise(F.col("first.locator")).alias("keep_locator"),
         F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
-        "keep_locator",
-        F.col("digest").alias("text_digest"),
-    )
-    hits = written(source.withColumn("digest", digest(F.col("norm"))).join(sided(repeated.select("digest", "keep_id")), "digest"), "dedup-hits")
-    held = written(hits.where(F.col("id").eqNullSafe(F.col("keep_id"))).groupBy("digest").agg(F.min("norm").alias("held")), "dedup-held")
-    differ = written(hits.join(held, "digest").where(F.col("norm") != F.col("held")).select("digest", "id", "norm"), "dedup-differ")
+        own.alias("kept"), F.col("digest").alias("text_digest"), "content", "place",
+    )
+    # the whole texts of hits and of what the state names, whether they came now or earlier: equal if the least is the greatest
+    hits = written(records.join(small, "digest", "left_semi").select(F.col("id").alias("_id"), F.col("content").alias("_content")).distinct(), "dedup-hits")
+    texts = source.join(sided(hits), F.col("id").eqNullSafe(F.col("_id")) & (F.col("content") == F.col("_content")), "left_semi")
+    earlier = records.select("digest").join(small, "digest").where(F.col("first.delivery") < number).select("first.*").select("id", "content", "locator").distinct()
+    if number:
+        texts = texts.select("norm").unionByName(_fetched(spark, written(earlier, "dedup-earlier"), text, key, kind).select("norm"))
+    differ = texts.groupBy(digest(F.col("norm")).alias("digest")).agg(F.min("norm").alias("a"), F.max("norm").alias("b")).where("a <> b").select("digest")
+    differ = written(differ, "dedup-differ")
     if not differ.isEmpty():
-        found = _by_text(source.withColumn("digest", digest(F.col("norm"))), differ.select("digest").distinct(), found)
-    again = W.partitionBy("doc_id", "text_digest", "keep_id", "is_first").orderBy("group_size")
-    found = found.withColumn("is_first", F.col("doc_id").eqNullSafe(F.col("keep_id")))
-    first = found.where("is_first").withColumn("kept", F.row_number().over(again) == 1)
-    rest = found.where("NOT is_first").withColumn("kept", F.lit(False))
-    return first.unionByName(rest).select("doc_id", "keep_id", "keep_locator", "group_size", "kept", "text_digest")
+        found = _by_text(spark, source, records, differ, found, folder, number, text, key, kind)
+    return found.select("doc_id", "keep_id", "keep_locator", "group_size", "kept", "text_digest", "content")
 
 
-def _by_text(source: DataFrame, clashing: DataFrame, found: DataFrame) -> DataFrame:
+def _by_text(spark, source: DataFrame, records: DataFrame, clashing: DataFrame, found: DataFrame, folder: str, number: int, text: str, key: str, kind: str) -> DataFrame:
     """Groups anew, by whole texts, all documents whose digest stands for more than one text."""
-    rows = source.join(clashing, "digest", "left_semi")
-    groups = rows.groupBy("digest", "norm").agg(F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("locator"))).alias("first"), F.count("*").alias("group_size"))
-    own = rows.join(groups, ["digest", "norm"]).select(F.col("id").alias("doc_id"), F.col("first.id").alias("keep_id"), "group_size", F.col("first.locator").alias("keep_locator"), F.col("digest").alias("text_digest"))
+    every = spark.read.schema(RECORD.format(kind=kind)).option("recursiveFileLookup", "true").parquet(f"{folder}/records").join(clashing, "digest", "left_semi")
+    every = written(every, "dedup-clashing")
+    texts = source.select("id", "content", "norm")
+    if number:
+        texts = texts.unionByName(_fetched(spark, every.where(F.col("delivery") < number).select("id", "content", "locator"), text, key, kind))
+    texts = texts.select(F.col("id").alias("_id"), F.col("content").alias("_content"), "norm").distinct()
+    rows = written(every.join(texts, F.col("id").eqNullSafe(F.col("_id")) & (F.col("content") == F.col("_content"))).drop("_id", "_content"), "dedup-texts")
+    order = F.struct(F.col("delivery"), F.col("id").isNull().alias("none"), F.col("id"), F.col("place"), F.col("locator"))
+    groups = written(rows.groupBy("digest", "norm").agg(F.min(order).alias("first"), F.count("*").alias("group_size")), "dedup-by-text")
+    own = rows.where(F.col("delivery") == number).join(groups, ["digest", "norm"]).select(
+        F.col("id").alias("doc_id"), F.col("first.id").alias("keep_id"), F.col("first.locator").alias("keep_locator"), "group_size",
+        ((F.col("first.delivery") == F.col("delivery")) & (F.col("first.place") == F.col("place"))).alias("kept"), F.col("digest").alias("text_digest"), "content", "place",
+    )
     return found.join(clashing.withColumnRenamed("digest", "text_digest"), "text_digest", "left_anti").unionByName(own)
 
 
-def drop_copies(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``docs`` with one row of each group of equal normalised texts."""
-    columns = docs.columns
-    dropped = exact_groups(docs, text, key).where("NOT kept").select(F.col("doc_id").alias("__dp_id"), F.col("text_digest").alias("__dp_other"), F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("__dp_again"))
-    lost = written(dropped, "dedup-lost")
-    same = F.col(key).eqNullSafe(F.col("__dp_id")) & (F.col("__dp_digest") == F.col("__dp_other"))
-    kept = docs.withColumn("__dp_digest", sha256(normalised(F.col(text)))).join(sided(lost.where("NOT __dp_again")), same, "left_anti")
-    again = lost.where("__dp_again").select("__dp_id", "__dp_other").distinct()
+def drop_copies(docs: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
+    """``docs`` with one row of each group of equal normalised texts.
+
+    Of rows that repeat key and text as they are, the one with the least digest of all its columns stays.
+    """
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    groups = written(exact_groups(docs, text, key, **options).select(F.col("doc_id").alias("__dp_id"), F.col("content").alias("__dp_content"), "kept", "group_size").where("group_size > 1"), "dedup-grouped")
+    # rows are told apart by key and text; of those that no other row repeats, the ones that are not kept go
+    by_row = groups.groupBy("__dp_id", "__dp_content").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
+    same = F.col(f"`{key}`").eqNullSafe(F.col("__dp_id")) & (F.xxhash64(F.col(f"`{text}`").cast("string")) == F.col("__dp_content"))
+    lost = written(by_row.where("NOT kept").select("__dp_id", "__dp_content"), "dedup-lost")
+    again = written(by_row.where("kept AND n > 1").select("__dp_id", "__dp_content"), "dedup-again")
     if again.isEmpty():
-        return kept.select(*columns)
-    # rows that repeat key and text
-    once = kept.join(again, same, "left_semi").withColumn("__dp_n", F.row_number().over(W.partitionBy(key, "__dp_digest").orderBy(F.lit(0)))).where("__dp_n = 1")
-    return kept.join(again, same, "left_anti").select(*columns).unionByName(once.select(*columns))
+        return docs.join(sided(lost), same, "left_anti").select(*columns)
+    kept = docs.join(sided(lost.unionByName(again)), same, "left_anti").select(*columns)
+    row = F.struct(*columns)
+    one = docs.join(sided(again), same).groupBy("__dp_id", "__dp_content").agg(F.min_by(row, F.sha2(F.to_json(row), 256)).alias("row"))
+    return kept.unionByName(one.select("row.*"))
 
 
 def op4_exact_dedup(spark, sf_dir: str) -> DataFrame:
