@@ -26,20 +26,15 @@ def _size(links: DataFrame):
     return links.agg(F.count("*"), F.sum(F.hash("a", "b").cast("decimal(20,0)"))).first()
 
 
-def components(links: DataFrame, rounds: int = 60) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """``node, root`` for every node of ``links`` (``a``, ``b``): the least node of its component.
 
-    Each round is written to the shared folder. Rounds grow with the logarithm of the nodes; stops when nothing changes.
+    Each round is written to the shared folder. Rounds grow with the logarithm of the nodes; they end when nothing changes.
     """
     now = written(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links", narrow=True)
     size = _size(now)
-    for _ in range(rounds):
-        if not size[0]:
-            break
+    last = None
+    while size[0] and size != last:
         now = written(_small(_large(now).where("a <> b").distinct()).where("a <> b").distinct(), "links", narrow=True)
         last, size = size, _size(now)
-        if last == size:
-            break
-    else:
-        raise RuntimeError("components did not settle")
     return written(now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct(), "roots", narrow=True)

@@ -2,14 +2,15 @@
 
 Each shingle with count w owns the weights [0, w). Dyadic blocks [0, 1), [1, 2), [2, 4), ... each carry a Poisson
 process of points with a time, a register and a level in the block; points whose level is below w belong to the
-document. A register's value is the time of its first point, so that two documents agree in a register with the probability of
+document. (BagMinHash splits such blocks further as it goes; fixed blocks give the same law, for counts.) A register's value is the time of its first point, so that two documents agree in a register with the probability of
 their weighted Jaccard similarity. Registers are banded, bands that agree give candidates, and candidates are verified
 by the exact overlap of their multisets.
 
 Copies are collapsed before banding. In a band's bucket every member is first compared with the bucket's leader alone; after
 the classes so found are joined, only members that are not in the leader's class are compared with members of other
-classes in the bucket, where their sizes and the shingles that they alone have leave room for enough overlap. So a group of
-thousands of near copies costs little more than one comparison each, and no link is left out.
+classes in the bucket, where their distances to the leader (a metric) and their sizes are near enough and the shingles that
+they alone have leave room for enough overlap. So a group of thousands of near copies costs little more than one comparison
+each, and no link is left out. Many texts that resemble each other closely but nowhere enough are compared pair by pair.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from docpack.llm.text import U, mix, shingles, word_hashes
 from docpack.session import sided, written
 
 REGISTERS, BANDS = 64, 16
+CHARS = 8 << 20
 
 
 def bags(texts: list[str | None], size: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -112,13 +114,29 @@ def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.n
     return both / (int(a[1].sum() + b[1].sum()) - both) if len(a[0]) or len(b[0]) else 0.0
 
 
+def _chunks(lengths: list[int], most: int = 256) -> Iterator[slice]:
+    """Slices of at most ``most`` rows and, unless it is one row, ``CHARS`` characters."""
+    first, total = 0, 0
+    for k, n in enumerate(lengths):
+        if k > first and (k - first == most or total + n > CHARS):
+            yield slice(first, k)
+            first, total = k, 0
+        total += n
+    if len(lengths) > first:
+        yield slice(first, len(lengths))
+
+
+def _lengths(*columns: pd.Series) -> list[int]:
+    return [sum(len(t) if t else 0 for t in row) for row in zip(*columns, strict=True)]
+
+
 def _sign(size: int, registers: int, bands: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for at in range(0, len(batch), 256):
-                part = batch.iloc[at : at + 256]
+            for at in _chunks(_lengths(batch["text"])):
+                part = batch.iloc[at]
                 rows = signatures(part["text"].tolist(), size, registers, bands)
-                yield pd.DataFrame({"id": part["id"].to_numpy(), "n": [r[0] for r in rows], "fp1": [r[1] for r in rows], "fp2": [r[2] for r in rows], "bands": [r[3] for r in rows]})
+                yield pd.DataFrame({"id": part["id"].to_numpy(), "content": part["content"].to_numpy(), "n": [r[0] for r in rows], "fp1": [r[1] for r in rows], "fp2": [r[2] for r in rows], "bands": [r[3] for r in rows]})
 
     return run
 
@@ -126,8 +144,8 @@ def _sign(size: int, registers: int, bands: int):
 def _check(size: int, least: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for at in range(0, len(batch), 128):
-                part = batch.iloc[at : at + 128]
+            for at in _chunks(_lengths(batch["text_a"], batch["text_b"]), 128):
+                part = batch.iloc[at]
                 texts = list(dict.fromkeys([*part["text_a"], *part["text_b"]]))
                 elements, counts, starts = bags(texts, size)
                 bag = {t: (elements[starts[k] : starts[k + 1]], counts[starts[k] : starts[k + 1]]) for k, t in enumerate(texts)}
@@ -149,8 +167,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, least: float, kind:
 def _own(size: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for at in range(0, len(batch), 128):
-                part = batch.iloc[at : at + 128]
+            for at in _chunks(_lengths(batch["text"])):
+                part = batch.iloc[at]
                 elements, counts, starts = bags(part["text"].tolist(), size)
                 yield pd.DataFrame({"id": np.repeat(part["id"].to_numpy(), np.diff(starts)), "element": elements.astype(np.int64), "w": counts})
 
@@ -172,8 +190,9 @@ def _room(texts: DataFrame, copies: DataFrame, size: int, least: float, kind: st
 def _outside_pairs(members: DataFrame, roots: DataFrame, compared: DataFrame, least: float) -> DataFrame:
     """Pairs of members of different classes of a bucket, one of them not in its leader's class, with room for enough overlap.
 
-    Sizes are joined by bands of five per cent; a document with many shingles of its own has no partner to be joined with.
-    What two members can share is bounded by what each shares with the leader, and what each has besides
+    Sizes are joined by bands of five per cent and distances to the leader by bands of ``1 - least``: one minus weighted Jaccard
+    similarity is a metric, so similar members lie in the same band or the next. A document with many shingles of its own has no
+    partner to be joined with. What two members can share is bounded by what each shares with the leader, and what each has besides
     that is not its own alone.
     """
     placed = members.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
@@ -181,21 +200,26 @@ def _outside_pairs(members: DataFrame, roots: DataFrame, compared: DataFrame, le
     placed = written(placed.join(led, "leader", "left").withColumn("out", F.col("root") != F.coalesce("led", "leader")).drop("led"), "near-placed", narrow=True)
     held = compared.select(F.col("a").alias("_a"), F.col("b").alias("_b"), "o")
     placed = placed.where("id <> leader").join(held, (F.least("id", "leader") == F.col("_a")) & (F.greatest("id", "leader") == F.col("_b"))).drop("_a", "_b")
-    placed = written(placed.withColumn("free", F.col("n") - F.col("o") - F.col("u")), "near-held", narrow=True)
+    sizes = members.where("id = leader").select("band", "hash", F.col("n").alias("n_led"))
+    away = 1 - F.col("o") / (F.col("n") + F.col("n_led") - F.col("o"))
+    placed = placed.join(sizes, ["band", "hash"]).withColumns({"free": F.col("n") - F.col("o") - F.col("u"), "away": away}).drop("n_led")
+    placed = written(placed, "near-held", narrow=True)
     buckets = placed.groupBy("id").agg(F.collect_set(F.struct("band", "hash")).alias("own"))
     placed = placed.join(buckets, "id")
     outside = placed.where("out AND most_n >= least_n")
     step = lambda c: F.floor(F.log(F.col(c).cast("double")) / float(np.log(1.05))).cast("int")
+    ring = lambda c, d=0.0: F.floor((F.col(c) + d) / (1 - least)).cast("int")
     left = outside.withColumn("step", F.explode(F.sequence(step("least_n"), step("most_n"))))
-    left = left.select("band", "hash", "step", F.col("id").alias("a"), F.col("root").alias("root_a"), F.col("n").alias("n_a"), F.col("least_n").alias("least_a"), F.col("most_n").alias("most_a"), F.col("o").alias("o_a"), F.col("free").alias("free_a"), F.col("own").alias("own_a"))
-    right = placed.select("band", "hash", step("n").alias("step"), F.col("id").alias("b"), "root", "n", "least_n", "most_n", "o", "free", "own", "out")
+    left = left.withColumn("ring", F.explode(F.sequence(ring("away", least - 1 - 1e-9), ring("away", 1 - least + 1e-9))))
+    left = left.select("band", "hash", "step", "ring", F.col("id").alias("a"), F.col("root").alias("root_a"), F.col("n").alias("n_a"), F.col("least_n").alias("least_a"), F.col("most_n").alias("most_a"), F.col("o").alias("o_a"), F.col("free").alias("free_a"), F.col("own").alias("own_a"))
+    right = placed.select("band", "hash", step("n").alias("step"), ring("away").alias("ring"), F.col("id").alias("b"), "root", "n", "least_n", "most_n", "o", "free", "own", "out")
     shared = F.least("o_a", "o") + F.least("free_a", "free")
     room = shared >= least * (F.col("n_a") + F.col("n") - shared) - 1e-6
     # a pair is taken from the first bucket that both share, and once if both are outside
     first = F.array_min(F.array_intersect("own_a", "own")) == F.struct(left["band"], left["hash"])
     once = ~F.col("out") | (F.col("a") < F.col("b"))
     fits = once & room & F.col("n").between(F.col("least_a"), F.col("most_a")) & F.col("n_a").between(F.col("least_n"), F.col("most_n")) & (F.col("root_a") != F.col("root"))
-    same = (left["band"] == right["band"]) & (left["hash"] == right["hash"]) & (left["step"] == right["step"])
+    same = (left["band"] == right["band"]) & (left["hash"] == right["hash"]) & (left["step"] == right["step"]) & (left["ring"] == right["ring"])
     pairs = left.join(right, same & fits & first)
     return written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near-pairs", narrow=True)
 
@@ -204,13 +228,19 @@ def near_classes(docs: DataFrame, text: str = "text", key: str = "doc_id", least
     """``doc_id`` and ``class_id`` of every row: the least key of its class of near-duplicates.
 
     Classes are the connected components of pairs with weighted Jaccard similarity of at least ``least``. Texts of fewer words
-    than ``size`` are one shingle of all their words; null texts and texts without words are alike to none. Rows
-    with equal keys are one node; rows with a null key have a null class. Empty tables give no rows.
+    than ``size`` are one shingle of all their words; null texts and texts without words are alike to none. Rows with equal keys
+    are one node; if their texts differ, the one with the least hash is compared. Rows with a null key have a null class. Empty
+    tables give no rows.
     """
     kind = docs.schema[key].dataType.simpleString()
-    source = docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text"))
-    known = source.where("id IS NOT NULL")
-    signed = written(known.mapInPandas(_sign(size, registers, bands), f"id {kind}, n long, fp1 long, fp2 long, bands array<long>"), "signatures")
+    known = docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text")).where("id IS NOT NULL").withColumn("content", F.xxhash64("text"))
+    signed = written(known.mapInPandas(_sign(size, registers, bands), f"id {kind}, content long, n long, fp1 long, fp2 long, bands array<long>"), "signatures")
+    several = signed.groupBy("id").agg(F.min("content").alias("least"), F.max("content").alias("most")).where(F.col("least") != F.col("most"))
+    several = written(several.select("id", "least"), "near-several", narrow=True)
+    if not several.isEmpty():
+        one = lambda rows: rows.join(sided(several), "id", "left").where(F.col("least").isNull() | (F.col("least") == F.col("content"))).drop("least")
+        known, signed = one(known), written(one(signed), "signatures-one")
+    known = known.drop("content")
     copies = signed.where("n > 0").groupBy("n", "fp1", "fp2").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
     copies = written(copies, "copies", narrow=True)
     # of copies only the least key goes on
