@@ -1,22 +1,35 @@
-"""WARC derivatives: for each response record a linked metadata record and a plain-text conversion record."""
+"""WARC derivatives: for each response record a linked metadata record and a plain-text conversion record.
+
+Responses come from WARC files (``read_warc``) or from a table of pages (``responses``); derived records go to a table or, one gzip
+member each, to WARC files (``write_warc``).
+"""
 
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import html as entities
+import io
 import re
+import uuid
+import zlib
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docpack.session import sided, written
+from docpack.sources.archive import file_system
+
 EPOCH = "1970-01-01T00:00:00Z"
 RECORD = "record_type string, record_id string, refers_to string, target_uri string, warc_date string, content_type string, content_length long, block_digest string, payload_digest string, headers string, content string"
 RESPONSE_COLUMNS = ["record_id", "target_uri", "warc_date", "http_headers", "payload", "payload_digest"]
 # one step: a comment, a script or style with its content, or a tag; none can run over the text more than once
-MARK = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template)\b[^<>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^<>]*)>|<[!?][^<>]*>", re.S | re.I)
+MARK = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)\b[^<>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^<>]*)>|<[!?][^<>]*>", re.S | re.I)
+TEMPLATE_END = re.compile(r"</template\s*>", re.I)
 HREF = re.compile(r"""\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 LANG = re.compile(r"""\blang\s*=\s*["']?([A-Za-z-]+)""", re.I)
 CHARSET = re.compile(r"""\bcharset\s*=\s*["']?([\w-]+)""", re.I)
@@ -35,15 +48,24 @@ def record_uuid(*parts: str | None) -> str:
 
 
 def page_text(source: str) -> tuple[str, dict]:
-    """Plain text (one line a block, runs of white space as one space) and title, language, charset and links in order."""
+    """Plain text (one line a block, runs of white space as one space) and title, language, charset and links in order.
+
+    Left out: comments, scripts, styles, templates (one that is not closed ends at its own tag), and the first title, which is in the metadata; later titles are text.
+    """
     found: dict = {"title": "", "lang": "", "charset": "", "links": []}
     out: list[str] = []
     head: list[str] = []
-    at, inside = 0, ""
+    at, inside, hidden = 0, "", False
+    closed = max((m.start() for m in TEMPLATE_END.finditer(source)), default=-1)
     for m in MARK.finditer(source):
-        (head if inside else out).append(source[at : m.start()])
+        if not hidden:
+            (head if inside else out).append(source[at : m.start()])
         at = m.end()
         name, close = (m[3] or "").lower(), m[2]
+        if name == "template":
+            hidden = not close and at <= closed
+        if hidden:
+            continue
         if not name:
             out.append(" ")
             continue
@@ -51,6 +73,8 @@ def page_text(source: str) -> tuple[str, dict]:
             inside = "" if close else "title"
             if close and not found["title"]:
                 found["title"] = " ".join(entities.unescape("".join(head)).split())
+            else:
+                out += ["\n", *head, "\n"]
             head = []
         elif name == "a" and not close and (h := HREF.search(m[4])):
             found["links"].append(entities.unescape(h[1] or h[2] or h[3] or ""))
@@ -70,7 +94,10 @@ def header_lines(fields: list[tuple[str, str | None]]) -> str:
 
 
 def derive(record_id: str, uri: str | None, date: str, http: str, payload: str, payload_digest: str) -> list[tuple]:
-    """The two derived records of one response, as rows of ``RECORD``."""
+    """The two derived records of one response, as rows of ``RECORD``.
+
+    Both refer to the response and name the digest of its payload; a conversion's payload is its block.
+    """
     text, found = page_text(payload)
     meta = [("title", found["title"]), ("languages", found["lang"]), ("charset", found["charset"]), ("source-payload-digest", payload_digest), ("source-payload-length", str(len(payload.encode("utf-8", "surrogatepass"))))]
     meta += [(f"http-header-{k.strip().lower()}", v.strip()) for k, _, v in (x.partition(":") for x in http.split("\r\n")[1:]) if v]
@@ -79,7 +106,8 @@ def derive(record_id: str, uri: str | None, date: str, http: str, payload: str,
     for kind, mime, content in (("metadata", "application/warc-fields", header_lines(meta)), ("conversion", "text/plain; charset=utf-8", text)):
         block = content.encode("utf-8", "surrogatepass")
         own = record_uuid(kind, record_id)
-        fields = [("WARC-Type", kind), ("WARC-Record-ID", own), ("WARC-Refers-To", record_id), ("WARC-Target-URI", uri), ("WARC-Date", date), ("WARC-Refers-To-Target-URI", uri), ("WARC-Refers-To-Date", date), ("WARC-Block-Digest", digest(block)), ("Content-Type", mime), ("Content-Length", str(len(block)))]
+        fields = [("WARC-Type", kind), ("WARC-Record-ID", own), ("WARC-Refers-To", record_id), ("WARC-Target-URI", uri), ("WARC-Date", date), ("WARC-Block-Digest", digest(block))]
+        fields += [("WARC-Payload-Digest", digest(block))] * (kind == "conversion") + [("Source-Payload-Digest", payload_digest), ("Content-Type", mime), ("Content-Length", str(len(block)))]
         out.append((kind, own, record_id, uri, date, mime, len(block), digest(block), payload_digest, "WARC/1.1\r\n" + header_lines(fields), content))
     return out
 
@@ -89,41 +117,164 @@ def record_bytes(headers: str, content: str) -> bytes:
     return headers.encode("utf-8", "surrogatepass") + b"\r\n" + content.encode("utf-8", "surrogatepass") + b"\r\n\r\n"
 
 
-def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Header fields and block of each record in uncompressed WARC bytes."""
-    at = 0
-    while at < len(data):
-        end = data.index(b"\r\n\r\n", at)
-        lines = data[at:end].decode("utf-8", "surrogatepass").split("\r\n")
-        fields = dict(x.split(": ", 1) for x in lines[1:])
-        stop = end + 4 + int(fields["Content-Length"])
-        yield fields, data[end + 4 : stop]
-        at = stop + 4
+def parse_records(data: bytes | BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Header fields and block of each record in uncompressed WARC bytes. Folded header lines are joined."""
+    f = io.BytesIO(data) if isinstance(data, bytes) else data
+    while line := f.readline():
+        if not line.strip():
+            continue
+        if not line.startswith(b"WARC/"):
+            raise ValueError(f"not a WARC record: {line[:80]!r}")
+        fields: dict[str, str] = {}
+        last = ""
+        while (line := f.readline()).strip():
+            text = line.decode("utf-8", "surrogateescape").rstrip("\r\n")
+            if text[0] in " \t" and last:
+                fields[last] += " " + text.strip()
+            else:
+                last, _, value = text.partition(":")
+                fields[last] = value.strip()
+        size = int(fields["Content-Length"])
+        block = f.read(size)
+        if len(block) != size:
+            raise EOFError("WARC record ends early")
+        yield fields, block
+
+
+def http_parts(block: bytes) -> tuple[str, bytes, str]:
+    """Header lines, payload (as it was sent) and its text: chunks joined, gzip and deflate undone, by the charset of header or page, else UTF-8."""
+    head, _, payload = block.partition(b"\r\n\r\n")
+    http = head.decode("latin-1")
+    named = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in http.split("\r\n")[1:])}
+    body = payload
+    if "chunked" in named.get("transfer-encoding", "").lower():
+        f, parts = io.BytesIO(body), []
+        while (size := f.readline().split(b";")[0].strip()) and (n := int(size, 16)):
+            parts.append(f.read(n))
+            f.readline()
+        body = b"".join(parts)
+    coding = named.get("content-encoding", "").lower()
+    if coding in ("gzip", "x-gzip", "deflate"):
+        body = zlib.decompressobj(47 if "gzip" in coding else 15).decompress(body)
+    found = CHARSET.search(named.get("content-type", "")) or CHARSET.search(body[:2048].decode("latin-1"))
+    try:
+        text = body.decode(found[1] if found else "utf-8", "replace")
+    except LookupError:
+        text = body.decode("utf-8", "replace")
+    return http, payload, text
+
+
+RESPONSE = "key string, record_id string, target_uri string, warc_date string, http_headers string, payload string, payload_digest string"
+
+
+def read_warc(spark: SparkSession, path: str) -> DataFrame:
+    """The response records of WARC files (plain or gzip; a file, folder or glob): ``key`` (the record's identifier) and ``RESPONSE_COLUMNS``.
 
+    One task reads a file, record by record. Identifiers, dates and HTTP headers are those of the file, and so is the payload's digest
+    where the record has one. Other records, and responses of other schemes than HTTP, are passed over.
+    """
+    files = spark.read.format("binaryFile").load(path).select("path")  # names only; no content is read
+    names = ["key", *RESPONSE_COLUMNS]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for name in batch["path"]:
+                fs, inner = file_system(name)
+                with fs.open_input_stream(inner, compression=None) as raw:
+                    f = io.BufferedReader(gzip.GzipFile(fileobj=raw) if name.endswith(".gz") else raw, 1 << 20)
+                    rows, size = [], 0
+                    for fields, block in parse_records(f):
+                        if fields.get("WARC-Type") != "response" or "http" not in fields.get("Content-Type", ""):
+                            continue
+                        http, payload, text = http_parts(block)
+                        own = fields.get("WARC-Record-ID", "")
+                        rows.append((own, own, fields.get("WARC-Target-URI"), fields.get("WARC-Date", EPOCH), http, text, fields.get("WARC-Payload-Digest") or digest(payload)))
+                        size += len(text)
+                        if size > 8 << 20:
+                            yield pd.DataFrame(rows, columns=names)
+                            rows, size = [], 0
+                    yield pd.DataFrame(rows, columns=names)
 
-def responses(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", date: str = EPOCH) -> DataFrame:
-    """Pages as response records: ``key`` and ``RESPONSE_COLUMNS``. A null page has an empty payload; identifiers follow from key, URL and payload."""
+    return files.repartition(max(1, files.count()), "path").mapInPandas(run, RESPONSE)
+
+
+def response_record(record_id: str, uri: str | None, date: str, http: str, payload: str, payload_digest: str) -> tuple[str, str]:
+    """Header and content of a response as it stands in a file."""
+    content = f"{http.rstrip()}\r\n\r\n{payload}"
+    block = content.encode("utf-8", "surrogatepass")
+    fields = [("WARC-Type", "response"), ("WARC-Record-ID", record_id), ("WARC-Target-URI", uri), ("WARC-Date", date), ("WARC-Payload-Digest", payload_digest), ("WARC-Block-Digest", digest(block)), ("Content-Type", "application/http; msgtype=response"), ("Content-Length", str(len(block)))]
+    return "WARC/1.1\r\n" + header_lines(fields), content
+
+
+def write_warc(records: DataFrame, directory: str, name: str = "derived") -> DataFrame:
+    """Writes ``headers`` and ``content`` of records to ``<directory>/<name>-<n>.warc.gz``, a gzip member for each; returns ``path, records``.
+
+    A task writes one file under a name of its own; only files of tasks that have ended well get their final names.
+    """
+    spark, job = records.sparkSession, uuid.uuid4().hex
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fs, inner = file_system(directory)
+        fs.create_dir(inner, recursive=True)
+        path, n = f"{inner}/_{job}-{uuid.uuid4().hex}", 0
+        with fs.open_output_stream(path, compression=None) as f:
+            for batch in batches:
+                for headers, content in zip(batch["headers"], batch["content"], strict=True):
+                    f.write(gzip.compress(record_bytes(headers, content), mtime=0))
+                    n += 1
+        yield pd.DataFrame({"path": [path], "records": [n]})
+
+    done = sorted(map(tuple, records.select("headers", "content").mapInPandas(run, "path string, records long").collect()))  # one row for each task
+    fs, inner = file_system(directory)
+    out = []
+    for path, n in done:
+        if n:
+            fs.move(path, final := f"{inner}/{name}-{len(out):05d}.warc.gz")
+            out.append((final, n))
+    for x in fs.get_file_info(_selector(inner)):
+        if x.base_name.startswith(f"_{job}-"):  # empty ones, and those of tasks that ran twice
+            fs.delete_file(x.path)
+    return spark.createDataFrame(out, "path string, records long")
+
+
+def _selector(path: str):
+    from pyarrow.fs import FileSelector
+
+    return FileSelector(path)
+
+
+def responses(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", date: str | None = None, http: str | None = None) -> DataFrame:
+    """Pages as response records: ``key`` and ``RESPONSE_COLUMNS``. A null page has an empty payload.
+
+    ``date`` and ``http`` name columns with dates and HTTP header lines of the capture; a table of bare pages has none and gets the epoch
+    and a status, type and length. Identifiers follow from key, URL and payload; of rows that repeat them all, each has one of its own.
+    """
     kind = pages.schema[key].dataType.simpleString()
+    given = lambda c: F.col(c).cast("string") if c else F.lit(None).cast("string")
+    source = pages.select(F.col(key).alias("key"), F.col(url).cast("string").alias("url"), F.col(html).cast("string").alias("html"), given(date).alias("date"), given(http).alias("http"))
+    source = source.withColumn("h", F.xxhash64("key", "url", "html"))
+    again = written(source.groupBy("h").count().where("count > 1").select("h", F.lit(True).alias("again")), "warc-again")
+    source = source.withColumn("place", F.monotonically_increasing_id()).join(sided(again), "h", "left")
+    source = source.select("key", "url", "html", "date", "http", F.when(F.col("again"), F.col("place").cast("string")).alias("nth"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for k, u, h in zip(batch["key"], batch["url"], batch["html"], strict=True):
+            for k, u, h, day, lines, nth in zip(*[batch[c] for c in ("key", "url", "html", "date", "http", "nth")], strict=True):
                 body = (h or "").encode("utf-8", "surrogatepass")
-                http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(body)}\r\n"
+                lines = lines or f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(body)}\r\n"
                 own = digest(body)
-                rows.append((record_uuid("response", None if pd.isna(k) else str(k), u, own), u, date, http, h or "", own))
+                rows.append((record_uuid("response", None if pd.isna(k) else str(k), u, own, *([nth] if nth else [])), u, day or EPOCH, lines, h or "", own))
             yield pd.concat([batch[["key"]].reset_index(drop=True), pd.DataFrame(rows, columns=RESPONSE_COLUMNS)], axis=1)
 
-    source = pages.select(F.col(key).alias("key"), F.col(url).cast("string").alias("url"), F.col(html).cast("string").alias("html"))
-    return source.mapInPandas(run, f"key {kind}, record_id string, target_uri string, warc_date string, http_headers string, payload string, payload_digest string")
+    return source.mapInPandas(run, f"key {kind}, " + RESPONSE.removeprefix("key string, "))
 
 
 def derivatives(records: DataFrame) -> DataFrame:
     """Two rows per response (``key`` and ``RESPONSE_COLUMNS``): ``key`` and ``RECORD``.
 
     Derived identifiers follow from the response's. Empty payloads give an empty conversion; a null target URI is
-    left out of the headers; rows that repeat give equal records. An empty table gives no rows.
+    left out of the headers; records that repeat give equal ones. An empty table gives no rows.
     """
     kind = records.schema["key"].dataType.simpleString()
     names = [x.split()[0] for x in RECORD.split(", ")]
