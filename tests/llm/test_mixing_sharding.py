@@ -38,24 +38,44 @@ def test_mix_is_the_same_again_and_for_other_partitions(spark):
         spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
+def test_the_cut_is_found_by_parting_ranges(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    first = sorted(map(tuple, mixing.mix_sizes(docs).collect()))
+    assert sorted(map(tuple, mixing.mix_sizes(docs, few=3).collect())) == first
+
+
 def test_mix_of_awkward_tables(spark):
     docs = awkward(spark)
-    out = mixing.mix(docs)
+    out = mixing.mix_sizes(docs)
     assert out.count() == docs.count()
-    assert {r["mix_size"] for r in out.where("text IS NULL OR text = ''").collect()} == {0}
-    assert mixing.mix(nothing(spark)).count() == 0
-    assert [r["mix_copies"] for r in mixing.mix(all_null(spark)).collect()] == [0, 0, 0]
-    rows = mixing.mixed_rows(docs.drop("mix_size"))
-    assert rows.columns == docs.drop("mix_size").columns and rows.count() == out.agg(F.sum("mix_copies")).first()[0]
+    assert {r["mix_size"] for r in out.where("key IN (2, 3)").collect()} == {0}
+    assert mixing.mix_sizes(nothing(spark)).count() == 0 and mixing.mixed_rows(nothing(spark)).count() == 0
+    assert [r["mix_copies"] for r in mixing.mix_sizes(all_null(spark)).collect()] == [0, 0, 0]
+    clashing = docs.withColumns({c: F.lit(f"own {c}") for c in ("mix_note", "mix_hash", "row", "own", "last", "copies", "round")})
+    rows = mixing.mixed_rows(clashing)
+    assert rows.columns == clashing.columns and rows.count() == out.agg(F.sum("mix_copies")).first()[0]
+    assert {(r["mix_size"], r["mix_note"], r["row"]) for r in rows.collect()} == {("own mix_size", "own mix_note", "own row")}
+
+
+def test_rows_without_key_queue_by_their_texts(spark):
+    docs = spark.range(3000).select(F.lit(None).cast("long").alias("doc_id"), F.concat_ws(" ", F.lit("a b c d"), F.col("id")).alias("text"), F.when(F.col("id") % 3 == 0, "x").otherwise("y").alias("source"))
+    rows = mixing.mix_sizes(docs).groupBy("mix_total", "mix_target").agg(F.sum(F.col("mix_copies") * F.col("mix_size")).alias("taken")).collect()
+    assert len(rows) == 2 and all(abs(r["taken"] - r["mix_target"]) <= 5 for r in rows)
 
 
 def test_mixed_rows_in_order_of_finish(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    times = {}
-    for r in mixing.mix(docs).collect():
-        times.setdefault(r["doc_id"], list(r["mix_finish"]))
-    seen = [times[r["doc_id"]].pop(0) for r in mixing.mixed_rows(docs, ordered=True).collect()]
-    assert seen == sorted(seen)
+    sizes = {r["key"]: r for r in mixing.mix_sizes(docs).collect()}
+    seen, words = Counter(), defaultdict(int)
+    last = 0.0
+    for r in mixing.mixed_rows(docs, ordered=True).select("doc_id", "source").collect():
+        own = sizes[r["doc_id"]]
+        words[r["source"]] += own["mix_size"]
+        finish = words[r["source"]] / own["mix_target"]
+        assert finish >= last - 1e-9
+        last = finish
+        seen[r["doc_id"]] += 1
+    assert seen == Counter({k: r["mix_copies"] for k, r in sizes.items() if r["mix_copies"]})
 
 
 def h60(*parts):

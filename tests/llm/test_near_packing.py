@@ -116,14 +116,12 @@ def tokenizer():
     import public_tokenizers
     from tokenizers import Tokenizer
 
-    out = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    out.encode_special_tokens = True
-    return out
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
-@pytest.mark.parametrize("text", ["a", "a  b", "a \n\n b ", "\n x\n", "don't  we'll", "é 日本 😀　 x", "  y\x85z", "<|endoftext|> a", "x\x1c y", "tab\t\tend  "])
+@pytest.mark.parametrize("text", ["a", "a  b", "a \n\n b ", "\n x\n", "don't  we'll", "é 日本 😀　 x", "  y\x85z", "<|endoftext|> a", "a<|endoftext|>b  <|endoftext|>\n<|endoftext|", "<|endoftext|><|endoftext|>", "x\x1c y", "tab\t\tend  "])
 def test_ids_are_those_of_the_vocabulary(tokenizer, text):
-    assert packing.token_ids(text, "byte_bpe_50k.tiktoken").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert packing.token_ids(text, "byte_bpe_50k.tiktoken", packing.SPECIAL).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
 def test_packing_is_whole_and_tight(spark, tokenizer):
@@ -172,3 +170,18 @@ def test_packing_awkward(spark):
     assert out.where("doc_id = 2").first()["length"] == 1 and out.where("doc_id = 5").count() == 2
     assert out.where("octet_length(ids) <> 4 * length OR crc32(ids) <> ids_crc32").count() == 0
     assert packing.pack_documents(nothing(spark)).count() == 0 and packing.pack_documents(all_null(spark)).count() == 3
+
+
+def test_rows_of_one_key_are_dealt_evenly(spark):
+    pieces = spark.range(3000).select(F.lit(None).cast("long").alias("key"), F.lit(0).alias("piece"), F.when(F.col("id") % 3 == 0, 2048).otherwise(700).cast("long").alias("length"))
+    out = packing.pack(pieces, pool=256)
+    assert out.count() == 3000 and out.where("sequence_id < 0").count() == 1000
+    bins = out.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.count("*").alias("rows")).collect()
+    assert all(r["n"] <= 2048 for r in bins) and sum(r["rows"] == 2 for r in bins) >= 990
+
+
+def test_a_key_with_several_texts_has_one(spark):
+    one, two = " ".join(f"a{k}" for k in range(50)), " ".join(f"b{k}" for k in range(50))
+    docs = spark.createDataFrame([(1, one), (1, two), (2, one), (3, two), (None, one), (None, two)], "doc_id long, text string")
+    got = sorted((r["doc_id"] or 0, r["class_id"] or 0) for r in near.near_classes(docs).collect())
+    assert got in ([(0, 0), (0, 0), (1, 1), (1, 1), (2, 1), (3, 3)], [(0, 0), (0, 0), (1, 1), (1, 1), (2, 2), (3, 1)])
