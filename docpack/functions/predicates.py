@@ -7,10 +7,6 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# fixed value: the index in which the reference keeps its job states
-SYSTEM_INDEX = ".knapsack"
-
-
 def match_all() -> Column:
     return F.lit(True)
 
@@ -62,8 +58,9 @@ def of_types(index: Column, type_: Column, wanted: dict[str, set[str]] | list[st
     return out & index.isin(list(wanted))
 
 
-def not_system(index: Column, system: str = SYSTEM_INDEX) -> Column:
-    return index != system
+def not_system(index: Column, system: list[str] | None = None) -> Column:
+    """Not an index that jobs keep for themselves: one of ``system``, or by default any whose name begins with a dot."""
+    return ~index.isin(list(system)) if system is not None else ~F.startswith(index, F.lit("."))
 
 
 def sane_packet(index: Column, type_: Column, id_: Column, payload: Column) -> Column:

@@ -8,6 +8,8 @@ from pyspark.sql.types import LongType, MapType, StringType, StructField, Struct
 
 PACKET = "index string, type string, id string, field string, payload string, meta map<string,string>, seq long, archive string, part int"
 DOC = "index string, type string, id string, _parent string, _routing string, _timestamp string, _version long, _source string, fields map<string,string>"
+#: a document as a reader puts it together from neighbouring entries
+RUN = "index string, type string, id string, fields map<string,string>, run long, last_seq long, archive string, part int"
 META = "index string, kind string, name string, body string"
 _TYPES = {"string": StringType(), "long": LongType(), "map<string,string>": MapType(StringType(), StringType())}
 

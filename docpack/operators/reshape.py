@@ -135,8 +135,9 @@ def last_writer(rows: DataFrame, order: list[Column] | None = None) -> DataFrame
 
 
 def highest_version(rows: DataFrame, seq: str = "seq") -> DataFrame:
-    """Of each key the row with the highest version, of equal versions the first."""
-    return last_writer(rows, [F.col("_version"), -F.col(seq)])
+    """Of each key the row with the highest version, of equal versions the first by ``seq`` (of any type that can be ordered)."""
+    down = -F.coalesce(F.col("_version"), F.lit(-1))
+    return rows.groupBy(*KEY).agg(F.min_by(F.struct(*rows.columns), F.struct(down, F.col(seq))).alias("r")).select("r.*")
 
 
 # -- metadata

@@ -3,7 +3,9 @@
     <root>/docs/index=<name>/bucket=<n>/...      documents
     <root>/meta/index=<name>/...                 settings, mappings, aliases
 
-The bucket count is the index's number of shards. An upsert rewrites only buckets that it touches.
+    <root>/pending/<n>.json                      an upsert that has not ended: where the new state of its buckets lies
+
+The bucket count is the index's number of shards. An upsert rewrites only buckets that it touches; a bucket may be several files.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql.types import IntegerType, StructType
 from docpack.functions.predicates import of_types
 from docpack.model import DOC, KEY, META, struct
 from docpack.operators.reshape import highest_version, last_writer
-from docpack.session import written
+from docpack.session import new_path, written
 
 SHARDS = 4
 DOC_SCHEMA, META_SCHEMA = struct(DOC), struct(META)
@@ -81,16 +83,18 @@ def merged(stored: DataFrame, incoming: DataFrame) -> DataFrame:
     return last_writer(both, [F.col("_from")]).drop("_from")
 
 
-def upsert(docs: DataFrame, root: str, shards: int | DataFrame | None = None, order: str | None = None, versions: bool | None = None) -> None:
+def upsert(docs: DataFrame, root: str, shards: int | DataFrame | None = None, order: str | None = None, versions: bool | None = None, kept: bool = False) -> None:
     """Replaces or adds documents by key. Of equal keys the last by ``order`` counts; with versions, the highest that is higher than the stored.
 
-    Either all documents have a version or none has. The new state of touched buckets is written beside the store first
-    and then put in place of the old one.
+    Either all documents have a version or none has. The new state of touched buckets is written beside the store first and then put
+    in place of the old one. If that is broken off, the next upsert or ``recover`` does it again from what was written.
+    ``kept`` says that ``docs`` is a projection of a written table and need not be written again.
     """
     spark = docs.sparkSession
+    recover(spark, root)
     if shards is None:
         shards = shard_counts(metadata(spark, root))
-    incoming = written(docs, "incoming")
+    incoming = docs if kept else written(docs, "incoming")
     if versions is None:
         n = incoming.agg(F.count("_version"), F.count("*")).first()
         if n[0] not in (0, n[1]):
@@ -99,18 +103,44 @@ def upsert(docs: DataFrame, root: str, shards: int | DataFrame | None = None, or
     rows = incoming if order else incoming.withColumn("_seq", F.lit(0))
     order = order or "_seq"
     rows = highest_version(rows, order) if versions else last_writer(rows, [F.col(order)])
-    rows = written(bucketed(rows.select(*DOC_SCHEMA.names), shards), "latest")
+    rows = bucketed(rows.select(*DOC_SCHEMA.names), shards)
     if _exists(spark, f"{root}/docs"):
+        rows = written(rows, "latest")
         schema = StructType([*DOC_SCHEMA.fields]).add("bucket", IntegerType())
-        touched = rows.select("index", "bucket").distinct()
+        touched = F.broadcast(rows.select("index", "bucket").distinct())  # as many rows as buckets
         stored = spark.read.schema(schema).parquet(f"{root}/docs").join(touched, ["index", "bucket"], "left_semi")
         accepted = version_gate(rows, stored.select(*DOC_SCHEMA.names)) if versions else rows
-        rows = written(merged(stored.select(*schema.names), accepted), "merged")
-    (
-        rows.repartition("index", "bucket")
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("index", "bucket").parquet(f"{root}/docs")
-    )
+        rows = merged(stored.select(*schema.names), accepted)
+    path = new_path(spark, "merged")
+    rows.write.parquet(path)
+    mark = f"{root}/pending/{path.rsplit('-', 1)[-1]}.json"
+    spark.range(1).select(F.lit(path).alias("path")).coalesce(1).write.json(mark)
+    _put(spark, root, path, mark)
+
+
+def _put(spark: SparkSession, root: str, path: str, mark: str) -> None:
+    """Puts buckets in place of those of the same numbers; may be done again. Tasks share out a large bucket."""
+    schema = StructType([*DOC_SCHEMA.fields]).add("bucket", IntegerType())
+    rows = spark.read.schema(schema).parquet(path).hint("rebalance", F.col("index"), F.col("bucket"))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("index", "bucket").parquet(f"{root}/docs")
+    p = spark._jvm.org.apache.hadoop.fs.Path(mark)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def recover(spark: SparkSession, root: str) -> int:
+    """Ends upserts that were broken off while buckets were replaced; returns how many there were."""
+    if not _exists(spark, f"{root}/pending"):
+        return 0
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/pending")
+    fs, n = folder.getFileSystem(spark._jsc.hadoopConfiguration()), 0
+    for x in sorted(fs.listStatus(folder), key=lambda x: x.getModificationTime()):
+        mark = x.getPath()
+        if not fs.exists(spark._jvm.org.apache.hadoop.fs.Path(mark, "_SUCCESS")):  # broken off before the store was touched
+            fs.delete(mark, True)
+            continue
+        _put(spark, root, spark.read.schema("path string").json(mark.toString()).first()["path"], mark.toString())
+        n += 1
+    return n
 
 
 def upsert_metadata(rows: DataFrame, root: str) -> None:
@@ -164,11 +194,18 @@ def create_alias(spark: SparkSession, root: str, alias: str, index: str, body: s
     return docs
 
 
-def children_with_parents(children: DataFrame, parents: DataFrame) -> DataFrame:
-    """Children (by ``_parent``) with ``parent_source``."""
-    up = parents.select(F.col("id").alias("_pid"), F.col("_source").alias("parent_source"))
-    return children.join(up, children["_parent"] == F.col("_pid")).drop("_pid")
+def _parent_of(children: DataFrame, one_index: bool):
+    """Where a child's parent is: the id in ``_parent``, in its own index if ``one_index``."""
+    same = children["_parent"] == F.col("_pid")
+    return same & (children["index"] == F.col("_pindex")) if one_index else same
+
+
+def children_with_parents(children: DataFrame, parents: DataFrame, one_index: bool = False) -> DataFrame:
+    """Children (by ``_parent``) with ``parent_source``; ``one_index`` if parents are those of the child's own index only."""
+    up = parents.select(F.col("index").alias("_pindex"), F.col("id").alias("_pid"), F.col("_source").alias("parent_source"))
+    return children.join(up, _parent_of(children, one_index)).drop("_pid", "_pindex")
 
 
-def orphans(children: DataFrame, parents: DataFrame) -> DataFrame:
-    return children.join(parents.select(F.col("id").alias("_pid")), children["_parent"] == F.col("_pid"), "left_anti")
+def orphans(children: DataFrame, parents: DataFrame, one_index: bool = False) -> DataFrame:
+    """Children without a parent."""
+    return children.join(parents.select(F.col("index").alias("_pindex"), F.col("id").alias("_pid")), _parent_of(children, one_index), "left_anti")

@@ -29,8 +29,9 @@ def query(name: str, sql: str | None = None):
     return put
 
 
-def _docs(packets):
-    return jobs.documents_of(packets).select(*KEY, "_parent", "_timestamp", "_source")
+def _documents(spark, path):
+    """Documents as the reader puts them together."""
+    return reshape.route_fields(reshape.kinds(jobs.read_packets(spark, path, documents=True)).where("kind = 'doc'").drop("kind"))
 
 
 # -- archives: every format under every codec; documents of one table out and in again
@@ -39,7 +40,7 @@ def _docs(packets):
 def _round_trip(spark, docs, name: str, **options):
     path = new_path(spark, "archive")
     jobs.export(docs, path, name, **options)
-    return _docs(jobs.read_packets(spark, path))
+    return _documents(spark, path).select(*KEY, "_parent", "_timestamp", "_source")
 
 
 @query("scan_bulk", f"SELECT {KEY3}, _source FROM ({T.PART})")
@@ -83,7 +84,7 @@ TEXTS = "SELECT doc_id::VARCHAR AS id, lang, text, '{\"doc_id\":' || doc_id || '
 def _texts(spark, d, name: str, **options):
     path = new_path(spark, "archive")
     jobs.export(T.text_docs(spark, d), path, name, **options)
-    docs = jobs.documents_of(jobs.read_packets(spark, path))
+    docs = _documents(spark, path)
     return docs.select("id", F.col("fields")["lang"].alias("lang"), F.col("fields")["text"].alias("text"), "_source")
 
 
@@ -127,25 +128,25 @@ def write_metadata(spark, d):
     return reshape.packets_metadata(reshape.kinds(jobs.read_packets(spark, path)))
 
 
-@query("save_mode", "SELECT count(*) AS docs, true AS refused FROM nation")
+@query("save_mode", "SELECT count(*) AS docs, true AS refused FROM orders")
 def save_mode(spark, d):
     path = new_path(spark, "archive")
-    jobs.export(T.region_docs(spark, d), path, "all.bulk")
+    jobs.export(T.customer_docs(spark, d), path, "all.bulk")
     refused = False
     try:
-        jobs.export(T.nation_docs(spark, d), path, "all.bulk")
+        jobs.export(T.orders_docs(spark, d), path, "all.bulk")
     except FileExistsError:
         refused = True
-    jobs.export(T.nation_docs(spark, d), path, "all.bulk", overwrite=True)
+    jobs.export(T.orders_docs(spark, d), path, "all.bulk", overwrite=True)
     return jobs.read_packets(spark, path).agg(F.count("*").alias("docs"), F.lit(refused).alias("refused"))
 
 
-@query("register_archive_source", "SELECT id, _source AS payload FROM (SELECT nation.n_nationkey::VARCHAR AS id, '{\"n_nationkey\":' || n_nationkey || ',\"n_name\":\"' || n_name || '\",\"n_regionkey\":' || n_regionkey || '}' AS _source FROM nation) WHERE id = '7'")
+@query("register_archive_source", f"SELECT id, _source AS payload FROM ({T.CUSTOMER}) WHERE type = 'BUILDING'")
 def register_archive_source(spark, d):
     path = new_path(spark, "archive")
     archive.register(spark)
-    jobs.packets_of(T.nation_docs(spark, d), "nation.zip").withColumns({"seq": F.lit(0).cast("long"), "archive": F.lit(""), "part": F.lit(0)}).write.format("docpack_archive").option("name", "nation.zip").mode("append").save(path)
-    return spark.read.format("docpack_archive").load(path).where("id = '7' AND field = '_source'").select("id", "payload")
+    jobs.packets_of(T.customer_docs(spark, d), "customer.zip").withColumns({"seq": F.lit(0).cast("long"), "archive": F.lit(""), "part": F.lit(0)}).write.format("docpack_archive").option("name", "customer.zip").mode("append").save(path)
+    return spark.read.format("docpack_archive").load(path).where("type = 'BUILDING' AND field = '_source'").select("id", "payload")
 
 
 # -- stores
@@ -237,9 +238,9 @@ def parent_child(spark, d):
     return joined.select("id", "_parent", F.get_json_object("parent_source", "$.c_name").alias("c_name"))
 
 
-@query("orphans", "SELECT n_nationkey::VARCHAR AS id FROM nation WHERE n_regionkey NOT IN (SELECT r_regionkey FROM region WHERE r_regionkey <> 2)")
+@query("orphans", "SELECT o_orderkey::VARCHAR AS id FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING')")
 def orphans(spark, d):
-    return store.orphans(T.nation_docs(spark, d), T.region_docs(spark, d).where("id <> '2'")).select("id")
+    return store.orphans(T.orders_docs(spark, d), T.customer_docs(spark, d).where("type <> 'BUILDING'")).select("id")
 
 
 # -- jobs
@@ -318,24 +319,28 @@ def stream_assemble(spark, d):
     return spark.read.parquet(out).select(*KEY, "_source")
 
 
-@query("stream_rates", f"SELECT second, sum(bytes)::BIGINT AS bytes FROM ({T.TRANSFERS}) GROUP BY second")
-def stream_rates(spark, d):
-    landing, out = new_path(spark, "transfers"), new_path(spark, "rates")
-    T.transfers(spark, d).coalesce(1).write.parquet(landing)
-    log = spark.readStream.schema("run string, ts timestamp, bytes long").parquet(landing)
-    put = lambda batch, n: batch.write.mode("overwrite").parquet(out)
-    streams.rates(log).writeStream.outputMode("complete").foreachBatch(put).option("checkpointLocation", new_path(spark, "rates-checkpoint")).trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(out)
+@query("stream_metadata", f"SELECT \"index\", kind, name, body FROM {T.METAS}")
+def stream_metadata(spark, d):
+    landing, root = new_path(spark, "landing"), new_path(spark, "store")
+    jobs.export(T.customer_docs(spark, d), landing, "customer.tar.gz", meta=T.meta_rows(spark, d))
+    streams.import_stream(spark, landing, root).awaitTermination()
+    return store.metadata(spark, root)
 
 
-@query("stream_recent_rate", f"SELECT s.second - k.k AS second, sum(s.bytes)::BIGINT AS bytes FROM ({T.TRANSFERS}) s, unnest([0, 1, 2, 3, 4]) AS k(k) GROUP BY 1")
-def stream_recent_rate(spark, d):
+def _stream_rates(spark, d, **options):
+    """The log in files by time, as it would land; what is late by up to an hour is counted."""
     landing, out = new_path(spark, "transfers"), new_path(spark, "rates")
-    T.transfers(spark, d).coalesce(1).write.parquet(landing)
+    T.transfers(spark, d).repartitionByRange(8, "ts").write.parquet(landing)
     log = spark.readStream.schema("run string, ts timestamp, bytes long").parquet(landing)
-    put = lambda batch, n: batch.write.mode("overwrite").parquet(out)
-    streams.rates(log, width="5 seconds", slide="1 second").writeStream.outputMode("complete").foreachBatch(put).option("checkpointLocation", new_path(spark, "rates-checkpoint")).trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(out)
+    streams.keep_rates(streams.rates(log, late="1 hour", **options), out).awaitTermination()
+    return streams.kept_rates(spark, out)
 
 
+@query("stream_rates", f"SELECT second, sum(bytes)::BIGINT AS bytes FROM ({T.TRANSFERS}) GROUP BY second")
+def stream_rates(spark, d):
+    return _stream_rates(spark, d)
 
+
+@query("stream_recent_rate", f"SELECT s.second - k.k AS second, sum(s.bytes)::BIGINT AS bytes FROM ({T.TRANSFERS}) s, unnest([0, 1, 2, 3, 4]) AS k(k) GROUP BY 1")
+def stream_recent_rate(spark, d):
+    return _stream_rates(spark, d, width="5 seconds", slide="1 second")

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import datetime
+import json
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docpack.functions.predicates import SYSTEM_INDEX, not_system, of_types
+from pyspark.sql.observation import Observation
+
+from docpack.functions.predicates import not_system, of_types
 from docpack.model import ATTRIBUTES, KEY, PACKET
 from docpack.operators import reshape, stats, store
 from docpack.session import written
@@ -24,18 +30,17 @@ def packets_of(docs: DataFrame, name: str, fields: list[str] | None = None) -> D
     return docs.where("_source IS NOT NULL").select(*KEY, F.lit("_source").alias("field"), F.col("_source").alias("payload"), meta.alias("meta"))
 
 
-def write_packets(packets: DataFrame, directory: str, name: str, max_bytes: int = 0, overwrite: bool = False) -> None:
-    """An archive of packets; fails if there is one that is not empty, unless ``overwrite``."""
-    spark = packets.sparkSession
-    archive.register(spark)
+def write_packets(packets: DataFrame, directory: str, name: str, max_bytes: int = 0, overwrite: bool = False) -> dict:
+    """An archive of packets; fails if there is one that is not empty, unless ``overwrite``. Returns packets, docs, bytes and parts as they were written."""
+    archive.register(packets.sparkSession)
     fs, inner = archive.file_system(directory)
-    if not overwrite:
-        fs.create_dir(inner, recursive=True)
-        full = [p for p, size in archive.archives(directory) if size and archive.base_name(p).lstrip("0123456789.").endswith(name.lstrip("0123456789."))]
-        if full:
-            raise FileExistsError(f"archive exists: {full[0]}")
+    fs.create_dir(inner, recursive=True)
+    if not overwrite and (full := [p for p, size in archive.parts_of(directory, name) if size]):
+        raise FileExistsError(f"archive exists: {full[0]}")
     want = packets.select(*[F.col(c) if c in packets.columns else F.lit(None).cast(dict(x.split(" ", 1) for x in PACKET.split(", "))[c]).alias(c) for c in FIELDS])
-    want.write.format("docpack_archive").option("name", name).option("maxBytes", str(max_bytes)).mode("overwrite" if overwrite else "append").save(directory)
+    job = uuid.uuid4().hex
+    want.write.format("docpack_archive").option("name", name).option("maxBytes", str(max_bytes)).option("job", job).mode("overwrite" if overwrite else "append").save(directory)
+    return archive.summary(directory, job)
 
 
 def read_packets(spark: SparkSession, path: str, **options) -> DataFrame:
@@ -46,10 +51,51 @@ def read_packets(spark: SparkSession, path: str, **options) -> DataFrame:
     return reader.load(path)
 
 
+RUN_LOG = "run_id string, mode string, path string, started timestamp, finished timestamp, docs long, detail string"
+
+
+def log_run(folder: str, mode: str, path: str, started: datetime.datetime, docs: int, detail: dict) -> None:
+    """Adds a finished run to the log in ``folder``; each run is a file of its own, so that runs need no lock."""
+    fs, inner = archive.file_system(folder)
+    fs.create_dir(f"{inner}/_runs", recursive=True)
+    now = datetime.datetime.now(datetime.timezone.utc)
+    row = {"run_id": uuid.uuid4().hex, "mode": mode, "path": path, "started": started.isoformat(), "finished": now.isoformat(), "docs": docs, "detail": json.dumps(detail)}
+    with fs.open_output_stream(f"{inner}/_runs/{row['run_id']}.json") as f:
+        f.write(json.dumps(row).encode())
+
+
+def runs(spark: SparkSession, folder: str) -> DataFrame:
+    """The log of runs in a directory of archives or a store."""
+    fs, inner = archive.file_system(folder)
+    fs.create_dir(f"{inner}/_runs", recursive=True)
+    return spark.read.schema(RUN_LOG).json(f"{folder}/_runs")
+
+
+def _now() -> datetime.datetime:
+    return datetime.datetime.now(datetime.timezone.utc)
+
+
+def limited(docs: DataFrame, limit: int | None, ordered: bool) -> DataFrame:
+    """The first ``limit`` documents by key, and documents in the order of their keys, if asked for."""
+    docs = docs.orderBy(*KEY).limit(limit) if limit is not None else docs
+    return docs.repartitionByRange(*KEY).sortWithinPartitions(*KEY) if ordered else docs
+
+
+def in_parts(docs: DataFrame, parts: int | None, per: int = 1 << 20) -> DataFrame:
+    """Dealt into ``parts``; by default one for each core, of at least ``per`` bytes, where the input is too small to be read by all cores, else as it comes."""
+    if parts is None:
+        spark = docs.sparkSession
+        size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+        want = min(spark.sparkContext.defaultParallelism, max(1, size // per))
+        parts = want if want > -(-size // split) else None
+    return docs.repartition(parts) if parts else docs
+
+
 def export(
     docs: DataFrame,
     directory: str,
-    name: str = "_all.tar.gz",
+    name: str | None = None,
     indices: list[str] | None = None,
     types: dict | list | None = None,
     where: Column | str | None = None,
@@ -60,21 +106,41 @@ def export(
     with_aliases: bool = True,
     max_bytes: int = 0,
     overwrite: bool = False,
+    parts: int | None = None,
+    limit: int | None = None,
+    ordered: bool = False,
+    system: list[str] | None = None,
 ) -> DataFrame:
-    """Writes documents to an archive; returns its summary (packets, docs, bytes). Metadata comes in a part before all others."""
-    docs = docs.where(not_system(F.col("index"), SYSTEM_INDEX))
+    """Writes documents to an archive; returns its summary (packets, docs, bytes, skipped). Metadata comes in a part before all others.
+
+    Without a ``name`` it is that of the one index, and of the one type, that is exported, else ``_all.tar.gz``. ``parts`` is how many
+    tasks write (``in_parts`` says the default), ``ordered`` puts documents in the order of their keys. ``skipped`` counts
+    documents without a source, which bulk files cannot hold.
+    """
+    started = _now()
+    if name is None:
+        one = indices[0] if indices and len(indices) == 1 and indices != ["_all"] else None
+        of = list(types) if isinstance(types, list | set | tuple) else list((types or {}).get(one, []))
+        name = "_".join([one, *of] if one and len(of) == 1 else [one or "_all"]) + ".tar.gz"
+    docs = docs.where(not_system(F.col("index"), system))
     if indices and indices != ["_all"]:
         docs = docs.where(F.col("index").isin(indices))
     docs = docs.where(of_types(F.col("index"), F.col("type"), types))
     docs = docs.where(where) if where is not None else docs
+    docs = limited(in_parts(docs, parts), limit, ordered)
+    bulk = formats.format_of(name)[0] == "bulk" if formats.format_of(name) else False
+    seen = Observation()
+    docs = docs.observe(seen, F.count(F.lit(1)).alias("docs"), F.count(F.when(F.col("_source").isNull(), 1)).alias("skipped"))
     packets = packets_of(reshape.rename(docs, rename), name, fields)
-    if meta is not None and with_metadata and formats.format_of(name)[0] != "bulk":
+    if meta is not None and with_metadata and not bulk:
         kept = meta.where(F.col("kind") != "_alias") if not with_aliases else meta
         kept = kept.where(F.col("index").isin(indices)) if indices and indices != ["_all"] else kept
         head = reshape.metadata_packets(reshape.rename_metadata(kept, rename)).withColumn("meta", F.lit(None).cast("map<string,string>"))
         packets = head.coalesce(1).unionByName(packets)
-    write_packets(packets, directory, name, max_bytes, overwrite)
-    return stats.export_summary(read_packets(docs.sparkSession, directory))
+    told = write_packets(packets, directory, name, max_bytes, overwrite)
+    skipped = (seen.get.get("skipped") or 0) if bulk else 0
+    log_run(directory, "export", f"{directory}/{name}", started, told["docs"], told | {"skipped": skipped})
+    return docs.sparkSession.createDataFrame([(told["packets"], told["docs"], told["bytes"], skipped)], "packets long, docs long, bytes long, skipped long")
 
 
 def documents_of(packets: DataFrame) -> DataFrame:
@@ -102,22 +168,30 @@ def import_(
     if_exists: str = "warn",
     versions: bool | None = None,
 ) -> DataFrame:
-    """Loads an archive (all its parts) into a store; returns documents by index as the archive has them."""
-    packets = read_packets(spark, path)
+    """Loads an archive (all its parts) into a store; returns documents by index as the archive has them.
+
+    The reader puts documents together, so they are written once and shuffled once, to their buckets. ``types`` also selects mappings.
+    The run log of the store says how many entries had names that could not be read.
+    """
+    started = _now()
+    rows = read_packets(spark, path, documents=True)
     if indices and indices != ["_all"]:
-        packets = packets.where(F.col("index").isin(indices))
-    packets = reshape.kinds(written(packets, "packets"))
+        rows = rows.where(F.col("index").isin(indices))
+    rows = written(reshape.kinds(rows), "import")
     if with_metadata:
-        put_metadata(reshape.packets_metadata(packets), root, rename, settings, mappings, with_aliases, if_exists)
-    docs = documents_of(packets.where("kind = 'doc'"))
+        put_metadata(_of_types(reshape.packets_metadata(rows.where("kind <> 'doc'").withColumn("payload", F.col("fields")["_source"])), types), root, rename, settings, mappings, with_aliases, if_exists)
+    docs = reshape.route_fields(rows.where("kind = 'doc' AND index IS NOT NULL").drop("kind"))
     docs = docs.where(F.col("type").isin(types)) if types else docs
-    docs = written(reshape.rename(docs, rename).withColumn("_order", F.struct("part", "archive", "last_seq")), "import")
-    store.upsert(docs, root, order="_order" if not _has_versions(docs, versions) else "last_seq", versions=versions)
-    return stats.doc_count(docs)
+    docs = reshape.rename(docs, rename).withColumn("_order", F.struct("part", "archive", "run"))
+    store.upsert(docs, root, order="_order", versions=versions, kept=True)
+    unread = rows.where("index IS NULL").count()
+    counts = written(stats.doc_count(docs), "import-count")
+    log_run(root, "import", path, started, counts.agg(F.sum("docs")).first()[0] or 0, {"unread": unread})
+    return counts
 
 
-def _has_versions(docs: DataFrame, versions: bool | None) -> bool:
-    return versions if versions is not None else not docs.where("_version IS NOT NULL").isEmpty()
+def _of_types(meta: DataFrame, types: list[str] | None) -> DataFrame:
+    return meta.where((F.col("kind") != "_mapping") | F.col("name").isin(types)) if types else meta
 
 
 def put_metadata(meta: DataFrame, root: str, rename: dict | None, settings: dict | None, mappings: dict | None, with_aliases: bool, if_exists: str) -> None:
@@ -128,15 +202,18 @@ def put_metadata(meta: DataFrame, root: str, rename: dict | None, settings: dict
     store.create_indices(meta, root, if_exists)
 
 
-def copy(spark: SparkSession, from_root: str, to_root: str, if_exists: str, indices=None, types=None, where=None, fields=None, rename=None, settings=None, mappings=None, with_metadata=True, with_aliases=True) -> DataFrame:
+def copy(spark: SparkSession, from_root: str, to_root: str, if_exists: str, indices=None, types=None, where=None, fields=None, rename=None, settings=None, mappings=None, with_metadata=True, with_aliases=True, limit=None, system=None) -> DataFrame:
+    started = _now()
     if with_metadata:
         put_metadata(store.metadata(spark, from_root, indices), to_root, rename, settings, mappings, with_aliases, if_exists)
-    docs = store.scan(spark, from_root, indices, types, where).where(not_system(F.col("index")))
-    docs = reshape.rename(docs, rename)
+    docs = store.scan(spark, from_root, indices, types, where).where(not_system(F.col("index"), system))
+    docs = reshape.rename(limited(docs, limit, False), rename)
     if fields is not None:
         docs = docs.withColumns({a: F.lit(None).cast("long" if a == "_version" else "string") for a in ATTRIBUTES if a not in fields})
     store.upsert(docs, to_root, versions=False)
-    return stats.doc_count(store.scan(spark, to_root))
+    counts = written(stats.doc_count(store.scan(spark, to_root)), "copy-count")
+    log_run(to_root, "copy", from_root, started, counts.agg(F.sum("docs")).first()[0] or 0, {})
+    return counts
 
 
 def push(spark: SparkSession, root: str, remote_root: str, **options) -> DataFrame:

@@ -212,7 +212,7 @@ def filter_types(spark, d):
 
 @query("exclude_system_index", f"SELECT \"index\", count(*) AS n FROM {T.STORES} WHERE \"index\" <> 'region' GROUP BY ALL")
 def exclude_system_index(spark, d):
-    marked = T.stores(spark, d).withColumn("index", F.when(F.col("index") == "region", predicates.SYSTEM_INDEX).otherwise(F.col("index")))
+    marked = T.stores(spark, d).withColumn("index", F.when(F.col("index") == "region", F.lit(".jobs")).otherwise(F.col("index")))
     return marked.where(predicates.not_system(F.col("index"))).groupBy("index").agg(F.count("*").alias("n"))
 
 

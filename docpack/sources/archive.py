@@ -5,7 +5,9 @@
     packets.write.format("docpack_archive").option("name", "all.tar.gz").mode("append").save(directory)
 
 Reading makes one partition of each file, several of large zip files (by slices of the central directory) and, with
-``splitBulk``, of large plain bulk files (by byte ranges). Writing makes at least one part of each task; ``maxBytes``
+``splitBulk``, of large plain bulk files (by byte ranges). With ``documents`` a row is a run of neighbouring entries of one document,
+put together as they are read. Entries whose names have more than four parts come with null keys and their name as field, unless
+``corrupt`` is ``drop`` or ``fail``; a payload that is not UTF-8 fails unless ``badText`` is ``replace``. Writing makes at least one part of each task; ``maxBytes``
 starts another part with the next document when a part's payload exceeds it, so that no document lies in two parts. Parts get their names when the whole job has ended well.
 Paths may be of any file system that pyarrow opens; on a cluster all executors must reach them.
 """
@@ -13,6 +15,7 @@ Paths may be of any file system that pyarrow opens; on a cluster all executors m
 from __future__ import annotations
 
 import io
+import json
 import re
 import uuid
 from collections.abc import Iterator, Sequence
@@ -23,13 +26,16 @@ import pyarrow.fs as pfs
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, DataSourceWriter, EqualTo, Filter, In, InputPartition, WriterCommitMessage
 from pyspark.sql.types import StructType
 
-from docpack.model import PACKET
+from docpack.model import PACKET, RUN
 from docpack.sources import codecs, formats
 
 NAMES = [x.split()[0] for x in PACKET.split(", ")]
 ARROW = pa.schema(
     [pa.field(n, pa.string()) for n in NAMES[:5]] + [pa.field("meta", pa.map_(pa.string(), pa.string())), pa.field("seq", pa.int64()), pa.field("archive", pa.string()), pa.field("part", pa.int32())]
 )
+RUN_ARROW = pa.schema(
+    [pa.field(n, pa.string()) for n in NAMES[:3]] + [pa.field("fields", pa.map_(pa.string(), pa.string())), pa.field("run", pa.int64()), pa.field("last_seq", pa.int64()), pa.field("archive", pa.string()), pa.field("part", pa.int32())]
+)
 ROWS = 2000
 
 
@@ -64,6 +70,22 @@ def archives(path: str) -> list[tuple[str, int]]:
     return [(x.path, x.size) for x in sorted(files, key=lambda x: (part_of(x.path), x.path))]
 
 
+def parts_of(directory: str, name: str) -> list[tuple[str, int]]:
+    """Files (path, bytes) in a directory that are parts of the archive ``name``: itself, ``1.name`` and so on."""
+    fs, inner = file_system(directory)
+    found = fs.get_file_info(pfs.FileSelector(inner, allow_not_found=True))
+    return [(x.path, x.size) for x in found if x.type == pfs.FileType.File and re.fullmatch(r"(?:\d+\.)?" + re.escape(name), x.base_name)]
+
+
+def summary(directory: str, job: str) -> dict:
+    """What the writer of a job counted: packets, documents, bytes of payload, parts. It is read once."""
+    fs, inner = file_system(directory)
+    with fs.open_input_stream(path := f"{inner}/_summary-{job}") as f:
+        out = json.loads(f.read())
+    fs.delete_file(path)
+    return out
+
+
 @dataclass
 class Slice(InputPartition):
     path: str = ""
@@ -107,7 +129,9 @@ class Reader(DataSourceReader):
         self.split = int(options.get("splitBytes", 64 << 20))
         self.split_bulk = options.get("splitBulk", "false").lower() == "true"
         self.payload = options.get("payload", "true").lower() == "true"
-        self.corrupt = options.get("corrupt", "drop")
+        self.corrupt = options.get("corrupt", "keep")
+        self.errors = options.get("badText", "strict")
+        self.documents = options.get("documents", "false").lower() == "true"
         self.wanted: dict[str, set[str]] = {}
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
@@ -162,9 +186,52 @@ class Reader(DataSourceReader):
                     if self.corrupt == "drop":
                         continue
                     key = [None, None, None, name]
-                yield n, key, data.decode("utf-8", "replace"), None
+                try:
+                    yield n, key, data.decode("utf-8", self.errors), None
+                except UnicodeDecodeError as e:
+                    raise ValueError(f"payload of {name} in {s.path} is not UTF-8") from e
+
+    def _runs(self, s: Slice) -> Iterator[pa.RecordBatch]:
+        """Runs of entries with one coordinate: the later of equal fields counts. A line of a bulk file is a document of its own.
+
+        Entries that lack a part of their coordinate, or whose type or id begins with a dot, are of no document.
+        """
+        wanted = [(k, self.wanted[c]) for k, c in enumerate(("index", "type", "id")) if c in self.wanted]
+        name, bulk = base_name(s.path), formats.format_of(s.path)[0] == "bulk"
+        rows: list[list] = []
+        size, before = 0, None
+        for n, key, payload, meta in self._entries(s):
+            if key == [None, None, None, key[3]]:  # a name that could not be read: a row without keys
+                if not wanted:
+                    rows.append([None, None, None, {}, n, n, name, s.part])
+                before = None
+                continue
+            metadata = key[1] == "_settings"
+            if key[0] is None or key[1] is None or key[1].startswith(".") or (not metadata and (key[2] is None or key[2].startswith("."))):
+                continue
+            own = key[:3]
+            if any(own[k] not in values for k, values in wanted):
+                before = None
+                continue
+            if bulk or own != before:
+                if len(rows) == ROWS or size > 8 << 20:
+                    yield _run_batch(rows)
+                    rows, size = [], 0
+                rows.append([*own, {}, n, n, name, s.part])
+                before = own
+            row = rows[-1]
+            if self.payload:
+                row[3].update(meta or {})
+                row[3][key[3] if key[3] not in (None, "null") else "_source"] = payload
+                size += len(payload)
+            row[5] = n
+        if rows:
+            yield _run_batch(rows)
 
     def read(self, partition: Slice) -> Iterator[pa.RecordBatch]:
+        if self.documents:
+            yield from self._runs(partition)
+            return
         rows: list[tuple] = []
         wanted = [(k, self.wanted[c]) for k, c in enumerate(("index", "type", "id")) if c in self.wanted]
         size, name = 0, base_name(partition.path)
@@ -186,9 +253,16 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, ARROW, strict=True)], schema=ARROW)
 
 
+def _run_batch(rows: list[list]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True))
+    columns[3] = [list(m.items()) for m in columns[3]]
+    return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, RUN_ARROW, strict=True)], schema=RUN_ARROW)
+
+
 @dataclass
 class Parts(WriterCommitMessage):
     files: list[tuple[str, int, int]] = field(default_factory=list)  # temporary path, packets, payload bytes
+    docs: int = 0
 
 
 class Writer(DataSourceWriter):
@@ -199,7 +273,7 @@ class Writer(DataSourceWriter):
         self.kind, self.codec = found
         self.most = int(options.get("maxBytes", 0))
         self.overwrite = overwrite
-        self.job = uuid.uuid4().hex
+        self.job = options.get("job") or uuid.uuid4().hex
 
     def _open(self, fs, path: str):
         raw = fs.open_output_stream(path)
@@ -231,6 +305,8 @@ class Writer(DataSourceWriter):
             if out is not None and self.most and size > self.most and now != before:
                 close()
                 out = None
+            if now != before and row["type"] != "_settings" and row["id"] not in ("_mapping", "_alias"):
+                done.docs += 1
             before = now
             if out is None:
                 path = f"{inner}/_part-{self.job}-{number:06d}-{len(done.files):06d}-{uuid.uuid4().hex[:8]}"
@@ -245,7 +321,7 @@ class Writer(DataSourceWriter):
     def commit(self, messages) -> None:
         """Gives the parts their names: ``name``, ``1.name``, ``2.name`` and so on, in order of tasks."""
         fs, inner = file_system(self.directory)
-        old = [x.path for x in fs.get_file_info(pfs.FileSelector(inner, allow_not_found=True)) if x.type == pfs.FileType.File and re.fullmatch(r"(?:\d+\.)?" + re.escape(self.name), x.base_name)]
+        old = [p for p, _ in parts_of(self.directory, self.name)]
         first = 0
         if self.overwrite:
             for path in old:
@@ -263,6 +339,9 @@ class Writer(DataSourceWriter):
             files = [(path, 0, 0)]
         for n, (path, _, _) in enumerate(files, first):
             fs.move(path, f"{inner}/{f'{n}.' if n else ''}{self.name}")
+        told = {"packets": sum(f[1] for f in files), "docs": sum(m.docs for m in messages if m), "bytes": sum(f[2] for f in files), "parts": len(files)}
+        with fs.open_output_stream(f"{inner}/_summary-{self.job}") as f:
+            f.write(json.dumps(told).encode())
 
     def abort(self, messages) -> None:
         fs, _ = file_system(self.directory)
@@ -309,7 +388,7 @@ class DocpackArchive(DataSource):
         return "docpack_archive"
 
     def schema(self) -> str:
-        return PACKET
+        return RUN if self.options.get("documents", "false").lower() == "true" else PACKET
 
     def reader(self, schema: StructType) -> Reader:
         return Reader(self.options)

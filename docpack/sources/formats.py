@@ -82,15 +82,14 @@ def read_tar(f: BinaryIO) -> Iterator[tuple[str, bytes]]:
 
 
 def zip_slices(f: BinaryIO, per: int) -> list[tuple[int, int]]:
-    """Ranges of entry numbers of about ``per`` bytes each, from the central directory."""
-    out, start, size = [], 0, 0
+    """Ranges of entry numbers of about ``per`` bytes of the file each, from the central directory; entries of one document stay together."""
+    out, start = [], 0
     with zipfile.ZipFile(f) as z:
         infos = z.infolist()
-        for k, info in enumerate(infos):
-            size += info.compress_size
-            if size >= per:
-                out.append((start, k + 1))
-                start, size = k + 1, 0
+        for k in range(1, len(infos)):
+            if infos[k].header_offset - infos[start].header_offset >= per and infos[k].filename.rpartition("/")[0] != infos[k - 1].filename.rpartition("/")[0]:
+                out.append((start, k))
+                start = k
     return [*out, (start, len(infos))] if start < len(infos) or not out else out
 
 

@@ -7,25 +7,28 @@ from pyspark.sql import functions as F
 
 from docpack.model import KEY
 from docpack.operators import reshape, store
-from docpack.plans.jobs import documents_of
-from docpack.session import new_path
+from docpack.plans.jobs import put_metadata
+from docpack.session import new_path, written
 from docpack.sources import archive
 
 
-def _run(stream: DataFrame, each, checkpoint: str | None, name: str, every: str | None = None):
-    writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint or new_path(stream.sparkSession, f"{name}-checkpoint"))
+def _run(stream: DataFrame, each, checkpoint: str | None, name: str, every: str | None = None, mode: str = "append"):
+    writer = stream.writeStream.outputMode(mode).foreachBatch(each).option("checkpointLocation", checkpoint or new_path(stream.sparkSession, f"{name}-checkpoint"))
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
 
-def import_stream(spark: SparkSession, landing: str, root: str, rename: dict | None = None, checkpoint: str | None = None, every: str | None = None):
-    """Imports archive files as they land; a file is whole in one batch, and so are its documents. An upsert may be run again without harm."""
+def import_stream(spark: SparkSession, landing: str, root: str, rename: dict | None = None, checkpoint: str | None = None, every: str | None = None, with_metadata: bool = True, with_aliases: bool = True):
+    """Imports archive files as they land, settings, mappings and aliases before documents; a file is whole in one batch, and so are its documents. A batch may be run again without harm."""
     archive.register(spark)
 
     def each(batch: DataFrame, n: int) -> None:
-        docs = reshape.rename(documents_of(reshape.kinds(batch).where("kind = 'doc'")), rename)
-        store.upsert(docs.withColumn("_order", F.struct("part", "archive", "last_seq")), root, order="_order", versions=False)
+        rows = written(reshape.kinds(batch), "landed")
+        if with_metadata:
+            put_metadata(reshape.packets_metadata(rows.where("kind <> 'doc'").withColumn("payload", F.col("fields")["_source"])), root, rename, None, None, with_aliases, "warn")
+        docs = reshape.rename(reshape.route_fields(rows.where("kind = 'doc' AND index IS NOT NULL").drop("kind")), rename)
+        store.upsert(docs.withColumn("_order", F.struct("part", "archive", "run")), root, order="_order", versions=False, kept=True)
 
-    return _run(spark.readStream.format("docpack_archive").load(landing), each, checkpoint, "import", every)
+    return _run(spark.readStream.format("docpack_archive").option("documents", "true").load(landing), each, checkpoint, "import", every)
 
 
 def copy_stream(spark: SparkSession, from_root: str, to_root: str, rename: dict | None = None, checkpoint: str | None = None, files_per_batch: int = 1000, every: str | None = None):
@@ -43,12 +46,25 @@ def assemble_stream(spark: SparkSession, landing: str, out: str, checkpoint: str
     archive.register(spark)
 
     def each(batch: DataFrame, n: int) -> None:
-        documents_of(batch).select(*KEY, "_source").write.mode("overwrite").parquet(f"{out}/batch={n}")
+        docs = reshape.route_fields(reshape.kinds(batch).where("kind = 'doc' AND index IS NOT NULL").drop("kind"))
+        docs.select(*KEY, "_source").write.mode("overwrite").parquet(f"{out}/batch={n}")
 
-    return _run(spark.readStream.format("docpack_archive").load(landing), each, checkpoint, "assemble")
+    return _run(spark.readStream.format("docpack_archive").option("documents", "true").load(landing), each, checkpoint, "assemble")
 
 
 def rates(log: DataFrame, late: str = "5 seconds", width: str = "1 second", slide: str | None = None) -> DataFrame:
     """Bytes by second of a stream ``ts, bytes`` (or sliding, for the recent rate); what is later than the watermark is left out."""
     window = F.window("ts", width, slide) if slide else F.window("ts", width)
     return log.withWatermark("ts", late).groupBy(window.alias("w")).agg(F.sum("bytes").cast("long").alias("bytes")).select(F.unix_timestamp("w.start").alias("second"), "bytes")
+
+
+def keep_rates(rates_: DataFrame, out: str, checkpoint: str | None = None, every: str | None = None):
+    """Keeps a stream of ``rates`` in ``out``: each batch's changed seconds. State is dropped behind the watermark."""
+    put = lambda batch, n: batch.write.mode("overwrite").parquet(f"{out}/batch={n}")
+    return _run(rates_, put, checkpoint, "rates", every, mode="update")
+
+
+def kept_rates(spark: SparkSession, out: str) -> DataFrame:
+    """The last bytes of each second that ``keep_rates`` has seen."""
+    rows = spark.read.schema("second long, bytes long, batch long").parquet(out)
+    return rows.groupBy("second").agg(F.max_by("bytes", "batch").alias("bytes"))
