@@ -142,10 +142,7 @@ def corpus_shares(docs: DataFrame, text: str, wanted: set[str]) -> dict[str, flo
             for t in batch["text"]:
                 n += 1
                 if t:
-                    found: set[str] = set()
-                    for w in set(words_of(t)):
-                        found.update(known[w])
-                    own.update(found)
+                    own.update({f for w in set(words_of(t)) for f in known[w]})
         yield pd.DataFrame([("", n), *own.items()], columns=["feature", "n"])
 
     rows = docs.select(F.col(text).cast("string").alias("text")).mapInPandas(run, "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n"))
@@ -208,20 +205,20 @@ def log_odds(counts: dict[str, tuple[float, float]], shares: dict[str, float], t
     return out
 
 
-def segments(line: list[float]) -> list[tuple[int, int, float]]:
+def segments(line: list[float] | np.ndarray) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (first word, last word, score) of the words' scores.
 
     Every candidate is joined backwards with those it makes longer and better, each at most once, so the work is linear
     in the words; no other segment outside these scores higher in itself.
     """
     stack: list[tuple[int, int, float, float, int]] = []  # first, last, sum before, sum after, nearest candidate below with a lesser sum before
-    total = 0.0
-    for place, score in enumerate(line):
-        if score <= 0:
-            total += score
-            continue
-        left, first = total, place
-        total += score
+    line = np.asarray(line, float)
+    places = np.flatnonzero(line > 0)
+    if not len(places):
+        return []
+    sums = np.cumsum(line)
+    for place, total, left in zip(places.tolist(), sums[places].tolist(), (sums[places] - line[places]).tolist(), strict=True):
+        first = place
         k = len(stack) - 1
         while True:
             while k >= 0 and stack[k][2] >= left:
@@ -259,10 +256,11 @@ class Model:
     def __getstate__(self) -> dict:
         return self.__dict__ | {"known": None}
 
-    def line(self, text: str | None) -> list[float]:
+    def line(self, text: str | None) -> np.ndarray:
         if self.known is None:
             self.known = Scores(self.words, self.cost)
-        return list(map(self.known.__getitem__, words_of(text))) if text else []
+        words = words_of(text) if text else []
+        return np.fromiter(map(self.known.__getitem__, words), float, len(words))
 
     def evidence(self, text: str | None) -> tuple[float, list[tuple[int, int, float]]]:
         """The sum over significant segments of their scores less what chance gives in a text of this length, or the best if none is; and these segments."""
@@ -327,8 +325,8 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
         for batch in batches:
             for t, y, fold in zip(batch["text"], batch["label"], batch["fold"], strict=True):
                 for m in (fold, FOLDS):
-                    for s, n in Counter(shared.value[m].line(t)).items():
-                        found[m, int(y), round(s, 2)] += n
+                    for s, n in zip(*(x.tolist() for x in np.unique(shared.value[m].line(t).round(2), return_counts=True)), strict=True):
+                        found[m, int(y), s] += n
         yield pd.DataFrame([(*k, n) for k, n in found.items()], columns=["m", "y", "s", "n"])
 
     # as many numbers as there are scores of two places
