@@ -38,6 +38,13 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def small_batches(spark: SparkSession, most: int = 8 << 20) -> None:
+    """Bounds what a Python worker takes at once where whole texts go to it, unless the session says otherwise."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name) == str((1 << 26)):  # Spark's default
+        spark.conf.set(name, str(most))
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/docpack/{name}-{uuid.uuid4().hex}"
 

@@ -66,7 +66,7 @@ def archives(path: str) -> list[tuple[str, int]]:
         if one.type == pfs.FileType.NotFound:
             raise FileNotFoundError(path)
         found = [one] if one.type == pfs.FileType.File else fs.get_file_info(pfs.FileSelector(inner))
-    files = [x for x in found if x.type == pfs.FileType.File and formats.format_of(x.path) and not x.base_name.startswith(("_", "."))]
+    files = [x for x in found if x.type == pfs.FileType.File and formats.format_of(x.path) and not x.base_name.startswith(".")]
     return [(x.path, x.size) for x in sorted(files, key=lambda x: (part_of(x.path), x.path))]
 
 

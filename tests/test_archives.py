@@ -256,3 +256,118 @@ def test_stream_offsets(spark):
     assert reader.partitions(end, end) == []
     with pytest.raises(FileNotFoundError, match="gone.tar"):
         reader.partitions(end, {"taken": ["b.tar", "gone.tar"]})
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(i, t, k, None, None, None, v, s, None) for i, t, k, v, s in rows], schema_of(DOC))
+
+
+def test_an_export_tells_of_its_own_archive_and_refuses_only_its_own_name(spark):
+    path = new_path(spark, "names")
+    rows = [("i", "t", str(k), None, "{}") for k in range(30)]
+    one = jobs.export(table(spark, rows[:5]), path, "small.bulk").first()
+    two = jobs.export(table(spark, [*rows, ("i", "t", "x", None, None)]), path, "all.bulk").first()
+    assert (one["packets"], one["docs"], two["packets"], two["docs"], two["skipped"]) == (5, 5, 30, 30, 1)
+    jobs.export(table(spark, rows[:2]), path, "2024.tar")
+    jobs.export(table(spark, rows[:3]), path, "tar.tar")
+    with pytest.raises(FileExistsError):
+        jobs.export(table(spark, rows[:2]), path, "2024.tar")
+    log = jobs.runs(spark, path)
+    assert sorted((r["mode"], r["docs"]) for r in log.collect()) == [("export", 2), ("export", 3), ("export", 5), ("export", 30)]
+    assert log.where("finished < started").count() == 0
+
+
+def test_equal_versions_go_to_the_first_that_arrives(spark):
+    path, root = new_path(spark, "versions"), new_path(spark, "root")
+    fs, inner = archive.file_system(path)
+    fs.create_dir(inner, recursive=True)
+    line = '{"index":{"_index":"i","_type":"t","_id":"%s","_version":%d}}\n{"n":%d}\n'
+    with open(f"{inner}/v.bulk", "w") as f:
+        f.write(line % ("0", 1, 0) + line % ("1", 7, 1) + line % ("2", 1, 1))
+    with open(f"{inner}/1.v.bulk", "w") as f:
+        f.write(line % ("1", 7, 2) + line % ("2", 2, 2))
+    jobs.import_(spark, path, root)
+    assert {r["id"]: r["_source"] for r in store.scan(spark, root).collect()} == {"0": '{"n":0}', "1": '{"n":1}', "2": '{"n":2}'}
+
+
+def test_limit_order_parts_and_default_names(spark):
+    rows = [(f"i{k % 2}", "t", f"{k:03d}", None, "{}") for k in range(40)]
+    path = new_path(spark, "options")
+    assert jobs.export(table(spark, rows), path, indices=["i1"], types=["t"], limit=7, ordered=True, parts=1).first()["docs"] == 7
+    assert [archive.base_name(p) for p, _ in archive.archives(path)] == ["i1_t.tar.gz"]
+    packets = jobs.read_packets(spark, path).orderBy("part", "seq").collect()
+    assert [r["id"] for r in packets] == [f"{k:03d}" for k in range(1, 15, 2)]
+    many = new_path(spark, "options")
+    jobs.export(table(spark, rows), many, parts=5)
+    assert {archive.base_name(p) for p, _ in archive.archives(many)} == {"_all.tar.gz", *(f"{n}._all.tar.gz" for n in range(1, 5))}
+    root, remote = new_path(spark, "root"), new_path(spark, "root")
+    store.upsert(table(spark, rows), root)
+    assert jobs.push(spark, root, remote, limit=3).agg(F.sum("docs")).first()[0] == 3
+
+
+def test_hidden_indices_stay_unless_named(spark):
+    rows = [(".jobs", "t", "1", None, "{}"), ("i", "t", "1", None, "{}")]
+    assert jobs.export(table(spark, rows), new_path(spark, "hidden"), "a.tar").first()["docs"] == 1
+    assert jobs.export(table(spark, rows), new_path(spark, "hidden"), "a.tar", system=["i"]).first()["docs"] == 1
+    assert jobs.export(table(spark, rows), new_path(spark, "hidden"), "a.tar", system=[]).first()["docs"] == 2
+
+
+def test_runs_as_the_reader_puts_them_together(spark):
+    raw = io.BytesIO()
+    with tarfile.open(fileobj=raw, mode="w") as tar:
+        for name, data in (("i/_settings/null/null", b"{}"), ("i/t/1/a", b"x"), ("i/t/1/_source", b"{}"), ("i/t/2/_source", b"[]"), ("i/t/1/_source", b"later"), ("i/t/._2/_source", b"no"), ("i/t/3/a/five", b"no"), ("i/t/1/a", b"y"), ("i/t/1/a", b"z")):
+            info = tarfile.TarInfo(name)
+            info.size = len(data)
+            tar.addfile(info, io.BytesIO(data))
+    path, root = write(spark, "r.tar", raw.getvalue()), new_path(spark, "root")
+    rows = jobs.read_packets(spark, path, documents=True).orderBy("run").collect()
+    assert [(r["type"], r["id"], r["fields"], r["run"], r["last_seq"]) for r in rows if r["index"]] == [("_settings", "null", {"_source": "{}"}, 0, 0), ("t", "1", {"a": "x", "_source": "{}"}, 1, 2), ("t", "2", {"_source": "[]"}, 3, 3), ("t", "1", {"_source": "later"}, 4, 4), ("t", "1", {"a": "z"}, 7, 8)]
+    assert sum(r["index"] is None for r in rows) == 1
+    jobs.import_(spark, path, root)
+    assert '"unread": 1' in jobs.runs(spark, root).first()["detail"]
+    assert jobs.read_packets(spark, path, documents=True).where("id = '2'").count() == 1
+
+
+def test_payloads_that_are_no_text_fail(spark):
+    raw = io.BytesIO()
+    with tarfile.open(fileobj=raw, mode="w") as tar:
+        info = tarfile.TarInfo("i/t/1/_source")
+        info.size = 2
+        tar.addfile(info, io.BytesIO(b"\xff\xfe"))
+    path = write(spark, "b.tar", raw.getvalue())
+    with pytest.raises(Exception, match="not UTF-8"):
+        jobs.read_packets(spark, path).collect()
+    assert jobs.read_packets(spark, path, badText="replace").count() == 1
+
+
+def test_an_upsert_that_was_broken_off_is_taken_up_again(spark, monkeypatch):
+    root = new_path(spark, "root")
+    store.upsert(table(spark, [("i", "t", str(k), None, "old") for k in range(20)]), root)
+
+    def broken(*args):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(store, "_put", broken)
+        with pytest.raises(RuntimeError):
+            store.upsert(table(spark, [("i", "t", str(k), None, "new") for k in range(10, 30)]), root)
+    assert store.scan(spark, root).where("_source = 'new'").count() == 0
+    assert store.recover(spark, root) == 1 and store.recover(spark, root) == 0
+    assert {r["id"]: r["_source"] for r in store.scan(spark, root).collect()} == {str(k): "old" if k < 10 else "new" for k in range(30)}
+
+
+def test_streams_import_metadata(spark):
+    landing, root = new_path(spark, "landing"), new_path(spark, "store")
+    meta = spark.createDataFrame([("i", "_settings", None, '{"index.number_of_shards":"2"}'), ("i", "_alias", "al", "")], "index string, kind string, name string, body string")
+    jobs.export(table(spark, [("i", "t", str(k), None, "{}") for k in range(20)]), landing, "m.zip", meta=meta)
+    streams.import_stream(spark, landing, root, rename={"i": "j"}).awaitTermination()
+    assert sorted((r["index"], r["kind"]) for r in store.metadata(spark, root).collect()) == [("j", "_alias"), ("j", "_settings")]
+    assert spark.read.parquet(f"{root}/docs").agg(F.max("bucket"), F.count("*")).first()[:2] == (1, 20)
+
+
+def test_parents_of_one_index(spark):
+    parents = table(spark, [("a", "p", "1", None, "A"), ("b", "p", "1", None, "B")])
+    child = table(spark, [("a", "c", "9", None, "{}")]).withColumn("_parent", F.lit("1"))
+    assert store.children_with_parents(child, parents).count() == 2
+    assert store.children_with_parents(child, parents, one_index=True).first()["parent_source"] == "A"
+    assert store.orphans(child, parents.where("index = 'b'"), one_index=True).count() == 1
