@@ -14,11 +14,14 @@ from pyspark.sql import functions as F
 from docpack.llm.text import SPACES
 from docpack.session import new_path, sided, written
 
-#: State on disk; only changes are uploaded with each batch, and no space is set aside for state yet to come.
+#: State on disk; only changes are uploaded with each batch, no space is set aside for state yet to come, and an executor's stores share a bounded memory.
 STORE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "4",
 }
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from docpack.llm.components import components
 from docpack.llm.text import U, mix, shingles, word_hashes
-from docpack.session import sided, written
+from docpack.session import sided, small_batches, written
 
 REGISTERS, BANDS = 64, 16
 CHARS = 8 << 20
@@ -232,6 +232,7 @@ def near_classes(docs: DataFrame, text: str = "text", key: str = "doc_id", least
     are one node; if their texts differ, the one with the least hash is compared. Rows with a null key have a null class. Empty
     tables give no rows.
     """
+    small_batches(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
     known = docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text")).where("id IS NOT NULL").withColumn("content", F.xxhash64("text"))
     signed = written(known.mapInPandas(_sign(size, registers, bands), f"id {kind}, content long, n long, fp1 long, fp2 long, bands array<long>"), "signatures")

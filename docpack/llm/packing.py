@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docpack.session import written
+from docpack.session import small_batches, written
 
 TWO_SPACES = re.compile(r"\s\s")
 # fixed value: the special token of the vocabulary
@@ -57,6 +57,7 @@ def cut_pieces(docs: DataFrame, text: str = "text", key: str = "doc_id", capacit
     vocabulary's ``tokenizers`` file gives, with its one special token (``SPECIAL``) unless ``special`` names others.
     """
     special = SPECIAL if special is None else special
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docpack.session import sided, written
+from docpack.session import sided, small_batches, written
 
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
@@ -84,6 +84,7 @@ def _measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def measured(docs: DataFrame, text: str = "text", key: str = "doc_id", host: str = "source") -> DataFrame:
     """``key``, ``host``, ``COUNTS`` and a boolean for each rule, for every row of ``docs``."""
+    small_batches(docs.sparkSession)
     schema = f"key {docs.schema[key].dataType.simpleString()}, host string, " + ", ".join(f"{c} long" for c in COUNTS)
     rows = docs.select(F.col(key).alias("key"), F.col(host).cast("string").alias("host"), F.col(text).cast("string").alias("text")).mapInPandas(_measure, schema)
     return rows.withColumns(
