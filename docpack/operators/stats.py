@@ -8,6 +8,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from docpack.model import KEY
+from docpack.session import written
 
 
 def index_type_sets(docs: DataFrame) -> DataFrame:
@@ -78,8 +79,17 @@ def rotate_parts(rows: DataFrame, group: str, order: str, size: str, most: int)
 
 
 def batch_numbers(rows: DataFrame, size: int = 1000, by: str = "index", order: str = "id") -> DataFrame:
-    """Numbers of batches of ``size`` rows of each index, in order. One task orders one index, so give it keys without payloads."""
-    return rows.withColumn("batch", F.floor((F.row_number().over(W.partitionBy(by).orderBy(order)) - 1) / size).cast("long"))
+    """Numbers of batches of ``size`` rows of each index, in order.
+
+    Rows are dealt into ranges of (index, key), so that no task orders one index; a row's number is its place in its range
+    after the index's rows of the ranges before.
+    """
+    dealt = written(rows.repartitionByRange(by, order).withColumn("_range", F.spark_partition_id()), "ranges")
+    counts = dealt.groupBy(F.col(by).alias("_by"), F.col("_range").alias("_at")).agg(F.count("*").alias("_n"))
+    counts = counts.withColumn("_before", F.sum("_n").over(W.partitionBy("_by").orderBy("_at")) - F.col("_n"))  # as many rows as ranges and indices
+    placed = dealt.join(counts, F.col(by).eqNullSafe(F.col("_by")) & (F.col("_range") == F.col("_at")))
+    place = F.col("_before") + F.row_number().over(W.partitionBy(by, "_range").orderBy(order)) - 1
+    return placed.withColumn("batch", F.floor(place / size).cast("long")).select(*rows.columns, "batch")
 
 
 def active_runs(started: DataFrame, finished: DataFrame) -> DataFrame:

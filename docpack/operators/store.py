@@ -4,8 +4,10 @@
     <root>/meta/index=<name>/...                 settings, mappings, aliases
 
     <root>/pending/<n>.json                      an upsert that has not ended: where the new state of its buckets lies
+    <root>/deltas/<seq>-<writer>-<batch>/...     documents of micro-batches that were added since, merged as they are read
 
 The bucket count is the index's number of shards. An upsert rewrites only buckets that it touches; a bucket may be several files.
+Micro-batches are appended as deltas, so a batch costs its own documents and not the store's; ``compact`` puts them into the buckets.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructType
+from pyspark.sql.types import IntegerType, LongType, StructType
 
 from docpack.functions.predicates import of_types
 from docpack.model import DOC, KEY, META, struct
@@ -32,17 +34,75 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def scan(spark: SparkSession, root: str, indices: list[str] | None = None, types: dict | list | None = None, where: Column | str | None = None) -> DataFrame:
-    """Documents of some or (by default) all indices; index names prune partitions, the rest is pushed to the files."""
-    if not _exists(spark, f"{root}/docs"):
+    """Documents of some or (by default) all indices; index names prune partitions, the rest is pushed to the files.
+
+    Where the store has deltas, the last state of each key counts, and ``where`` comes after that.
+    """
+    paths = deltas(spark, root)
+    docs = None
+    if has_buckets(spark, root):
+        schema = StructType([*DOC_SCHEMA.fields]).add("bucket", IntegerType())
+        docs = spark.read.schema(schema).parquet(f"{root}/docs").select(*DOC_SCHEMA.names)
+    if paths:
+        added = _added(spark, paths)
+        docs = added if docs is None else docs.withColumn("_seq", F.lit(-1).cast("long")).unionByName(added)
+    if docs is None:
         return spark.createDataFrame([], DOC_SCHEMA)
-    schema = StructType([*DOC_SCHEMA.fields]).add("bucket", IntegerType())
-    docs = spark.read.schema(schema).parquet(f"{root}/docs").select(*DOC_SCHEMA.names)
     if indices and indices != ["_all"]:
         docs = docs.where(F.col("index").isin(indices))
     docs = docs.where(of_types(F.col("index"), F.col("type"), types))
+    if paths:  # index and type are of the key, so they may be filtered before
+        docs = last_writer(docs, [F.col("_seq")]).select(*DOC_SCHEMA.names)
     return docs.where(where) if where is not None else docs
 
 
+def has_buckets(spark: SparkSession, root: str) -> bool:
+    return _exists(spark, f"{root}/docs")
+
+
+def deltas(spark: SparkSession, root: str) -> list[str]:
+    """Folders of the deltas that are whole, oldest first: as many names as batches since ``compact``."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/deltas")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    found = [x.getPath() for x in fs.listStatus(folder)]
+    return sorted(p.toString() for p in found if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+
+
+def _added(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Documents of deltas with ``_seq``, the number of their delta."""
+    return spark.read.schema(StructType([*DOC_SCHEMA.fields]).add("_seq", LongType())).parquet(*paths)
+
+
+def append(docs: DataFrame, root: str, writer: str, batch: int, order: str | None = None) -> int:
+    """Adds the documents of a writer's micro-batch as a delta; returns how many deltas there are. Of equal keys the last by ``order`` counts.
+
+    Without versions: a later delta replaces what the store has. A batch that is run again replaces its own delta. One writer
+    at a time may append to a store; its name holds no ``-`` or ``/``.
+    """
+    spark = docs.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/deltas")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    known = sorted(x.getPath().getName() for x in fs.listStatus(folder)) if fs.exists(folder) else []
+    own = next((x for x in known if x.split("-", 1)[1] == f"{writer}-{batch}"), None)
+    seq = int(own.split("-")[0]) if own else int(known[-1].split("-")[0]) + 1 if known else 0
+    rows = last_writer(docs, [F.col(order)]) if order else docs.dropDuplicates(KEY)
+    rows.select(*DOC_SCHEMA.names, F.lit(seq).cast("long").alias("_seq")).write.mode("overwrite").parquet(f"{root}/deltas/{seq:012d}-{writer}-{batch}")
+    return len(known) + (0 if own else 1)
+
+
+def compact(spark: SparkSession, root: str) -> int:
+    """Puts all deltas into the buckets; returns how many there were. Broken off, it may be run again: the same documents are put again."""
+    paths = deltas(spark, root)
+    if paths:
+        _upsert(_added(spark, paths), root, None, "_seq", False, True)
+        for path in paths:
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    return len(paths)
+
+
 def metadata(spark: SparkSession, root: str, indices: list[str] | None = None, types: list[str] | None = None, kinds: list[str] | None = None) -> DataFrame:
     """Settings, mappings (of the given types; none means all) and aliases."""
     if not _exists(spark, f"{root}/meta"):
@@ -88,8 +148,14 @@ def upsert(docs: DataFrame, root: str, shards: int | DataFrame | None = None, or
 
     Either all documents have a version or none has. The new state of touched buckets is written beside the store first and then put
     in place of the old one. If that is broken off, the next upsert or ``recover`` does it again from what was written.
-    ``kept`` says that ``docs`` is a projection of a written table and need not be written again.
+    ``kept`` says that ``docs`` is a projection of a written table and need not be written again. Deltas are compacted before.
     """
+    recover(docs.sparkSession, root)
+    compact(docs.sparkSession, root)
+    _upsert(docs, root, shards, order, versions, kept)
+
+
+def _upsert(docs: DataFrame, root: str, shards: int | DataFrame | None, order: str | None, versions: bool | None, kept: bool) -> None:
     spark = docs.sparkSession
     recover(spark, root)
     if shards is None:
@@ -104,7 +170,7 @@ def upsert(docs: DataFrame, root: str, shards: int | DataFrame | None = None, or
     order = order or "_seq"
     rows = highest_version(rows, order) if versions else last_writer(rows, [F.col(order)])
     rows = bucketed(rows.select(*DOC_SCHEMA.names), shards)
-    if _exists(spark, f"{root}/docs"):
+    if has_buckets(spark, root):
         rows = written(rows, "latest")
         schema = StructType([*DOC_SCHEMA.fields]).add("bucket", IntegerType())
         touched = F.broadcast(rows.select("index", "bucket").distinct())  # as many rows as buckets

@@ -45,8 +45,22 @@ def small_batches(spark: SparkSession, most: int = 8 << 20) -> None:
         spark.conf.set(name, str(most))
 
 
+def run_folder(spark: SparkSession, run: str | None = None) -> str:
+    """Where the tables of this application, or of another one with the id ``run``, lie."""
+    return f"{shared_dir(spark)}/docpack/{run or spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/docpack/{name}-{uuid.uuid4().hex}"
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clean_up(spark: SparkSession, run: str | None = None) -> bool:
+    """Deletes all tables that this application (or ``run``) has written between its steps; says whether there were any.
+
+    Results are read from them, so store results first. A store with an upsert that was broken off needs ``store.recover`` before.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark, run))
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def written(df: DataFrame, name: str, narrow: bool = False) -> DataFrame:

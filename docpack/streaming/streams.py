@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,26 +19,43 @@ def _run(stream: DataFrame, each, checkpoint: str | None, name: str, every: str
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
 
-def import_stream(spark: SparkSession, landing: str, root: str, rename: dict | None = None, checkpoint: str | None = None, every: str | None = None, with_metadata: bool = True, with_aliases: bool = True):
-    """Imports archive files as they land, settings, mappings and aliases before documents; a file is whole in one batch, and so are its documents. A batch may be run again without harm."""
+def _appended(docs: DataFrame, root: str, checkpoint: str, n: int, order: str | None, compact_after: int) -> None:
+    """Adds batch ``n`` of the stream with this checkpoint to a store, and compacts the store when it has ``compact_after`` deltas.
+
+    The first documents of a store go to its buckets at once, as there is nothing to rewrite.
+    """
+    if not store.has_buckets(docs.sparkSession, root):
+        store.upsert(docs, root, order=order, versions=False)
+    elif store.append(docs, root, hashlib.sha256(checkpoint.encode()).hexdigest()[:16], n, order) >= compact_after:
+        store.compact(docs.sparkSession, root)
+
+
+def import_stream(spark: SparkSession, landing: str, root: str, rename: dict | None = None, checkpoint: str | None = None, every: str | None = None, with_metadata: bool = True, with_aliases: bool = True, compact_after: int = 64):
+    """Imports archive files as they land, settings, mappings and aliases before documents; a file is whole in one batch, and so are its documents.
+
+    Batches are appended to the store, which is compacted after every ``compact_after``. A batch may be run again without harm.
+    """
     archive.register(spark)
+    checkpoint = checkpoint or new_path(spark, "import-checkpoint")
 
     def each(batch: DataFrame, n: int) -> None:
         rows = written(reshape.kinds(batch), "landed")
         if with_metadata:
             put_metadata(reshape.packets_metadata(rows.where("kind <> 'doc'").withColumn("payload", F.col("fields")["_source"])), root, rename, None, None, with_aliases, "warn")
         docs = reshape.rename(reshape.route_fields(rows.where("kind = 'doc' AND index IS NOT NULL").drop("kind")), rename)
-        store.upsert(docs.withColumn("_order", F.struct("part", "archive", "run")), root, order="_order", versions=False, kept=True)
+        _appended(docs.withColumn("_order", F.struct("part", "archive", "run")), root, checkpoint, n, "_order", compact_after)
 
     return _run(spark.readStream.format("docpack_archive").option("documents", "true").load(landing), each, checkpoint, "import", every)
 
 
-def copy_stream(spark: SparkSession, from_root: str, to_root: str, rename: dict | None = None, checkpoint: str | None = None, files_per_batch: int = 1000, every: str | None = None):
-    """Copies a store's documents, files as they come, with upserts by batch."""
+def copy_stream(spark: SparkSession, from_root: str, to_root: str, rename: dict | None = None, checkpoint: str | None = None, files_per_batch: int = 1000, every: str | None = None, compact_after: int = 64):
+    """Copies a store's documents, files as they come; batches are appended as ``import_stream``'s are. The source's deltas come when it is compacted, as it is at the start."""
+    store.compact(spark, from_root)
+    checkpoint = checkpoint or new_path(spark, "copy-checkpoint")
     stream = spark.readStream.schema(spark.read.parquet(f"{from_root}/docs").schema).option("maxFilesPerTrigger", files_per_batch).parquet(f"{from_root}/docs")
 
     def each(batch: DataFrame, n: int) -> None:
-        store.upsert(reshape.rename(batch.drop("bucket"), rename), to_root, versions=False)
+        _appended(reshape.rename(batch.drop("bucket"), rename), to_root, checkpoint, n, None, compact_after)
 
     return _run(stream, each, checkpoint, "copy", every)
 

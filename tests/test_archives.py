@@ -1,5 +1,6 @@
 import io
 import json
+import os
 import random
 import shutil
 import struct
@@ -371,3 +372,43 @@ def test_parents_of_one_index(spark):
     assert store.children_with_parents(child, parents).count() == 2
     assert store.children_with_parents(child, parents, one_index=True).first()["parent_source"] == "A"
     assert store.orphans(child, parents.where("index = 'b'"), one_index=True).count() == 1
+
+
+def test_deltas_are_merged_as_they_are_read_and_compacted(spark):
+    root = new_path(spark, "root")
+    rows = lambda first, last, text: table(spark, [("i", "t", str(k), None, text) for k in range(first, last)])
+    state = lambda: {r["id"]: r["_source"] for r in store.scan(spark, root).collect()}
+    store.upsert(rows(0, 6, "a"), root)
+    files = set(spark.read.parquet(f"{root}/docs").inputFiles())
+    assert store.append(rows(2, 8, "b"), root, "w", 0) == 1
+    assert store.append(rows(4, 9, "lost"), root, "w", 1) == 2
+    assert store.append(rows(4, 9, "c"), root, "w", 1) == 2  # run again
+    want = {str(k): "a" if k < 2 else "b" if k < 4 else "c" for k in range(9)}
+    assert state() == want and set(spark.read.parquet(f"{root}/docs").inputFiles()) == files
+    assert store.scan(spark, root, where="_source = 'b'").count() == 2  # states that were replaced are not found
+    assert store.scan(spark, root, ["j"]).count() == 0
+    assert store.compact(spark, root) == 2 and store.compact(spark, root) == 0 and state() == want
+    store.append(rows(0, 1, "d"), root, "w", 2)
+    store.upsert(rows(0, 2, "e"), root)  # later than all deltas
+    assert state() == want | {"0": "e", "1": "e"} and not store.deltas(spark, root)
+
+
+def test_a_delta_that_was_not_finished_is_not_read(spark):
+    root = new_path(spark, "root")
+    store.append(table(spark, [("i", "t", "1", None, "a")]), root, "w", 0)
+    store.append(table(spark, [("i", "t", "1", None, "half")]), root, "w", 1)
+    os.remove(local(store.deltas(spark, root)[1]) + "/_SUCCESS")
+    assert [r["_source"] for r in store.scan(spark, root).collect()] == ["a"]
+    store.append(table(spark, [("i", "t", "1", None, "b"), ("i", "t", "2", None, "b")]), root, "w", 1)
+    assert [r["_source"] for r in store.scan(spark, root).collect()] == ["b", "b"]
+
+
+def test_streams_compact_after_some_batches(spark):
+    landing, root, points = new_path(spark, "landing"), new_path(spark, "store"), new_path(spark, "points")
+    seen = []
+    for k in range(5):
+        jobs.export(table(spark, [("i", "t", str(n), None, str(k)) for n in (k, 9)]), landing, f"{k}.tar")
+        streams.import_stream(spark, landing, root, checkpoint=points, compact_after=3).awaitTermination()
+        seen.append(len(store.deltas(spark, root)))
+        assert {r["id"]: r["_source"] for r in store.scan(spark, root).collect()} == {str(n): str(n) for n in range(k + 1)} | {"9": str(k)}
+    assert seen == [0, 1, 2, 0, 1]

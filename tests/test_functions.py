@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from docpack import session
 from docpack.functions import names, predicates
 from docpack.model import KEY
 from docpack.operators import reshape, stats
@@ -72,6 +73,22 @@ def test_rotation_restarts_its_counter(spark):
     assert [r["part"] for r in stats.rotate_parts(rows, "g", "k", "n", 100).orderBy("k").collect()] == [0, 0, 1, 1, 2, 2]
 
 
+def test_batches_across_ranges(spark):
+    keys = [(g, f"{k:04d}") for g, n in (("a", 350), ("b", 7), (None, 20)) for k in range(n)]
+    rows = spark.createDataFrame(keys, "index string, id string").repartition(5)
+    found = {(r["index"], r["id"]): r["batch"] for r in stats.batch_numbers(rows, 10).collect()}
+    assert found == {(g, k): int(k) // 10 for g, k in keys}
+    assert stats.batch_numbers(rows.where("false"), 10).count() == 0
+
+
+def test_cleaning_up(spark):
+    kept = session.written(spark.range(3), "kept")
+    path = session.run_folder(spark, "another")
+    spark.range(3).write.parquet(f"{path}/x")
+    assert session.clean_up(spark, "another") and not session.clean_up(spark, "another")
+    assert kept.count() == 3
+
+
 def test_empty_inputs(spark):
     none = spark.createDataFrame([], "index string, type string, id string, field string, payload string, seq long, archive string")
     assert reshape.assemble(reshape.coordinate_runs(none)).count() == 0
