@@ -27,7 +27,7 @@ from docpack.llm.text import U, mix, shingles, word_hashes
 from docpack.session import sided, small_batches, written
 
 REGISTERS, BANDS = 64, 16
-CHARS = 8 << 20
+CHARS = 2 << 20
 
 
 def bags(texts: list[str | None], size: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
