@@ -23,7 +23,7 @@ from dataclasses import dataclass, field
 
 import pyarrow as pa
 import pyarrow.fs as pfs
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, DataSourceWriter, EqualTo, Filter, In, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, DataSourceStreamReader, EqualTo, Filter, In, InputPartition, WriterCommitMessage
 from pyspark.sql.types import StructType
 
 from docpack.model import PACKET, RUN
@@ -37,6 +37,7 @@ RUN_ARROW = pa.schema(
     [pa.field(n, pa.string()) for n in NAMES[:3]] + [pa.field("fields", pa.map_(pa.string(), pa.string())), pa.field("run", pa.int64()), pa.field("last_seq", pa.int64()), pa.field("archive", pa.string()), pa.field("part", pa.int32())]
 )
 ROWS = 2000
+WRITTEN = NAMES[:6]
 
 
 def file_system(path: str) -> tuple[pfs.FileSystem, str]:
@@ -259,13 +260,21 @@ def _run_batch(rows: list[list]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, RUN_ARROW, strict=True)], schema=RUN_ARROW)
 
 
+def _packets(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """The packets of Arrow batches, as the formats' writers take them."""
+    for batch in batches:
+        columns = [batch.column(n).to_pylist() for n in WRITTEN]
+        for index, type_, id_, field_, payload, meta in zip(*columns, strict=True):
+            yield {"index": index, "type": type_, "id": id_, "field": field_, "payload": payload, "meta": dict(meta) if meta else None}
+
+
 @dataclass
 class Parts(WriterCommitMessage):
     files: list[tuple[str, int, int]] = field(default_factory=list)  # temporary path, packets, payload bytes
     docs: int = 0
 
 
-class Writer(DataSourceWriter):
+class Writer(DataSourceArrowWriter):
     def __init__(self, options: dict, overwrite: bool):
         self.directory, self.name = options["path"].rstrip("/"), options.get("name", "_all.tar.gz")
         if not (found := formats.format_of(self.name)):
@@ -300,7 +309,7 @@ class Writer(DataSourceWriter):
         task = TaskContext.get()
         number = task.partitionId() if task else 0
         before = None
-        for row in iterator:
+        for row in _packets(iterator):
             now = (row["index"], row["type"], row["id"])
             if out is not None and self.most and size > self.most and now != before:
                 close()
@@ -312,7 +321,7 @@ class Writer(DataSourceWriter):
                 path = f"{inner}/_part-{self.job}-{number:06d}-{len(done.files):06d}-{uuid.uuid4().hex[:8]}"
                 raw, f, out = self._open(fs, path)
                 packets = size = 0
-            size += out.add(row.asDict(recursive=True))
+            size += out.add(row)
             packets += 1
         if out is not None:
             close()

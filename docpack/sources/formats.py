@@ -23,9 +23,12 @@ def format_of(path: str) -> tuple[str, str] | None:
     return (m[1].lower(), (m[2] or "").lower()) if m else None
 
 
+PLAIN = re.compile(r"[A-Za-z0-9_.*-]+")
+
+
 def encode_name(*parts: str | None) -> str:
     """Four name components; a missing or empty one is the word ``null``."""
-    return "/".join(quote_plus(p, safe=KEEP).replace("~", "%7E") if p else "null" for p in parts)
+    return "/".join((p if PLAIN.fullmatch(p) else quote_plus(p, safe=KEEP).replace("~", "%7E")) if p else "null" for p in parts)
 
 
 def decode_name(name: str) -> list[str | None] | None:
@@ -35,6 +38,9 @@ def decode_name(name: str) -> list[str | None] | None:
         return None
     out = []
     for p in parts:
+        if PLAIN.fullmatch(p):  # nothing to decode
+            out.append(p)
+            continue
         head, mark, tail = p.partition("#")
         out.append(unquote_plus(head) + mark + tail.replace("+", " "))
     return [*out, *[None] * (4 - len(out))]
@@ -76,7 +82,8 @@ def read_bulk(f: BinaryIO) -> Iterator[tuple[dict[str, str], str]]:
 
 def read_tar(f: BinaryIO) -> Iterator[tuple[str, bytes]]:
     with tarfile.open(fileobj=f, mode="r|", encoding="utf-8", errors="surrogateescape") as tar:
-        for entry in tar:
+        while entry := tar.next():
+            tar.members.clear()  # else all headers of the archive stay in memory
             if entry.isfile():
                 yield entry.name, tar.extractfile(entry).read()
 
@@ -174,14 +181,30 @@ class BulkWriter:
 
 
 class TarWriter:
+    """Headers differ in name and size only, so those that fit are made from one that ``tarfile`` gives."""
+
+    BLANK = tarfile.TarInfo().tobuf(tarfile.GNU_FORMAT)
+
     def __init__(self, f: BinaryIO):
         self.tar = tarfile.open(fileobj=f, mode="w|", format=tarfile.GNU_FORMAT, encoding="utf-8")  # noqa: SIM115
 
+    def _header(self, name: bytes, size: int) -> bytes:
+        head = name.ljust(100, b"\0") + self.BLANK[100:124] + b"%011o\0" % size + self.BLANK[136:148]
+        total = sum(head) + 8 * 32 + sum(self.BLANK[156:])  # the sum's own field counts as blanks
+        return head + b"%06o\0 " % total + self.BLANK[156:]
+
     def add(self, packet: dict) -> int:
         data = (packet["payload"] or "").encode()
-        info = tarfile.TarInfo(encode_name(*(packet[k] for k in ("index", "type", "id", "field"))))
+        name = encode_name(*(packet[k] for k in ("index", "type", "id", "field")))
+        if len(name) <= 100 and name.isascii() and len(data) < 1 << 33:
+            block = self._header(name.encode(), len(data)) + data + b"\0" * (-len(data) % tarfile.BLOCKSIZE)
+            self.tar.fileobj.write(block)
+            self.tar.offset += len(block)
+            return len(data)
+        info = tarfile.TarInfo(name)
         info.size = len(data)
         self.tar.addfile(info, io.BytesIO(data))
+        self.tar.members.clear()
         return len(data)
 
     def close(self) -> None:

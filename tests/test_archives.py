@@ -412,3 +412,18 @@ def test_streams_compact_after_some_batches(spark):
         seen.append(len(store.deltas(spark, root)))
         assert {r["id"]: r["_source"] for r in store.scan(spark, root).collect()} == {str(n): str(n) for n in range(k + 1)} | {"9": str(k)}
     assert seen == [0, 1, 2, 0, 1]
+
+
+def test_tar_headers_are_those_of_tarfile():
+    packets = [{"index": "a", "type": "b", "id": x, "field": "_source", "payload": p} for x in ("1", "ü ~/", "x" * 79, "x" * 80, "x" * 81, "y" * 300) for p in (None, "", "ä" * 700)]
+    own, other = io.BytesIO(), io.BytesIO()
+    out = formats.TarWriter(own)
+    with tarfile.open(fileobj=other, mode="w|", format=tarfile.GNU_FORMAT, encoding="utf-8") as tar:
+        for p in packets:
+            data = (p["payload"] or "").encode()
+            assert out.add(p) == len(data)
+            info = tarfile.TarInfo(formats.encode_name(p["index"], p["type"], p["id"], p["field"]))
+            info.size = len(data)
+            tar.addfile(info, io.BytesIO(data))
+    out.close()
+    assert own.getvalue() == other.getvalue()
