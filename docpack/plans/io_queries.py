@@ -219,10 +219,32 @@ def create_index(spark, d):
 @query("shards_setting", "SELECT 'orders' AS \"index\", count(*) AS docs, 1 + (SELECT count(*) % 5 FROM orders) AS shards FROM orders")
 def shards_setting(spark, d):
     root = _store(spark, d, T.orders_docs(spark, d))
-    rows = spark.read.parquet(f"{root}/docs")
+    rows = store.in_buckets(spark, root)
     return rows.groupBy("index").agg(F.count("*").alias("docs"), (F.max("bucket") + 1).cast("long").alias("shards"))
 
 
+@query("reshard_import", f"SELECT \"index\", type, id, _source, CASE \"index\" WHEN 'orders' THEN 7 WHEN 'customer' THEN 3 ELSE 4 END::BIGINT AS shards FROM {T.STORES}")
+def reshard_import(spark, d):
+    """An archive imported twice, the second time with other numbers of shards: one more bucket for each of two indices would not do."""
+    path, root = new_path(spark, "archive"), new_path(spark, "store")
+    jobs.export(T.stores(spark, d), path, "stores.tar")
+    for orders, customer in ((4, 5), (7, 3)):
+        settings = spark.createDataFrame([(i, "_settings", None, f'{{"index.number_of_shards":"{n}"}}') for i, n in (("orders", orders), ("customer", customer))], "index string, kind string, name string, body string")
+        store.upsert_metadata(settings, root)
+        jobs.import_(spark, path, root)
+    places = store.in_buckets(spark, root).groupBy("index").agg((F.max("bucket") + 1).cast("long").alias("shards"))
+    return store.scan(spark, root).join(places, "index").select(*KEY, "_source", "shards")
+
+
+@query("delta_scan", f"SELECT \"index\", type, id, CASE WHEN type = 'F' AND id::BIGINT % 50 = 7 THEN _source || ' ' ELSE _source END AS _source FROM {T.STORES}")
+def delta_scan(spark, d):
+    """A store with a small delta, read without moving the documents that the delta does not have."""
+    root = _store(spark, d)
+    some = T.orders_docs(spark, d).where("type = 'F' AND CAST(id AS LONG) % 50 = 7").withColumn("_source", F.concat("_source", F.lit(" ")))
+    store.append(some, root, "query", 0)
+    return store.scan(spark, root).select(*KEY, "_source")
+
+
 @query("create_alias", "SELECT c_custkey::VARCHAR AS id FROM customer WHERE c_mktsegment = 'BUILDING'")
 def create_alias(spark, d):
     root = _store(spark, d, T.customer_docs(spark, d))
@@ -292,9 +314,53 @@ def pull_copy(spark, d):
     return store.metadata(spark, root)
 
 
+VERSIONS = "SELECT o_orderkey::VARCHAR AS id, o_custkey % 7 + (CASE WHEN o_orderkey % 3 = 2 THEN 1 ELSE 0 END) AS _version, '{\"o_orderkey\":' || o_orderkey || ',\"m\":' || (CASE WHEN o_orderkey % 3 = 2 THEN 1 ELSE 0 END) || '}' AS _source FROM orders"
+
+
+@query("push_versions", VERSIONS)
+def push_versions(spark, d):
+    """A push onto a store that has newer versions of a third of the documents, equal ones of a third and older ones of a third."""
+    root, remote = _store(spark, d, _versioned(spark, d, 1), meta=False), _store(spark, d, _versioned(spark, d, 0), meta=False)
+    jobs.push(spark, root, remote, with_metadata=False, if_exists="warn")
+    return store.scan(spark, remote).select("id", "_version", "_source")
+
+
+@query("push_types", f"SELECT kind, name FROM {T.METAS} m WHERE \"index\" = 'customer' AND (kind <> '_mapping' OR name = 'BUILDING')")
+def push_types(spark, d):
+    """A push of one type takes the mapping of that type only."""
+    root, remote = _store(spark, d, T.customer_docs(spark, d)), new_path(spark, "store")
+    jobs.push(spark, root, remote, indices=["customer"], types=["BUILDING"])
+    return store.metadata(spark, remote).select("kind", "name")
+
+
 # -- streams
 
 
+@query("stream_versions", VERSIONS)
+def stream_versions(spark, d):
+    """Archives whose versions are partly older than what the store has, streamed into deltas."""
+    landing, root, points = new_path(spark, "landing"), new_path(spark, "store"), new_path(spark, "points")
+    for mark in (0, 1):
+        jobs.export(_versioned(spark, d, mark), landing, f"orders-{mark}.bulk.gz")
+        streams.import_stream(spark, landing, root, checkpoint=points).awaitTermination()
+    return store.scan(spark, root).select("id", "_version", "_source")
+
+
+@query("copy_changes", "SELECT o_orderkey::VARCHAR AS id, CASE WHEN o_orderkey % 100 = 1 THEN 'new' ELSE 'old' END AS _source, CASE WHEN o_orderkey % 100 = 1 THEN 1 ELSE 0 END AS batch FROM orders")
+def copy_changes(spark, d):
+    """A copy that follows a store: its second batch is what an upsert changed and no more."""
+    root, remote, points = new_path(spark, "store"), new_path(spark, "store"), new_path(spark, "points")
+    docs = T.orders_docs(spark, d).withColumn("_source", F.lit("old"))
+    store.upsert(docs, root)
+    streams.copy_stream(spark, root, remote, checkpoint=points).awaitTermination()
+    store.upsert(docs.where("CAST(id AS LONG) % 100 = 1").withColumn("_source", F.lit("new")), root)
+    streams.copy_stream(spark, root, remote, checkpoint=points).awaitTermination()
+    second = store.changes(spark, remote).where("_seq > 1").select(F.col("id").alias("_id"))
+    rows = store.scan(spark, remote).select("id", "_source")
+    return rows.join(second, F.col("id") == F.col("_id"), "left").select("id", "_source", F.col("_id").isNotNull().cast("int").alias("batch"))
+
+
+
 @query("stream_import", f"SELECT {KEY3}, _source FROM ({T.PAGE})")
 def stream_import(spark, d):
     landing, root = new_path(spark, "landing"), new_path(spark, "store")

@@ -190,8 +190,9 @@ def import_(
     return counts
 
 
-def _of_types(meta: DataFrame, types: list[str] | None) -> DataFrame:
-    return meta.where((F.col("kind") != "_mapping") | F.col("name").isin(types)) if types else meta
+def _of_types(meta: DataFrame, types: dict | list | None) -> DataFrame:
+    """Without the mappings of other types."""
+    return meta.where((F.col("kind") != "_mapping") | of_types(F.col("index"), F.col("name"), types)) if types else meta
 
 
 def put_metadata(meta: DataFrame, root: str, rename: dict | None, settings: dict | None, mappings: dict | None, with_aliases: bool, if_exists: str) -> None:
@@ -203,14 +204,15 @@ def put_metadata(meta: DataFrame, root: str, rename: dict | None, settings: dict
 
 
 def copy(spark: SparkSession, from_root: str, to_root: str, if_exists: str, indices=None, types=None, where=None, fields=None, rename=None, settings=None, mappings=None, with_metadata=True, with_aliases=True, limit=None, system=None) -> DataFrame:
+    """Copies documents, and metadata (mappings of the given types only). A document with a version replaces lower versions only."""
     started = _now()
     if with_metadata:
-        put_metadata(store.metadata(spark, from_root, indices), to_root, rename, settings, mappings, with_aliases, if_exists)
+        put_metadata(_of_types(store.metadata(spark, from_root, indices), types), to_root, rename, settings, mappings, with_aliases, if_exists)
     docs = store.scan(spark, from_root, indices, types, where).where(not_system(F.col("index"), system))
     docs = reshape.rename(limited(docs, limit, False), rename)
     if fields is not None:
         docs = docs.withColumns({a: F.lit(None).cast("long" if a == "_version" else "string") for a in ATTRIBUTES if a not in fields})
-    store.upsert(docs, to_root, versions=False)
+    store.upsert(docs, to_root, versions=True)
     counts = written(stats.doc_count(store.scan(spark, to_root)), "copy-count")
     log_run(to_root, "copy", from_root, started, counts.agg(F.sum("docs")).first()[0] or 0, {})
     return counts

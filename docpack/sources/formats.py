@@ -50,7 +50,7 @@ def decode_name(name: str) -> list[str | None] | None:
 
 
 ACTION = {k: re.compile(rf'"_{k}"\s*:\s*("(?:[^"\\]|\\.)*")') for k in ("index", "type", "id", "parent", "routing", "timestamp")}
-VERSION = re.compile(r'"_version"\s*:\s*"?(\d+)')
+VERSION = re.compile(r'"_version"\s*:\s*"?(-?\d+)')
 
 
 def parse_action(line: str) -> dict[str, str]:

@@ -11,7 +11,7 @@ from docpack.model import KEY
 from docpack.operators import reshape, store
 from docpack.plans.jobs import put_metadata
 from docpack.session import new_path, written
-from docpack.sources import archive
+from docpack.sources import archive, feed
 
 
 def _run(stream: DataFrame, each, checkpoint: str | None, name: str, every: str | None = None, mode: str = "append"):
@@ -19,21 +19,22 @@ def _run(stream: DataFrame, each, checkpoint: str | None, name: str, every: str
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
 
-def _appended(docs: DataFrame, root: str, checkpoint: str, n: int, order: str | None, compact_after: int) -> None:
+def _appended(docs: DataFrame, root: str, checkpoint: str, n: int, order: str, compact_after: int) -> None:
     """Adds batch ``n`` of the stream with this checkpoint to a store, and compacts the store when it has ``compact_after`` deltas.
 
-    The first documents of a store go to its buckets at once, as there is nothing to rewrite.
+    The first documents of a store go to its buckets at once, as there is nothing to rewrite. Documents with versions replace lower ones only.
     """
     if not store.has_buckets(docs.sparkSession, root):
-        store.upsert(docs, root, order=order, versions=False)
-    elif store.append(docs, root, hashlib.sha256(checkpoint.encode()).hexdigest()[:16], n, order) >= compact_after:
+        store.upsert(docs, root, order=order, versions=True)
+    elif store.append(docs, root, hashlib.sha256(checkpoint.encode()).hexdigest()[:16], n, order, versions=True) >= compact_after:
         store.compact(docs.sparkSession, root)
 
 
-def import_stream(spark: SparkSession, landing: str, root: str, rename: dict | None = None, checkpoint: str | None = None, every: str | None = None, with_metadata: bool = True, with_aliases: bool = True, compact_after: int = 64):
+def import_stream(spark: SparkSession, landing: str, root: str, rename: dict | None = None, checkpoint: str | None = None, every: str | None = None, with_metadata: bool = True, with_aliases: bool = True, compact_after: int = 64, max_files: int = 0):
     """Imports archive files as they land, settings, mappings and aliases before documents; a file is whole in one batch, and so are its documents.
 
     Batches are appended to the store, which is compacted after every ``compact_after``. A batch may be run again without harm.
+    ``max_files`` bounds the files of a batch (0: none); a stream without ``every`` is one batch then.
     """
     archive.register(spark)
     checkpoint = checkpoint or new_path(spark, "import-checkpoint")
@@ -45,17 +46,20 @@ def import_stream(spark: SparkSession, landing: str, root: str, rename: dict | N
         docs = reshape.rename(reshape.route_fields(rows.where("kind = 'doc' AND index IS NOT NULL").drop("kind")), rename)
         _appended(docs.withColumn("_order", F.struct("part", "archive", "run")), root, checkpoint, n, "_order", compact_after)
 
-    return _run(spark.readStream.format("docpack_archive").option("documents", "true").load(landing), each, checkpoint, "import", every)
+    return _run(spark.readStream.format("docpack_archive").option("documents", "true").option("maxFiles", max_files).load(landing), each, checkpoint, "import", every)
 
 
-def copy_stream(spark: SparkSession, from_root: str, to_root: str, rename: dict | None = None, checkpoint: str | None = None, files_per_batch: int = 1000, every: str | None = None, compact_after: int = 64):
-    """Copies a store's documents, files as they come; batches are appended as ``import_stream``'s are. The source's deltas come when it is compacted, as it is at the start."""
-    store.compact(spark, from_root)
+def copy_stream(spark: SparkSession, from_root: str, to_root: str, rename: dict | None = None, checkpoint: str | None = None, changes_per_batch: int = 0, every: str | None = None, compact_after: int = 64):
+    """Copies a store and then follows its changes, so a write of ten documents copies ten; batches are appended as ``import_stream``'s are.
+
+    ``changes_per_batch`` bounds the writes that a batch takes (0: none); a stream without ``every`` is one batch then.
+    """
+    spark.dataSource.register(feed.StoreFeed)
     checkpoint = checkpoint or new_path(spark, "copy-checkpoint")
-    stream = spark.readStream.schema(spark.read.parquet(f"{from_root}/docs").schema).option("maxFilesPerTrigger", files_per_batch).parquet(f"{from_root}/docs")
+    stream = spark.readStream.format("docpack_feed").option("maxChanges", changes_per_batch).load(from_root)
 
     def each(batch: DataFrame, n: int) -> None:
-        _appended(reshape.rename(batch.drop("bucket"), rename), to_root, checkpoint, n, None, compact_after)
+        _appended(reshape.rename(batch, rename), to_root, checkpoint, n, "_seq", compact_after)
 
     return _run(stream, each, checkpoint, "copy", every)
 

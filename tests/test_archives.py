@@ -1,6 +1,5 @@
 import io
 import json
-import os
 import random
 import shutil
 import struct
@@ -341,22 +340,6 @@ def test_payloads_that_are_no_text_fail(spark):
     assert jobs.read_packets(spark, path, badText="replace").count() == 1
 
 
-def test_an_upsert_that_was_broken_off_is_taken_up_again(spark, monkeypatch):
-    root = new_path(spark, "root")
-    store.upsert(table(spark, [("i", "t", str(k), None, "old") for k in range(20)]), root)
-
-    def broken(*args):
-        raise RuntimeError("lost")
-
-    with monkeypatch.context() as m:
-        m.setattr(store, "_put", broken)
-        with pytest.raises(RuntimeError):
-            store.upsert(table(spark, [("i", "t", str(k), None, "new") for k in range(10, 30)]), root)
-    assert store.scan(spark, root).where("_source = 'new'").count() == 0
-    assert store.recover(spark, root) == 1 and store.recover(spark, root) == 0
-    assert {r["id"]: r["_source"] for r in store.scan(spark, root).collect()} == {str(k): "old" if k < 10 else "new" for k in range(30)}
-
-
 def test_streams_import_metadata(spark):
     landing, root = new_path(spark, "landing"), new_path(spark, "store")
     meta = spark.createDataFrame([("i", "_settings", None, '{"index.number_of_shards":"2"}'), ("i", "_alias", "al", "")], "index string, kind string, name string, body string")
@@ -393,16 +376,6 @@ def test_deltas_are_merged_as_they_are_read_and_compacted(spark):
     assert state() == want | {"0": "e", "1": "e"} and not store.deltas(spark, root)
 
 
-def test_a_delta_that_was_not_finished_is_not_read(spark):
-    root = new_path(spark, "root")
-    store.append(table(spark, [("i", "t", "1", None, "a")]), root, "w", 0)
-    store.append(table(spark, [("i", "t", "1", None, "half")]), root, "w", 1)
-    os.remove(local(store.deltas(spark, root)[1]) + "/_SUCCESS")
-    assert [r["_source"] for r in store.scan(spark, root).collect()] == ["a"]
-    store.append(table(spark, [("i", "t", "1", None, "b"), ("i", "t", "2", None, "b")]), root, "w", 1)
-    assert [r["_source"] for r in store.scan(spark, root).collect()] == ["b", "b"]
-
-
 def test_streams_compact_after_some_batches(spark):
     landing, root, points = new_path(spark, "landing"), new_path(spark, "store"), new_path(spark, "points")
     seen = []
