@@ -19,7 +19,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docpack.llm.components import components
@@ -131,12 +132,14 @@ def _lengths(*columns: pd.Series) -> list[int]:
 
 
 def _sign(size: int, registers: int, bands: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in _chunks(_lengths(batch["text"])):
-                part = batch.iloc[at]
-                rows = signatures(part["text"].tolist(), size, registers, bands)
-                yield pd.DataFrame({"id": part["id"].to_numpy(), "content": part["content"].to_numpy(), "n": [r[0] for r in rows], "fp1": [r[1] for r in rows], "fp2": [r[2] for r in rows], "bands": [r[3] for r in rows]})
+            texts = batch.column("text").to_pylist()
+            for at in _chunks([len(t) if t else 0 for t in texts]):
+                part = batch.slice(at.start, at.stop - at.start)
+                rows = list(zip(*signatures(texts[at], size, registers, bands), strict=True))
+                numbers = [pa.array(x, pa.int64()) for x in rows[:3]]
+                yield pa.RecordBatch.from_arrays([part.column("key"), part.column("content"), *numbers, pa.array(rows[3], pa.list_(pa.int64()))], names=["key", "content", "n", "fp1", "fp2", "bands"])
 
     return run
 
@@ -157,11 +160,11 @@ def _check(size: int, least: float):
     return run
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, size: int, least: float, kind: str) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, size: int, least: float) -> DataFrame:
     """``pairs`` (a, b) with the overlap ``o`` of their multisets and whether they are similar enough."""
     one = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
     two = one.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
-    return two.select("a", "b", "text_a", "text_b").mapInPandas(_check(size, least), f"a {kind}, b {kind}, o long, same boolean")
+    return two.select("a", "b", "text_a", "text_b").mapInPandas(_check(size, least), "a long, b long, o long, same boolean")
 
 
 def _own(size: int):
@@ -175,12 +178,12 @@ def _own(size: int):
     return run
 
 
-def _room(texts: DataFrame, copies: DataFrame, size: int, least: float, kind: str) -> DataFrame:
+def _room(texts: DataFrame, copies: DataFrame, size: int, least: float) -> DataFrame:
     """For each document of ``texts`` its n shingles, the u of them that no other one has, and what sizes may be similar enough.
 
     It shares n - u shingles with another at most, so the other has between ``least * n`` and ``(n - u) * (1 + least) / least - n``.
     """
-    alone = texts.mapInPandas(_own(size), f"id {kind}, element long, w long").groupBy("element").agg(F.count("*").alias("docs"), F.min("id").alias("id"), F.sum("w").alias("w"))
+    alone = texts.mapInPandas(_own(size), "id long, element long, w long").groupBy("element").agg(F.count("*").alias("docs"), F.min("id").alias("id"), F.sum("w").alias("w"))
     own = alone.where("docs = 1").groupBy("id").agg(F.sum("w").alias("u"))
     sizes = copies.select(F.col("rep").alias("id"), "n").join(texts.select("id"), "id").join(own, "id", "left").withColumn("u", F.coalesce("u", F.lit(0)))
     most = F.floor((F.col("n") - F.col("u")) * ((1 + least) / least) - F.col("n") + 1e-6)
@@ -224,58 +227,72 @@ def _outside_pairs(members: DataFrame, roots: DataFrame, compared: DataFrame, le
     return written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near-pairs", narrow=True)
 
 
-def near_classes(docs: DataFrame, text: str = "text", key: str = "doc_id", least: float = 0.8, size: int = 5, registers: int = REGISTERS, bands: int = BANDS) -> DataFrame:
-    """``doc_id`` and ``class_id`` of every row: the least key of its class of near-duplicates.
+def _content(text: str) -> Column:
+    return F.xxhash64(F.col(text).cast("string"))
 
-    Classes are the connected components of pairs with weighted Jaccard similarity of at least ``least``. Texts of fewer words
-    than ``size`` are one shingle of all their words; null texts and texts without words are alike to none. Rows with equal keys
-    are one node; if their texts differ, the one with the least hash is compared. Rows with a null key have a null class. Empty
-    tables give no rows.
-    """
+
+def _near_nodes(docs: DataFrame, text: str, key: str, least: float, size: int, registers: int, bands: int) -> DataFrame:
+    """``key, content, id, root``: the members of classes of more than one document. A document is a key (or none) and a text, however many rows have both."""
     small_batches(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
-    known = docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text")).where("id IS NOT NULL").withColumn("content", F.xxhash64("text"))
-    signed = written(known.mapInPandas(_sign(size, registers, bands), f"id {kind}, content long, n long, fp1 long, fp2 long, bands array<long>"), "signatures")
-    several = signed.groupBy("id").agg(F.min("content").alias("least"), F.max("content").alias("most")).where(F.col("least") != F.col("most"))
-    several = written(several.select("id", "least"), "near-several", narrow=True)
-    if not several.isEmpty():
-        one = lambda rows: rows.join(sided(several), "id", "left").where(F.col("least").isNull() | (F.col("least") == F.col("content"))).drop("least")
-        known, signed = one(known), written(one(signed), "signatures-one")
-    known = known.drop("content")
+    known = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).withColumn("content", F.xxhash64("text"))
+    signed = known.mapInArrow(_sign(size, registers, bands), f"key {kind}, content long, n long, fp1 long, fp2 long, bands array<long>")
+    # ids are given as the table is written, and stay
+    signed = written(signed.dropDuplicates(["key", "content"]).withColumn("id", F.monotonically_increasing_id()), "signatures")
     copies = signed.where("n > 0").groupBy("n", "fp1", "fp2").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
     copies = written(copies, "copies", narrow=True)
-    # of copies only the least key goes on
-    alone = copies.select(F.col("rep").alias("id"), "n", "fp1", "fp2")
-    hashed = signed.where("n > 0").join(alone, ["id", "n", "fp1", "fp2"]).select("id", F.posexplode("bands").alias("band", "hash"))
+    # of copies only one goes on
+    hashed = signed.join(copies.select(F.col("rep").alias("id")), "id").select("id", F.posexplode("bands").alias("band", "hash"))
     hashed = written(hashed, "bands", narrow=True)
     open_ = written(hashed.groupBy("band", "hash").agg(F.count("*").alias("members")).where("members > 1"), "bucket-open", narrow=True)
     shared = written(hashed.join(open_, ["band", "hash"]), "buckets-shared", narrow=True)
-    wanted = sided(written(shared.select("id").distinct(), "near-wanted", narrow=True))
-    texts = written(known.join(wanted, "id", "left_semi").dropDuplicates(["id"]), "near-texts")
-    sizes = _room(texts, copies, size, least, kind)
+    wanted = shared.select("id").distinct().join(signed.select("id", "key", "content"), "id")
+    wanted = written(wanted.select("id", F.col("key").alias("_key"), F.col("content").alias("_content")), "near-wanted", narrow=True)
+    texts = known.join(sided(wanted), F.col("key").eqNullSafe(F.col("_key")) & (F.col("content") == F.col("_content")))
+    texts = written(texts.select("id", "text").dropDuplicates(["id"]), "near-texts")
+    sizes = _room(texts, copies, size, least)
     # a bucket's leader is the member that meets most others in all its bands: in a group of altered copies, the one nearest to the rest
     met = shared.groupBy("id").agg(F.sum("members").alias("met"))
     sized = written(shared.join(sizes.join(met, "id"), "id"), "buckets-sized", narrow=True)
     buckets = written(sized.groupBy("band", "hash").agg(F.min(F.struct(-F.col("met"), F.col("id"))).alias("first")).select("band", "hash", F.col("first.id").alias("leader")), "bucket-leaders", narrow=True)
     members = written(sized.join(buckets, ["band", "hash"]), "buckets", narrow=True)
     stars = written(members.where("id <> leader").select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct(), "stars", narrow=True)
-    compared = written(_verified(stars, texts, size, least, kind), "near-compared")
+    compared = written(_verified(stars, texts, size, least), "near-compared")
     roots = components(compared.where("same"))
     pairs = _outside_pairs(members, roots, compared, least)
-    more = written(_verified(pairs, texts, size, least, kind).where("same").select("a", "b"), "near-more")
-    twins = signed.where("n > 0").join(copies.where("copies > 1"), ["n", "fp1", "fp2"]).where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct()
+    more = written(_verified(pairs, texts, size, least).where("same").select("a", "b"), "near-more")
+    twins = signed.where("n > 0").join(copies.where("copies > 1"), ["n", "fp1", "fp2"]).select(F.col("id").alias("a"), F.col("rep").alias("b"))
     # copies hang on their representative; the classes of representatives are found without them
     final = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)) if not more.isEmpty() else roots
     of_twins = twins.join(final.withColumnRenamed("node", "b"), "b", "left").select(F.col("a").alias("node"), F.coalesce("root", "b").alias("root"))
-    classes = final.unionByName(of_twins).groupBy("node").agg(F.min("root").alias("root"))
-    out = docs.select(F.col(key).alias("doc_id")).join(classes, F.col("doc_id") == F.col("node"), "left")
-    return out.select("doc_id", F.coalesce("root", "doc_id").alias("class_id"))
+    classes = final.unionByName(of_twins).distinct()
+    named = classes.join(signed.select(F.col("id").alias("node"), "key", "content"), "node")
+    return written(named.select("key", "content", F.col("node").alias("id"), "root"), "near-classes", narrow=True)
+
 
+def near_classes(docs: DataFrame, text: str = "text", key: str = "doc_id", least: float = 0.8, size: int = 5, registers: int = REGISTERS, bands: int = BANDS) -> DataFrame:
+    """``doc_id`` and ``class_id`` of every row: the least key of its class of near-duplicates.
 
-def drop_near(docs: DataFrame, text: str = "text", key: str = "doc_id", **options) -> DataFrame:
-    """``docs`` with one document of each class: the one with the least key. Rows with a null key stay."""
-    lost = written(near_classes(docs, text, key, **options).where("doc_id <> class_id").select(F.col("doc_id").alias("__dp_id")).distinct(), "near-lost")
-    return docs.join(sided(lost), F.col(key) == F.col("__dp_id"), "left_anti").select(*docs.columns)
+    Classes are the connected components of pairs with weighted Jaccard similarity of at least ``least``. Texts of fewer words
+    than ``size`` are one shingle of all their words; null texts and texts without words are alike to none. A document is a key and a
+    text: rows that repeat both are one, rows of one key with other texts are others and may be of other classes. A null key is a key
+    like others but no class is named by it unless it has no other; a row that is alike to none has its own key. Empty tables give no rows.
+    """
+    nodes = _near_nodes(docs, text, key, least, size, registers, bands)
+    names = nodes.groupBy("root").agg(F.min("key").alias("name"))
+    classes = nodes.join(names, "root").select("key", "content", "name", F.lit(True).alias("alike"))
+    rows = docs.select(F.col(key).alias("doc_id"), _content(text).alias("own"))
+    out = rows.join(classes, F.col("doc_id").eqNullSafe(F.col("key")) & (F.col("own") == F.col("content")), "left")
+    return out.select("doc_id", F.when(F.col("alike"), F.col("name")).otherwise(F.col("doc_id")).alias("class_id"))
+
+
+def drop_near(docs: DataFrame, text: str = "text", key: str = "doc_id", least: float = 0.8, size: int = 5, registers: int = REGISTERS, bands: int = BANDS) -> DataFrame:
+    """``docs`` with one document of each class: the one with the least key, a null key being the last. Rows that repeat its key and text stay with it."""
+    nodes = _near_nodes(docs, text, key, least, size, registers, bands)
+    first = nodes.groupBy("root").agg(F.min(F.struct(F.col("key").isNull(), F.col("key"), F.col("id"))).alias("first")).select("root", F.col("first.id").alias("stays"))
+    lost = nodes.join(first, "root").where("id <> stays").select(F.col("key").alias("__dp_key"), F.col("content").alias("__dp_content"))
+    same = F.col(f"`{key}`").eqNullSafe(F.col("__dp_key")) & (_content(text) == F.col("__dp_content"))
+    return docs.join(sided(written(lost, "near-lost", narrow=True)), same, "left_anti").select(*docs.columns)
 
 
 def op7_near_dedup(spark, sf_dir: str) -> DataFrame:
