@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import json
+import threading
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +14,7 @@ from pyspark.sql.observation import Observation
 
 from docpack.functions.predicates import not_system, of_types
 from docpack.model import ATTRIBUTES, KEY, PACKET
-from docpack.operators import reshape, stats, store
+from docpack.operators import order, reshape, stats, store
 from docpack.session import written
 from docpack.sources import archive, formats
 
@@ -39,36 +40,111 @@ def write_packets(packets: DataFrame, directory: str, name: str, max_bytes: int
         raise FileExistsError(f"archive exists: {full[0]}")
     want = packets.select(*[F.col(c) if c in packets.columns else F.lit(None).cast(dict(x.split(" ", 1) for x in PACKET.split(", "))[c]).alias(c) for c in FIELDS])
     job = uuid.uuid4().hex
+    if formats.format_of(name)[0] == "cpio":  # where a name may occur once
+        want = want.sortWithinPartitions(*KEY, "field")
     want.write.format("docpack_archive").option("name", name).option("maxBytes", str(max_bytes)).option("job", job).mode("overwrite" if overwrite else "append").save(directory)
     return archive.summary(directory, job)
 
 
 def read_packets(spark: SparkSession, path: str, **options) -> DataFrame:
+    """Packets of archives. Lines of large plain bulk files without an index are counted before, by tasks, so that they can be read by ranges."""
     archive.register(spark)
     reader = spark.read.format("docpack_archive")
     for k, v in options.items():
         reader = reader.option(k, str(v).lower() if isinstance(v, bool) else v)
+    if lines := _bulk_lines(spark, path, int(options.get("splitBytes", archive.SPLIT))):
+        reader = reader.option("bulkLines", json.dumps(lines))
     return reader.load(path)
 
 
+def _bulk_lines(spark: SparkSession, path: str, per: int) -> dict[str, list]:
+    """For bulk files that are larger than ``per``: their ranges of bytes, and how many lines end before each."""
+    large = [x for x in archive.found(path) if formats.format_of(x.name) == ("bulk", "") and x.size > per and not x.index]
+    spans = [(x.name, archive.whole_path(path, x.path), a, b) for x in large for a, b in archive.byte_ranges(x.size, per)]
+    if not spans:
+        return {}
+
+    def count(batches):
+        for batch in batches:
+            yield batch.assign(n=[archive.line_ends(p, a, b) for p, a, b in zip(batch["path"], batch["a"], batch["b"], strict=True)])[["name", "a", "b", "n"]]
+
+    ranges = spark.createDataFrame(spans, "name string, path string, a long, b long").repartition(min(len(spans), 10 * spark.sparkContext.defaultParallelism))
+    out: dict[str, list] = {}
+    before: dict[str, int] = {}
+    for r in sorted(ranges.mapInPandas(count, "name string, a long, b long, n long").collect(), key=lambda r: (r["name"], r["a"])):  # one row for each range
+        out.setdefault(r["name"], []).append((r["a"], r["b"], before.get(r["name"], 0)))
+        before[r["name"]] = before.get(r["name"], 0) + r["n"]
+    return out
+
+
 RUN_LOG = "run_id string, mode string, path string, started timestamp, finished timestamp, docs long, detail string"
+RUN_EVENT = "run_id string, mode string, path string, event string, at timestamp, started timestamp, docs long, detail string"
+
+
+class Run:
+    """A job in the run log of a folder: records of its start, of every ``beat`` seconds while it goes on, and of its end.
 
+    Each record is a file of its own, so that runs need no lock. A run whose driver dies has no end; it is active until it has been
+    silent for a while (``active_runs``).
+    """
 
-def log_run(folder: str, mode: str, path: str, started: datetime.datetime, docs: int, detail: dict) -> None:
-    """Adds a finished run to the log in ``folder``; each run is a file of its own, so that runs need no lock."""
+    def __init__(self, folder: str, mode: str, path: str, beat: float = 30.0):
+        self.fs, inner = archive.file_system(folder)
+        self.folder, self.beat, self.over = f"{inner}/_runs", beat, threading.Event()
+        self.row = {"run_id": uuid.uuid4().hex, "mode": mode, "path": path, "started": _now().isoformat(), "docs": None, "detail": None}
+        self.beats: list[str] = []
+        self.fs.create_dir(self.folder, recursive=True)
+
+    def _tell(self, event: str) -> str:
+        at = _now()
+        path = f"{self.folder}/{self.row['run_id']}-{at.timestamp():017.6f}-{event}.json"
+        with self.fs.open_output_stream(f"{self.folder}/.{self.row['run_id']}") as f:
+            f.write(json.dumps(self.row | {"event": event, "at": at.isoformat()}).encode())
+        self.fs.move(f"{self.folder}/.{self.row['run_id']}", path)
+        return path
+
+    def _beating(self) -> None:
+        while not self.over.wait(self.beat):
+            self.beats.append(self._tell("beat"))
+
+    def __enter__(self) -> Run:
+        self._tell("started")
+        self.thread = threading.Thread(target=self._beating, daemon=True)
+        self.thread.start()
+        return self
+
+    def counted(self, docs: int, detail: dict) -> None:
+        self.row |= {"docs": docs, "detail": json.dumps(detail)}
+
+    def __exit__(self, kind, error, trace) -> None:
+        self.over.set()
+        self.thread.join()
+        if error is not None:
+            self.row["detail"] = json.dumps({"error": str(error)[:1000]})
+        self._tell("finished" if error is None else "failed")
+        for path in self.beats:
+            self.fs.delete_file(path)
+
+
+def run_events(spark: SparkSession, folder: str) -> DataFrame:
+    """All records of the run log in a directory of archives or a store."""
     fs, inner = archive.file_system(folder)
     fs.create_dir(f"{inner}/_runs", recursive=True)
-    now = datetime.datetime.now(datetime.timezone.utc)
-    row = {"run_id": uuid.uuid4().hex, "mode": mode, "path": path, "started": started.isoformat(), "finished": now.isoformat(), "docs": docs, "detail": json.dumps(detail)}
-    with fs.open_output_stream(f"{inner}/_runs/{row['run_id']}.json") as f:
-        f.write(json.dumps(row).encode())
+    return spark.read.schema(RUN_EVENT).option("ignoreMissingFiles", "true").json(f"{folder}/_runs")  # beats go when a run ends
 
 
 def runs(spark: SparkSession, folder: str) -> DataFrame:
-    """The log of runs in a directory of archives or a store."""
-    fs, inner = archive.file_system(folder)
-    fs.create_dir(f"{inner}/_runs", recursive=True)
-    return spark.read.schema(RUN_LOG).json(f"{folder}/_runs")
+    """Runs that have finished."""
+    return run_events(spark, folder).where("event = 'finished'").select("run_id", "mode", "path", "started", F.col("at").alias("finished"), "docs", "detail")
+
+
+def active_runs(spark: SparkSession, folder: str, silent: str = "2 minutes") -> DataFrame:
+    """Runs that have neither finished nor failed and were heard of within ``silent``: ``run_id, mode, path, started, heard``."""
+    events = run_events(spark, folder)
+    of = ["run_id", "mode", "path", "started"]
+    going = stats.active_runs(events.where("event = 'started'").select(*of), events.where("event IN ('finished', 'failed')").select(*of))
+    heard = events.groupBy("run_id").agg(F.max("at").alias("heard"))
+    return going.join(heard, "run_id").where(F.col("heard") >= F.current_timestamp() - F.expr(f"INTERVAL {silent}"))
 
 
 def _now() -> datetime.datetime:
@@ -77,7 +153,7 @@ def _now() -> datetime.datetime:
 
 def limited(docs: DataFrame, limit: int | None, ordered: bool) -> DataFrame:
     """The first ``limit`` documents by key, and documents in the order of their keys, if asked for."""
-    docs = docs.orderBy(*KEY).limit(limit) if limit is not None else docs
+    docs = order.first_rows(docs, KEY, limit) if limit is not None else docs
     return docs.repartitionByRange(*KEY).sortWithinPartitions(*KEY) if ordered else docs
 
 
@@ -117,7 +193,6 @@ def export(
     tasks write (``in_parts`` says the default), ``ordered`` puts documents in the order of their keys. ``skipped`` counts
     documents without a source, which bulk files cannot hold.
     """
-    started = _now()
     if name is None:
         one = indices[0] if indices and len(indices) == 1 and indices != ["_all"] else None
         of = list(types) if isinstance(types, list | set | tuple) else list((types or {}).get(one, []))
@@ -137,9 +212,10 @@ def export(
         kept = kept.where(F.col("index").isin(indices)) if indices and indices != ["_all"] else kept
         head = reshape.metadata_packets(reshape.rename_metadata(kept, rename)).withColumn("meta", F.lit(None).cast("map<string,string>"))
         packets = head.coalesce(1).unionByName(packets)
-    told = write_packets(packets, directory, name, max_bytes, overwrite)
-    skipped = (seen.get.get("skipped") or 0) if bulk else 0
-    log_run(directory, "export", f"{directory}/{name}", started, told["docs"], told | {"skipped": skipped})
+    with Run(directory, "export", f"{directory}/{name}") as run:
+        told = write_packets(packets, directory, name, max_bytes, overwrite)
+        skipped = (seen.get.get("skipped") or 0) if bulk else 0
+        run.counted(told["docs"], told | {"skipped": skipped})
     return docs.sparkSession.createDataFrame([(told["packets"], told["docs"], told["bytes"], skipped)], "packets long, docs long, bytes long, skipped long")
 
 
@@ -173,20 +249,20 @@ def import_(
     The reader puts documents together, so they are written once and shuffled once, to their buckets. ``types`` also selects mappings.
     The run log of the store says how many entries had names that could not be read.
     """
-    started = _now()
-    rows = read_packets(spark, path, documents=True)
-    if indices and indices != ["_all"]:
-        rows = rows.where(F.col("index").isin(indices))
-    rows = written(reshape.kinds(rows), "import")
-    if with_metadata:
-        put_metadata(_of_types(reshape.packets_metadata(rows.where("kind <> 'doc'").withColumn("payload", F.col("fields")["_source"])), types), root, rename, settings, mappings, with_aliases, if_exists)
-    docs = reshape.route_fields(rows.where("kind = 'doc' AND index IS NOT NULL").drop("kind"))
-    docs = docs.where(F.col("type").isin(types)) if types else docs
-    docs = reshape.rename(docs, rename).withColumn("_order", F.struct("part", "archive", "run"))
-    store.upsert(docs, root, order="_order", versions=versions, kept=True)
-    unread = rows.where("index IS NULL").count()
-    counts = written(stats.doc_count(docs), "import-count")
-    log_run(root, "import", path, started, counts.agg(F.sum("docs")).first()[0] or 0, {"unread": unread})
+    with Run(root, "import", path) as run:
+        rows = read_packets(spark, path, documents=True)
+        if indices and indices != ["_all"]:
+            rows = rows.where(F.col("index").isin(indices))
+        rows = written(reshape.kinds(rows), "import")
+        if with_metadata:
+            put_metadata(_of_types(reshape.packets_metadata(rows.where("kind <> 'doc'").withColumn("payload", F.col("fields")["_source"])), types), root, rename, settings, mappings, with_aliases, if_exists)
+        docs = reshape.route_fields(rows.where("kind = 'doc' AND index IS NOT NULL").drop("kind"))
+        docs = docs.where(F.col("type").isin(types)) if types else docs
+        docs = reshape.rename(docs, rename).withColumn("_order", F.struct("part", "archive", "run"))
+        store.upsert(docs, root, order="_order", versions=versions, kept=True)
+        unread = rows.where("index IS NULL").count()
+        counts = written(stats.doc_count(docs), "import-count")
+        run.counted(counts.agg(F.sum("docs")).first()[0] or 0, {"unread": unread})
     return counts
 
 
@@ -205,16 +281,16 @@ def put_metadata(meta: DataFrame, root: str, rename: dict | None, settings: dict
 
 def copy(spark: SparkSession, from_root: str, to_root: str, if_exists: str, indices=None, types=None, where=None, fields=None, rename=None, settings=None, mappings=None, with_metadata=True, with_aliases=True, limit=None, system=None) -> DataFrame:
     """Copies documents, and metadata (mappings of the given types only). A document with a version replaces lower versions only."""
-    started = _now()
-    if with_metadata:
-        put_metadata(_of_types(store.metadata(spark, from_root, indices), types), to_root, rename, settings, mappings, with_aliases, if_exists)
-    docs = store.scan(spark, from_root, indices, types, where).where(not_system(F.col("index"), system))
-    docs = reshape.rename(limited(docs, limit, False), rename)
-    if fields is not None:
-        docs = docs.withColumns({a: F.lit(None).cast("long" if a == "_version" else "string") for a in ATTRIBUTES if a not in fields})
-    store.upsert(docs, to_root, versions=True)
-    counts = written(stats.doc_count(store.scan(spark, to_root)), "copy-count")
-    log_run(to_root, "copy", from_root, started, counts.agg(F.sum("docs")).first()[0] or 0, {})
+    with Run(to_root, "copy", from_root) as run:
+        if with_metadata:
+            put_metadata(_of_types(store.metadata(spark, from_root, indices), types), to_root, rename, settings, mappings, with_aliases, if_exists)
+        docs = store.scan(spark, from_root, indices, types, where).where(not_system(F.col("index"), system))
+        docs = reshape.rename(limited(docs, limit, False), rename)
+        if fields is not None:
+            docs = docs.withColumns({a: F.lit(None).cast("long" if a == "_version" else "string") for a in ATTRIBUTES if a not in fields})
+        store.upsert(docs, to_root, versions=True)
+        counts = written(stats.doc_count(store.scan(spark, to_root)), "copy-count")
+        run.counted(counts.agg(F.sum("docs")).first()[0] or 0, {})
     return counts
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docpack.functions import names, predicates
-from docpack.operators import reshape, stats
+from docpack.operators import order, reshape, stats
 from docpack.plans import tables as T
 
 QUERIES: dict = {}
@@ -332,7 +332,14 @@ def doc_order(spark, d):
 
 @query("limit_docs", "SELECT o_orderkey FROM orders ORDER BY o_orderkey LIMIT 100")
 def limit_docs(spark, d):
-    return T.table(spark, d, "orders").orderBy("o_orderkey").limit(100).select("o_orderkey")
+    return order.first_rows(T.table(spark, d, "orders"), ["o_orderkey"], 100).select("o_orderkey")
+
+
+@query("limit_half", f"SELECT {KEY3}, _source FROM (SELECT *, row_number() OVER (ORDER BY \"index\", type, id) AS n FROM {T.STORES}) WHERE n <= (SELECT count(*) // 2 FROM {T.STORES})")
+def limit_half(spark, d):
+    """Half of all documents, the first by key: more than one task could hold at scale."""
+    docs = T.stores(spark, d)
+    return order.first_rows(docs, ["index", "type", "id"], docs.count() // 2).select("index", "type", "id", "_source")
 
 
 # -- sets

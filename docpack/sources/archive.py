@@ -4,18 +4,26 @@
     spark.read.format("docpack_archive").load(path)          # a file, a directory or a glob
     packets.write.format("docpack_archive").option("name", "all.tar.gz").mode("append").save(directory)
 
-Reading makes one partition of each file, several of large zip files (by slices of the central directory) and, with
-``splitBulk``, of large plain bulk files (by byte ranges). With ``documents`` a row is a run of neighbouring entries of one document,
-put together as they are read. Entries whose names have more than four parts come with null keys and their name as field, unless
-``corrupt`` is ``drop`` or ``fail``; a payload that is not UTF-8 fails unless ``badText`` is ``replace``. Writing makes at least one part of each task; ``maxBytes``
-starts another part with the next document when a part's payload exceeds it, so that no document lies in two parts. Parts get their names when the whole job has ended well.
-Paths may be of any file system that pyarrow opens; on a cluster all executors must reach them.
+A directory has a manifest of each archive written to it, ``_manifest-<name>.json``, which says what its parts are. A write gives
+its parts their names only after the manifest is in place, and until then the manifest says where they are; so readers have the archive as it
+was before or after a write, never none or a mixture. Archives without a manifest consist of the files that have their names.
+
+Each part has an index beside it: where in the file documents begin, every ``memberBytes`` of payload, and which coordinates lie between.
+Compressed files begin a member there that can be read alone (other tools read all members as one). Reading makes a partition
+of every ``splitBytes`` of such a part, of zip files by slices of their directory, of plain bulk files by lines that ``jobs.read_packets``
+has counted, and one of any other file. Filters on index, type and id skip stretches that the index says have none.
+
+With ``documents`` a row is a run of neighbouring entries of one document, put together as they are read. Entries whose names have more
+than four parts come with null keys and their name as field, unless ``corrupt`` is ``drop`` or ``fail``; a payload that is not UTF-8 fails
+unless ``badText`` is ``replace``. Writing makes at least one part of each task; ``maxBytes`` starts another part with the next document when
+a part's payload exceeds it, so that no document lies in two parts. Paths may be of any file system that pyarrow opens; on a cluster all executors must reach them.
 """
 
 from __future__ import annotations
 
 import io
 import json
+import os
 import re
 import uuid
 from collections.abc import Iterator, Sequence
@@ -37,6 +45,7 @@ RUN_ARROW = pa.schema(
     [pa.field(n, pa.string()) for n in NAMES[:3]] + [pa.field("fields", pa.map_(pa.string(), pa.string())), pa.field("run", pa.int64()), pa.field("last_seq", pa.int64()), pa.field("archive", pa.string()), pa.field("part", pa.int32())]
 )
 ROWS = 2000
+SPLIT = 64 << 20
 WRITTEN = NAMES[:6]
 
 
@@ -46,6 +55,12 @@ def file_system(path: str) -> tuple[pfs.FileSystem, str]:
     return pfs.LocalFileSystem(), path
 
 
+def whole_path(asked: str, inner: str) -> str:
+    """A file's path as a task can open it, where ``asked`` is how its directory was named."""
+    scheme = re.match(r"[A-Za-z][A-Za-z0-9+.-]+:(//[^/]*)?", asked)
+    return f"{scheme[0]}{inner}" if scheme and not asked.startswith("file:") else inner
+
+
 def base_name(path: str) -> str:
     return path.rstrip("/").rsplit("/", 1)[-1]
 
@@ -55,27 +70,74 @@ def part_of(name: str) -> int:
     return int(m[1]) if m else 0
 
 
-def archives(path: str) -> list[tuple[str, int]]:
-    """Archive files (path, bytes) of a file, a directory, or a pattern in the last component, in order of parts."""
+@dataclass
+class Archive:
+    """A file of an archive: where it is, how large, its official name, and its index, if there is one."""
+
+    path: str
+    size: int
+    name: str
+    index: str | None = None
+
+
+def manifest_path(inner: str, name: str) -> str:
+    return f"{inner}/_manifest-{name}.json"
+
+
+def _manifest(fs, inner: str, name: str) -> list[dict] | None:
+    """The parts of an archive as its manifest has them (``name``, ``at`` until it has that name, ``index``); None without one."""
+    if fs.get_file_info(path := manifest_path(inner, name)).type != pfs.FileType.File:
+        return None
+    with fs.open_input_stream(path) as f:
+        return json.loads(f.read())["parts"]
+
+
+def _resolved(fs, inner: str, parts: list[dict]) -> list[Archive]:
+    """Where the parts of a manifest are now. An archive of which no file is left is no archive; a single lost part is an error."""
+    asked = [f"{inner}/{p[k]}" for p in parts for k in ("at", "name")]
+    infos = fs.get_file_info(asked)
+    out, lost = [], None
+    for n, p in enumerate(parts):
+        info = next((x for x in infos[2 * n : 2 * n + 2] if x.type == pfs.FileType.File), None)
+        if info is None:
+            lost = p["name"]
+        else:
+            out.append(Archive(info.path, info.size, p["name"], f"{inner}/{p['index']}" if p.get("index") else None))
+    if out and lost:
+        raise FileNotFoundError(f"a part of an archive is gone: {inner}/{lost}")
+    return out
+
+
+def found(path: str) -> list[Archive]:
+    """Archive files of a file, a directory, or a pattern in the last component, in order of parts; manifests say what is part of what."""
     fs, inner = file_system(path)
     last = base_name(inner)
-    if any(c in last for c in "*?["):
+    one = None if any(c in last for c in "*?[") else fs.get_file_info(inner)
+    folder = inner.rstrip("/") if one is not None and one.type == pfs.FileType.Directory else inner.rstrip("/").rpartition("/")[0] or "/"
+    infos = fs.get_file_info(pfs.FileSelector(folder, allow_not_found=True))
+    names = [m[1] for x in infos if (m := re.fullmatch(r"_manifest-(.+)\.json", x.base_name))]
+    listed = [a for n in names for a in _resolved(fs, folder, _manifest(fs, folder, n) or [])]
+    of_manifest = lambda name: any(re.fullmatch(r"(?:\d+\.)?" + re.escape(n), name) for n in names)
+    bare = [Archive(x.path, x.size, x.base_name) for x in infos if x.type == pfs.FileType.File and formats.format_of(x.path) and x.base_name[:1] not in "._" and not of_manifest(x.base_name)]
+    files = listed + bare
+    if one is None:
         pattern = re.compile("".join({"*": "[^/]*", "?": "[^/]"}.get(c, re.escape(c)) for c in last))
-        found = [x for x in fs.get_file_info(pfs.FileSelector(inner.rstrip("/").rpartition("/")[0] or "/")) if pattern.fullmatch(x.base_name)]
-    else:
-        one = fs.get_file_info(inner)
-        if one.type == pfs.FileType.NotFound:
+        files = [x for x in files if pattern.fullmatch(x.name)]
+    elif one.type != pfs.FileType.Directory:
+        files = [x for x in files if x.name == last]
+        if not files:
             raise FileNotFoundError(path)
-        found = [one] if one.type == pfs.FileType.File else fs.get_file_info(pfs.FileSelector(inner))
-    files = [x for x in found if x.type == pfs.FileType.File and formats.format_of(x.path) and not x.base_name.startswith(".")]
-    return [(x.path, x.size) for x in sorted(files, key=lambda x: (part_of(x.path), x.path))]
+    return sorted(files, key=lambda x: (part_of(x.name), x.name))
+
+
+def archives(path: str) -> list[tuple[str, int]]:
+    """Archive files (path, bytes), as ``found``."""
+    return [(x.path, x.size) for x in found(path)]
 
 
 def parts_of(directory: str, name: str) -> list[tuple[str, int]]:
     """Files (path, bytes) in a directory that are parts of the archive ``name``: itself, ``1.name`` and so on."""
-    fs, inner = file_system(directory)
-    found = fs.get_file_info(pfs.FileSelector(inner, allow_not_found=True))
-    return [(x.path, x.size) for x in found if x.type == pfs.FileType.File and re.fullmatch(r"(?:\d+\.)?" + re.escape(name), x.base_name)]
+    return [(x.path, x.size) for x in found(directory) if re.fullmatch(r"(?:\d+\.)?" + re.escape(name), x.name)]
 
 
 def summary(directory: str, job: str) -> dict:
@@ -93,6 +155,9 @@ class Slice(InputPartition):
     first: int = 0
     last: int = -1
     part: int = 0
+    name: str = ""
+    index: str | None = None
+    lines: int = 0  # before ``first``, in a bulk file that is read by ranges
 
     def __post_init__(self):
         super().__init__(self.path)
@@ -102,33 +167,97 @@ def byte_ranges(size: int, per: int) -> list[tuple[int, int]]:
     return [(a, min(a + per, size)) for a in range(0, max(size, 1), per)]
 
 
-def is_action(line: bytes) -> bool:
-    """One key whose value has index, type and id: what a range of a bulk file may begin with."""
-    return bool(re.match(rb'\s*\{\s*"\w+"\s*:\s*\{', line)) and all(k in line for k in (b'"_index"', b'"_type"', b'"_id"'))
-
+def bulk_range(f, first: int, last: int, lines: int) -> Iterator[tuple[int, dict, str]]:
+    """The documents (with their numbers) whose action lines begin in [first, last), of a file that has ``lines`` line ends before ``first``.
 
-def bulk_range(f, first: int, last: int) -> Iterator[tuple[dict, str]]:
-    """The documents whose action lines begin in [first, last)."""
+    Actions and payloads take turns, so the number of a line says what it is, whatever it looks like.
+    """
     if first:
         f.seek(first - 1)
+        if f.readline() != b"\n":
+            lines += 1
+    if lines % 2:
         f.readline()
+        lines += 1
     while f.tell() < last:
-        action = f.readline()
-        if not action:
-            return
-        if not is_action(action):
-            continue
-        payload = f.readline()
+        action, payload = f.readline(), f.readline()
         if not payload:
             return
-        yield formats.parse_action(action.decode()), payload.decode().rstrip("\r\n")
+        if action.strip():
+            yield lines // 2, formats.parse_action(action.decode()), payload.decode().rstrip("\r\n")
+        lines += 2
+
+
+def line_ends(path: str, first: int, last: int) -> int:
+    """How many lines end in [first, last) of a file."""
+    fs, _ = file_system(path)
+    n = 0
+    with fs.open_input_file(path) as f:
+        f.seek(first)
+        while first < last and (block := f.read(min(1 << 22, last - first))):
+            n += block.count(b"\n")
+            first += len(block)
+    return n
+
+
+class Stretch(io.RawIOBase):
+    """The bytes [first, last) of a file, from its beginning to its end."""
+
+    def __init__(self, raw, first: int, last: int):
+        self.raw, self.left = raw, last - first
+        raw.seek(first)
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, into) -> int:
+        block = self.raw.read(min(len(into), self.left))
+        into[: len(block)] = block
+        self.left -= len(block)
+        return len(block)
+
+
+class Places:
+    """Where documents begin in a part that is being written, and which coordinates come from there to the next place."""
+
+    FEW = 16
+
+    def __init__(self):
+        self.rows: list[dict] = []
+
+    def begin(self, offset: int, seq: int) -> None:
+        self.rows.append({"offset": offset, "seq": seq, "has": [[], [], []]})
+
+    def add(self, key: tuple) -> None:
+        for held, value in zip(self.rows[-1]["has"], key, strict=True):
+            if value is None or value in held:
+                continue
+            if len(held) < self.FEW:
+                held.append(value)
+            elif len(held) == self.FEW:  # the least and the greatest from here on
+                held[:] = [None, min(*held, value), max(*held, value)] + [None] * (self.FEW - 2)
+            else:
+                held[1], held[2] = min(held[1], value), max(held[2], value)
+
+
+def may_have(row: dict, wanted: dict[str, set[str]]) -> bool:
+    """Whether a stretch of an index can have entries of the wanted coordinates."""
+    for k, column in enumerate(("index", "type", "id")):
+        if column in wanted:
+            held = row["has"][k]
+            if held[:1] == [None] and len(held) > Places.FEW:
+                if not any(held[1] <= v <= held[2] for v in wanted[column] if v is not None):
+                    return False
+            elif not wanted[column] & set(held):
+                return False
+    return True
 
 
 class Reader(DataSourceReader):
     def __init__(self, options: dict):
         self.path = options.get("path", "")
-        self.split = int(options.get("splitBytes", 64 << 20))
-        self.split_bulk = options.get("splitBulk", "false").lower() == "true"
+        self.split = int(options.get("splitBytes", SPLIT))
+        self.bulk_lines: dict[str, list] = json.loads(options.get("bulkLines", "{}"))
         self.payload = options.get("payload", "true").lower() == "true"
         self.corrupt = options.get("corrupt", "keep")
         self.errors = options.get("badText", "strict")
@@ -147,50 +276,74 @@ class Reader(DataSourceReader):
     def partitions(self) -> Sequence[InputPartition]:
         fs, _ = file_system(self.path)
         out = []
-        for path, size in archives(self.path):
-            kind, codec = formats.format_of(path)
-            spans = [(0, -1)]
-            if not codec and kind == "zip" and size > self.split:
-                with fs.open_input_file(path) as f:
-                    spans = formats.zip_slices(f, self.split)
-            elif not codec and kind == "bulk" and self.split_bulk and size > self.split:
-                spans = byte_ranges(size, self.split)
-            out += [Slice(path, a, b, part_of(path)) for a, b in spans]
+        for a in found(self.path):
+            kind, codec = formats.format_of(a.name)
+            spans = [(0, -1, 0)]
+            if not codec and kind == "zip" and a.size > self.split:
+                with fs.open_input_file(a.path) as f:
+                    spans = [(x, y, 0) for x, y in formats.zip_slices(f, self.split)]
+            elif a.index and a.size > self.split:
+                spans = [(x, y, 0) for x, y in byte_ranges(a.size, self.split)]
+            elif a.name in self.bulk_lines:
+                spans = [tuple(x) for x in self.bulk_lines[a.name]]
+            out += [Slice(a.path, x, y, part_of(a.name), a.name, a.index, n) for x, y, n in spans]
         return out
 
+    def _stretches(self, fs, s: Slice) -> Iterator[tuple[int, int, int]]:
+        """Bytes of an indexed part that begin in the slice and may have what is wanted, and the number of their first entry."""
+        if s.index is None or (s.last < 0 and not self.wanted):
+            yield 0, -1, 0
+            return
+        with fs.open_input_stream(s.index) as f:
+            rows = json.loads(f.read())
+        ends = [r["offset"] for r in rows[1:]] + [rows[-1]["end"]]
+        first = last = seq = None
+        for r, end in zip(rows, ends, strict=True):
+            if (s.last < 0 or s.first <= r["offset"] < s.last) and may_have(r, self.wanted):
+                if last != r["offset"]:
+                    if last is not None:
+                        yield first, last, seq
+                    first, seq = r["offset"], r["seq"]
+                last = end
+        if last is not None:
+            yield first, last, seq
+
     def _entries(self, s: Slice):
         """(sequence number, key and field, payload, attributes) of the slice's entries."""
         fs, _ = file_system(self.path)
-        kind, codec = formats.format_of(s.path)
+        kind, codec = formats.format_of(s.name or s.path)
         with fs.open_input_file(s.path) as raw:
-            f = codecs.reader(raw, codec)
-            if kind == "bulk":
-                if s.last >= 0:
-                    pairs = bulk_range(io.BufferedReader(raw), s.first, s.last)
-                else:
-                    pairs = formats.read_bulk(io.BufferedReader(f) if not isinstance(f, io.IOBase) else f)
-                for n, (action, payload) in enumerate(pairs):
-                    meta = {f"_{k}": v for k, v in action.items() if k not in ("index", "type", "id")}
-                    yield (s.first << 20) + n if s.first else n, [action["index"], action["type"], action["id"], "_source"], payload, meta or None
-                return
             if kind == "zip":
                 # a compressed zip has no directory to seek in, and a tiny file no room for it
+                f = codecs.reader(raw, codec)
                 whole = raw if not codec and raw.size() > 1 << 16 else io.BytesIO(f.read())
-                entries = formats.read_zip(whole, (s.first, s.last) if s.last >= 0 else None)
+                yield from self._named(s, formats.read_zip(whole, (s.first, s.last) if s.last >= 0 else None), s.first)
+            elif kind == "bulk" and s.index is None and s.last >= 0:
+                for n, action, payload in bulk_range(io.BufferedReader(raw, 1 << 20), s.first, s.last, s.lines):
+                    yield n, *_line(action, payload)
             else:
-                entries = formats.READERS[kind](f)
-            for n, (name, data) in enumerate(entries, s.first):
-                key = formats.decode_name(name)
-                if key is None:
-                    if self.corrupt == "fail":
-                        raise ValueError(f"entry name has more than four parts: {name}")
-                    if self.corrupt == "drop":
-                        continue
-                    key = [None, None, None, name]
-                try:
-                    yield n, key, data.decode("utf-8", self.errors), None
-                except UnicodeDecodeError as e:
-                    raise ValueError(f"payload of {name} in {s.path} is not UTF-8") from e
+                for first, last, seq in self._stretches(fs, s):
+                    part = raw if last < 0 else io.BufferedReader(Stretch(raw, first, last), 1 << 20)
+                    f = codecs.reader(part, codec)
+                    if kind == "bulk":
+                        for n, (action, payload) in enumerate(formats.read_bulk(io.BufferedReader(f) if not isinstance(f, io.IOBase) else f), seq):
+                            yield n, *_line(action, payload)
+                    else:
+                        yield from self._named(s, formats.READERS[kind](f), seq)
+
+    def _named(self, s: Slice, entries, first: int):
+        for n, (name, data) in enumerate(entries, first):
+            key = formats.decode_name(name)
+            if key is None:
+                if self.corrupt == "fail":
+                    raise ValueError(f"entry name has more than four parts: {name}")
+                if self.corrupt == "drop":
+                    continue
+                key = [None, None, None, name]
+            try:
+                yield n, key, data.decode("utf-8", self.errors), None
+            except UnicodeDecodeError as e:
+                raise ValueError(f"payload of {name} in {s.path} is not UTF-8") from e
 
     def _runs(self, s: Slice) -> Iterator[pa.RecordBatch]:
         """Runs of entries with one coordinate: the later of equal fields counts. A line of a bulk file is a document of its own.
@@ -198,7 +351,8 @@ class Reader(DataSourceReader):
         Entries that lack a part of their coordinate, or whose type or id begins with a dot, are of no document.
         """
         wanted = [(k, self.wanted[c]) for k, c in enumerate(("index", "type", "id")) if c in self.wanted]
-        name, bulk = base_name(s.path), formats.format_of(s.path)[0] == "bulk"
+        name = s.name or base_name(s.path)
+        bulk = formats.format_of(name)[0] == "bulk"
         rows: list[list] = []
         size, before = 0, None
         for n, key, payload, meta in self._entries(s):
@@ -235,7 +389,7 @@ class Reader(DataSourceReader):
             return
         rows: list[tuple] = []
         wanted = [(k, self.wanted[c]) for k, c in enumerate(("index", "type", "id")) if c in self.wanted]
-        size, name = 0, base_name(partition.path)
+        size, name = 0, partition.name or base_name(partition.path)
         for n, key, payload, meta in self._entries(partition):
             if any(key[k] not in values for k, values in wanted):
                 continue
@@ -248,6 +402,12 @@ class Reader(DataSourceReader):
             yield _batch(rows)
 
 
+def _line(action: dict, payload: str) -> tuple:
+    """A document of a bulk file as an entry."""
+    meta = {f"_{k}": v for k, v in action.items() if k not in ("index", "type", "id")}
+    return [action["index"], action["type"], action["id"], "_source"], payload, meta or None
+
+
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True))
     columns[5] = [None if m is None else list(m.items()) for m in columns[5]]
@@ -270,23 +430,24 @@ def _packets(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
 
 @dataclass
 class Parts(WriterCommitMessage):
-    files: list[tuple[str, int, int]] = field(default_factory=list)  # temporary path, packets, payload bytes
+    files: list[tuple[str, int, int, str | None]] = field(default_factory=list)  # temporary name, packets, payload bytes, name of the index
     docs: int = 0
 
 
 class Writer(DataSourceArrowWriter):
     def __init__(self, options: dict, overwrite: bool):
         self.directory, self.name = options["path"].rstrip("/"), options.get("name", "_all.tar.gz")
-        if not (found := formats.format_of(self.name)):
+        if not (kinds := formats.format_of(self.name)):
             raise ValueError(f"no archive suffix in {self.name}")
-        self.kind, self.codec = found
+        self.kind, self.codec = kinds
         self.most = int(options.get("maxBytes", 0))
+        self.member = int(options.get("memberBytes", 16 << 20))
         self.overwrite = overwrite
         self.job = options.get("job") or uuid.uuid4().hex
 
     def _open(self, fs, path: str):
         raw = fs.open_output_stream(path)
-        # zip needs to tell its place; tar and bulk only write on
+        # zip needs to tell its place; the others only write on
         f = codecs.writer(raw, self.codec)
         return raw, f, formats.WRITERS[self.kind](f)
 
@@ -295,14 +456,20 @@ class Writer(DataSourceArrowWriter):
         fs.create_dir(inner, recursive=True)
         done = Parts()
         raw = f = out = None
-        path, packets, size = "", 0, 0
+        path, packets, size, since, places = "", 0, 0, 0, Places()
 
         def close() -> None:
             out.close()
             if f is not raw:
                 f.close()
+            end, index = raw.tell(), None
             raw.close()
-            done.files.append((path, packets, size))
+            if self.kind != "zip":
+                places.rows[-1]["end"] = end
+                index = f"_index-{self.name}-{self.job}-{uuid.uuid4().hex[:12]}.json"
+                with fs.open_output_stream(f"{inner}/{index}") as i:
+                    i.write(json.dumps(places.rows).encode())
+            done.files.append((base_name(path), packets, size, index))
 
         from pyspark import TaskContext
 
@@ -314,13 +481,23 @@ class Writer(DataSourceArrowWriter):
             if out is not None and self.most and size > self.most and now != before:
                 close()
                 out = None
-            if now != before and row["type"] != "_settings" and row["id"] not in ("_mapping", "_alias"):
-                done.docs += 1
-            before = now
             if out is None:
-                path = f"{inner}/_part-{self.job}-{number:06d}-{len(done.files):06d}-{uuid.uuid4().hex[:8]}"
+                path = f"{inner}/_part-{self.name}-{self.job}-{number:06d}-{len(done.files):06d}-{uuid.uuid4().hex[:8]}"
                 raw, f, out = self._open(fs, path)
-                packets = size = 0
+                packets, size, since, places = 0, 0, 0, Places()
+                places.begin(0, 0)
+            elif self.kind != "zip" and now != before and size - since >= self.member:
+                if f is not raw:
+                    f.close()
+                places.begin(raw.tell(), packets)
+                if f is not raw:  # a member that can be read alone
+                    f = out.f = codecs.writer(raw, self.codec)
+                since = size
+            if now != before:
+                places.add(now)
+                if row["type"] != "_settings" and row["id"] not in ("_mapping", "_alias"):
+                    done.docs += 1
+            before = now
             size += out.add(row)
             packets += 1
         if out is not None:
@@ -328,64 +505,144 @@ class Writer(DataSourceArrowWriter):
         return done
 
     def commit(self, messages) -> None:
-        """Gives the parts their names: ``name``, ``1.name``, ``2.name`` and so on, in order of tasks."""
+        """Makes the parts the archive: by a manifest that says where they are, then by their names, in order of tasks."""
         fs, inner = file_system(self.directory)
-        old = [p for p, _ in parts_of(self.directory, self.name)]
-        first = 0
-        if self.overwrite:
-            for path in old:
-                fs.delete_file(path)
-        elif old:
-            first = 1 + max(part_of(p) for p in old)
         fs.create_dir(inner, recursive=True)
+        before = _manifest(fs, inner, self.name)
+        old = [x for x in found(self.directory) if re.fullmatch(r"(?:\d+\.)?" + re.escape(self.name), x.name)]
+        kept = [] if self.overwrite else [{"name": x.name, "at": base_name(x.path), "index": x.index and base_name(x.index)} for x in old]
+        first = 1 + max(part_of(x["name"]) for x in kept) if kept else 0
         files = sorted(f for m in messages if m for f in m.files)
         if not files and not old:
-            raw, f, out = self._open(fs, path := f"{inner}/_part-{self.job}-empty")
+            raw, f, out = self._open(fs, f"{inner}/{(path := f'_part-{self.name}-{self.job}-empty')}")
             out.close()
             if f is not raw:
                 f.close()
             raw.close()
-            files = [(path, 0, 0)]
-        for n, (path, _, _) in enumerate(files, first):
-            fs.move(path, f"{inner}/{f'{n}.' if n else ''}{self.name}")
+            files = [(path, 0, 0, None)]
+        new = [{"name": f"{n}.{self.name}" if n else self.name, "at": f[0], "index": f[3]} for n, f in enumerate(files, first)]
+        self._swap(fs, inner, kept + new)
+        self._name(fs, inner, kept + new)
         told = {"packets": sum(f[1] for f in files), "docs": sum(m.docs for m in messages if m), "bytes": sum(f[2] for f in files), "parts": len(files)}
         with fs.open_output_stream(f"{inner}/_summary-{self.job}") as f:
             f.write(json.dumps(told).encode())
+        self._sweep(fs, inner, kept + new, [x.path for x in old] + [f"{inner}/{x['index']}" for x in before or [] if x.get("index")])
+
+    def _swap(self, fs, inner: str, parts: list[dict]) -> None:
+        """From here on readers have the new parts."""
+        aside = f"{inner}/_aside-{self.name}-{self.job}"
+        with fs.open_output_stream(aside) as f:
+            f.write(json.dumps({"parts": parts}).encode())
+        fs.move(aside, manifest_path(inner, self.name))
+
+    def _name(self, fs, inner: str, parts: list[dict]) -> None:
+        for p in parts:
+            if p["at"] != p["name"] and fs.get_file_info(f"{inner}/{p['at']}").type == pfs.FileType.File:
+                fs.move(f"{inner}/{p['at']}", f"{inner}/{p['name']}")
+
+    def _sweep(self, fs, inner: str, parts: list[dict], old: list[str]) -> None:
+        """Deletes what the archive had before, and files of this name that are not in its manifest: what writes that broke off have left."""
+        live = {f"{inner}/{p[k]}" for p in parts for k in ("name", "at", "index") if p[k]}
+        mine = re.compile(r"_(?:part|index|aside)-{0}-[0-9a-f]{{32}}\b.*|(?:\d+\.)?{0}".format(re.escape(self.name)))
+        left = [x.path for x in fs.get_file_info(pfs.FileSelector(inner)) if mine.fullmatch(x.base_name)]
+        for path in {*old, *left} - live:
+            if fs.get_file_info(path).type == pfs.FileType.File:
+                fs.delete_file(path)
 
     def abort(self, messages) -> None:
-        fs, _ = file_system(self.directory)
+        fs, inner = file_system(self.directory)
         for m in messages:
-            for path, _, _ in m.files if m else []:
-                fs.delete_file(path)
+            for f in m.files if m else []:
+                for name in (f[0], f[3]):
+                    if name and fs.get_file_info(f"{inner}/{name}").type == pfs.FileType.File:
+                        fs.delete_file(f"{inner}/{name}")
+
+
+class FileLog:
+    """Names of files that a stream has taken, numbered in the order in which it took them; a folder of small files that are joined now and then.
+
+    All names are held by the driver, as Spark's own file streams do; offsets are numbers.
+    """
+
+    JOINED = 16
+
+    def __init__(self, path: str):
+        self.fs, self.path = file_system(path)
+        self.names: list[str] = []
+        self.files: list[str] = []
+        self.load()
+
+    def load(self) -> None:
+        found_ = self.fs.get_file_info(pfs.FileSelector(self.path, allow_not_found=True))
+        self.files = sorted(x.path for x in found_ if re.fullmatch(r"\d{12}-\d{12}\.json", x.base_name))
+        held: dict[int, str] = {}
+        for path in self.files:  # a joined file and those it was joined from say the same
+            with self.fs.open_input_stream(path) as f:
+                held.update(enumerate(json.loads(f.read()), int(base_name(path)[:12])))
+        self.names = [held[n] for n in range(len(held))]
+
+    def take(self, new: list[str]) -> int:
+        """Adds names; returns how many there are."""
+        if new:
+            self._write(len(self.names), new)
+            self.names += new
+            if len(self.files) >= self.JOINED:
+                old = self.files
+                self.files = []
+                self._write(0, self.names)
+                for path in set(old) - set(self.files):
+                    self.fs.delete_file(path)
+        return len(self.names)
+
+    def _write(self, first: int, names: list[str]) -> None:
+        self.fs.create_dir(self.path, recursive=True)
+        path = f"{self.path}/{first:012d}-{first + len(names):012d}.json"
+        with self.fs.open_output_stream(aside := f"{self.path}/aside-{os.getpid()}") as f:
+            f.write(json.dumps(names).encode())
+        self.fs.move(aside, path)
+        self.files.append(path)
 
 
 class StreamReader(DataSourceStreamReader):
     """Micro-batches of archive files that land in a directory, whole files, in any order of names.
 
-    The offset holds the names of the files that are taken, so it grows with the files in the directory; files that are
-    removed leave it. A file is known by its name: other content under a taken name is not read again.
+    With ``log``, a folder of the stream's own, names that are taken lie there and the offset is their number, at most ``maxFiles`` more
+    a batch; without it the offset holds the names. A file is known by its name: other content under a taken name is not read again.
     """
 
     def __init__(self, options: dict):
         self.options = options
+        self.most = int(options.get("maxFiles", 0))
+        self.log = FileLog(options["log"]) if options.get("log") else None
 
-    def _files(self) -> dict[str, str]:
-        return {base_name(p): p for p, _ in archives(self.options["path"])}
+    def _files(self) -> dict[str, Archive]:
+        return {x.name: x for x in found(self.options["path"])}
 
     def initialOffset(self) -> dict:
-        return {"taken": []}
+        return {"n": 0} if self.log else {"taken": []}
 
     def latestOffset(self) -> dict:
-        return {"taken": sorted(self._files())}
+        if not self.log:
+            return {"taken": sorted(self._files())}
+        known = set(self.log.names)
+        new = sorted((n for n in self._files() if n not in known), key=lambda n: (part_of(n), n))
+        return {"n": self.log.take(new[: self.most] if self.most else new)}  # with what a run that broke off had taken and not read
+
+    def _names(self, start: dict, end: dict, files: dict) -> set[str]:
+        if self.log:
+            if end["n"] > len(self.log.names):
+                self.log.load()
+            return set(self.log.names[start["n"] : end["n"]])
+        # a checkpoint of an earlier version names the greatest path read
+        after = lambda offset: [n for n, x in files.items() if x.path <= offset["after"]] if "after" in offset else offset["taken"]
+        return set(after(end)) - set(after(start))
 
     def partitions(self, start: dict, end: dict) -> Sequence[InputPartition]:
         files = self._files()
-        # a checkpoint of an earlier version names the greatest path read
-        after = lambda offset: [n for n, p in files.items() if p <= offset["after"]] if "after" in offset else offset["taken"]
-        new = sorted(set(after(end)) - set(after(start)), key=lambda n: (part_of(n), n))
+        new = sorted(self._names(start, end, files), key=lambda n: (part_of(n), n))
         if lost := [n for n in new if n not in files]:
             raise FileNotFoundError(f"removed before it was read: {lost[0]}")
-        return [Slice(files[n], 0, -1, part_of(n)) for n in new]
+        return [Slice(files[n].path, 0, -1, part_of(n), n) for n in new]
 
     def read(self, partition: Slice) -> Iterator[pa.RecordBatch]:
         return Reader(self.options).read(partition)

@@ -5,7 +5,8 @@
 
 The offset is the number of the store's last write. A batch has the documents of the changes since the last one, with ``_seq``, the number
 of their change, so compaction, which changes no document, brings none. Where changes are no longer kept, or a store was
-loaded at once, the batch has the whole store (documents of its buckets with ``_seq`` 0). ``maxChanges`` bounds a batch.
+loaded at once, the batch has the whole store (documents of its buckets with ``_seq`` 0). ``maxChanges`` bounds a batch; ``log``, a file of the
+stream's own, then remembers where the last one ended.
 """
 
 from __future__ import annotations
@@ -43,8 +44,9 @@ class File(InputPartition):
 class FeedReader(DataSourceStreamReader):
     def __init__(self, options: dict):
         self.root = options["path"].rstrip("/")
-        self.most = int(options.get("maxChanges", 0))
-        self.at = 0
+        self.most, self.log = int(options.get("maxChanges", 0)), options.get("log")
+        if self.most and not self.log:
+            raise ValueError("maxChanges needs a log")
 
     def _layout(self) -> dict:
         fs, inner = file_system(self.root)
@@ -58,15 +60,29 @@ class FeedReader(DataSourceStreamReader):
     def initialOffset(self) -> dict:
         return {"seq": 0}
 
+    def _ended(self) -> int:
+        fs, inner = file_system(self.log)
+        if fs.get_file_info(inner).type != pfs.FileType.File:
+            return 0
+        with fs.open_input_stream(inner) as f:
+            return json.loads(f.read())
+
     def latestOffset(self) -> dict:
         lay = self._layout()
-        new = [c["seq"] for c in lay["changes"] if c["seq"] > self.at]
-        end = lay["seq"] if not self.most or len(new) <= self.most else new[self.most - 1]
-        self.at = max(self.at, end)
-        return {"seq": self.at}
+        if not self.most:
+            return {"seq": lay["seq"]}
+        at = self._ended()
+        new = [c["seq"] for c in lay["changes"] if c["seq"] > at]
+        end = lay["seq"] if len(new) <= self.most else new[self.most - 1]
+        if end != at:
+            fs, inner = file_system(self.log)
+            fs.create_dir(inner.rpartition("/")[0], recursive=True)
+            with fs.open_output_stream(f"{inner}-aside") as f:
+                f.write(json.dumps(end).encode())
+            fs.move(f"{inner}-aside", inner)
+        return {"seq": end}
 
     def partitions(self, start: dict, end: dict) -> Sequence[InputPartition]:
-        self.at = max(self.at, end["seq"])
         lay = self._layout()
         fs, inner = file_system(self.root)
         files = lambda folder: [x.path for x in fs.get_file_info(pfs.FileSelector(f"{inner}/{folder}")) if x.path.endswith(".parquet")]

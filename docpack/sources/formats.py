@@ -186,29 +186,32 @@ class TarWriter:
     BLANK = tarfile.TarInfo().tobuf(tarfile.GNU_FORMAT)
 
     def __init__(self, f: BinaryIO):
-        self.tar = tarfile.open(fileobj=f, mode="w|", format=tarfile.GNU_FORMAT, encoding="utf-8")  # noqa: SIM115
+        self.f, self.written = f, 0
 
     def _header(self, name: bytes, size: int) -> bytes:
         head = name.ljust(100, b"\0") + self.BLANK[100:124] + b"%011o\0" % size + self.BLANK[136:148]
         total = sum(head) + 8 * 32 + sum(self.BLANK[156:])  # the sum's own field counts as blanks
         return head + b"%06o\0 " % total + self.BLANK[156:]
 
+    def _write(self, block: bytes) -> None:
+        self.f.write(block)
+        self.written += len(block)
+
     def add(self, packet: dict) -> int:
         data = (packet["payload"] or "").encode()
         name = encode_name(*(packet[k] for k in ("index", "type", "id", "field")))
         if len(name) <= 100 and name.isascii() and len(data) < 1 << 33:
-            block = self._header(name.encode(), len(data)) + data + b"\0" * (-len(data) % tarfile.BLOCKSIZE)
-            self.tar.fileobj.write(block)
-            self.tar.offset += len(block)
-            return len(data)
-        info = tarfile.TarInfo(name)
-        info.size = len(data)
-        self.tar.addfile(info, io.BytesIO(data))
-        self.tar.members.clear()
+            head = self._header(name.encode(), len(data))
+        else:
+            info = tarfile.TarInfo(name)
+            info.size = len(data)
+            head = info.tobuf(tarfile.GNU_FORMAT, "utf-8", "surrogateescape")
+        self._write(head + data + b"\0" * (-len(data) % tarfile.BLOCKSIZE))
         return len(data)
 
     def close(self) -> None:
-        self.tar.close()
+        self._write(b"\0" * (2 * tarfile.BLOCKSIZE))
+        self._write(b"\0" * (-self.written % tarfile.RECORDSIZE))
 
 
 class Forward(io.RawIOBase):
@@ -239,10 +242,10 @@ class ZipWriter:
 
 
 class CpioWriter:
-    """New ASCII layout with numbered inodes; a name may occur once in a file."""
+    """New ASCII layout with numbered inodes. A name may not occur twice in a row; ``jobs.write_packets`` sorts names, so that none occurs twice."""
 
     def __init__(self, f: BinaryIO):
-        self.f, self.names, self.written = f, set(), 0
+        self.f, self.last, self.entries, self.written = f, None, 0, 0
 
     def _entry(self, name: bytes, data: bytes, inode: int, mode: int) -> None:
         numbers = [inode, mode, 0, 0, 1, 0, len(data), 0, 0, 0, 0, len(name) + 1, 0]
@@ -253,11 +256,12 @@ class CpioWriter:
 
     def add(self, packet: dict) -> int:
         name = encode_name(*(packet[k] for k in ("index", "type", "id", "field"))).encode()
-        if name in self.names:
+        if name == self.last:
             raise ValueError(f"cpio entry is there already: {name.decode()}")
-        self.names.add(name)
+        self.last = name
+        self.entries += 1
         data = (packet["payload"] or "").encode()
-        self._entry(name, data, len(self.names), 0o100644)
+        self._entry(name, data, self.entries, 0o100644)
         return len(data)
 
     def close(self) -> None:
