@@ -8,6 +8,8 @@ that a later delivery of documents is held against all earlier ones.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,21 +43,25 @@ RECORD = "digest string, id {kind}, content long, delivery long, place long, loc
 def deliver(docs: DataFrame, folder: str, digest=sha256) -> tuple[DataFrame, int]:
     """Adds the records of ``docs`` (``id``, ``norm``, ``content``, ``locator``) to the folder as its next delivery; they and its number.
 
-    ``place`` numbers the rows of a delivery; once written it tells rows apart that agree in everything else.
+    ``place`` numbers the rows of a delivery; once written it tells rows apart that agree in everything else. Records are written aside and
+    get their place as a whole, so a delivery that breaks off leaves none.
     """
     spark = docs.sparkSession
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/records")
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    number = len(fs.listStatus(path)) if fs.exists(path) else 0
-    own = f"{folder}/records/{number:09d}"
+    number = 1 + max((int(x.getPath().getName()) for x in fs.listStatus(path)), default=-1) if fs.exists(path) else 0
+    own, aside = f"{folder}/records/{number:09d}", f"{folder}/aside-{uuid.uuid4().hex}"
     kind = docs.schema["id"].dataType.simpleString()
     records = docs.select(digest(F.col("norm")).alias("digest"), "id", "content", F.lit(number).cast("long").alias("delivery"), F.monotonically_increasing_id().alias("place"), "locator")
-    records.write.parquet(own)
+    records.write.parquet(aside)
+    fs.mkdirs(path)
+    if not fs.rename(spark._jvm.org.apache.hadoop.fs.Path(aside), spark._jvm.org.apache.hadoop.fs.Path(own)):
+        raise RuntimeError(f"another delivery has written {own}")
     return spark.read.schema(RECORD.format(kind=kind)).parquet(own), number
 
 
-def stream_state(spark, folder: str, kind: str, files_per_batch: int = 10_000) -> DataFrame:
-    """Runs the records of ``folder`` that were not yet read through the keyed state, and returns all of it.
+def stream_state(spark, folder: str, kind: str, files_per_batch: int = 10_000, of: DataFrame | None = None) -> DataFrame:
+    """Runs the records of ``folder`` that were not yet read through the keyed state, and returns what it has (``of`` these digests only).
 
     ``digest, first, group_size``: ``first`` is the row of the first delivery that had the digest, of these the one with the least
     id (null ids last) and place. The state's changes of each micro-batch are written under the batch's number, so that a
@@ -74,6 +80,7 @@ def stream_state(spark, folder: str, kind: str, files_per_batch: int = 10_000) -
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     changes = spark.read.schema(state.schema).option("basePath", f"{folder}/changes").parquet(f"{folder}/changes")
+    changes = changes.join(of, "digest", "left_semi") if of is not None else changes
     return changes.groupBy("digest").agg(F.max_by("first", "group_size").alias("first"), F.max("group_size").alias("group_size"))
 
 
@@ -107,7 +114,9 @@ def exact_groups(docs: DataFrame, text: str = "text", key: str = "doc_id", diges
     raw = F.col(text).cast("string")
     source = docs.select(F.col(key).alias("id"), normalised(raw).alias("norm"), F.xxhash64(raw).alias("content"), F.input_file_name().alias("locator"))
     records, number = deliver(source, folder, digest)
-    state = stream_state(spark, folder, kind, files_per_batch).where("group_size > 1")
+    # earlier deliveries had other digests too, which do not matter now
+    of = sided(written(records.select("digest").distinct(), "dedup-digests")) if number else None
+    state = stream_state(spark, folder, kind, files_per_batch, of).where("group_size > 1")
     repeated = written(state.select("digest", "first", "group_size"), "dedup-repeated")
     small = sided(repeated)
     found = records.join(small, "digest", "left")

@@ -57,15 +57,36 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_repeats:
     )
 
 
-def _starts(light: DataFrame, goals: DataFrame, buckets: int) -> DataFrame:
-    """Rows that share source and hash as one unit, with ``mix_end``: the words of its source's queue up to its end."""
-    units = light.groupBy(*KEYS, "mix_hash").agg(F.sum("mix_size").alias("mix_size")).withColumn("bucket", hash_bucket(F.col("mix_hash"), buckets))
-    units = written(units, "mix-units")
+def _units(light: DataFrame, buckets: int) -> DataFrame:
+    """Rows that share source and hash, as one."""
+    units = light.groupBy(*KEYS, "mix_hash").agg(F.sum("mix_size").alias("mix_size"), F.count("*").alias("rows"))
+    return written(units.withColumn("bucket", hash_bucket(F.col("mix_hash"), buckets)), "mix-units")
+
+
+def _told_apart(rows: DataFrame, again: DataFrame, name: str) -> DataFrame:
+    """``rows`` with a hash of their own for all but the first of those that share one (``again`` has these hashes).
+
+    Rows that repeat are numbered in the order of a written table: counts by its parts say where each part's numbers begin, so
+    however many repeat one row, no task has more of them than a part.
+    """
+    same = [*KEYS, "mix_hash"]
+    several = written(rows.join(sided(again), same, "left_semi").withColumn("mix_id", F.monotonically_increasing_id()), name)
+    several = several.withColumn("mix_part", F.shiftright("mix_id", 33))
+    before = W.partitionBy(*same).orderBy("mix_part").rowsBetween(W.unboundedPreceding, -1)
+    starts = several.groupBy(*same, "mix_part").agg(F.count("*").alias("n")).withColumn("mix_first", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
+    nth = F.col("mix_first") + F.row_number().over(W.partitionBy(*same, "mix_part").orderBy("mix_id")) - 1
+    numbered = several.join(starts, [*same, "mix_part"]).withColumn("mix_nth", nth)
+    own = F.when(F.col("mix_nth") == 0, F.col("mix_hash")).otherwise(key_hash("again", F.col("mix_hash"), F.col("mix_nth")))
+    return rows.join(sided(again), same, "left_anti").unionByName(numbered.withColumn("mix_hash", own).select(*rows.columns))
+
+
+def _starts(units: DataFrame, goals: DataFrame) -> DataFrame:
+    """Units with ``mix_end``: the words of its source's queue up to its end."""
     along = W.partitionBy(*KEYS).orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     starts = units.groupBy(*KEYS, "bucket").agg(F.sum("mix_size").alias("n")).withColumn("start", F.coalesce(F.sum("n").over(along), F.lit(0))).drop("n")
     starts = written(starts.join(goals, KEYS), "mix-starts")
     queue = W.partitionBy(*KEYS, "bucket").orderBy("mix_hash").rowsBetween(W.unboundedPreceding, 0)
-    return units.withColumn("up_to", F.sum("mix_size").over(queue)).join(sided(starts), [*KEYS, "bucket"]).withColumn("mix_end", F.col("start") + F.col("up_to")).drop("up_to", "start", "bucket")
+    return units.drop("rows").withColumn("up_to", F.sum("mix_size").over(queue)).join(sided(starts), [*KEYS, "bucket"]).withColumn("mix_end", F.col("start") + F.col("up_to")).drop("up_to", "start", "bucket")
 
 
 def _finish(end: Column, round_: Column, total: Column, target: Column) -> Column:
@@ -96,15 +117,20 @@ def _cut(copies: DataFrame, budget: float, few: int) -> tuple[float, DataFrame]:
     return held["low"], ordered.where(2 * F.col("mixed") - F.col("mix_size") <= 2 * budget).drop("mixed")
 
 
-def _mixed(docs: DataFrame, keep: list[str], text: str, source: str, key: str, weights: tuple[int, ...], max_repeats: int, share: float, seed: str, few: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The table of sizes (with columns ``keep``), the bounds of sources, and the queues of their units."""
+def _mixed(docs: DataFrame, keep: list[str], text: str, source: str, key: str, weights: tuple[int, ...], max_repeats: int, share: float, seed: str, few: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame | None]:
+    """The table of sizes (with columns ``keep``), the bounds of sources, the queues of their units, and hashes that several rows had."""
     buckets = spread(docs.sparkSession)
     queued = _queued(docs, text, source, key, seed)
     light = written(docs.select(*keep, *[c.alias(n) for n, c in queued.items()]), "mix-sizes")
     totals = light.groupBy(*KEYS).agg(F.sum("mix_size").alias("mix_total"))
     goals = written(targets(totals, weights, max_repeats, share), "mix-targets")
     budget = (goals.agg(F.sum("mix_total")).first()[0] or 0) * share
-    units = _starts(light, goals, buckets)
+    units, again = _units(light, buckets), None
+    if not units.where("rows > 1").isEmpty():
+        again = written(units.where("rows > 1").select(*KEYS, "mix_hash"), "mix-again")
+        light = written(_told_apart(light, again, "mix-several"), "mix-sizes")
+        units = _units(light, buckets)
+    units = _starts(units, goals)
     begin = lambda e: (F.col("mix_end") - F.col("mix_size") + e * F.col("mix_total")).cast("double")
     rounds = F.filter(F.array(*[F.lit(e).cast("long") for e in range(max_repeats)]), lambda e: begin(e) < F.col("mix_target"))
     copies = units.where("mix_target > 0").select(*KEYS, "mix_hash", "mix_size", "mix_end", "mix_total", "mix_target", F.explode(rounds).alias("round"))
@@ -115,7 +141,7 @@ def _mixed(docs: DataFrame, keep: list[str], text: str, source: str, key: str, w
         low, some = _cut(copies, budget, few)
         taken = copies.where(F.col("finish") < low).groupBy(*KEYS).agg(last).unionByName(some.groupBy(*KEYS).agg(last))
         bounds = goals.join(taken.groupBy(*KEYS).agg(F.max("last").alias("last")), KEYS, "left")
-    return light, written(bounds, "mix-bounds"), units
+    return light, written(bounds, "mix-bounds"), units, again
 
 
 def _times() -> Column:
@@ -138,10 +164,10 @@ def mix_sizes(
 
     Reruns agree: sums are of whole numbers, and the order depends on keys and texts alone. Null or empty texts have
     size 0 and are taken with their neighbours in the queue; null sources are one source, last in order; null keys
-    are one key, whose rows queue by their texts. Rows that repeat both key and text are one unit of the queue, taken all or none.
+    are one key, whose rows queue by their texts. Rows that repeat both key and text have places of their own in the queue.
     An empty table gives an empty result; other columns are ignored.
     """
-    light, bounds, _ = _mixed(docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(source).alias("source")), ["key"], "text", "source", "key", weights, max_repeats, share, seed, few)
+    light, bounds, _, _ = _mixed(docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(source).alias("source")), ["key"], "text", "source", "key", weights, max_repeats, share, seed, few)
     return light.join(sided(bounds), KEYS).select("key", "mix_size", "mix_total", "mix_target", _times().alias("mix_copies"))
 
 
@@ -162,9 +188,10 @@ def mixed_rows(
     Rows are chosen where they are, by the bounds of their sources. ``ordered`` sorts them by finish time over range
     partitions: the order in which a trainer would read them.
     """
-    _, bounds, units = _mixed(docs, [], text, source, key, weights, max_repeats, share, seed, few)
+    _, bounds, units, again = _mixed(docs, [], text, source, key, weights, max_repeats, share, seed, few)
     own = F.struct(*[c.alias(n) for n, c in _queued(docs, text, source, key, seed, size=False).items()])
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), own.alias("own")).select("row", "own.*")
+    rows = _told_apart(rows, again, "mix-rows") if again is not None else rows
     rows = rows.join(sided(bounds), KEYS).withColumn("copies", _times()).where("copies > 0")
     rows = rows.select("row", *KEYS, "mix_hash", "mix_total", "mix_target", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("round"))
     if ordered:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from docpack.llm.text import hash_bucket, key_hash
 from docpack.session import spread
@@ -21,16 +22,18 @@ def rendezvous(key, shards: dict[int, float]):
 
 
 def shard(docs: DataFrame, key: str = "doc_id", shards: dict[int, float] | int = 8, grown: dict[int, float] | int | None = None) -> DataFrame:
-    """``docs`` with ``shard``, ``slot`` (gapless from 0 in the shard, by hash of the key) and ``grown_shard``.
+    """``docs`` with ``shard``, ``slot`` (gapless from 0 in the shard, by a hash of the row) and ``grown_shard``.
 
     ``shards`` maps shard numbers to weights (a count means equal weights). Slots need no task that holds a whole shard:
-    counts per (shard, hash bucket) say where each bucket's slots begin. Null keys are one key and so share a shard; rows of
-    equal keys get neighbouring slots; an empty table gives an empty result; columns of these three names are replaced.
+    counts per (shard, hash bucket) say where each bucket's slots begin. Null keys are one key and so share a shard, but rows of one key
+    are dealt over the buckets by their other columns (but maps), so a key with very many rows is no hot task unless the rows are equal too;
+    an empty table gives an empty result; columns of these three names are replaced.
     """
     weighed = lambda x: dict.fromkeys(range(x), 1.0) if isinstance(x, int) else x
     docs = docs.drop("shard", "slot", "grown_shard")
     buckets = spread(docs.sparkSession)
-    h = key_hash("slot", F.col(key))
+    whole = F.xxhash64(*[F.col(f"`{f.name}`") for f in docs.schema if not isinstance(f.dataType, MapType)])
+    h = key_hash("slot", F.col(key), whole)
     dealt = docs.withColumns(
         {
             "shard": rendezvous(F.col(key), weighed(shards)),

@@ -19,6 +19,7 @@ from typing import BinaryIO
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from docpack.session import sided, written
@@ -26,7 +27,7 @@ from docpack.sources.archive import file_system
 
 EPOCH = "1970-01-01T00:00:00Z"
 RECORD = "record_type string, record_id string, refers_to string, target_uri string, warc_date string, content_type string, content_length long, block_digest string, payload_digest string, headers string, content string"
-RESPONSE_COLUMNS = ["record_id", "target_uri", "warc_date", "http_headers", "payload", "payload_digest"]
+RESPONSE_COLUMNS = ["record_id", "target_uri", "warc_date", "http_headers", "payload", "payload_digest", "payload_length"]
 # one step: a comment, a script or style with its content, or a tag; none can run over the text more than once
 MARK = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)\b[^<>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^<>]*)>|<[!?][^<>]*>", re.S | re.I)
 TEMPLATE_END = re.compile(r"</template\s*>", re.I)
@@ -93,13 +94,13 @@ def header_lines(fields: list[tuple[str, str | None]]) -> str:
     return "".join(f"{k}: {' '.join(v.split())}\r\n" for k, v in fields if v)
 
 
-def derive(record_id: str, uri: str | None, date: str, http: str, payload: str, payload_digest: str) -> list[tuple]:
+def derive(record_id: str, uri: str | None, date: str, http: str, payload: str, payload_digest: str, payload_length: int) -> list[tuple]:
     """The two derived records of one response, as rows of ``RECORD``.
 
     Both refer to the response and name the digest of its payload; a conversion's payload is its block.
     """
     text, found = page_text(payload)
-    meta = [("title", found["title"]), ("languages", found["lang"]), ("charset", found["charset"]), ("source-payload-digest", payload_digest), ("source-payload-length", str(len(payload.encode("utf-8", "surrogatepass"))))]
+    meta = [("title", found["title"]), ("languages", found["lang"]), ("charset", found["charset"]), ("source-payload-digest", payload_digest), ("source-payload-length", str(payload_length))]
     meta += [(f"http-header-{k.strip().lower()}", v.strip()) for k, _, v in (x.partition(":") for x in http.split("\r\n")[1:]) if v]
     meta += [("outlink", x) for x in found["links"]]
     out = []
@@ -141,64 +142,169 @@ def parse_records(data: bytes | BinaryIO) -> Iterator[tuple[dict[str, str], byte
         yield fields, block
 
 
-def http_parts(block: bytes) -> tuple[str, bytes, str]:
-    """Header lines, payload (as it was sent) and its text: chunks joined, gzip and deflate undone, by the charset of header or page, else UTF-8."""
-    head, _, payload = block.partition(b"\r\n\r\n")
+def _unchunked(body: bytes) -> tuple[bytes, str]:
+    """The chunks of a body joined; as far as they go if a size is no number, or the whole body if it has no chunk."""
+    f, parts = io.BytesIO(body), []
+    while size := f.readline().split(b";")[0].strip():
+        try:
+            n = int(size, 16)
+        except ValueError:
+            return (b"".join(parts) if parts else body), "bad chunk size"
+        if n <= 0:
+            break
+        parts.append(f.read(n))
+        f.readline()
+    return b"".join(parts), ""
+
+
+def _expanded(body: bytes, coding: str) -> tuple[bytes, str]:
+    """A body without one content coding; as it is if it is not of that coding, as far as it goes if it breaks off."""
+    if coding in ("", "identity") or not body:
+        return body, ""
+    if coding not in ("gzip", "x-gzip", "deflate"):
+        return body, f"content coding {coding} is not known"
+    for bits in (47,) if "gzip" in coding else (15, -15):  # deflate is sent with and without its header
+        tool, out = zlib.decompressobj(bits), []
+        try:
+            out.append(tool.decompress(body))
+            while tool.eof and bits == 47 and tool.unused_data.startswith(b"\x1f\x8b"):  # further members
+                rest, tool = tool.unused_data, zlib.decompressobj(bits)
+                out.append(tool.decompress(rest))
+        except zlib.error:
+            if out:
+                return b"".join(out), f"{coding} is damaged"
+            continue
+        return b"".join(out), "" if tool.eof else f"{coding} breaks off"
+    return body, f"not {coding}"
+
+
+def http_parts(block: bytes) -> tuple[str, bytes, str, str | None]:
+    """Header lines, payload (as it was sent), its text, and what was wrong with it (None: nothing).
+
+    Chunks are joined and content codings undone, the last first; the text is by the charset of header or page, else UTF-8. A body that is not
+    what its headers say is taken as far as it can be read.
+    """
+    head, mark, payload = block.partition(b"\r\n\r\n")
+    wrong = [] if mark else ["no end of headers"]
     http = head.decode("latin-1")
-    named = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in http.split("\r\n")[1:])}
+    named: dict[str, str] = {}
+    for k, _, v in (x.partition(":") for x in http.split("\r\n")[1:]):
+        k = k.strip().lower()
+        named[k] = f"{named[k]}, {v.strip()}" if k in named and k.endswith("encoding") else v.strip()
     body = payload
     if "chunked" in named.get("transfer-encoding", "").lower():
-        f, parts = io.BytesIO(body), []
-        while (size := f.readline().split(b";")[0].strip()) and (n := int(size, 16)):
-            parts.append(f.read(n))
-            f.readline()
-        body = b"".join(parts)
-    coding = named.get("content-encoding", "").lower()
-    if coding in ("gzip", "x-gzip", "deflate"):
-        body = zlib.decompressobj(47 if "gzip" in coding else 15).decompress(body)
+        body, bad = _unchunked(body)
+        wrong += [bad] * bool(bad)
+    for coding in reversed(named.get("content-encoding", "").lower().split(",")):
+        body, bad = _expanded(body, coding.strip())
+        wrong += [bad] * bool(bad)
     found = CHARSET.search(named.get("content-type", "")) or CHARSET.search(body[:2048].decode("latin-1"))
     try:
         text = body.decode(found[1] if found else "utf-8", "replace")
-    except LookupError:
+    except (LookupError, ValueError):  # no charset of text, or one that cannot replace what it cannot read
         text = body.decode("utf-8", "replace")
-    return http, payload, text
-
-
-RESPONSE = "key string, record_id string, target_uri string, warc_date string, http_headers string, payload string, payload_digest string"
+        wrong.append(f"charset {found[1]} cannot be used")
+    return http, payload, text, "; ".join(wrong) or None
+
+
+class Members(io.RawIOBase):
+    """The content of gzip members one after the other; where they are damaged or break off, what comes before that and then the error."""
+
+    def __init__(self, raw: BinaryIO):
+        self.raw, self.tool, self.ready, self.rest = raw, None, b"", b""
+        self.fault: Exception | None = None
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, into) -> int:
+        while not self.ready:
+            if self.fault:
+                raise self.fault
+            if not (block := self.rest or self.raw.read(1 << 16)):
+                if self.tool is None:
+                    return 0
+                self.fault = EOFError("gzip breaks off")
+                continue
+            self.rest = b""
+            if self.tool is None:
+                block = block.lstrip(b"\0")  # padding
+                if not block:
+                    continue
+                self.tool = zlib.decompressobj(31)
+            self._expand(block)
+        n = min(len(into), len(self.ready))
+        into[:n], self.ready = self.ready[:n], self.ready[n:]
+        return n
+
+    def _expand(self, block: bytes) -> None:
+        before = self.tool.copy()
+        try:
+            self.ready = self.tool.decompress(block)
+        except zlib.error as e:
+            self.fault = e
+            for at in range(0, len(block), 64):  # as much as comes before the damage
+                try:
+                    self.ready += before.decompress(block[at : at + 64])
+                except zlib.error:
+                    break
+            return
+        if self.tool.eof:
+            self.rest, self.tool = self.tool.unused_data, None
+
+
+RESPONSE = "key string, record_id string, target_uri string, warc_date string, http_headers string, payload string, payload_digest string, payload_length long, reason string"
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """The response records of WARC files (plain or gzip; a file, folder or glob): ``key`` (the record's identifier) and ``RESPONSE_COLUMNS``.
 
-    One task reads a file, record by record. Identifiers, dates and HTTP headers are those of the file, and so is the payload's digest
-    where the record has one. Other records, and responses of other schemes than HTTP, are passed over.
+    A file is read by one task, record by record; files are dealt out in turns, the largest first. Identifiers, dates and HTTP headers are those
+    of the file, and so is the payload's digest where the record has one; ``payload_length`` is of the payload as it was sent. Other records, and
+    responses of other schemes than HTTP, are passed over. A response that is not what its headers say is kept as far as it can be read, with
+    the ``reason``; where a file itself breaks off or is damaged, what came before is kept, and a row without identifiers tells file and reason.
     """
-    files = spark.read.format("binaryFile").load(path).select("path")  # names only; no content is read
-    names = ["key", *RESPONSE_COLUMNS]
+    sizes = spark.read.format("binaryFile").load(path).select("path", "length")  # no content is read
+    tasks = max(1, sizes.count())
+    place = F.row_number().over(W.orderBy(F.desc("length"), "path")) - 1  # as many rows as files
+    files = sizes.withColumn("place", place).repartitionByRange(tasks, "place").select("path")
+    names = ["key", *RESPONSE_COLUMNS, "reason"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for name in batch["path"]:
                 fs, inner = file_system(name)
                 with fs.open_input_stream(inner, compression=None) as raw:
-                    f = io.BufferedReader(gzip.GzipFile(fileobj=raw) if name.endswith(".gz") else raw, 1 << 20)
+                    f = io.BufferedReader(Members(raw) if name.endswith(".gz") else raw, 1 << 20)
                     rows, size = [], 0
-                    for fields, block in parse_records(f):
+                    records = parse_records(f)
+                    while True:
+                        try:
+                            fields, block = next(records)
+                        except StopIteration:
+                            break
+                        except (EOFError, OSError, ValueError, KeyError, zlib.error) as e:
+                            rows.append((None, None, None, None, None, None, None, None, f"{name}: {type(e).__name__}: {e}"))
+                            break
                         if fields.get("WARC-Type") != "response" or "http" not in fields.get("Content-Type", ""):
                             continue
-                        http, payload, text = http_parts(block)
+                        http, payload, text, reason = http_parts(block)
                         own = fields.get("WARC-Record-ID", "")
-                        rows.append((own, own, fields.get("WARC-Target-URI"), fields.get("WARC-Date", EPOCH), http, text, fields.get("WARC-Payload-Digest") or digest(payload)))
+                        rows.append((own, own, fields.get("WARC-Target-URI"), fields.get("WARC-Date", EPOCH), http, text, fields.get("WARC-Payload-Digest") or digest(payload), len(payload), reason))
                         size += len(text)
                         if size > 8 << 20:
-                            yield pd.DataFrame(rows, columns=names)
+                            yield _responses(rows, names)
                             rows, size = [], 0
-                    yield pd.DataFrame(rows, columns=names)
+                    yield _responses(rows, names)
+
+    return files.mapInPandas(run, RESPONSE)
+
 
-    return files.repartition(max(1, files.count()), "path").mapInPandas(run, RESPONSE)
+def _responses(rows: list[tuple], names: list[str]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=names).astype({"payload_length": "Int64"})
 
 
-def response_record(record_id: str, uri: str | None, date: str, http: str, payload: str, payload_digest: str) -> tuple[str, str]:
+def response_record(record_id: str, uri: str | None, date: str, http: str, payload: str, payload_digest: str, payload_length: int | None = None) -> tuple[str, str]:
     """Header and content of a response as it stands in a file."""
     content = f"{http.rstrip()}\r\n\r\n{payload}"
     block = content.encode("utf-8", "surrogatepass")
@@ -264,8 +370,8 @@ def responses(pages: DataFrame, key: str = "page_id", url: str = "url", html: st
                 body = (h or "").encode("utf-8", "surrogatepass")
                 lines = lines or f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(body)}\r\n"
                 own = digest(body)
-                rows.append((record_uuid("response", None if pd.isna(k) else str(k), u, own, *([nth] if nth else [])), u, day or EPOCH, lines, h or "", own))
-            yield pd.concat([batch[["key"]].reset_index(drop=True), pd.DataFrame(rows, columns=RESPONSE_COLUMNS)], axis=1)
+                rows.append((record_uuid("response", None if pd.isna(k) else str(k), u, own, *([nth] if nth else [])), u, day or EPOCH, lines, h or "", own, len(body), None))
+            yield pd.concat([batch[["key"]].reset_index(drop=True), pd.DataFrame(rows, columns=[*RESPONSE_COLUMNS, "reason"])], axis=1)
 
     return source.mapInPandas(run, f"key {kind}, " + RESPONSE.removeprefix("key string, "))
 
@@ -274,8 +380,9 @@ def derivatives(records: DataFrame) -> DataFrame:
     """Two rows per response (``key`` and ``RESPONSE_COLUMNS``): ``key`` and ``RECORD``.
 
     Derived identifiers follow from the response's. Empty payloads give an empty conversion; a null target URI is
-    left out of the headers; records that repeat give equal ones. An empty table gives no rows.
+    left out of the headers; records that repeat give equal ones; rows without a record (damaged files) give none. An empty table gives no rows.
     """
+    records = records.where("record_id IS NOT NULL")
     kind = records.schema["key"].dataType.simpleString()
     names = [x.split()[0] for x in RECORD.split(", ")]
 
@@ -283,7 +390,7 @@ def derivatives(records: DataFrame) -> DataFrame:
         for batch in batches:
             for at in range(0, len(batch), 500):
                 part = batch.iloc[at : at + 500]
-                rows = [r for x in zip(*[part[c] for c in RESPONSE_COLUMNS], strict=True) for r in derive(x[0], x[1], x[2], x[3] or "", x[4] or "", x[5])]
+                rows = [r for x in zip(*[part[c] for c in RESPONSE_COLUMNS], strict=True) for r in derive(x[0], x[1], x[2], x[3] or "", x[4] or "", x[5], int(x[6]))]
                 yield pd.concat([part[["key"]].loc[part.index.repeat(2)].reset_index(drop=True), pd.DataFrame(rows, columns=names)], axis=1)
 
     return records.select("key", *RESPONSE_COLUMNS).mapInPandas(run, f"key {kind}, {RECORD}")

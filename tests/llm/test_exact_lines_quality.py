@@ -74,6 +74,22 @@ def test_later_deliveries_are_held_against_earlier_ones(spark, digest):
             assert r["kept"] == (min(norm[own]) == (n, r["doc_id"] is None, r["doc_id"]))
 
 
+def test_a_delivery_that_broke_off_is_not_counted(spark, monkeypatch):
+    folder = new_path(spark, "deliveries")
+    put = lambda rows: spark.createDataFrame(rows, "doc_id long, text string")
+
+    def delivered(rows):
+        path = new_path(spark, "delivery")
+        put(rows).write.parquet(path)
+        return sorted(tuple(r)[:4] for r in exact.exact_groups(spark.read.parquet(path), folder=folder).select("doc_id", "keep_id", "group_size", "kept").collect())
+
+    assert delivered([(1, "a"), (2, "b")]) == [(1, 1, 1, True), (2, 2, 1, True)]
+    bad = put([(3, "a"), (4, "c")]).select(F.col("doc_id").alias("id"), F.col("text").alias("norm"), F.lit(0).cast("long").alias("content"), F.raise_error(F.lit("lost")).alias("locator"))
+    with pytest.raises(Exception, match="lost"):
+        exact.deliver(bad, folder)
+    assert delivered([(5, "a"), (6, "c"), (7, "c")]) == [(5, 1, 2, False), (6, 6, 2, True), (7, 6, 2, False)]
+
+
 def brute_lines(docs: dict, least=40, often=5):
     key = lambda x: re.sub("[A-Z]+", lambda m: m[0].lower(), x.strip(" \t\n\x0b\x0c\r"))
     found = defaultdict(set)

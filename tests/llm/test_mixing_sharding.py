@@ -63,6 +63,21 @@ def test_rows_without_key_queue_by_their_texts(spark):
     assert len(rows) == 2 and all(abs(r["taken"] - r["mix_target"]) <= 5 for r in rows)
 
 
+def test_a_flood_of_equal_rows_is_cut_inside(spark):
+    flood = [(1, "a b c d e", "x", n) for n in range(600)] + [(k, "w " * 5, "y" if k % 2 else "z", k) for k in range(2, 302)]
+    docs = spark.createDataFrame(flood, "doc_id long, text string, source string, note int").repartition(7)
+    for seed in ("mix-0", "mix-1", "mix-2"):
+        out = mixing.mix_sizes(docs, seed=seed)
+        sources = out.groupBy("mix_total", "mix_target").agg(F.sum(F.col("mix_copies") * F.col("mix_size")).alias("taken"), F.max("mix_copies").alias("most")).collect()
+        assert sum(r["taken"] for r in sources) > 0 and all(abs(r["taken"] - r["mix_target"]) <= 5 * max(1, len(sources)) and r["most"] <= 3 for r in sources), sources
+        rows = mixing.mixed_rows(docs, seed=seed)
+        assert rows.columns == docs.columns
+        assert rows.where("doc_id = 1").count() == out.where("key = 1").agg(F.sum("mix_copies")).first()[0]
+        assert rows.count() == out.agg(F.sum("mix_copies")).first()[0]
+    again = sorted(map(tuple, mixing.mix_sizes(docs.repartition(3)).collect()))
+    assert again == sorted(map(tuple, mixing.mix_sizes(docs).collect()))
+
+
 def test_mixed_rows_in_order_of_finish(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     sizes = {r["key"]: r for r in mixing.mix_sizes(docs).collect()}
@@ -103,3 +118,12 @@ def test_weights_and_awkward_tables(spark):
     assert out.count() == awkward(spark).count()
     assert out.where("doc_id IS NULL").select("shard").distinct().count() == 1
     assert sharding.shard(nothing(spark)).count() == 0
+
+
+def test_rows_of_one_key_are_dealt_over_buckets(spark):
+    docs = spark.range(3000).select(F.lit(None).cast("long").alias("doc_id"), F.col("id").alias("note"), F.create_map(F.lit("a"), F.lit(1)).alias("m"))
+    out = sharding.shard(docs, "doc_id", 8, 9)
+    rows = out.collect()
+    assert len({r["shard"] for r in rows}) == 1 and sorted(r["slot"] for r in rows) == list(range(3000))
+    order = [r["note"] for r in sorted(rows, key=lambda r: r["slot"])]
+    assert order != sorted(order) and [r["slot"] for r in sharding.shard(docs.repartition(5), "doc_id", 8, 9).orderBy("note").collect()] == [r["slot"] for r in out.orderBy("note").collect()]

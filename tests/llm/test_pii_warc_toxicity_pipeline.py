@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from docpack.llm import pii, toxicity, warc
 from docpack.session import new_path, written
+from docpack.sources.archive import file_system
 from tests.llm.helpers import all_null, awkward, nothing
 
 SF = "/root/testdata/sf0.001"
@@ -254,6 +255,67 @@ def test_page_text():
         warc.page_text(bad)
 
 
+def _http(headers, body):
+    return b"HTTP/1.1 200 OK\r\n" + headers.encode() + b"\r\n\r\n" + body
+
+
+@pytest.mark.parametrize(
+    "headers, body, text, reason",
+    [
+        ("Content-Encoding: gzip", b"plain", "plain", "not gzip"),
+        ("Content-Encoding: gzip", gzip.compress(b"abc" * 50)[:-12], None, "gzip breaks off"),
+        ("Content-Encoding: gzip", gzip.compress(b"one ") + gzip.compress(b"two"), "one two", None),
+        ("Content-Encoding: deflate", zlib.compress(b"abc"), "abc", None),
+        ("Content-Encoding: deflate", zlib.compress(b"abc")[2:-4], "abc", None),
+        ("Content-Encoding: deflate, gzip", gzip.compress(zlib.compress(b"abc")), "abc", None),
+        ("Content-Encoding: br", b"x", "x", "content coding br is not known"),
+        ("Transfer-Encoding: chunked", b"3\r\nabc\r\nzz\r\n", "abc", "bad chunk size"),
+        ("Transfer-Encoding: chunked", b"no chunks", "no chunks", "bad chunk size"),
+        ("Transfer-Encoding: chunked", b"-3\r\nabc\r\n", "", None),
+        ("Content-Type: text/html; charset=idna", b"a", "a", "charset idna cannot be used"),
+        ("Content-Type: text/html; charset=base64", b"a", "a", "charset base64 cannot be used"),
+        ("Content-Encoding: gzip", b"", "", None),
+    ],
+)
+def test_bodies_that_are_not_what_their_headers_say(headers, body, text, reason):
+    _, payload, found, why = warc.http_parts(_http(headers, body))
+    assert payload == body and why == reason and (found == text or text is None)
+
+
+def test_bodies_without_headers():
+    assert warc.http_parts(b"HTTP/1.1 200 OK")[3] == "no end of headers" and warc.http_parts(b"")[1:3] == (b"", "")
+
+
+def test_damaged_files_are_read_as_far_as_they_go(spark):
+    path = new_path(spark, "damaged")
+    fs, inner = file_system(path)
+    fs.create_dir(inner, recursive=True)
+
+    def record(k, body):
+        block = _http("Content-Type: text/html", body)
+        return f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:{k}>\r\nContent-Type: application/http\r\nContent-Length: {len(block)}\r\n\r\n".encode() + block + b"\r\n\r\n"
+
+    files = {
+        "a.warc": record(1, b"one") + record(2, b"two")[:-20],
+        "b.warc": record(3, "é".encode()) + b"nonsense\r\n" + record(4, b"four"),
+        "c.warc.gz": gzip.compress(record(5, b"five")) + gzip.compress(record(6, b"six" * 100))[:-40],
+        "d.warc": b"WARC/1.1\r\nWARC-Type: response\r\n\r\n",
+        "e.warc": b"",
+    }
+    for name, data in files.items():
+        with open(f"{inner}/{name}", "wb") as f:
+            f.write(data)
+    read = warc.read_warc(spark, path)
+    rows = read.collect()
+    good = {r["record_id"]: (r["payload"], r["payload_length"], r["reason"]) for r in rows if r["record_id"]}
+    assert good == {"<urn:1>": ("one", 3, None), "<urn:3>": ("é", 2, None), "<urn:5>": ("five", 4, None)}
+    bad = sorted(r["reason"] for r in rows if not r["record_id"])
+    assert len(bad) == 4 and all(f"{n}.warc" in x for n, x in zip("abcd", bad, strict=True))
+    derived = warc.derivatives(read)
+    assert derived.count() == 6
+    assert "source-payload-length: 2\r\n" in derived.where("refers_to = '<urn:3>' AND record_type = 'metadata'").first()["content"]
+
+
 def test_warc_awkward(spark):
     pages = spark.createDataFrame([(1, None, None), (None, "http://x/\r\nEvil: 1", ""), (2, "http://y", "<p>퟿\U0001f600" + "z" * 100_000)], "page_id long, url string, html string").withColumns({"key": F.lit("k"), "payload": F.lit("p"), "record_id": F.lit("r")})
     rows = warc.derivatives(warc.responses(pages)).collect()
