@@ -79,6 +79,13 @@ def wrap_mapping(type_: Column, body: Column) -> Column:
     return F.concat(F.lit('{"'), type_, F.lit('":'), body, F.lit("}"))
 
 
+def unwrap_mapping(type_: Column, body: Column) -> Column:
+    """The body of a mapping that ``wrap_mapping`` has wrapped; any other as it is."""
+    head = F.concat(F.lit('{"'), type_, F.lit('":'))
+    own = F.startswith(body, head) & F.endswith(body, F.lit("}"))
+    return F.when(own, F.substring(body, F.length(head) + 1, F.length(body) - F.length(head) - 1)).otherwise(body)
+
+
 def listing(name: Column, size: Column) -> Column:
     """A line as of ``ls``: kind, size in seven places, name."""
     return F.format_string("%s %7d %s", F.when(F.endswith(name, F.lit("/")), "d").otherwise("-"), size, name)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from docpack.functions.names import packet_kind
+from docpack.functions.names import packet_kind, unwrap_mapping, wrap_mapping
 from docpack.functions.predicates import sane_packet
 from docpack.model import ATTRIBUTES, KEY
 
@@ -144,16 +144,17 @@ def highest_version(rows: DataFrame, seq: str = "seq") -> DataFrame:
 
 
 def metadata_packets(meta: DataFrame) -> DataFrame:
-    """``META`` rows as packets: settings, mappings and aliases with their places in an entry's name."""
+    """``META`` rows as packets: settings, mappings and aliases with their places in an entry's name. A mapping's body is wrapped in its type."""
     place = lambda s, m, a: F.when(F.col("kind") == "_settings", s).when(F.col("kind") == "_mapping", m).otherwise(a)
     none = F.lit(None).cast("string")
-    return meta.select("index", place(F.lit("_settings"), F.col("name"), F.col("name")).alias("type"), place(none, F.lit("_mapping"), F.lit("_alias")).alias("id"), none.alias("field"), F.col("body").alias("payload"))
+    return meta.select("index", place(F.lit("_settings"), F.col("name"), F.col("name")).alias("type"), place(none, F.lit("_mapping"), F.lit("_alias")).alias("id"), none.alias("field"), F.when(F.col("kind") == "_mapping", wrap_mapping(F.col("name"), unwrap_mapping(F.col("name"), F.col("body")))).otherwise(F.col("body")).alias("payload"))
 
 
 def packets_metadata(packets: DataFrame) -> DataFrame:
-    """The ``META`` rows of classified packets."""
+    """The ``META`` rows of classified packets; mappings are taken out of their types."""
     rows = packets.where("kind <> 'doc'")
-    return rows.select("index", F.concat(F.lit("_"), "kind").alias("kind"), F.when(F.col("kind") != "settings", F.col("type")).alias("name"), F.col("payload").alias("body"))
+    body = F.when(F.col("kind") == "mapping", unwrap_mapping(F.col("type"), F.col("payload"))).otherwise(F.col("payload"))
+    return rows.select("index", F.concat(F.lit("_"), "kind").alias("kind"), F.when(F.col("kind") != "settings", F.col("type")).alias("name"), body.alias("body"))
 
 
 def rename_metadata(meta: DataFrame, spec: dict[str, str] | None) -> DataFrame:

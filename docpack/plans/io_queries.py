@@ -128,6 +128,14 @@ def write_metadata(spark, d):
     return reshape.packets_metadata(reshape.kinds(jobs.read_packets(spark, path)))
 
 
+@query("export_mappings", f"SELECT \"index\", name AS type, '{{\"' || name || '\":' || body || '}}' AS payload FROM {T.METAS} WHERE kind = '_mapping'")
+def export_mappings(spark, d):
+    """Mappings as they lie in an archive: wrapped in their types."""
+    path = new_path(spark, "archive")
+    jobs.export(T.nation_docs(spark, d), path, "nation.zip", meta=T.meta_rows(spark, d))
+    return jobs.read_packets(spark, path).where("id = '_mapping'").select("index", "type", "payload")
+
+
 @query("save_mode", "SELECT count(*) AS docs, true AS refused FROM orders")
 def save_mode(spark, d):
     path = new_path(spark, "archive")

@@ -243,14 +243,19 @@ def import_(
     with_aliases: bool = True,
     if_exists: str = "warn",
     versions: bool | None = None,
+    batch_size: int = archive.ROWS,
+    concurrency: int | None = None,
 ) -> DataFrame:
     """Loads an archive (all its parts) into a store; returns documents by index as the archive has them.
 
+    A reader hands on up to ``batch_size`` documents (or 8 MB) at once, and at most ``concurrency`` tasks read (by default as many as there are).
+
     The reader puts documents together, so they are written once and shuffled once, to their buckets. ``types`` also selects mappings.
     The run log of the store says how many entries had names that could not be read.
     """
     with Run(root, "import", path) as run:
-        rows = read_packets(spark, path, documents=True)
+        rows = read_packets(spark, path, documents=True, batchSize=batch_size)
+        rows = rows.coalesce(concurrency) if concurrency else rows
         if indices and indices != ["_all"]:
             rows = rows.where(F.col("index").isin(indices))
         rows = written(reshape.kinds(rows), "import")
@@ -279,12 +284,16 @@ def put_metadata(meta: DataFrame, root: str, rename: dict | None, settings: dict
     store.create_indices(meta, root, if_exists)
 
 
-def copy(spark: SparkSession, from_root: str, to_root: str, if_exists: str, indices=None, types=None, where=None, fields=None, rename=None, settings=None, mappings=None, with_metadata=True, with_aliases=True, limit=None, system=None) -> DataFrame:
-    """Copies documents, and metadata (mappings of the given types only). A document with a version replaces lower versions only."""
+def copy(spark: SparkSession, from_root: str, to_root: str, if_exists: str, indices=None, types=None, where=None, fields=None, rename=None, settings=None, mappings=None, with_metadata=True, with_aliases=True, limit=None, system=None, concurrency: int | None = None) -> DataFrame:
+    """Copies documents, and metadata (mappings of the given types only). A document with a version replaces lower versions only.
+
+    At most ``concurrency`` tasks read the source at once.
+    """
     with Run(to_root, "copy", from_root) as run:
         if with_metadata:
             put_metadata(_of_types(store.metadata(spark, from_root, indices), types), to_root, rename, settings, mappings, with_aliases, if_exists)
         docs = store.scan(spark, from_root, indices, types, where).where(not_system(F.col("index"), system))
+        docs = docs.coalesce(concurrency) if concurrency else docs
         docs = reshape.rename(limited(docs, limit, False), rename)
         if fields is not None:
             docs = docs.withColumns({a: F.lit(None).cast("long" if a == "_version" else "string") for a in ATTRIBUTES if a not in fields})

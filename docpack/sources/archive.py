@@ -262,6 +262,7 @@ class Reader(DataSourceReader):
         self.corrupt = options.get("corrupt", "keep")
         self.errors = options.get("badText", "strict")
         self.documents = options.get("documents", "false").lower() == "true"
+        self.rows = int(options.get("batchSize", ROWS))
         self.wanted: dict[str, set[str]] = {}
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
@@ -314,10 +315,11 @@ class Reader(DataSourceReader):
         kind, codec = formats.format_of(s.name or s.path)
         with fs.open_input_file(s.path) as raw:
             if kind == "zip":
-                # a compressed zip has no directory to seek in, and a tiny file no room for it
-                f = codecs.reader(raw, codec)
-                whole = raw if not codec and raw.size() > 1 << 16 else io.BytesIO(f.read())
-                yield from self._named(s, formats.read_zip(whole, (s.first, s.last) if s.last >= 0 else None), s.first)
+                if codec:  # no directory to seek in
+                    entries = formats.read_zip_forward(codecs.reader(raw, codec))
+                else:
+                    entries = formats.read_zip(raw if raw.size() > 1 << 16 else io.BytesIO(raw.read()), (s.first, s.last) if s.last >= 0 else None)
+                yield from self._named(s, entries, s.first)
             elif kind == "bulk" and s.index is None and s.last >= 0:
                 for n, action, payload in bulk_range(io.BufferedReader(raw, 1 << 20), s.first, s.last, s.lines):
                     yield n, *_line(action, payload)
@@ -369,7 +371,7 @@ class Reader(DataSourceReader):
                 before = None
                 continue
             if bulk or own != before:
-                if len(rows) == ROWS or size > 8 << 20:
+                if len(rows) >= self.rows or size > 8 << 20:
                     yield _run_batch(rows)
                     rows, size = [], 0
                 rows.append([*own, {}, n, n, name, s.part])
@@ -395,7 +397,7 @@ class Reader(DataSourceReader):
                 continue
             rows.append((*key, payload if self.payload else None, meta, n, name, partition.part))
             size += len(payload)
-            if len(rows) == ROWS or size > 8 << 20:
+            if len(rows) >= self.rows or size > 8 << 20:
                 yield _batch(rows)
                 rows, size = [], 0
         if rows:

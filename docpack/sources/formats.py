@@ -8,6 +8,7 @@ import re
 import struct
 import tarfile
 import zipfile
+import zlib
 from collections.abc import Iterator
 from typing import BinaryIO
 from urllib.parse import quote_plus, unquote_plus
@@ -107,10 +108,57 @@ def read_zip(f: BinaryIO, span: tuple[int, int] | None = None) -> Iterator[tuple
                 yield info.filename, z.read(info)
 
 
-def _exactly(f: BinaryIO, n: int) -> bytes:
+def read_zip_forward(f: BinaryIO) -> Iterator[tuple[str, bytes]]:
+    """The entries of a zip file that cannot be sought in, by the headers before them; an entry's sizes may stand behind it if it is deflated."""
+    f = f if isinstance(f, io.BufferedReader) else io.BufferedReader(f, 1 << 16)
+    while (head := f.read(4)) == b"PK\x03\x04":
+        _, flags, method, _, _, crc, packed, size, name_length, extra_length = struct.unpack("<5H3L2H", _exactly(f, 26, "zip"))
+        name = _exactly(f, name_length, "zip").decode("utf-8" if flags & 0x800 else "cp437")
+        extra = _exactly(f, extra_length, "zip")
+        while len(extra) >= 4:  # sizes beyond four bytes
+            kind, length = struct.unpack("<2H", extra[:4])
+            if kind == 1 and packed == 0xFFFFFFFF:
+                size, packed = struct.unpack("<2Q", extra[4:20])
+            extra = extra[4 + length :]
+        if flags & 1:
+            raise ValueError(f"zip entry is encrypted: {name}")
+        behind = bool(flags & 8)
+        if method == zipfile.ZIP_STORED and not behind:
+            data = _exactly(f, packed, "zip")
+        elif method == zipfile.ZIP_DEFLATED:
+            data = _inflated(f)
+        else:
+            raise ValueError(f"zip entry cannot be read without a directory: {name}")
+        if behind:
+            crc = _exactly(f, 4, "zip")
+            crc = struct.unpack("<L", _exactly(f, 4, "zip") if crc == b"PK\x07\x08" else crc)[0]
+            _exactly(f, 8, "zip")
+            if f.peek(2)[:2] != b"PK":  # sizes of eight bytes each
+                _exactly(f, 8, "zip")
+        if zlib.crc32(data) != crc:
+            raise ValueError(f"zip entry is damaged: {name}")
+        if not name.endswith("/"):
+            yield name, data
+    if head not in (b"PK\x01\x02", b"PK\x05\x06"):
+        raise ValueError(f"not a zip header: {head!r}")
+
+
+def _inflated(f: io.BufferedReader) -> bytes:
+    """A deflated stream from its beginning to its end, and not a byte more."""
+    tool, out = zlib.decompressobj(-15), []
+    while not tool.eof:
+        block = f.peek(1)
+        if not block:
+            raise EOFError("zip archive ends early")
+        out.append(tool.decompress(block))
+        f.read(len(block) - len(tool.unused_data))
+    return b"".join(out)
+
+
+def _exactly(f: BinaryIO, n: int, what: str = "cpio") -> bytes:
     out = f.read(n)
     if len(out) != n:
-        raise EOFError("cpio archive ends early")
+        raise EOFError(f"{what} archive ends early")
     return out
 
 

@@ -11,6 +11,7 @@ import os
 import random
 import tarfile
 import time
+import zipfile
 
 import pytest
 from pyspark.sql import functions as F
@@ -341,3 +342,58 @@ def test_times_of_runs(spark):
     jobs.export(table(spark, some(3)), path, "a.bulk")
     r = jobs.runs(spark, path).first()
     assert r["mode"] == "export" and r["docs"] == 3 and datetime.timedelta(0) <= r["finished"] - r["started"] < datetime.timedelta(minutes=5)
+
+
+# -- metadata, compressed zips, batches
+
+
+def test_mappings_are_wrapped_in_archives_and_not_in_stores(spark):
+    body = '{"properties":{"n":{"type":"string"}}}'
+    meta = spark.createDataFrame([("i", "_mapping", "t", body), ("i", "_mapping", "u", '{"u":' + body + "}"), ("i", "_settings", None, "{}")], "index string, kind string, name string, body string")
+    path, root = new_path(spark, "meta"), new_path(spark, "root")
+    jobs.export(table(spark, some(3)), path, "a.tar", meta=meta)
+    raw = {r["type"]: r["payload"] for r in jobs.read_packets(spark, path).where("id = '_mapping'").collect()}
+    assert raw == {t: f'{{"{t}":{body}}}' for t in "tu"}
+    jobs.import_(spark, path, root, rename={"i/t": "v"})
+    assert {r["name"]: r["body"] for r in store.metadata(spark, root, kinds=["_mapping"]).collect()} == {"v": body, "u": body}
+
+
+@pytest.mark.parametrize("seekable", [True, False])
+def test_zip_without_a_directory(seekable):
+    raw = io.BytesIO()
+    entries = [("i/t/1/_source", b"{}" * 40_000, zipfile.ZIP_DEFLATED), ("i/t/2/_source", b"", zipfile.ZIP_DEFLATED), ("i/t/ü/_source", bytes(range(256)) * 900, zipfile.ZIP_DEFLATED), ("i/", b"", zipfile.ZIP_STORED)]
+    entries += [("i/t/3/_source", b"PK\x03\x04 stored", zipfile.ZIP_STORED)] * seekable  # its size can stand before it
+    with zipfile.ZipFile(raw if seekable else formats.Forward(raw), "w") as z:
+        for name, data, method in entries if seekable else entries[:3]:
+            z.writestr(zipfile.ZipInfo(name), data, method)
+    want = [(n, d) for n, d, _ in (entries if seekable else entries[:3]) if not n.endswith("/")]
+    assert list(formats.read_zip_forward(io.BytesIO(raw.getvalue()))) == want
+    with pytest.raises((EOFError, ValueError)):
+        list(formats.read_zip_forward(io.BytesIO(raw.getvalue()[: len(raw.getvalue()) // 2])))
+    damaged = bytearray(raw.getvalue())
+    damaged[60] ^= 255
+    with pytest.raises(Exception):  # noqa: B017
+        list(formats.read_zip_forward(io.BytesIO(bytes(damaged))))
+
+
+def test_zip_with_sizes_of_eight_bytes():
+    raw = io.BytesIO()
+    with zipfile.ZipFile(formats.Forward(raw), "w") as z:
+        for k in range(3):
+            info = zipfile.ZipInfo(f"i/t/{k}/_source")
+            info.compress_type = zipfile.ZIP_DEFLATED
+            with z.open(info, "w", force_zip64=k != 1) as f:
+                f.write(b"x" * (k * 1000))
+    assert list(formats.read_zip_forward(io.BytesIO(raw.getvalue()))) == [(f"i/t/{k}/_source", b"x" * (k * 1000)) for k in range(3)]
+
+
+def test_batches_and_tasks_of_an_import(spark):
+    path, root = new_path(spark, "batches"), new_path(spark, "root")
+    jobs.export(table(spark, some(50)).repartition(5), path, "a.tar", parts=5)
+    reader = archive.Reader({"path": path, "documents": "true", "batchSize": "3"})
+    assert all(b.num_rows <= 3 for p in reader.partitions() for b in reader.read(p))
+    jobs.import_(spark, path, root, batch_size=7, concurrency=2)
+    assert store.scan(spark, root).count() == 50
+    remote = new_path(spark, "remote")
+    jobs.push(spark, root, remote, concurrency=1)
+    assert store.scan(spark, remote).count() == 50
