@@ -7,6 +7,8 @@ import json
 import threading
 import uuid
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,34 +49,68 @@ def write_packets(packets: DataFrame, directory: str, name: str, max_bytes: int
 
 
 def read_packets(spark: SparkSession, path: str, **options) -> DataFrame:
-    """Packets of archives. Lines of large plain bulk files without an index are counted before, by tasks, so that they can be read by ranges."""
+    """Packets of archives. Large plain bulk and tar files without an index are gone through before, by tasks, so that they can be read by ranges."""
     archive.register(spark)
     reader = spark.read.format("docpack_archive")
     for k, v in options.items():
         reader = reader.option(k, str(v).lower() if isinstance(v, bool) else v)
-    if lines := _bulk_lines(spark, path, int(options.get("splitBytes", archive.SPLIT))):
-        reader = reader.option("bulkLines", json.dumps(lines))
+    if spans := _spans(spark, path, int(options.get("splitBytes", archive.SPLIT))):
+        reader = reader.option("spans", json.dumps(spans))
     return reader.load(path)
 
 
-def _bulk_lines(spark: SparkSession, path: str, per: int) -> dict[str, list]:
-    """For bulk files that are larger than ``per``: their ranges of bytes, and how many lines end before each."""
-    large = [x for x in archive.found(path) if formats.format_of(x.name) == ("bulk", "") and x.size > per and not x.index]
-    spans = [(x.name, archive.whole_path(path, x.path), a, b) for x in large for a, b in archive.byte_ranges(x.size, per)]
-    if not spans:
+def _spans(spark: SparkSession, path: str, per: int) -> dict[str, list]:
+    """For plain bulk and tar files that are larger than ``per`` and have no index: ranges (first byte, last byte, lines or entries before)."""
+    large = [x for x in archive.found(path) if formats.format_of(x.name) in (("bulk", ""), ("tar", "")) and x.size > per and not x.index]
+    per += -per % 512
+    ranges = [(x.name, archive.whole_path(path, x.path), a, b) for x in large for a, b in archive.byte_ranges(x.size, per)]
+    if not ranges:
         return {}
 
-    def count(batches):
+    def look(batches):
         for batch in batches:
-            yield batch.assign(n=[archive.line_ends(p, a, b) for p, a, b in zip(batch["path"], batch["a"], batch["b"], strict=True)])[["name", "a", "b", "n"]]
+            for name, at, a, b in batch.itertuples(index=False):
+                if formats.format_of(name)[0] == "bulk":
+                    row = [name, a, b, archive.line_ends(at, a, b), None, None, None]
+                else:
+                    fs, inner = archive.file_system(at)
+                    with fs.open_input_file(inner) as f:
+                        row = [name, a, b, None, *(x.tobytes() for x in formats.tar_links(f, a, b))]
+                yield pd.DataFrame([row], columns=["name", "a", "b", "n", "places", "exits", "files"])
+
+    dealt = spark.createDataFrame(ranges, "name string, path string, a long, b long").repartition(len(ranges), "name", "a")
+    rows = written(dealt.mapInPandas(look, "name string, a long, b long, n long, places binary, exits binary, files binary"), "spans")
+    out: dict[str, list] = {}
+    told = rows.orderBy("name", "a")
+    for r in told.where("n IS NOT NULL").select("name", "a", "b", "n").collect():  # one row for each range
+        own = out.setdefault(r["name"], [])
+        own.append((r["a"], r["b"], sum(own[-1][2:]) if own else 0, r["n"]))
+    spans = {name: [x[:3] for x in own] for name, own in out.items()}
+    return spans | _tar_spans(told.where("places IS NOT NULL"))
+
 
-    ranges = spark.createDataFrame(spans, "name string, path string, a long, b long").repartition(min(len(spans), 10 * spark.sparkContext.defaultParallelism))
+def _tar_spans(ranges: DataFrame) -> dict[str, list]:
+    """The entries of tar files followed from the beginning, range by range: where in each range the first one begins.
+
+    A file whose entries do not fit together is left out, and so read as a whole, with its error if it has one.
+    """
     out: dict[str, list] = {}
-    before: dict[str, int] = {}
-    for r in sorted(ranges.mapInPandas(count, "name string, a long, b long, n long").collect(), key=lambda r: (r["name"], r["a"])):  # one row for each range
-        out.setdefault(r["name"], []).append((r["a"], r["b"], before.get(r["name"], 0)))
-        before[r["name"]] = before.get(r["name"], 0) + r["n"]
-    return out
+    at: dict[str, int] = {}
+    for r in ranges.toLocalIterator():  # one range at a time
+        name = r["name"]
+        here = at.get(name, 0)
+        if here < 0 or here >= r["b"]:
+            continue
+        places, exits, files = (np.frombuffer(r[c], np.int64) for c in ("places", "exits", "files"))
+        k = int(np.searchsorted(places, here))
+        own = out.setdefault(name, [])
+        if k == len(places) or places[k] != here or exits[k] == -2:
+            at[name] = -2
+            continue
+        if exits[k] >= 0 or files[k]:
+            own.append((here, int(exits[k]) if exits[k] >= 0 else r["b"], own[-1][2] + own[-1][3] if own else 0, int(files[k])))
+        at[name] = int(exits[k])
+    return {name: [x[:3] for x in own] for name, own in out.items() if at[name] != -2}
 
 
 RUN_LOG = "run_id string, mode string, path string, started timestamp, finished timestamp, docs long, detail string"

@@ -10,8 +10,8 @@ was before or after a write, never none or a mixture. Archives without a manifes
 
 Each part has an index beside it: where in the file documents begin, every ``memberBytes`` of payload, and which coordinates lie between.
 Compressed files begin a member there that can be read alone (other tools read all members as one). Reading makes a partition
-of every ``splitBytes`` of such a part, of zip files by slices of their directory, of plain bulk files by lines that ``jobs.read_packets``
-has counted, and one of any other file. Filters on index, type and id skip stretches that the index says have none.
+of every ``splitBytes`` of such a part, of zip files by slices of their directory, of plain bulk and tar files by ``spans`` that
+``jobs.read_packets`` has looked for, and one of any other file. Filters on index, type and id skip stretches that the index says have none.
 
 With ``documents`` a row is a run of neighbouring entries of one document, put together as they are read. Entries whose names have more
 than four parts come with null keys and their name as field, unless ``corrupt`` is ``drop`` or ``fail``; a payload that is not UTF-8 fails
@@ -157,7 +157,7 @@ class Slice(InputPartition):
     part: int = 0
     name: str = ""
     index: str | None = None
-    lines: int = 0  # before ``first``, in a bulk file that is read by ranges
+    before: int = 0  # lines of a bulk file or entries of a tar file before ``first``, where it is read by ranges that were looked for
 
     def __post_init__(self):
         super().__init__(self.path)
@@ -257,7 +257,7 @@ class Reader(DataSourceReader):
     def __init__(self, options: dict):
         self.path = options.get("path", "")
         self.split = int(options.get("splitBytes", SPLIT))
-        self.bulk_lines: dict[str, list] = json.loads(options.get("bulkLines", "{}"))
+        self.spans: dict[str, list] = json.loads(options.get("spans", "{}"))
         self.payload = options.get("payload", "true").lower() == "true"
         self.corrupt = options.get("corrupt", "keep")
         self.errors = options.get("badText", "strict")
@@ -285,15 +285,15 @@ class Reader(DataSourceReader):
                     spans = [(x, y, 0) for x, y in formats.zip_slices(f, self.split)]
             elif a.index and a.size > self.split:
                 spans = [(x, y, 0) for x, y in byte_ranges(a.size, self.split)]
-            elif a.name in self.bulk_lines:
-                spans = [tuple(x) for x in self.bulk_lines[a.name]]
+            elif a.name in self.spans:
+                spans = [tuple(x) for x in self.spans[a.name]]
             out += [Slice(a.path, x, y, part_of(a.name), a.name, a.index, n) for x, y, n in spans]
         return out
 
     def _stretches(self, fs, s: Slice) -> Iterator[tuple[int, int, int]]:
         """Bytes of an indexed part that begin in the slice and may have what is wanted, and the number of their first entry."""
         if s.index is None or (s.last < 0 and not self.wanted):
-            yield 0, -1, 0
+            yield s.first, s.last, s.before
             return
         with fs.open_input_stream(s.index) as f:
             rows = json.loads(f.read())
@@ -321,7 +321,7 @@ class Reader(DataSourceReader):
                     entries = formats.read_zip(raw if raw.size() > 1 << 16 else io.BytesIO(raw.read()), (s.first, s.last) if s.last >= 0 else None)
                 yield from self._named(s, entries, s.first)
             elif kind == "bulk" and s.index is None and s.last >= 0:
-                for n, action, payload in bulk_range(io.BufferedReader(raw, 1 << 20), s.first, s.last, s.lines):
+                for n, action, payload in bulk_range(io.BufferedReader(raw, 1 << 20), s.first, s.last, s.before):
                     yield n, *_line(action, payload)
             else:
                 for first, last, seq in self._stretches(fs, s):

@@ -13,6 +13,8 @@ from collections.abc import Iterator
 from typing import BinaryIO
 from urllib.parse import quote_plus, unquote_plus
 
+import numpy as np
+
 FORMATS = ("bulk", "tar", "zip", "cpio")
 SUFFIX = re.compile(r"\.(bulk|tar|zip|cpio)(?:\.(gz|bz2|xz|lzf))?$", re.I)
 # fixed values: characters that a form-URL-encoded name keeps
@@ -89,6 +91,77 @@ def read_tar(f: BinaryIO) -> Iterator[tuple[str, bytes]]:
                 yield entry.name, tar.extractfile(entry).read()
 
 
+# fixed values: type flags of entries whose content follows, and of headers that say more about the next entry
+REGULAR, MORE = (b"0", b"\0", b"7"), (b"L", b"K", b"x", b"X")
+
+
+def _octal(field: bytes) -> int | None:
+    try:
+        return tarfile.nti(field)
+    except tarfile.HeaderError:
+        return None
+
+
+def tar_step(block: bytes) -> tuple[bytes, int] | None:
+    """The type flag of a tar header and how many bytes header and content take; None for a block that is no header, or of a kind that changes what follows."""
+    if len(block) < 512 or block[0] == 0 and not any(block):
+        return None
+    if _octal(block[148:156]) not in tarfile.calc_chksums(block):
+        return None
+    flag, size = block[156:157], _octal(block[124:136])
+    if size is None or size < 0 or flag in (b"S", b"g"):
+        return None
+    held = size if flag in REGULAR or flag in MORE or flag not in (b"1", b"2", b"3", b"4", b"5", b"6") else 0
+    return flag, 512 + held + -held % 512
+
+
+def tar_links(f: BinaryIO, first: int, last: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For every block of [first, last) that looks like the beginning of an entry or the end of the archive: its place, where the entries from there on leave the
+    range (-1: the archive ends before, -2: they do not fit together), and how many files they are.
+
+    Which of them are entries and not content that looks so is known only to who comes from the beginning.
+    """
+    f.seek(first)
+    data = f.read(last - first)
+    rows = np.frombuffer(data[: len(data) // 512 * 512], np.uint8).reshape(-1, 512)
+    field = rows[:, 148:156]
+    plain = ((field >= 48) & (field <= 55)) | (field == 32) | (field == 0)
+    total = rows.sum(1, dtype=np.int64) - field.sum(1, dtype=np.int64)
+    likely = np.flatnonzero(plain.all(1) & (total > 0))
+    steps = {}
+    for k in likely.tolist():
+        if step := tar_step(data[512 * k : 512 * k + 512]):
+            steps[first + 512 * k] = step
+
+    def entry(at: int) -> tuple[int, int]:
+        """Where an entry ends that begins here, with headers that say more about it, and whether it is a file; -2 if it does not fit."""
+        while True:
+            if at < last:
+                step = steps.get(at)
+            else:
+                f.seek(at)
+                step = tar_step(f.read(512))
+            if step is None:
+                return -2, 0
+            if step[0] not in MORE:
+                return at + step[1], int(step[0] in REGULAR)
+            if step[0] in (b"x", b"X"):
+                f.seek(at + 512)
+                if b" size=" in f.read(step[1] - 512):
+                    return -2, 0
+            at += step[1]
+
+    out = {first + 512 * k: (-1, 0) for k in np.flatnonzero(~rows.any(1)).tolist()}  # a block of zeros ends an archive
+    for at in sorted(steps, reverse=True):
+        end, files = entry(at)
+        if end < 0 or end >= last:
+            out[at] = end, files
+        else:
+            out[at] = (out[end][0], out[end][1] + files) if end in out else (-2, 0)
+    places = np.array(sorted(out), np.int64)
+    return places, np.array([out[k][0] for k in places.tolist()], np.int64), np.array([out[k][1] for k in places.tolist()], np.int64)
+
+
 def zip_slices(f: BinaryIO, per: int) -> list[tuple[int, int]]:
     """Ranges of entry numbers of about ``per`` bytes of the file each, from the central directory; entries of one document stay together."""
     out, start = [], 0

@@ -133,13 +133,74 @@ def test_lines_are_told_by_their_number(spark, end):
         for a, b in archive.byte_ranges(len(data), per):
             lines.append((a, b, n))
             n += archive.line_ends(f"{path}/b.bulk", a, b)
-        reader = archive.Reader({"path": path, "bulkLines": json.dumps({"b.bulk": lines})})
+        reader = archive.Reader({"path": path, "spans": json.dumps({"b.bulk": lines})})
         rows = [r for p in reader.partitions() for batch in reader.read(p) for r in batch.to_pylist()]
         assert key([r | {"seq": w[1]} for r, w in zip(sorted(rows, key=lambda r: int(r["id"])), want, strict=True)]) == want
     got = jobs.read_packets(spark, path, splitBytes=300)
     assert got.rdd.getNumPartitions() > 5 and [(a, c) for a, _, c in key(got.collect())] == [(a, c) for a, _, c in want]
 
 
+# -- tar files of others
+
+
+def foreign_tar(fmt, rnd, n=120):
+    """Long names, directories, links, an embedded tar, contents of whole blocks, and payloads larger than a range."""
+    inner = io.BytesIO()
+    with tarfile.open(fileobj=inner, mode="w") as t:
+        for k in range(5):
+            info = tarfile.TarInfo(f"i/t/inner{k}/_source")
+            info.size = 600
+            t.addfile(info, io.BytesIO(b"i" * 600))
+    raw, want = io.BytesIO(), []
+    with tarfile.open(fileobj=raw, mode="w", format=fmt) as t:
+        for k in range(n):
+            data = rnd.choice([b"", b"x" * 512, b"{}", b"y" * rnd.randrange(4000), inner.getvalue(), b"z" * 9000])
+            info = tarfile.TarInfo(f"i/t/{k:03d}{'n' * rnd.choice([0, 0, 150 if fmt != tarfile.USTAR_FORMAT else 60])}{rnd.choice(['', 'ü'])}/_source")
+            info.size = len(data)
+            t.addfile(info, io.BytesIO(data))
+            want.append((info.name.split("/")[2], data.decode()))
+            if k % 9 == 0:
+                t.addfile(directory := tarfile.TarInfo(f"i/t{k}"))
+                directory.type = tarfile.DIRTYPE
+                link = tarfile.TarInfo(f"i/t/link{k}")
+                link.type, link.linkname, link.size = tarfile.SYMTYPE, "elsewhere", 7
+                t.addfile(link)
+    return raw.getvalue(), want
+
+
+@pytest.mark.parametrize("fmt", [tarfile.USTAR_FORMAT, tarfile.GNU_FORMAT, tarfile.PAX_FORMAT])
+@pytest.mark.parametrize("per", [512, 2048, 5120, 20_000])
+def test_foreign_tar_files_are_read_by_ranges(spark, fmt, per):
+    data, want = foreign_tar(fmt, random.Random(per))
+    path = write_file(spark, "f.tar", data)
+    whole = [(n, p) for n, p in formats.read_tar(io.BytesIO(data))]
+    per += -per % 512
+    rows = []
+    for a, b in archive.byte_ranges(len(data), per):
+        links = formats.tar_links(io.BytesIO(data), a, b)
+        rows.append(("f.tar", a, b, *(x.tobytes() for x in links)))
+    spans = jobs._tar_spans(spark.createDataFrame(rows, "name string, a long, b long, places binary, exits binary, files binary").orderBy("a"))
+    assert len(spans["f.tar"]) > 3
+    reader = archive.Reader({"path": path, "spans": json.dumps(spans)})
+    got = [r for p in reader.partitions() for batch in reader.read(p) for r in batch.to_pylist()]
+    assert [(f"{r['index']}/{r['type']}/{r['id']}/{r['field']}", r["payload"].encode()) for r in got if r["field"]] == [(n, d) for n, d in whole if n.count("/") == 3]
+    assert [r["seq"] for r in got] == list(range(len(whole)))
+    assert sorted((r["id"], r["payload"]) for r in got if r["field"]) == sorted(want)
+
+
+def test_foreign_tar_through_jobs_and_a_damaged_one(spark):
+    data, want = foreign_tar(tarfile.GNU_FORMAT, random.Random(4))
+    path = write_file(spark, "f.tar", data)
+    got = jobs.read_packets(spark, path, splitBytes=20_000)
+    assert got.rdd.getNumPartitions() > 5
+    assert sorted((r["id"], r["payload"]) for r in got.where("field = '_source'").collect()) == sorted(want)
+    damaged = bytearray(data)
+    step = formats.tar_step(data[:512])[1]
+    damaged[step + 10] ^= 1  # the second header's sum is wrong
+    path = write_file(spark, "d.tar", bytes(damaged))
+    assert jobs._spans(spark, path, 20_000) == {}
+
+
 # -- replacing
 
 
