@@ -399,15 +399,17 @@ def merged(stored: DataFrame, incoming: DataFrame) -> DataFrame:
     return _with_keys(stored.select(*columns), incoming, False, "left_anti").unionByName(incoming.select(*columns))
 
 
-def upsert(docs: DataFrame, root: str, shards: int | DataFrame | None = None, order: str | None = None, versions: bool | None = None, kept: bool = False) -> None:
+def upsert(docs: DataFrame, root: str, shards: int | DataFrame | None = None, order: str | None = None, versions: bool | None = None, kept: bool = False, merge: bool = True) -> None:
     """Replaces or adds documents by key. Of equal keys the last by ``order`` counts; with ``versions`` see ``latest``.
 
     By default versions count if all documents have one; a mixture is refused then, while ``versions=True`` takes each document as it is.
     Indices that the write has get the number of shards that is asked for, by ``shards`` or their settings. Deltas are compacted before.
-    ``kept`` says that ``docs`` is a projection of a written table and need not be written again to be counted.
+    ``kept`` says that ``docs`` is a projection of a written table and need not be written again to be counted. Without ``merge`` a store that has
+    documents gets these as a delta: no bucket is written, and numbers of shards stay as they are.
     """
     spark = docs.sparkSession
-    compact(spark, root)
+    if merge:
+        compact(spark, root)
     lay = layout(spark, root)
     first, all_have = not lay.buckets, False
     if versions is None:
@@ -426,6 +428,10 @@ def upsert(docs: DataFrame, root: str, shards: int | DataFrame | None = None, or
         rows = _changes(spark, root, [change])
         names = change["indices"]
     lay.changes.append(change)
+    if not merge and not first:
+        lay.seq += 1
+        _commit(spark, root, lay)
+        return
     counts = _wanted_counts(spark, root, shards, names)
     _put(spark, root, lay, rows, _small([change]) and not change.get("whole"), True, counts)
 

@@ -281,9 +281,12 @@ def import_(
     versions: bool | None = None,
     batch_size: int = archive.ROWS,
     concurrency: int | None = None,
+    merge: bool = True,
 ) -> DataFrame:
     """Loads an archive (all its parts) into a store; returns documents by index as the archive has them.
 
+    With ``merge=False`` a store that has documents gets these as a delta, so a small load costs its own documents and not the buckets they hash to.
+
     A reader hands on up to ``batch_size`` documents (or 8 MB) at once, and at most ``concurrency`` tasks read (by default as many as there are).
 
     The reader puts documents together, so they are written once and shuffled once, to their buckets. ``types`` also selects mappings.
@@ -300,7 +303,7 @@ def import_(
         docs = reshape.route_fields(rows.where("kind = 'doc' AND index IS NOT NULL").drop("kind"))
         docs = docs.where(F.col("type").isin(types)) if types else docs
         docs = reshape.rename(docs, rename).withColumn("_order", F.struct("part", "archive", "run"))
-        store.upsert(docs, root, order="_order", versions=versions, kept=True)
+        store.upsert(docs, root, order="_order", versions=versions, kept=True, merge=merge)
         unread = rows.where("index IS NULL").count()
         counts = written(stats.doc_count(docs), "import-count")
         run.counted(counts.agg(F.sum("docs")).first()[0] or 0, {"unread": unread})

@@ -251,3 +251,18 @@ def test_nothing_to_write(spark):
     assert store.scan(spark, root).count() == 0 and store.indices(spark, root) == []
     store.append(table(spark, []), root, "w", 0)
     assert store.compact(spark, root) == 1 and store.scan(spark, root).count() == 0
+
+
+def test_an_import_can_stay_a_delta(spark):
+    root, path = new_path(spark, "root"), new_path(spark, "archive")
+    jobs.export(table(spark, some(5, 30, "{}", 2)), path, "a.tar")
+    for k in range(2):
+        jobs.import_(spark, path, root, merge=False)
+        assert len(store.deltas(spark, root)) == k  # the first load has nothing to be merged with
+    gens = store.layout(spark, root).buckets
+    store.upsert(table(spark, [("7", 1, "old"), ("8", 3, "new"), ("99", 1, "new")]), root, merge=False)
+    assert store.layout(spark, root).buckets == gens and len(store.deltas(spark, root)) == 2
+    want = {str(k): (2, "{}") for k in range(5, 30)} | {"8": (3, "new"), "99": (1, "new")}
+    assert state(spark, root) == want
+    store.compact(spark, root)
+    assert state(spark, root) == want
