@@ -69,6 +69,28 @@ def shared_places(queries: tuple, lists: tuple, n_queries: int, n_rows: int) ->
     return out
 
 
+SHARES = (0.15, 0.2, 0.25, 0.3, 0.4, 0.5, 0.7, 1.0)
+
+
+def needed_share(tested: np.ndarray, near: np.ndarray, pivots: np.ndarray, k: int, n: int, wanted: float = 0.93, most: int = 512) -> float:
+    """The least of ``SHARES`` with which sampled vectors, asked for in the sample, find ``wanted`` of their nearest there.
+
+    These are as many as take the place in the sample that ``k`` have among ``n``.
+    """
+    asked = np.column_stack([tested[:most, :-1], np.zeros(len(tested[:most]))])
+    own = np.arange(len(asked))
+    like = shared_places(inverted(nearest_pivots(asked, pivots, near.shape[1]), len(pivots)), inverted(near, len(pivots)), len(asked), len(tested))
+    score = asked @ tested.T
+    score[own, own], like[own, own] = -np.inf, -1
+    nearest_ = np.argsort(-score, axis=1, kind="stable")[:, : max(1, round(k * len(tested) / n))]
+    ordered = -np.sort(-like, axis=1)
+    for share in SHARES:
+        bound = ordered[:, min(len(tested), max(1, int(np.ceil(share * len(tested))))) - 1]
+        if (np.take_along_axis(like, nearest_, 1) >= bound[:, None]).mean() >= wanted:
+            return share
+    return 1.0
+
+
 def _index(pivots: np.ndarray, prefix: int, most: float, rows: int, width: np.dtype):
     """Blocks of vectors with their inverted files."""
 
@@ -153,10 +175,11 @@ def _nearest(dimension: int, width: np.dtype, k: int, pairs: int = 1 << 15):
     return run
 
 
-def nearest(rows: DataFrame, queries: Column | str, k: int = 20, key: str = "vec_id", vector: str = "embedding", pivots: int = 1024, prefix: int = 64, share: float = 0.15, least: int = 500) -> DataFrame:
+def nearest(rows: DataFrame, queries: Column | str, k: int = 20, key: str = "vec_id", vector: str = "embedding", pivots: int = 1024, prefix: int = 64, share: float | None = None, least: int = 500) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each row where ``queries`` holds its ``k`` nearest other rows by inner product, as the index finds them.
 
-    ``share`` of all rows (at least ``least`` of them, so small tables are searched whole) is ranked again for each query. Scores are the
+    ``share`` of all rows (at least ``least`` of them, so small tables are searched whole) is ranked again for each query; by default what the
+    sample says is needed (``needed_share``: 0.15 at least, more where vectors are alike in many dimensions). Scores are the
     products of the original vectors in double precision; of equal ones the smaller key comes first, a null key last. Rows whose vector
     is null, empty, zero, of another length than most, or holds null or non-finite numbers take no part. Rows that repeat a key are rows of
     their own: only the query's own row is no candidate. A table with fewer rows gives what there is; an empty one nothing.
@@ -173,7 +196,9 @@ def nearest(rows: DataFrame, queries: Column | str, k: int = 20, key: str = "vec
     chosen = farthest_first(sample[: (len(sample) + 1) // 2], pivots)
     prefix = min(prefix, len(chosen))
     n = len(sample) if len(sample) < SAMPLE else held.count()
-    tested = nearest_pivots(sample if n < SAMPLE else sample[len(sample) // 2 :], chosen, prefix)
+    other = sample if n < SAMPLE else sample[len(sample) // 2 :]
+    tested = nearest_pivots(other, chosen, prefix)
+    share = needed_share(other, tested, chosen, k, n) if share is None else share
     per = rows_a_block(dimension)
     index = written(held.mapInArrow(_index(chosen, prefix, most, per, width), INDEX), "pivot-index")
     part = max(share, min(1.0, least / n))

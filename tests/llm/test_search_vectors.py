@@ -137,6 +137,23 @@ def test_footrule():
     assert (8 * 9 - 2 * pivots.shared_places(lists, lists, 50, 50) == footrule).all()
 
 
+@pytest.mark.parametrize("d, spread", [(8, 0.0), (32, 0.3), (128, 0.0), (200, 0.2)])
+def test_the_share_follows_the_vectors(spark, d, spread):
+    """More dimensions, or lengths that differ, ask for more candidates; recall stays."""
+    rng = np.random.default_rng(d)
+    x = rng.standard_normal((6000, d)) * np.exp(spread * rng.standard_normal((6000, 1)))
+    rows = list(enumerate(x.tolist()))
+    got = {}
+    for q, _, v, _ in pivots.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3), "vec_id % 100 = 0", k=20).collect():
+        got.setdefault(q, set()).add(v)
+    want = {}
+    for q in range(0, 6000, 100):
+        score = x @ x[q]
+        score[q] = -np.inf
+        want[q] = set(np.argsort(-score)[:20].tolist())
+    assert set(got) == set(want) and sum(len(want[q] & got[q]) for q in want) >= 0.9 * 20 * len(want)
+
+
 def test_pivots_differ():
     rows = np.repeat(np.eye(4), 5, axis=0)
     assert len(pivots.farthest_first(rows, 10)) == 4
