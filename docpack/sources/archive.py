@@ -617,6 +617,9 @@ class StreamReader(DataSourceStreamReader):
         self.most = int(options.get("maxFiles", 0))
         self.log = FileLog(options["log"]) if options.get("log") else None
 
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"log": None}  # tasks read files and need no names
+
     def _files(self) -> dict[str, Archive]:
         return {x.name: x for x in found(self.options["path"])}
 

@@ -8,6 +8,7 @@ import io
 import json
 import lzma
 import os
+import pickle
 import random
 import tarfile
 import time
@@ -321,6 +322,7 @@ def test_names_taken_by_a_run_that_broke_off_are_read(spark):
     reader = archive.StreamReader(options)
     end = reader.latestOffset()
     assert end == {"n": 4} and len(reader.partitions({"n": 0}, end)) == 4
+    assert pickle.loads(pickle.dumps(reader)).log is None  # names do not travel with tasks
     replay = archive.StreamReader(options)
     assert [x.name for x in replay.partitions({"n": 1}, {"n": 3})] == ["1.bulk", "2.bulk"] and replay.partitions({"n": 4}, {"n": 4}) == []
 
