@@ -349,19 +349,31 @@ def _selector(path: str):
     return FileSelector(path)
 
 
+def _numbered(source: DataFrame, again: DataFrame) -> DataFrame:
+    """With ``nth``: of rows that share ``h`` all but the first are numbered, part by part of a written table, so that no task has all of them."""
+    several = written(source.join(sided(again), "h", "left_semi").withColumn("place", F.monotonically_increasing_id()), "warc-several").withColumn("part", F.shiftright("place", 33))
+    before = W.partitionBy("h").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    starts = several.groupBy("h", "part").agg(F.count("*").alias("n")).withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    nth = F.col("first") + F.row_number().over(W.partitionBy("h", "part").orderBy("place")) - 1
+    numbered = several.join(starts.select("h", "part", "first"), ["h", "part"]).withColumn("nth", nth)
+    numbered = numbered.withColumn("nth", F.when(F.col("nth") > 0, F.col("nth").cast("string"))).select(*source.columns, "nth")
+    return source.join(sided(again), "h", "left_anti").withColumn("nth", F.lit(None).cast("string")).unionByName(numbered)
+
+
 def responses(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", date: str | None = None, http: str | None = None) -> DataFrame:
     """Pages as response records: ``key`` and ``RESPONSE_COLUMNS``. A null page has an empty payload.
 
     ``date`` and ``http`` name columns with dates and HTTP header lines of the capture; a table of bare pages has none and gets the epoch
-    and a status, type and length. Identifiers follow from key, URL and payload; of rows that repeat them all, each has one of its own.
+    and a status, type and length. Identifiers follow from key, URL and payload, and of rows that repeat them all from their number too, so they are the same
+    in every run and each row has one of its own.
     """
     kind = pages.schema[key].dataType.simpleString()
     given = lambda c: F.col(c).cast("string") if c else F.lit(None).cast("string")
     source = pages.select(F.col(key).alias("key"), F.col(url).cast("string").alias("url"), F.col(html).cast("string").alias("html"), given(date).alias("date"), given(http).alias("http"))
     source = source.withColumn("h", F.xxhash64("key", "url", "html"))
-    again = written(source.groupBy("h").count().where("count > 1").select("h", F.lit(True).alias("again")), "warc-again")
-    source = source.withColumn("place", F.monotonically_increasing_id()).join(sided(again), "h", "left")
-    source = source.select("key", "url", "html", "date", "http", F.when(F.col("again"), F.col("place").cast("string")).alias("nth"))
+    again = written(source.groupBy("h").count().where("count > 1").select("h"), "warc-again")
+    source = _numbered(source, again) if not again.isEmpty() else source.withColumn("nth", F.lit(None).cast("string"))
+    source = source.select(F.col("key").cast("string"), "url", "html", "date", "http", "nth")  # pandas has no whole numbers beside nulls
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -370,10 +382,10 @@ def responses(pages: DataFrame, key: str = "page_id", url: str = "url", html: st
                 body = (h or "").encode("utf-8", "surrogatepass")
                 lines = lines or f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(body)}\r\n"
                 own = digest(body)
-                rows.append((record_uuid("response", None if pd.isna(k) else str(k), u, own, *([nth] if nth else [])), u, day or EPOCH, lines, h or "", own, len(body), None))
+                rows.append((record_uuid("response", k, u, own, *([nth] if nth else [])), u, day or EPOCH, lines, h or "", own, len(body), None))
             yield pd.concat([batch[["key"]].reset_index(drop=True), pd.DataFrame(rows, columns=[*RESPONSE_COLUMNS, "reason"])], axis=1)
 
-    return source.mapInPandas(run, f"key {kind}, " + RESPONSE.removeprefix("key string, "))
+    return source.mapInPandas(run, RESPONSE).withColumn("key", F.col("key").cast(kind))
 
 
 def derivatives(records: DataFrame) -> DataFrame:
@@ -393,7 +405,7 @@ def derivatives(records: DataFrame) -> DataFrame:
                 rows = [r for x in zip(*[part[c] for c in RESPONSE_COLUMNS], strict=True) for r in derive(x[0], x[1], x[2], x[3] or "", x[4] or "", x[5], int(x[6]))]
                 yield pd.concat([part[["key"]].loc[part.index.repeat(2)].reset_index(drop=True), pd.DataFrame(rows, columns=names)], axis=1)
 
-    return records.select("key", *RESPONSE_COLUMNS).mapInPandas(run, f"key {kind}, {RECORD}")
+    return records.select(F.col("key").cast("string"), *RESPONSE_COLUMNS).mapInPandas(run, f"key string, {RECORD}").withColumn("key", F.col("key").cast(kind))
 
 
 def op9_warc(spark, sf_dir: str) -> DataFrame:

@@ -255,6 +255,15 @@ def test_page_text():
         warc.page_text(bad)
 
 
+def test_identifiers_of_repeated_pages_are_the_same_in_every_run(spark):
+    rows = [(1, "u", "<p>a</p>")] * 40 + [(2, "u", "<p>a</p>"), (None, None, None), (None, None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    ids = lambda df: sorted(r["record_id"] for r in warc.responses(df).collect())
+    first = ids(pages.repartition(3))
+    assert len(set(first)) == 43 and first == ids(pages.coalesce(1)) == ids(pages.repartition(9))
+    assert ids(spark.createDataFrame([rows[0]], pages.schema))[0] in first
+
+
 def _http(headers, body):
     return b"HTTP/1.1 200 OK\r\n" + headers.encode() + b"\r\n\r\n" + body
 
