@@ -57,7 +57,7 @@ def new_path(spark: SparkSession, name: str) -> str:
 def clean_up(spark: SparkSession, run: str | None = None) -> bool:
     """Deletes all tables that this application (or ``run``) has written between its steps; says whether there were any.
 
-    Results are read from them, so store results first. A store with an upsert that was broken off needs ``store.recover`` before.
+    Results are read from them, so store results first. Stores and archives need none of them.
     """
     folder = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark, run))
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
