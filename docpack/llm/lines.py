@@ -1,14 +1,16 @@
 """Line deduplication with two Bloom filters.
 
 Hashes of long lines are dealt into ranges, as many as the lines ask for. The task of a range reads them into a filter of those
-seen once and one of those seen twice, both of a fixed size, and then asks the second one for each hash of the range. Only lines that are
-suspected so are counted, and of these only the ones that enough documents hold are shuffled with their text, to be
-confirmed exactly and to find the document that keeps them.
+seen once and one of those seen twice, both of a fixed size, and gives out the second one; it keeps no hashes. Lines ask these
+filters where their documents are, as long as all filters together are small enough to be broadcast (``sided``), else where a range's filter is.
+Only lines that are suspected so go on, are counted, and of these only the ones that enough documents hold are shuffled with their
+text, to be confirmed exactly and to find the document that keeps them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -16,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StructField, StructType
 
-from docpack.llm.text import SPACES, U, mix
+from docpack.llm.text import SPACES
 from docpack.session import sided, written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -41,10 +43,18 @@ def line_hashes(keys: Column, min_chars: int) -> Column:
     return F.transform(keys, lambda x: F.when(F.char_length(x) >= min_chars, F.when(h(x) == 0, 1).otherwise(h(x))).otherwise(0))
 
 
-def _bits(hashes: np.ndarray, bits: int) -> np.ndarray:
-    """Places of each hash in a filter: one row per probe."""
-    h = hashes.astype(U)
-    return np.stack([mix(h + U(0x9E37 * (k + 1))) % U(bits) for k in range(PROBES)]).astype(np.int64)
+def _bits(mixed: np.ndarray, bits: int) -> np.ndarray:
+    """Places of each mixed hash in a filter: one row per probe, from its lower half by steps of its upper half."""
+    low, high = mixed & 0xFFFFFFFF, (mixed >> 32) & 0xFFFFFFFF
+    return np.stack([(low + k * high) % bits for k in range(PROBES)])
+
+
+def _asked(mixed: Column, words: Column, bits: int) -> Column:
+    """Whether the filter in ``words`` (64 bits each) has all places of ``mixed``: what ``_bits`` and ``_has`` say, as a column."""
+    low, high = mixed.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(mixed, 32)
+    places = [(low + F.lit(k) * high) % F.lit(bits) for k in range(PROBES)]
+    tests = [F.getbit(F.get(words, F.shiftright(p, 6).cast("int")), p.bitwiseAND(F.lit(63)).cast("int")) == 1 for p in places]
+    return reduce(Column.__and__, tests)
 
 
 def _has(filter_: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -65,33 +75,41 @@ def _once(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"h": seen, "again": counts > 1})
 
 
-def _suspect(bits: int):
+def _twice(bits: int):
+    """The filter of what a range's rows have twice; the task holds this one and that of what was seen once."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        once, twice, held = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8), []
+        once, twice, own = np.zeros(bits // 8, np.uint8), np.zeros(bits // 8, np.uint8), None
         for batch in batches:
-            h = batch["h"].to_numpy(np.int64)
-            seen, counts = np.unique(h, return_counts=True)
+            if not len(batch):
+                continue
+            own = int(batch["range"].iloc[0])
+            mixed = batch["mixed"].to_numpy(np.int64)
+            seen, counts = np.unique(mixed, return_counts=True)
             again = counts > 1
-            again[np.searchsorted(seen, h[batch["again"].to_numpy(bool)])] = True
+            again[np.searchsorted(seen, mixed[batch["again"].to_numpy(bool)])] = True
             at = _bits(seen, bits)
             _set(twice, at[:, again | _has(once, at)])
             _set(once, at)
-            held.append(seen)
-        asked = np.unique(np.concatenate(held)) if held else np.zeros(0, np.int64)
-        yield pd.DataFrame({"h": asked[_has(twice, _bits(asked, bits))]})
+        if own is not None and twice.any():
+            yield pd.DataFrame({"range": [own], "words": [twice.view("<i8")]})
 
     return run
 
 
 def suspected(hashes: DataFrame, bits: int = FILTER_BITS, range_lines: int = RANGE_LINES) -> DataFrame:
-    """Column ``h``: all hashes that two rows or more of ``hashes`` (array of long, distinct in each row) hold, and few others.
+    """``hashes`` with one row for each element ``h`` of its column ``hashes`` (array of long, distinct in each row) that another row holds too, and few others.
 
-    A range has about ``range_lines`` hashes for filters of ``bits``, so their number grows with the lines; nothing is broadcast.
+    A range has about ``range_lines`` hashes for filters of ``bits`` (a multiple of 64), so their number grows with the lines.
     """
     n = hashes.agg(F.sum(F.size("hashes"))).first()[0] or 0
     ranges = max(1, -(-n // range_lines))
-    found = hashes.mapInPandas(_once, "h long, again boolean").repartition(ranges, "h").mapInPandas(_suspect(bits), "h long")
-    return written(found, "line-suspects", narrow=True)
+    placed = {"range": F.pmod(F.xxhash64("h", F.lit(1)), F.lit(ranges)).cast("int"), "mixed": F.xxhash64("h")}
+    once = hashes.select("hashes").mapInPandas(_once, "h long, again boolean").withColumns(placed).select("range", "mixed", "again")
+    filters = written(once.repartitionById(ranges, "range").mapInPandas(_twice(bits), "range int, words array<long>"), "line-filters", narrow=True)
+    rows = hashes.select(*[c for c in hashes.columns if c != "hashes"], F.explode("hashes").alias("h")).withColumns(placed)
+    filters = sided(filters.withColumnRenamed("range", "_range"))
+    return rows.join(filters, (F.col("range") == F.col("_range")) & _asked(F.col("mixed"), F.col("words"), bits), "left_semi").drop("range", "mixed")
 
 
 PLACES = StructType([StructField("pos", ArrayType(IntegerType())), StructField("first", ArrayType(BooleanType()))])
@@ -122,9 +140,9 @@ def dedup_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", min_ch
     rows = rows.withColumn("content", F.xxhash64("text"))
     hashes = F.array_distinct(F.filter(line_hashes(line_keys(F.col("text")), min_chars), lambda h: h != 0))
     found = written(rows.select("id", "content", hashes.alias("hashes")).where(F.size("hashes") > 0), "line-hashes")
-    pairs = found.select("id", "content", F.explode("hashes").alias("h")).join(sided(suspected(found.select("hashes"), bits, range_lines)), "h", "left_semi")
+    pairs = written(suspected(found, bits, range_lines), "line-suspects")
     often = written(pairs.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("h"), "line-often", narrow=True)
-    marked = found.select("id", "content", F.explode("hashes").alias("h")).join(sided(often), "h", "left_semi").groupBy("id", "content").agg(F.collect_set("h").alias("wanted"))
+    marked = pairs.join(sided(often), "h", "left_semi").groupBy("id", "content").agg(F.collect_set("h").alias("wanted"))
     marked = written(marked.select(F.col("id").alias("_id"), F.col("content").alias("_content"), "wanted"), "line-marked")
     same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("content") == F.col("_content"))
     holders = rows.join(sided(marked), same).withColumn("keys", line_keys(F.col("text")))
