@@ -1,11 +1,11 @@
 """Toxic passages by maximum-scoring segments.
 
-Every token gets the log-odds of its word between toxic and clean documents. A word's Dirichlet prior has the mean of the word's
-share of all documents, dealt to the two classes as its longest prefix deals them; prefixes of four, five and six
-characters have such priors in turn. Log-odds are shrunk towards those of the prefix by their significance, so that a word
-that the labelled rows say nothing of has the score of its prefix, or none. A scan in linear time finds all maximal
-scoring segments of a text; segments are calibrated by the extreme-value law of such scores, and a document's segments
-together give its score, whose calibration is fitted to documents that did not choose the words.
+Every token gets the posterior log-odds of its word between toxic and clean documents. A word's Dirichlet prior has the mean of the
+word's share of all documents, dealt to the two classes as its prefix deals them; prefixes of four, five and six
+characters have such priors in turn. A word departs from its prefix as far as it is probable that it differs at all, by
+empirical Bayes and without a threshold: a word that the labelled rows say nothing of has the score of its prefix. A scan in
+linear time finds all maximal scoring segments of a text; segments are calibrated by the extreme-value law of such scores, and a
+document's segments together give its score, whose calibration is fitted to documents that the log-odds were not taken from.
 """
 
 from __future__ import annotations
@@ -75,80 +75,98 @@ def training_rows(labels: DataFrame, key: str = "doc_id", label: str = "toxic",
     return rows.orderBy(h, "id").limit(most).withColumn("fold", F.pmod(h, F.lit(FOLDS)).cast("int"))
 
 
-def ratio(toxic: np.ndarray, clean: np.ndarray, share: np.ndarray) -> np.ndarray:
-    """Twice the log-likelihood ratio of the counts against a toxic share of ``share``."""
-    n = toxic + clean
-    with np.errstate(divide="ignore", invalid="ignore"):
-        a = np.where(toxic > 0, toxic * np.log(toxic / (n * share)), 0.0)
-        b = np.where(clean > 0, clean * np.log(clean / (n * (1 - share))), 0.0)
-    return 2 * np.maximum(a + b, 0.0)
-
-
 def parents_of(feature: str) -> list[str]:
     """The prefixes of a feature that are not itself, longest first."""
     own = feature[:-1] if feature.endswith("*") else feature
     return [own[:n] + "*" for n in reversed(PREFIXES) if len(own) > n or (len(own) == n and not feature.endswith("*"))]
 
 
-def chosen(counts: dict[str, tuple[float, float]], toxic: int, clean: int, threshold: float) -> dict[str, float]:
-    """Features whose counts differ from what their nearest chosen prefix says by more than ``threshold``, with the ratio.
+class Tree:
+    """Features, each below its longest prefix: ``levels`` are their places from short prefixes to words, ``parent`` is -1 for those without."""
+
+    def __init__(self, features: list[str]):
+        self.features = features
+        place = {f: k for k, f in enumerate(features)}
+        self.parent = np.array([next((place[p] for p in parents_of(f) if p in place), -1) for f in features], np.int64)
+        depth = np.array([len(f) if f.endswith("*") else 1 << 30 for f in features], np.int64)
+        self.levels = [np.flatnonzero(depth == n) for n in np.unique(depth)]
+
+    def above(self, values: np.ndarray, level: np.ndarray) -> np.ndarray:
+        return np.append(values, 0.0)[self.parent[level]]
+
+    def summed(self, own: np.ndarray) -> np.ndarray:
+        """Each feature's value and those of all below it."""
+        out = np.append(own.astype(float), 0.0)
+        for level in reversed(self.levels):
+            np.add.at(out, self.parent[level], out[level])
+        return out[:-1]
+
+
+def log_gamma(x: np.ndarray) -> np.ndarray:
+    """Stirling's series at ``x + 7``, taken back by the seven factors."""
+    z = x + 7.0
+    back = np.log(x * (x + 1) * (x + 2) * (x + 3)) + np.log((x + 4) * (x + 5) * (x + 6))
+    return (z - 0.5) * np.log(z) - z + 0.5 * math.log(2 * math.pi) + 1 / (12 * z) - 1 / (360 * z**3) + 1 / (1260 * z**5) - back
+
+
+def departs(told: np.ndarray, steps: int = 40) -> np.ndarray:
+    """Probability that each feature differs from its prefix, from the log Bayes factors ``told``. The share of those that do is fitted to them all."""
+    share = 0.01
+    for _ in range(steps):
+        z = 1 / (1 + np.exp(-np.clip(told + math.log(share / (1 - share)), -500, 500)))
+        before, share = share, min(0.5, (float(z.sum()) + 0.5) / (len(z) + 1))
+        if abs(share - before) < 1e-4 * before:
+            break
+    return z
+
+
+def log_odds(tree: Tree, toxic: np.ndarray, clean: np.ndarray, weight: np.ndarray, n_toxic: int, n_clean: int) -> np.ndarray:
+    """Posterior log-odds of every feature against those of all labelled documents, from the ``toxic`` and ``clean`` ones that hold it.
 
-    ``counts`` holds (toxic, clean) by feature, with all prefixes of each feature.
+    A feature either is dealt to the classes as its prefix is, or has a share of its own under a prior that counts ``weight`` documents
+    with the prefix's share. The log-odds move from the prefix's to its own by the probability of the second.
     """
-    base = toxic / (toxic + clean)
-    out: dict[str, float] = {}
-    shares: dict[str, float] = {}
-    names = sorted(counts, key=lambda f: (not f.endswith("*"), len(f)))
-    for level in [[f for f in names if f.endswith("*") and len(f) == n + 1] for n in PREFIXES] + [[f for f in names if not f.endswith("*")]]:
-        if not level:
-            continue
-        from_ = np.array([next((shares[p] for p in parents_of(f) if p in shares), base) for f in level])
-        t, c = np.array([counts[f] for f in level], float).T
-        found = ratio(t, c, from_)
-        for k in np.flatnonzero(found > threshold):
-            out[level[k]] = float(found[k])
-            shares[level[k]] = float((t[k] + base) / (t[k] + c[k] + 1))
+    base = math.log(n_toxic / n_clean)
+    out = np.zeros(len(tree.features))
+    for level in tree.levels:
+        above = tree.above(out, level)
+        q = np.clip(1 / (1 + np.exp(-(base + above))), 1e-6, 1 - 1e-6)
+        t, c, a, b = toxic[level], clean[level], weight[level] * q, weight[level] * (1 - q)
+        told = log_gamma(t + a) + log_gamma(c + b) - log_gamma(t + c + a + b) - log_gamma(a) - log_gamma(b) + log_gamma(a + b) - t * np.log(q) - c * np.log(1 - q)
+        met, z = t + c > 0, np.zeros(len(level))
+        if met.any():
+            z[met] = departs(told[met])
+        out[level] = above + z * (np.log((t + a) / (c + b)) - base - above)
     return out
 
 
-def candidates(counts: DataFrame, sizes: list[tuple[int, int]], thresholds: list[float]) -> DataFrame:
-    """Rows of ``counts`` that at least one of the models chooses. Model ``m`` leaves out fold ``m``; the last has all folds."""
-    names = counts.columns
+def told_scores(tree: Tree, odds: np.ndarray) -> dict[str, float]:
+    """Log-odds to three places by feature; those that equal their prefix's (0 without one) need no entry, as it is looked up instead."""
+    odds = odds.round(3)
+    out = np.zeros(len(odds), bool)
+    for level in tree.levels:
+        out[level] = odds[level] != tree.above(odds, level)
+    return {tree.features[k]: float(odds[k]) for k in np.flatnonzero(out)}
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts = [b for b in batches if len(b)]
-        if not parts:
-            return
-        rows = pd.concat(parts)
-        keep: set[str] = set()
-        for m, ((t, c), threshold) in enumerate(zip(sizes, thresholds, strict=True)):
-            toxic = sum(rows[f"toxic{f}"] for f in range(FOLDS) if f != m).to_numpy()
-            clean = sum(rows[f"clean{f}"] for f in range(FOLDS) if f != m).to_numpy()
-            if t and c:
-                keep |= set(chosen(dict(zip(rows["feature"], zip(toxic, clean, strict=True), strict=True)), t, c, threshold))
-        yield rows[rows["feature"].isin(keep)][names]
-
-    stem = F.substring(F.col("feature"), 1, PREFIXES[0])  # all features under a shortest prefix come to one task
-    return counts.repartition(stem).mapInPandas(run, counts.schema)
-
-
-def corpus_shares(docs: DataFrame, text: str, wanted: set[str]) -> dict[str, float]:
-    """The share of all documents that hold each wanted feature: as many numbers as features."""
-    shared = docs.sparkSession.sparkContext.broadcast(frozenset(wanted))
+
+def corpus_shares(docs: DataFrame, text: str, words: list[str]) -> np.ndarray:
+    """The share of all documents that hold each word: as many numbers as words."""
+    shared = docs.sparkSession.sparkContext.broadcast(frozenset(w.encode("utf-8", "surrogatepass") for w in words))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own, n, known = Counter(), 0, Known(shared.value)
+        own, n, known = Counter(), 0, shared.value
         for batch in batches:
+            n += len(batch)
             for t in batch["text"]:
-                n += 1
                 if t:
-                    own.update({f for w in set(words_of(t)) for f in known[w]})
-        yield pd.DataFrame([("", n), *own.items()], columns=["feature", "n"])
+                    own.update(known.intersection(set(words_of(t))))
+        yield pd.DataFrame([("", n), *((w.decode("utf-8", "replace"), k) for w, k in own.items())], columns=["word", "n"])
 
-    rows = docs.select(F.col(text).cast("string").alias("text")).mapInPandas(run, "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n"))
-    found = {r["feature"]: r["n"] for r in rows.collect()}
-    n = found.pop("", 0)
-    return {f: found.get(f, 0) / max(n, 1) for f in wanted}
+    rows = docs.select(F.col(text).cast("string").alias("text")).mapInPandas(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).toPandas()
+    shared.unpersist()
+    found = dict(zip(rows["word"], rows["n"], strict=True))
+    n = max(found.pop("", 0), 1)
+    return np.array([found.get(w, 0) / n for w in words], float)
 
 
 class Cached(dict):
@@ -163,15 +181,6 @@ class Cached(dict):
         return value
 
 
-class Known(Cached):
-    def __init__(self, features: frozenset[str]):
-        super().__init__()
-        self.features = features
-
-    def value(self, word: str) -> tuple[str, ...]:
-        return tuple(f for f in features_of(word) if f in self.features)
-
-
 class Scores(Cached):
     """Scores of words: of the word if it is in the model, else of its longest prefix there, else 0; all less ``cost``."""
 
@@ -186,25 +195,6 @@ class Scores(Cached):
         return -self.cost
 
 
-def log_odds(counts: dict[str, tuple[float, float]], shares: dict[str, float], toxic: int, clean: int, threshold: float, strength: float) -> dict[str, float]:
-    """Shrunken log-odds of chosen features.
-
-    The prior of a feature counts ``strength`` times its share of all documents, dealt to the classes as its
-    nearest chosen prefix says. Log-odds move from the prefix's by their part beyond ``threshold``: ``1 - threshold / ratio``.
-    """
-    base = math.log(toxic / clean)
-    picked = chosen(counts, toxic, clean, threshold)
-    out: dict[str, float] = {}
-    for f in sorted(picked, key=lambda f: (not f.endswith("*"), len(f))):
-        above = next((out[p] for p in parents_of(f) if p in out), 0.0)
-        q = 1 / (1 + math.exp(-(base + above)))
-        weight = strength * shares.get(f, 0.0) + 1e-3
-        t, c = counts[f]
-        raw = math.log((t + weight * q) / (c + weight * (1 - q))) - base
-        out[f] = above + (raw - above) * (1 - threshold / picked[f])
-    return out
-
-
 def segments(line: list[float] | np.ndarray) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (first word, last word, score) of the words' scores.
 
@@ -296,10 +286,11 @@ def logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray | None = None, steps: i
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic", most: int = 50_000, strength: float = 1000.0) -> Model:
     """Learns from at most ``most`` labelled rows; priors come from all documents. Without both labels every score is a half.
 
-    A feature is chosen if its likelihood ratio exceeds ``2 ln`` of how many features there are. Three models are made: one
-    without each of two folds, to calibrate on the documents of that fold, and the one of all rows that is returned.
-    A neutral token costs the log-odds of no chosen word being met: ``ln((1 - h) / (1 - h'))`` for the rates ``h`` of positive tokens
-    in toxic and in clean documents. Rows of ``docs`` that share a key count each, with the key's label; null keys have none.
+    Counts of the features of these rows, and the shares of their words, come to the driver: their number is bounded by ``most``. Three
+    models are made: one without each of two folds, to calibrate on the documents of that fold, and the one of all rows that is returned.
+    A neutral token costs the log-odds of no telling word being met: ``ln((1 - h) / (1 - h'))``, where ``h'`` and ``h`` sum what positive
+    tokens tell beyond chance, ``1 - exp(-s)``, over the tokens of toxic and of clean documents. Rows of ``docs`` that share a key count
+    each, with the key's label; null keys have none.
     """
     spark = docs.sparkSession
     train = written(training_rows(labels, key, label, most), "toxic-train")
@@ -310,14 +301,16 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     sizes = [tuple(sum(by.get((f, y), 0) for f in range(FOLDS) if f != m) for y in (1, 0)) for m in range(FOLDS + 1)]
     if not all(sizes[FOLDS]):
         return Model({}, slope=1e-3)
-    n_features = counts.agg(*[F.sum((sum(F.col(f"{s}{f}") for s in ("clean", "toxic") for f in range(FOLDS) if f != m) > 0).cast("int")) for m in range(FOLDS + 1)]).first()
-    thresholds = [2 * math.log(max(n or 0, 2)) for n in n_features]
-    table = written(candidates(counts, sizes, thresholds), "toxic-candidates").collect()  # chosen features of at most ``most`` documents
-    shares = corpus_shares(docs, text, {r["feature"] for r in table})
+    table = counts.toPandas().sort_values("feature", ignore_index=True)
+    tree = Tree(table["feature"].tolist())
+    words = np.array([not f.endswith("*") for f in tree.features], bool)
+    shares = np.zeros(len(words))
+    shares[words] = corpus_shares(docs, text, [f for f, w in zip(tree.features, words, strict=True) if w])
+    weight = strength * tree.summed(shares) + 1.0
     models = []
-    for m, ((t, c), threshold) in enumerate(zip(sizes, thresholds, strict=True)):
-        own = {r["feature"]: (float(sum(r[f"toxic{f}"] for f in range(FOLDS) if f != m)), float(sum(r[f"clean{f}"] for f in range(FOLDS) if f != m))) for r in table}
-        models.append(Model(log_odds(own, shares, t, c, threshold, strength) if t and c else {}, cost=0.0))
+    for m, (t, c) in enumerate(sizes):
+        own = [sum(table[f"{side}{f}"].to_numpy(float) for f in range(FOLDS) if f != m) for side in ("toxic", "clean")]
+        models.append(Model(told_scores(tree, log_odds(tree, *own, weight, t, c)) if t and c else {}, cost=0.0))
     shared = spark.sparkContext.broadcast(models)
 
     def tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -334,7 +327,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     for m, model in enumerate(models):
         own = histogram[histogram["m"] == m]
         total = {y: max(int(own[own["y"] == y]["n"].sum()), 1) for y in (0, 1)}
-        hits = {y: int(own[(own["y"] == y) & (own["s"] > 0)]["n"].sum()) for y in (0, 1)}
+        hits = {y: float((own["n"] * -np.expm1(-own["s"]))[(own["y"] == y) & (own["s"] > 0)].sum()) for y in (0, 1)}
         rates = {y: (hits[y] + 0.5) / (total[y] + 1) for y in (0, 1)}
         model.cost = max(0.01, math.log((1 - rates[0]) / (1 - rates[1])))
         clean = own[own["y"] == 0]

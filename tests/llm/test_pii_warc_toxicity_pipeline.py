@@ -363,23 +363,50 @@ def test_toxicity_on_held_out_rows(spark):
     assert hit >= 0.6 * sum(y for _, y in own) and hit >= 0.85 * sum(p for p, _ in own)
 
 
-def test_words_are_chosen_by_their_likelihood_ratio():
+def odds_of(counts, toxic, clean, shares=None):
+    import numpy as np
+
+    names = sorted(counts)
+    tree = toxicity.Tree(names)
+    t, c = np.array([counts[f] for f in names], float).T
+    weight = np.array([1000 * (shares or {}).get(f, sum(counts[f]) / (toxic + clean)) + 1 for f in names])
+    odds = toxicity.log_odds(tree, t, c, weight, toxic, clean)
+    return dict(zip(names, odds.tolist(), strict=True)), toxicity.told_scores(tree, odds)
+
+
+def test_words_depart_from_their_prefix_as_far_as_the_rows_tell():
     counts = {"vile": (25, 0), "vile*": (25, 0), "even": (20, 80), "even*": (20, 80), "lowe*": (300, 2), "lowei*": (300, 0), "lowell": (0, 2), "lowell*": (0, 2), "kind": (0, 900), "kind*": (0, 900)}
-    picked = toxicity.chosen(counts, 1000, 4000, 20.0)
-    assert set(picked) == {"vile*", "lowe*", "kind*"}  # nothing more is told by what lies below them
-    odds = toxicity.log_odds(counts, {f: sum(c) / 5000 for f, c in counts.items()}, 1000, 4000, 20.0, 1000.0)
-    assert odds["vile*"] > 1 and odds["lowe*"] > 3 and odds["kind*"] < -1
-    scores = toxicity.Scores(odds, 0.1)
-    assert scores["lowening".encode()] == odds["lowe*"] - 0.1 and scores["neutral".encode()] == -0.1
+    odds, told = odds_of(counts, 1000, 4000)
+    assert odds["vile*"] > 1 and odds["lowe*"] > 3 and odds["kind*"] < -1 and abs(odds["even*"]) < 0.02
+    scores = toxicity.Scores(told, 0.1)
+    assert all(abs(scores[f.encode()] + 0.1 - odds[f]) < 1e-3 for f in counts if not f.endswith("*"))
+    assert abs(scores["lowening".encode()] + 0.1 - odds["lowe*"]) < 1e-3 and scores["neutral".encode()] == -0.1
+
+
+def test_odds_rise_with_every_row_and_have_no_threshold():
+    before = 0.0
+    for t in range(2, 30):
+        now = odds_of({"word": (t, 0)} | {f"w{k}": (1, 4) for k in range(50)}, 100, 400, {"word": 0.01})[0]["word"]
+        assert before < now
+        before = now
 
 
 def test_odds_against_a_direct_reckoning():
     t, c, toxic, clean, share = 30, 10, 100, 400, 0.05
-    n, q = t + c, toxic / (toxic + clean)
-    ratio = 2 * (t * math.log(t / (n * q)) + c * math.log(c / (n * (1 - q))))
-    raw = math.log((t + 1000 * share * q + 1e-3 * q) / (c + 1000 * share * (1 - q) + 1e-3 * (1 - q))) - math.log(toxic / clean)
-    got = toxicity.log_odds({"word": (t, c)}, {"word": share}, toxic, clean, 12.0, 1000.0)["word"]
-    assert abs(got - raw * (1 - 12.0 / ratio)) < 1e-9
+    q, w = toxic / (toxic + clean), 1000 * share + 1
+    beta = lambda x, y: math.lgamma(x) + math.lgamma(y) - math.lgamma(x + y)
+    told = beta(t + w * q, c + w * (1 - q)) - beta(w * q, w * (1 - q)) - t * math.log(q) - c * math.log(1 - q)
+    z = 0.5  # of one feature that surely differs, the share that differ is at most a half
+    z = z * math.exp(told) / (z * math.exp(told) + 1 - z)
+    raw = math.log((t + w * q) / (c + w * (1 - q))) - math.log(toxic / clean)
+    assert abs(odds_of({"word": (t, c)}, toxic, clean, {"word": share})[0]["word"] - raw * z) < 1e-6
+
+
+def test_corpus_shares_count_all_documents_and_sum_over_prefixes(spark):
+    docs = spark.createDataFrame([("Abcd abcd",), ("abcde!",), (None,), ("",), ("other",)], "text string").repartition(3)
+    tree = toxicity.Tree(["abcd", "abcd*", "abcde", "abcde*"])
+    got = toxicity.corpus_shares(docs, "text", ["abcd", "abcde"])
+    assert got.tolist() == [0.2, 0.2] and abs(tree.summed(got.repeat(2) * [1, 0, 1, 0]) - [0.2, 0.4, 0.2, 0.2]).max() < 1e-12
 
 
 def test_tail_rate_solves_its_equation():
