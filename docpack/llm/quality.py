@@ -182,7 +182,8 @@ h_{r} AS (SELECT source, n, k_{r} AS k, k_{r}::DOUBLE / n AS own, greatest((sum(
 s_{r} AS (SELECT *, greatest((two - own * own) / others - mean * mean - mean * (1 - mean) * (inv - 1::DOUBLE / n) / others, 0) AS spread FROM h_{r}),
 t_{r} AS (SELECT *, CASE WHEN spread > 1e-12 THEN least(greatest(mean * (1 - mean) / spread - 1, 1), rest) ELSE rest END AS strength FROM s_{r}),
 u_{r} AS (SELECT *, (k + mean * strength) / (n + strength) AS rate FROM t_{r}),
-v_{r} AS (SELECT source, mean, rate, greatest(rate - 1.645::DOUBLE * sqrt(rate * (1 - rate) / (n + strength + 1)), 0) AS lower FROM u_{r})"""
+v_{r} AS (SELECT source, mean, rate, CASE WHEN others > 0 THEN greatest(rate - 1.645::DOUBLE * sqrt(rate * (1 - rate) / (n + strength + 1)), 0) ELSE 0 END AS lower FROM u_{r}),
+a_{r} AS (SELECT coalesce(avg(own), 0) AS null_rate FROM h_{r})"""
 
 
 OP5_SQL = (
@@ -203,9 +204,9 @@ h AS (SELECT source, count(*) AS n, """
     + " FROM f WHERE source IS NOT NULL GROUP BY source),"
     + ",".join(map(_rule_sql, RULES))
     + "\nSELECT f.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, few_words OR repeats AS base_failed,\n    NOT (few_words OR repeats OR "
-    + " OR ".join(f"v_{r}.lower > 0.5 AND v_{r}.lower * (1 - v_{r}.mean) > 2 * v_{r}.mean * (1 - v_{r}.lower)" for r in RULES)
+    + " OR ".join(f"coalesce(v_{r}.lower > 0.5 AND v_{r}.lower * (1 - v_{r}.mean) > 2 * v_{r}.mean * (1 - v_{r}.lower), false)" for r in RULES)
     + " OR "
-    + " OR ".join(f"{r} AND v_{r}.rate >= 0.02" for r in SOFT)
+    + " OR ".join(f"{r} AND coalesce(v_{r}.rate, a_{r}.null_rate) >= 0.02" for r in SOFT)
     + ") AS kept\nFROM f "
-    + " ".join(f"JOIN v_{r} ON v_{r}.source = f.source" for r in RULES)
+    + " ".join(f"LEFT JOIN v_{r} ON v_{r}.source = f.source CROSS JOIN a_{r}" for r in RULES)
 )

@@ -249,3 +249,19 @@ def test_quality_awkward(spark):
     assert kept.columns == docs.columns
     assert sorted((r["doc_id"] is None, r["doc_id"]) for r in kept.collect() if r["doc_id"] is not None) == [(False, k) for k in (1, 4, 5, 5, 10)]
     assert quality.drop_rejected(nothing(spark)).count() == 0
+
+
+@pytest.mark.parametrize("hosts", [["a"], ["a", None], [None], ["a", "b", "c", None]])
+def test_quality_sql_with_null_and_single_hosts(spark, tmp_path, hosts):
+    import duckdb
+
+    bad, good = "# $ %\n" * 8 + "x", " ".join(f"word{k}" for k in range(30))
+    rows = [(k, [good, good + " one", bad + good, "few", None][(k * 7 + k // 5) % 5], hosts[k % len(hosts)]) for k in range(60)]
+    rows += [(100 + k, "bad", "c") for k in range(40 if "c" in hosts else 0)]
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(path)
+    got = {r["doc_id"]: tuple(r) for r in quality.op5_quality_rules(spark, str(tmp_path)).collect()}
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{path}/*.parquet')")
+    want = {r[0]: r for r in con.sql(quality.OP5_SQL).fetchall()}
+    assert got == want and len(got) == len(rows)
