@@ -30,7 +30,7 @@ FOLDS = 2
 
 
 def words_of(text: str) -> list[bytes]:
-    """Words in lower case, parted at ASCII white space and marks."""
+    """Words in lower case, parted at ASCII white space and marks. A sentence in a script without spaces is one word, known by its prefixes at most."""
     return text.lower().encode("utf-8", "surrogatepass").translate(TABLE).split()
 
 
@@ -359,7 +359,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
 def toxicity(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_id", limit: float = 0.3) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, score`` (0 to 1), ``predicted`` and ``passages`` (first word, last word, evidence of each toxic passage).
 
-    Null and empty texts have the score of a text without evidence. Repeated rows have one row each. Other columns are ignored;
+    Null and empty texts have the score of a text without evidence, and so has one in a script without spaces whose sentences begin like none of the labelled ones. Repeated rows have one row each. Other columns are ignored;
     empty tables give no rows.
     """
     kind = docs.schema[key].dataType.simpleString()

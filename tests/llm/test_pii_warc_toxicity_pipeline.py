@@ -399,6 +399,12 @@ def test_unseen_words_take_the_score_of_their_prefix(spark):
     assert out[5000] > 0.5 > 0.3 > out[5001]
 
 
+def test_a_sentence_without_spaces_is_one_word():
+    assert toxicity.words_of("これは文です") == ["これは文です".encode()]
+    model = toxicity.Model({"これは文*": 6.0, "vile": 5.0})
+    assert model.score("これは文ではない")[0] == model.score("これは文です")[0] > model.score("別の文です")[0] == model.score("neutral")[0]
+
+
 def test_toxicity_awkward(spark):
     labels = spark.createDataFrame([(1, 1), (5, 0), (None, 1), (7, None), (7, 1)], "doc_id long, toxic int")
     model = toxicity.fit(awkward(spark), labels)
