@@ -54,10 +54,10 @@ def rename_targets(spec: DataFrame) -> DataFrame:
 # -- documents to packets
 
 
-def explode_fields(docs: DataFrame, fields: list[str] | None = None, attributes: bool = True) -> DataFrame:
+def explode_fields(docs: DataFrame, fields: list[str] | None = None, attributes: bool = True, rest: tuple[str, ...] = ()) -> DataFrame:
     """One packet per attribute, stored field and source of each document: ``index, type, id, field, payload``.
 
-    ``fields`` restricts stored fields and attributes; the source goes along always. Null values make no packet.
+    ``fields`` restricts stored fields and attributes; the source goes along always, as do columns ``rest``. Null values make no packet.
     """
     own = ATTRIBUTES if attributes else []
     own = [a for a in own if fields is None or a in fields]
@@ -66,7 +66,7 @@ def explode_fields(docs: DataFrame, fields: list[str] | None = None, attributes:
         stored = F.filter(stored, lambda e: e["key"].isin(list(fields)))
     fixed = F.array(*[F.struct(F.lit(a).alias("key"), F.col(a).cast("string").alias("value")) for a in [*own, "_source"]])
     all_ = F.filter(F.concat(stored, fixed), lambda e: e["value"].isNotNull())
-    return docs.select(*KEY, F.explode(all_).alias("e")).select(*KEY, F.col("e.key").alias("field"), F.col("e.value").alias("payload"))
+    return docs.select(*KEY, *rest, F.explode(all_).alias("e")).select(*KEY, *rest, F.col("e.key").alias("field"), F.col("e.value").alias("payload"))
 
 
 def first_value(values: Column) -> Column:
@@ -82,10 +82,11 @@ def coordinate(index: Column, type_: Column, id_: Column) -> Column:
 
 
 def coordinate_runs(packets: DataFrame, along: str = "archive", order: str = "seq") -> DataFrame:
-    """Adds ``run``: a number that grows by one whenever the coordinate differs from the packet's before in the archive."""
+    """Adds ``run``: a number that grows by one whenever the coordinate differs from the packet's before in the archive, or a document of the same one begins."""
     key = coordinate(*map(F.col, KEY))
     w = W.partitionBy(along).orderBy(order)
-    changed = F.when(F.lag(key).over(w) == key, 0).otherwise(1)
+    again = F.coalesce(F.map_contains_key("meta", F.lit("_next")), F.lit(False)) if "meta" in packets.columns else F.lit(False)
+    changed = F.when((F.lag(key).over(w) == key) & ~again, 0).otherwise(1)
     return packets.withColumn("_new", changed).withColumn("run", F.sum("_new").over(w).cast("long")).drop("_new")
 
 
@@ -98,7 +99,7 @@ def assemble(packets: DataFrame, by: list[str] | None = None) -> DataFrame:
 
 def with_meta(packets: DataFrame) -> DataFrame:
     """Attributes that came in bulk action lines as packets of their own; a packet without field is the source."""
-    entries = F.concat(F.array(F.struct(F.coalesce("field", F.lit("_source")).alias("key"), F.col("payload").alias("value"))), F.coalesce(F.map_entries("meta"), F.array().cast("array<struct<key:string,value:string>>")))
+    entries = F.concat(F.array(F.struct(F.coalesce("field", F.lit("_source")).alias("key"), F.col("payload").alias("value"))), F.coalesce(F.filter(F.map_entries("meta"), lambda e: e["key"] != "_next"), F.array().cast("array<struct<key:string,value:string>>")))
     rest = [c for c in packets.columns if c not in ("field", "payload", "meta")]
     return packets.select(*rest, F.explode(entries).alias("_e")).select(*rest, F.col("_e.key").alias("field"), F.col("_e.value").alias("payload"))
 

@@ -23,18 +23,20 @@ from docpack.sources import archive, formats
 FIELDS = [x.split()[0] for x in PACKET.split(", ")]
 
 
-def packets_of(docs: DataFrame, name: str, fields: list[str] | None = None) -> DataFrame:
-    """Documents as packets for an archive; in bulk files attributes go into the action line."""
+def packets_of(docs: DataFrame, name: str, fields: list[str] | None = None, repeats: bool = False) -> DataFrame:
+    """Documents as packets for an archive; in bulk files attributes go into the action line. With ``repeats`` the column ``seq`` tells documents apart."""
     if formats.format_of(name)[0] != "bulk":
-        return reshape.explode_fields(docs, fields).withColumn("meta", F.lit(None).cast("map<string,string>"))
+        if repeats:
+            docs = docs.withColumn("seq", F.monotonically_increasing_id())
+        return reshape.explode_fields(docs, fields, rest=("seq",) if repeats else ()).withColumn("meta", F.lit(None).cast("map<string,string>"))
     own = [a for a in ATTRIBUTES if fields is None or a in fields]
     entries = F.filter(F.array(*[F.struct(F.lit(a).alias("key"), F.col(a).cast("string").alias("value")) for a in own]), lambda e: e["value"].isNotNull()) if own else None
     meta = F.map_from_entries(entries) if own else F.lit(None).cast("map<string,string>")
     return docs.where("_source IS NOT NULL").select(*KEY, F.lit("_source").alias("field"), F.col("_source").alias("payload"), meta.alias("meta"))
 
 
-def write_packets(packets: DataFrame, directory: str, name: str, max_bytes: int = 0, overwrite: bool = False) -> dict:
-    """An archive of packets; fails if there is one that is not empty, unless ``overwrite``. Returns packets, docs, bytes and parts as they were written."""
+def write_packets(packets: DataFrame, directory: str, name: str, max_bytes: int = 0, overwrite: bool = False, repeats: bool = False) -> dict:
+    """An archive of packets; fails if there is one that is not empty, unless ``overwrite``. With ``repeats`` a coordinate may come again, and ``seq`` says which document a packet is of. Returns packets, docs, bytes and parts as they were written."""
     archive.register(packets.sparkSession)
     fs, inner = archive.file_system(directory)
     fs.create_dir(inner, recursive=True)
@@ -43,8 +45,8 @@ def write_packets(packets: DataFrame, directory: str, name: str, max_bytes: int
     want = packets.select(*[F.col(c) if c in packets.columns else F.lit(None).cast(dict(x.split(" ", 1) for x in PACKET.split(", "))[c]).alias(c) for c in FIELDS])
     job = uuid.uuid4().hex
     if formats.format_of(name)[0] == "cpio":  # where a name may occur once
-        want = want.sortWithinPartitions(*KEY, "field")
-    want.write.format("docpack_archive").option("name", name).option("maxBytes", str(max_bytes)).option("job", job).mode("overwrite" if overwrite else "append").save(directory)
+        want = want.sortWithinPartitions(*KEY, *(["seq"] if repeats else []), "field")
+    want.write.format("docpack_archive").option("name", name).option("maxBytes", str(max_bytes)).option("job", job).option("repeats", str(repeats).lower()).mode("overwrite" if overwrite else "append").save(directory)
     return archive.summary(directory, job)
 
 
@@ -222,12 +224,14 @@ def export(
     limit: int | None = None,
     ordered: bool = False,
     system: list[str] | None = None,
+    repeats: bool = False,
 ) -> DataFrame:
     """Writes documents to an archive; returns its summary (packets, docs, bytes, skipped). Metadata comes in a part before all others.
 
     Without a ``name`` it is that of the one index, and of the one type, that is exported, else ``_all.tar.gz``. ``parts`` is how many
     tasks write (``in_parts`` says the default), ``ordered`` puts documents in the order of their keys. ``skipped`` counts
-    documents without a source, which bulk files cannot hold.
+    documents without a source, which bulk files cannot hold. Two documents with one key are an error in cpio files, and one document where they are
+    neighbours in tar and zip files, unless ``repeats``: then each is a document when the archive is read.
     """
     if name is None:
         one = indices[0] if indices and len(indices) == 1 and indices != ["_all"] else None
@@ -242,14 +246,14 @@ def export(
     bulk = formats.format_of(name)[0] == "bulk" if formats.format_of(name) else False
     seen = Observation()
     docs = docs.observe(seen, F.count(F.lit(1)).alias("docs"), F.count(F.when(F.col("_source").isNull(), 1)).alias("skipped"))
-    packets = packets_of(reshape.rename(docs, rename), name, fields)
+    packets = packets_of(reshape.rename(docs, rename), name, fields, repeats)
     if meta is not None and with_metadata and not bulk:
         kept = meta.where(F.col("kind") != "_alias") if not with_aliases else meta
         kept = kept.where(F.col("index").isin(indices)) if indices and indices != ["_all"] else kept
         head = reshape.metadata_packets(reshape.rename_metadata(kept, rename)).withColumn("meta", F.lit(None).cast("map<string,string>"))
-        packets = head.coalesce(1).unionByName(packets)
+        packets = head.coalesce(1).unionByName(packets, allowMissingColumns=True)
     with Run(directory, "export", f"{directory}/{name}") as run:
-        told = write_packets(packets, directory, name, max_bytes, overwrite)
+        told = write_packets(packets, directory, name, max_bytes, overwrite, repeats)
         skipped = (seen.get.get("skipped") or 0) if bulk else 0
         run.counted(told["docs"], told | {"skipped": skipped})
     return docs.sparkSession.createDataFrame([(told["packets"], told["docs"], told["bytes"], skipped)], "packets long, docs long, bytes long, skipped long")

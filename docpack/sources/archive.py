@@ -13,7 +13,8 @@ Compressed files begin a member there that can be read alone (other tools read a
 of every ``splitBytes`` of such a part, of zip files by slices of their directory, of plain bulk and tar files by ``spans`` that
 ``jobs.read_packets`` has looked for, and one of any other file. Filters on index, type and id skip stretches that the index says have none.
 
-With ``documents`` a row is a run of neighbouring entries of one document, put together as they are read. Entries whose names have more
+With ``documents`` a row is a run of neighbouring entries of one document, put together as they are read. With ``repeats`` the writer takes
+``seq`` for the number of a packet's document, and puts an empty entry ``_next`` between two neighbouring documents of one coordinate, which ends a run and is no packet. Entries whose names have more
 than four parts come with null keys and their name as field, unless ``corrupt`` is ``drop`` or ``fail``; a payload that is not UTF-8 fails
 unless ``badText`` is ``replace``. Writing makes at least one part of each task; ``maxBytes`` starts another part with the next document when
 a part's payload exceeds it, so that no document lies in two parts. Paths may be of any file system that pyarrow opens; on a cluster all executors must reach them.
@@ -334,7 +335,11 @@ class Reader(DataSourceReader):
                         yield from self._named(s, formats.READERS[kind](f), seq)
 
     def _named(self, s: Slice, entries, first: int):
+        meta = None
         for n, (name, data) in enumerate(entries, first):
+            if name == formats.NEXT:
+                meta = formats.AGAIN
+                continue
             key = formats.decode_name(name)
             if key is None:
                 if self.corrupt == "fail":
@@ -343,9 +348,10 @@ class Reader(DataSourceReader):
                     continue
                 key = [None, None, None, name]
             try:
-                yield n, key, data.decode("utf-8", self.errors), None
+                yield n, key, data.decode("utf-8", self.errors), meta
             except UnicodeDecodeError as e:
                 raise ValueError(f"payload of {name} in {s.path} is not UTF-8") from e
+            meta = None
 
     def _runs(self, s: Slice) -> Iterator[pa.RecordBatch]:
         """Runs of entries with one coordinate: the later of equal fields counts. A line of a bulk file is a document of its own.
@@ -370,7 +376,7 @@ class Reader(DataSourceReader):
             if any(own[k] not in values for k, values in wanted):
                 before = None
                 continue
-            if bulk or own != before:
+            if bulk or own != before or meta is formats.AGAIN:
                 if len(rows) >= self.rows or size > 8 << 20:
                     yield _run_batch(rows)
                     rows, size = [], 0
@@ -378,7 +384,7 @@ class Reader(DataSourceReader):
                 before = own
             row = rows[-1]
             if self.payload:
-                row[3].update(meta or {})
+                row[3].update(meta if meta and meta is not formats.AGAIN else {})
                 row[3][key[3] if key[3] not in (None, "null") else "_source"] = payload
                 size += len(payload)
             row[5] = n
@@ -425,9 +431,9 @@ def _run_batch(rows: list[list]) -> pa.RecordBatch:
 def _packets(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     """The packets of Arrow batches, as the formats' writers take them."""
     for batch in batches:
-        columns = [batch.column(n).to_pylist() for n in WRITTEN]
-        for index, type_, id_, field_, payload, meta in zip(*columns, strict=True):
-            yield {"index": index, "type": type_, "id": id_, "field": field_, "payload": payload, "meta": dict(meta) if meta else None}
+        columns = [batch.column(n).to_pylist() for n in (*WRITTEN, "seq")]
+        for index, type_, id_, field_, payload, meta, seq in zip(*columns, strict=True):
+            yield {"index": index, "type": type_, "id": id_, "field": field_, "payload": payload, "meta": dict(meta) if meta else None, "seq": seq}
 
 
 @dataclass
@@ -444,6 +450,7 @@ class Writer(DataSourceArrowWriter):
         self.kind, self.codec = kinds
         self.most = int(options.get("maxBytes", 0))
         self.member = int(options.get("memberBytes", 16 << 20))
+        self.repeats = options.get("repeats", "false").lower() == "true"
         self.overwrite = overwrite
         self.job = options.get("job") or uuid.uuid4().hex
 
@@ -459,6 +466,7 @@ class Writer(DataSourceArrowWriter):
         done = Parts()
         raw = f = out = None
         path, packets, size, since, places = "", 0, 0, 0, Places()
+        between = 0  # entries that are no packets
 
         def close() -> None:
             out.close()
@@ -471,35 +479,42 @@ class Writer(DataSourceArrowWriter):
                 index = f"_index-{self.name}-{self.job}-{uuid.uuid4().hex[:12]}.json"
                 with fs.open_output_stream(f"{inner}/{index}") as i:
                     i.write(json.dumps(places.rows).encode())
-            done.files.append((base_name(path), packets, size, index))
+            done.files.append((base_name(path), packets - between, size, index))
 
         from pyspark import TaskContext
 
         task = TaskContext.get()
         number = task.partitionId() if task else 0
-        before = None
+        before = last = None
         for row in _packets(iterator):
             now = (row["index"], row["type"], row["id"])
-            if out is not None and self.most and size > self.most and now != before:
+            again = now == before and self.repeats and row["seq"] != last
+            begins = now != before or again
+            if out is not None and self.most and size > self.most and begins:
                 close()
                 out = None
             if out is None:
                 path = f"{inner}/_part-{self.name}-{self.job}-{number:06d}-{len(done.files):06d}-{uuid.uuid4().hex[:8]}"
                 raw, f, out = self._open(fs, path)
-                packets, size, since, places = 0, 0, 0, Places()
+                packets, size, since, places, between = 0, 0, 0, Places(), 0
                 places.begin(0, 0)
-            elif self.kind != "zip" and now != before and size - since >= self.member:
+                again = False
+            elif self.kind != "zip" and begins and size - since >= self.member:
                 if f is not raw:
                     f.close()
                 places.begin(raw.tell(), packets)
                 if f is not raw:  # a member that can be read alone
                     f = out.f = codecs.writer(raw, self.codec)
                 since = size
-            if now != before:
+            if again and self.kind != "bulk":
+                out.add(formats.BETWEEN)
+                packets += 1
+                between += 1
+            if begins:
                 places.add(now)
                 if row["type"] != "_settings" and row["id"] not in ("_mapping", "_alias"):
                     done.docs += 1
-            before = now
+            before, last = now, row["seq"]
             size += out.add(row)
             packets += 1
         if out is not None:

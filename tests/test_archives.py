@@ -7,13 +7,15 @@ import subprocess
 import tarfile
 import zipfile
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from docpack.model import DOC, KEY
 from docpack.model import struct as schema_of
 from docpack.operators import store
-from docpack.plans import jobs
+from docpack.plans import io_queries, jobs
+from docpack.plans import tables as T
 from docpack.session import new_path
 from docpack.sources import archive, codecs, formats
 from docpack.streaming import streams
@@ -400,3 +402,32 @@ def test_tar_headers_are_those_of_tarfile():
             tar.addfile(info, io.BytesIO(data))
     out.close()
     assert own.getvalue() == other.getvalue()
+
+
+@pytest.fixture(scope="module")
+def repeated_pages(tmp_path_factory):
+    """Pages of which two have one URL."""
+    folder = tmp_path_factory.mktemp("pages")
+    duckdb.sql("COPY (SELECT 'https://a.example/' || (k %% 9) AS url, k AS page_id, '<p>' AS html FROM range(10) t(k)) TO '%s' (FORMAT parquet)" % (folder / "pages.parquet"))
+    return str(folder)
+
+
+@pytest.mark.parametrize("kind", formats.FORMATS)
+def test_documents_of_one_key_stay_apart_if_asked(spark, kind):
+    rows = [("i", "t", k, None, None, None, None, s, {"a": s}) for k, s in (("1", "x"), ("1", "y"), ("2", "z"), ("2", "z"), ("2", "z"), ("3", "w"))]
+    path = new_path(spark, "repeats")
+    told = jobs.export(spark.createDataFrame(rows, schema_of(DOC)).coalesce(1), path, f"r.{kind}", parts=1, repeats=True).first()
+    want = sorted((r[2], r[7]) for r in rows)
+    read = jobs.read_packets(spark, path)
+    assert told["packets"] == read.count() == (6 if kind == "bulk" else 12)
+    assert sorted((r["id"], r["fields"]["_source"]) for r in jobs.read_packets(spark, path, documents=True).collect()) == want
+    if kind != "bulk":
+        assert sorted((r["id"], r["_source"]) for r in jobs.documents_of(read).collect()) == want
+        assert sorted((r["id"], r["fields"]["a"]) for r in jobs.documents_of(read).collect()) == want
+
+
+def test_pages_of_one_url_are_all_listed_and_read(spark, repeated_pages):
+    lines = io_queries.archive_listing(spark, repeated_pages).collect()
+    assert len(lines) == 10 and len(set(lines)) == 9
+    got = io_queries._round_trip(spark, T.page_docs(spark, repeated_pages).coalesce(1), "p.cpio.gz", parts=1, repeats=True)
+    assert sorted(r["_source"] for r in got.collect()) == sorted('{"page_id":%d}' % k for k in range(10))
