@@ -10,7 +10,7 @@ was before or after a write, never none or a mixture. Archives without a manifes
 
 Each part has an index beside it: where in the file documents begin, every ``memberBytes`` of payload, and which coordinates lie between.
 Compressed files begin a member there that can be read alone (other tools read all members as one). Reading makes a partition
-of every ``splitBytes`` of such a part, of zip files by slices of their directory, of plain bulk and tar files by ``spans`` that
+of every ``splitBytes`` of such a part, of zip files of other tools by slices of their directory, of plain bulk and tar files by ``spans`` that
 ``jobs.read_packets`` has looked for, and one of any other file. Filters on index, type and id skip stretches that the index says have none.
 
 With ``documents`` a row is a run of neighbouring entries of one document, put together as they are read. With ``repeats`` the writer takes
@@ -281,7 +281,7 @@ class Reader(DataSourceReader):
         for a in found(self.path):
             kind, codec = formats.format_of(a.name)
             spans = [(0, -1, 0)]
-            if not codec and kind == "zip" and a.size > self.split:
+            if not codec and kind == "zip" and a.size > self.split and not a.index:
                 with fs.open_input_file(a.path) as f:
                     spans = [(x, y, 0) for x, y in formats.zip_slices(f, self.split)]
             elif a.index and a.size > self.split:
@@ -315,7 +315,7 @@ class Reader(DataSourceReader):
         fs, _ = file_system(self.path)
         kind, codec = formats.format_of(s.name or s.path)
         with fs.open_input_file(s.path) as raw:
-            if kind == "zip":
+            if kind == "zip" and s.index is None:
                 if codec:  # no directory to seek in
                     entries = formats.read_zip_forward(codecs.reader(raw, codec))
                 else:
@@ -331,6 +331,8 @@ class Reader(DataSourceReader):
                     if kind == "bulk":
                         for n, (action, payload) in enumerate(formats.read_bulk(io.BufferedReader(f) if not isinstance(f, io.IOBase) else f), seq):
                             yield n, *_line(action, payload)
+                    elif kind == "zip":
+                        yield from self._named(s, formats.read_zip_forward(f, whole=last < 0), seq)
                     else:
                         yield from self._named(s, formats.READERS[kind](f), seq)
 
@@ -456,7 +458,6 @@ class Writer(DataSourceArrowWriter):
 
     def _open(self, fs, path: str):
         raw = fs.open_output_stream(path)
-        # zip needs to tell its place; the others only write on
         f = codecs.writer(raw, self.codec)
         return raw, f, formats.WRITERS[self.kind](f)
 
@@ -472,13 +473,12 @@ class Writer(DataSourceArrowWriter):
             out.close()
             if f is not raw:
                 f.close()
-            end, index = raw.tell(), None
+            end = raw.tell()
             raw.close()
-            if self.kind != "zip":
-                places.rows[-1]["end"] = end
-                index = f"_index-{self.name}-{self.job}-{uuid.uuid4().hex[:12]}.json"
-                with fs.open_output_stream(f"{inner}/{index}") as i:
-                    i.write(json.dumps(places.rows).encode())
+            places.rows[-1]["end"] = end
+            index = f"_index-{self.name}-{self.job}-{uuid.uuid4().hex[:12]}.json"
+            with fs.open_output_stream(f"{inner}/{index}") as i:
+                i.write(json.dumps(places.rows).encode())
             done.files.append((base_name(path), packets - between, size, index))
 
         from pyspark import TaskContext
@@ -499,7 +499,7 @@ class Writer(DataSourceArrowWriter):
                 packets, size, since, places, between = 0, 0, 0, Places(), 0
                 places.begin(0, 0)
                 again = False
-            elif self.kind != "zip" and begins and size - since >= self.member:
+            elif begins and size - since >= self.member:
                 if f is not raw:
                     f.close()
                 places.begin(raw.tell(), packets)

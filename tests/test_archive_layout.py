@@ -10,6 +10,7 @@ import lzma
 import os
 import pickle
 import random
+import struct
 import tarfile
 import time
 import zipfile
@@ -460,3 +461,36 @@ def test_batches_and_tasks_of_an_import(spark):
     remote = new_path(spark, "remote")
     jobs.push(spark, root, remote, concurrency=1)
     assert store.scan(spark, remote).count() == 50
+
+
+def test_zip_parts_are_read_by_ranges_and_keep_no_directory_in_memory(spark, monkeypatch):
+    rows = [(i, t, k, json.dumps({"x": "é" * (int(k) % 90)})) for i, t, k, _ in some(70_000)]
+    raw, packets = io.BytesIO(), [dict(zip(("index", "type", "id", "field", "payload"), (i, t, k, "_source", s), strict=True)) for i, t, k, s in rows]
+    w = formats.ZipWriter(raw)
+    held = [w.add(p) for p in packets] and {k: v for k, v in vars(w).items() if isinstance(v, list | dict | bytes | bytearray)}
+    assert not held
+    w.close()
+    with zipfile.ZipFile(raw) as z:  # more entries than two bytes can count
+        assert z.testzip() is None and [(x.filename, z.read(x).decode()) for x in z.infolist()] == [("/".join((i, t, k, "_source")), s) for i, t, k, s in rows]
+    path = new_path(spark, "zip")
+    archive.register(spark)
+    table(spark, rows[:900]).coalesce(1).select(*KEY, F.lit("_source").alias("field"), F.col("_source").alias("payload"), F.lit(None).cast("map<string,string>").alias("meta"), F.lit(0).cast("long").alias("seq"), F.lit("").alias("archive"), F.lit(0).alias("part")).write.format("docpack_archive").option("name", "a.zip").option("memberBytes", 20_000).mode("append").save(path)
+    monkeypatch.setattr(formats, "zip_slices", None)
+    got = jobs.read_packets(spark, path, splitBytes=10_000)
+    assert got.rdd.getNumPartitions() > 3
+    assert sorted((r["index"], r["type"], r["id"], r["payload"]) for r in got.collect()) == sorted(rows[:900])
+
+
+def test_zip_places_beyond_four_bytes(monkeypatch):
+    raw = io.BytesIO()
+    monkeypatch.setattr(formats.ZipWriter, "MOST", 300)  # any reader takes places from the longer field where the short one is full
+    w = formats.ZipWriter(raw)
+    for k in range(3):
+        w.add({"index": "i", "type": "t", "id": str(k), "field": "_source", "payload": "{}"})
+    w.close()
+    assert raw.getvalue().count(b"PK\x06\x06") == 0
+    w = formats.ZipWriter(raw2 := io.BytesIO())
+    for k in range(20):
+        w.add({"index": "i", "type": "t", "id": str(k), "field": "_source", "payload": "{}"})
+    w.close()
+    assert raw2.getvalue().count(b"PK\x06\x06") == 1 and raw2.getvalue().count(struct.pack("<2H", 1, 8)) >= 10
