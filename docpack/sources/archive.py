@@ -29,6 +29,7 @@ import re
 import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import pyarrow as pa
 import pyarrow.fs as pfs
@@ -420,14 +421,16 @@ def _line(action: dict, payload: str) -> tuple:
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True))
-    columns[5] = [None if m is None else list(m.items()) for m in columns[5]]
+    columns[5] = [None if m is None else list(m.items()) for m in columns[5]] if any(columns[5]) else [None] * len(rows)
     return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, ARROW, strict=True)], schema=ARROW)
 
 
 def _run_batch(rows: list[list]) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True))
-    columns[3] = [list(m.items()) for m in columns[3]]
-    return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, RUN_ARROW, strict=True)], schema=RUN_ARROW)
+    maps = columns[3]
+    ends = pa.array([0, *accumulate(map(len, maps))], pa.int32())
+    fields = pa.MapArray.from_arrays(ends, pa.array([k for m in maps for k in m], pa.string()), pa.array([v for m in maps for v in m.values()], pa.string()))
+    return pa.RecordBatch.from_arrays([fields if n == 3 else pa.array(c, t.type) for n, (c, t) in enumerate(zip(columns, RUN_ARROW, strict=True))], schema=RUN_ARROW)
 
 
 def _packets(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
