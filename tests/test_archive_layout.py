@@ -494,3 +494,31 @@ def test_zip_places_beyond_four_bytes(monkeypatch):
         w.add({"index": "i", "type": "t", "id": str(k), "field": "_source", "payload": "{}"})
     w.close()
     assert raw2.getvalue().count(b"PK\x06\x06") == 1 and raw2.getvalue().count(struct.pack("<2H", 1, 8)) >= 10
+
+
+@pytest.mark.parametrize("fmt", [tarfile.GNU_FORMAT, tarfile.PAX_FORMAT, tarfile.USTAR_FORMAT])
+def test_tar_as_tarfile_reads_it(fmt, monkeypatch):
+    rnd, raw = random.Random(3), io.BytesIO()
+    want = []
+    with tarfile.open(fileobj=raw, mode="w", format=fmt) as tar:
+        for k in range(60):
+            name = "/".join(("i", "t", "x" * (90 if k % 20 == 19 else 3), f"{k}"))
+            info, data = tarfile.TarInfo(("d/" * 30 if k == 40 else "") + name), rnd.randbytes(rnd.choice([0, 5, 512, 700, 30_000]))
+            info.size = len(data)
+            tar.addfile(info, io.BytesIO(data))
+            want.append((info.name, data))
+    assert list(formats.read_tar(io.BytesIO(raw.getvalue()))) == want
+    with pytest.raises(tarfile.ReadError):
+        list(formats.read_tar(io.BytesIO(raw.getvalue()[: 512 * 8 + 100])))
+
+
+def test_plain_tar_needs_no_tarfile(monkeypatch):
+    raw = io.BytesIO()
+    w = formats.TarWriter(raw)
+    packets = [{"index": "i", "type": "t", "id": f"{k}", "field": "_source", "payload": "ü" * k} for k in range(50)]
+    for p in packets:
+        w.add(p)
+    w.close()
+    raw.seek(0)
+    monkeypatch.setattr(tarfile, "open", None)
+    assert list(formats.read_tar(raw)) == [(f"i/t/{p['id']}/_source", p["payload"].encode()) for p in packets]
