@@ -48,6 +48,7 @@ RUN_ARROW = pa.schema(
 )
 ROWS = 2000
 SPLIT = 64 << 20
+ENTRY, TOGETHER, TASKS = 256, 32 << 20, 32
 WRITTEN = NAMES[:6]
 
 
@@ -80,6 +81,7 @@ class Archive:
     size: int
     name: str
     index: str | None = None
+    work: int | None = None  # bytes of payload and ``ENTRY`` for each entry, where the manifest says so
 
 
 def manifest_path(inner: str, name: str) -> str:
@@ -104,7 +106,7 @@ def _resolved(fs, inner: str, parts: list[dict]) -> list[Archive]:
         if info is None:
             lost = p["name"]
         else:
-            out.append(Archive(info.path, info.size, p["name"], f"{inner}/{p['index']}" if p.get("index") else None))
+            out.append(Archive(info.path, info.size, p["name"], f"{inner}/{p['index']}" if p.get("index") else None, p.get("work")))
     if out and lost:
         raise FileNotFoundError(f"a part of an archive is gone: {inner}/{lost}")
     return out
@@ -160,11 +162,27 @@ class Slice(InputPartition):
     name: str = ""
     index: str | None = None
     before: int = 0  # lines of a bulk file or entries of a tar file before ``first``, where it is read by ranges that were looked for
+    more: list[Slice] = field(default_factory=list)  # small parts that are read by the same task, after this one
 
     def __post_init__(self):
         super().__init__(self.path)
 
 
+def together(slices: list[tuple[Slice, int]]) -> list[Slice]:
+    """Slices with their work, neighbours joined up to ``TOGETHER`` bytes of it, or less where fewer than ``TASKS`` tasks would be left: a part may be much smaller than what a task costs."""
+    most = min(TOGETHER, sum(w for _, w in slices) // TASKS)
+    out: list[Slice] = []
+    held = most + 1
+    for s, work in slices:
+        if held + work > most:
+            out.append(s)
+            held = work
+        else:
+            out[-1].more.append(s)
+            held += work
+    return out
+
+
 def byte_ranges(size: int, per: int) -> list[tuple[int, int]]:
     return [(a, min(a + per, size)) for a in range(0, max(size, 1), per)]
 
@@ -277,9 +295,12 @@ class Reader(DataSourceReader):
                 yield f
 
     def partitions(self) -> Sequence[InputPartition]:
+        return self.slices(found(self.path))
+
+    def slices(self, files: list[Archive]) -> list[Slice]:
         fs, _ = file_system(self.path)
         out = []
-        for a in found(self.path):
+        for a in files:
             kind, codec = formats.format_of(a.name)
             spans = [(0, -1, 0)]
             if not codec and kind == "zip" and a.size > self.split and not a.index:
@@ -289,8 +310,9 @@ class Reader(DataSourceReader):
                 spans = [(x, y, 0) for x, y in byte_ranges(a.size, self.split)]
             elif a.name in self.spans:
                 spans = [tuple(x) for x in self.spans[a.name]]
-            out += [Slice(a.path, x, y, part_of(a.name), a.name, a.index, n) for x, y, n in spans]
-        return out
+            work = (a.size if a.work is None else a.work) // len(spans)
+            out += [(Slice(a.path, x, y, part_of(a.name), a.name, a.index, n), work) for x, y, n in spans]
+        return together(out)
 
     def _stretches(self, fs, s: Slice) -> Iterator[tuple[int, int, int]]:
         """Bytes of an indexed part that begin in the slice and may have what is wanted, and the number of their first entry."""
@@ -395,6 +417,10 @@ class Reader(DataSourceReader):
             yield _run_batch(rows)
 
     def read(self, partition: Slice) -> Iterator[pa.RecordBatch]:
+        for s in (partition, *partition.more):
+            yield from self._read(s)
+
+    def _read(self, partition: Slice) -> Iterator[pa.RecordBatch]:
         if self.documents:
             yield from self._runs(partition)
             return
@@ -436,7 +462,8 @@ def _run_batch(rows: list[list]) -> pa.RecordBatch:
 def _packets(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     """The packets of Arrow batches, as the formats' writers take them."""
     for batch in batches:
-        columns = [batch.column(n).to_pylist() for n in (*WRITTEN, "seq")]
+        columns = [batch.column(n).to_pylist() for n in WRITTEN]
+        columns.append(batch.column("seq").to_pylist() if "seq" in batch.schema.names else [None] * batch.num_rows)
         for index, type_, id_, field_, payload, meta, seq in zip(*columns, strict=True):
             yield {"index": index, "type": type_, "id": id_, "field": field_, "payload": payload, "meta": dict(meta) if meta else None, "seq": seq}
 
@@ -530,7 +557,7 @@ class Writer(DataSourceArrowWriter):
         fs.create_dir(inner, recursive=True)
         before = _manifest(fs, inner, self.name)
         old = [x for x in found(self.directory) if re.fullmatch(r"(?:\d+\.)?" + re.escape(self.name), x.name)]
-        kept = [] if self.overwrite else [{"name": x.name, "at": base_name(x.path), "index": x.index and base_name(x.index)} for x in old]
+        kept = [] if self.overwrite else [{"name": x.name, "at": base_name(x.path), "index": x.index and base_name(x.index), "work": x.work} for x in old]
         first = 1 + max(part_of(x["name"]) for x in kept) if kept else 0
         files = sorted(f for m in messages if m for f in m.files)
         if not files and not old:
@@ -540,7 +567,7 @@ class Writer(DataSourceArrowWriter):
                 f.close()
             raw.close()
             files = [(path, 0, 0, None)]
-        new = [{"name": f"{n}.{self.name}" if n else self.name, "at": f[0], "index": f[3]} for n, f in enumerate(files, first)]
+        new = [{"name": f"{n}.{self.name}" if n else self.name, "at": f[0], "index": f[3], "work": f[2] + ENTRY * f[1]} for n, f in enumerate(files, first)]
         self._swap(fs, inner, kept + new)
         self._name(fs, inner, kept + new)
         told = {"packets": sum(f[1] for f in files), "docs": sum(m.docs for m in messages if m), "bytes": sum(f[2] for f in files), "parts": len(files)}
@@ -556,8 +583,9 @@ class Writer(DataSourceArrowWriter):
         fs.move(aside, manifest_path(inner, self.name))
 
     def _name(self, fs, inner: str, parts: list[dict]) -> None:
-        for p in parts:
-            if p["at"] != p["name"] and fs.get_file_info(f"{inner}/{p['at']}").type == pfs.FileType.File:
+        infos = fs.get_file_info([f"{inner}/{p['at']}" for p in parts])
+        for p, info in zip(parts, infos, strict=True):
+            if p["at"] != p["name"] and info.type == pfs.FileType.File:
                 fs.move(f"{inner}/{p['at']}", f"{inner}/{p['name']}")
 
     def _sweep(self, fs, inner: str, parts: list[dict], old: list[str]) -> None:
@@ -565,9 +593,9 @@ class Writer(DataSourceArrowWriter):
         live = {f"{inner}/{p[k]}" for p in parts for k in ("name", "at", "index") if p[k]}
         mine = re.compile(r"_(?:part|index|aside)-{0}-[0-9a-f]{{32}}\b.*|(?:\d+\.)?{0}".format(re.escape(self.name)))
         left = [x.path for x in fs.get_file_info(pfs.FileSelector(inner)) if mine.fullmatch(x.base_name)]
-        for path in {*old, *left} - live:
-            if fs.get_file_info(path).type == pfs.FileType.File:
-                fs.delete_file(path)
+        for info in fs.get_file_info(sorted({*old, *left} - live)):
+            if info.type == pfs.FileType.File:
+                fs.delete_file(info.path)
 
     def abort(self, messages) -> None:
         fs, inner = file_system(self.directory)

@@ -524,6 +524,17 @@ def test_plain_tar_needs_no_tarfile(monkeypatch):
     assert list(formats.read_tar(raw)) == [(f"i/t/{p['id']}/_source", p["payload"].encode()) for p in packets]
 
 
+def test_small_parts_are_read_by_few_tasks(spark):
+    rows = [(i, t, k, "x" * 300) for i, t, k, _ in some(400)]
+    path = new_path(spark, "small")
+    jobs.export(table(spark, rows), path, "s.tar.gz", max_bytes=1000)
+    assert len(archive.found(path)) > 80
+    got = jobs.read_packets(spark, path, documents=True)
+    assert got.rdd.getNumPartitions() <= 2 * archive.TASKS
+    assert sorted((r["index"], r["type"], r["id"], r["fields"]["_source"]) for r in got.collect()) == sorted(rows)
+    assert got.select("archive", "run").distinct().count() == 400
+
+
 def test_reshard_import_needs_no_plain_tar(spark, monkeypatch):
     names, export = [], jobs.export
     monkeypatch.setattr(jobs, "export", lambda docs, path, name, **o: names.append(name) or export(docs, path, name, **o))
