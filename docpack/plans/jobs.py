@@ -196,13 +196,18 @@ def limited(docs: DataFrame, limit: int | None, ordered: bool) -> DataFrame:
 
 
 def in_parts(docs: DataFrame, parts: int | None, per: int = 1 << 20) -> DataFrame:
-    """Dealt into ``parts``; by default one for each core, of at least ``per`` bytes, where the input is too small to be read by all cores, else as it comes."""
+    """Dealt into ``parts``; by default one for each core, of at least ``per`` bytes, or more that are as large as a file's split, where the input is too small to be read by all cores, else as it comes."""
     if parts is None:
         spark = docs.sparkSession
-        size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        plan = docs._jdf.queryExecution().optimizedPlan()
+        size = int(str(plan.stats().sizeInBytes()))
+        leaves = plan.collectLeaves()
+        held = sum(int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.size()))  # columns of a table take less in its files than as rows
         split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
-        want = min(spark.sparkContext.defaultParallelism, max(1, size // per))
-        parts = want if want > -(-size // split) else None
+        cores = spark.sparkContext.defaultParallelism
+        want = min(max(cores, -(-size // split)), max(1, size // per))
+        tasks = -(-min(held, size) // split)
+        parts = want if tasks < cores and want > tasks else None
     return docs.repartition(parts) if parts else docs
 
 
