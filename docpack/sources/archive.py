@@ -693,7 +693,7 @@ class StreamReader(DataSourceStreamReader):
         new = sorted(self._names(start, end, files), key=lambda n: (part_of(n), n))
         if lost := [n for n in new if n not in files]:
             raise FileNotFoundError(f"removed before it was read: {lost[0]}")
-        return [Slice(files[n].path, 0, -1, part_of(n), n) for n in new]
+        return Reader(self.options).slices([files[n] for n in new])
 
     def read(self, partition: Slice) -> Iterator[pa.RecordBatch]:
         return Reader(self.options).read(partition)

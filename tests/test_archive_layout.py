@@ -535,6 +535,15 @@ def test_small_parts_are_read_by_few_tasks(spark):
     assert got.select("archive", "run").distinct().count() == 400
 
 
+def test_a_stream_reads_one_file_by_many_tasks(spark):
+    landing = new_path(spark, "landing")
+    jobs.export(table(spark, some(900, "x" * 200)), landing, "s.bulk.gz", parts=1)
+    reader = archive.StreamReader({"path": landing, "documents": "true", "splitBytes": "1000"})
+    slices = reader.partitions({"taken": []}, reader.latestOffset())
+    assert len(slices) > len(archive.found(landing)) == 1
+    assert sum(b.num_rows for s in slices for b in reader.read(s)) == 900
+
+
 def test_reshard_import_needs_no_plain_tar(spark, monkeypatch):
     names, export = [], jobs.export
     monkeypatch.setattr(jobs, "export", lambda docs, path, name, **o: names.append(name) or export(docs, path, name, **o))
