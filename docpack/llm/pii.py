@@ -17,7 +17,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -167,6 +167,51 @@ def alike(a: str, b: str) -> bool:
     return a[k + 1 :] == b[k + 1 :] if len(a) == len(b) else a[k + 1 :] == b[k:] or a[k:] == b[k + 1 :]
 
 
+BASE, UNDO = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
+
+
+def kin(keys: Iterable[str]) -> dict[str, list[str]]:
+    """Of each key all others it is ``alike``, with work in proportion to the keys' characters and to the pairs.
+
+    Keys that differ by one edit are equal when a character is left out of one or of both at the same place, so hashes of keys
+    without each of their characters meet; keys that end with others are neighbours when sorted from their ends.
+    """
+    long = sorted({k for k in keys if len(k) >= 9})
+    if len(long) < 2:
+        return {}
+    pairs: set[tuple[str, str]] = set()
+    met: dict[tuple[int, int, int], list[str]] = {}
+    whole: dict[int, list[str]] = {}
+    without: list[tuple[str, np.ndarray]] = []
+    for k in long:
+        code = np.array([ord(c) for c in k], np.uint64) + np.uint64(1)
+        powers = np.full(len(k), BASE, np.uint64)
+        powers[0] = 1
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(code * np.multiply.accumulate(powers), dtype=np.uint64)])
+        less = sums[:-1] + (sums[-1] - sums[1:]) * np.uint64(UNDO)
+        for place, h in enumerate(less.tolist()):
+            met.setdefault((len(k), place, h), []).append(k)
+        whole.setdefault(int(sums[-1]), []).append(k)
+        without.append((k, less))
+    for group in met.values():
+        if len(group) > 1:
+            pairs.update((a, b) for n, a in enumerate(group) for b in group[n + 1 :] if alike(a, b))
+    for k, less in without:
+        for h in set(less.tolist()) & whole.keys():
+            pairs.update((min(k, x), max(k, x)) for x in whole[h] if x != k and alike(k, x))
+    above: list[str] = []
+    for k in sorted(long, key=lambda x: x[::-1]):
+        while above and not k.endswith(above[-1]):
+            above.pop()
+        pairs.update((min(k, x), max(k, x)) for x in above)
+        above.append(k)
+    out: dict[str, list[str]] = {}
+    for a, b in sorted(pairs):
+        out.setdefault(a, []).append(b)
+        out.setdefault(b, []).append(a)
+    return out
+
+
 def units(text: str, base: list[tuple[int, int, int]]) -> tuple[list[tuple[int, int, bool, str]], np.ndarray, list[str]]:
     """Nodes as those of ``nodes_of``, their observed labels (-1: none) and keys, in order.
 
@@ -221,14 +266,15 @@ def graph(text: str, base: list[tuple[int, int, int]]):
     """Nodes, their observed labels (-1: none) and chain and skip edges.
 
     Each mention is joined to the one before it, and to the last observed one before it or else to the first after it. A
-    mention is joined also to the last one with another but similar key, found by its first or last four characters.
+    mention is joined also to the last one, and to the last observed one, of every similar key (``kin``) that came after the
+    mention of its own key before it; what came earlier is joined to that one.
     """
     nodes, label, keys = units(text, base)
     chain = [(n - 1, n) for n in range(1, len(nodes)) if nodes[n][2]]
     seen: dict[str, int] = {}
     observed: dict[str, int] = {}
     waiting: dict[str, list[int]] = {}
-    ends: dict[tuple[int, str, bool], int] = {}
+    near = kin(keys)
     skip = []
     for n, key in enumerate(keys):
         if not key:
@@ -242,11 +288,8 @@ def graph(text: str, base: list[tuple[int, int, int]]):
             waiting.setdefault(key, []).append(n)
         elif observed[key] != seen[key]:
             skip.append((observed[key], n))
-        if len(key) >= 9:
-            near = {ends.get((side, x, known)) for side, x in ((0, key[:4]), (1, key[-4:])) for known in (False, True)} - {None}
-            skip += [(m, n) for m in sorted(near) if keys[m] != key and alike(keys[m], key)]
-            for side, x in ((0, key[:4]), (1, key[-4:])):
-                ends[side, x, bool(label[n] >= 0)] = n
+        own = seen.get(key, -1)
+        skip += [(m, n) for m in sorted({m for k in near.get(key, ()) for m in (seen.get(k, -1), observed.get(k, -1)) if m > own})]
         seen[key] = n
     return nodes, label, chain, skip
 

@@ -431,3 +431,17 @@ def test_pipeline_stages(spark):
     assert mixed.groupBy("doc_id").count().where("count > 3").count() == 0 and mixed.count() > 0
     assert packed.where("piece = 0").count() == mixed.count()
     assert sorted(map(tuple, corpus_pipeline.run(spark, SF).select("doc_id", "piece", "length", "ids_crc32").collect())) == sorted(map(tuple, packed.select("doc_id", "piece", "length", "ids_crc32").collect()))
+
+
+def test_every_similar_key_is_joined():
+    from docpack.llm import pii
+
+    # the similar key is not the last one with these first or last characters
+    text = "415555012345 is one, 415577777777 and 888888012345 are others, 415555012346 is like the first"
+    nodes, _, _, skip = pii.graph(text, [])
+    at = {text[s:e]: n for n, (s, e, _, _) in enumerate(nodes)}
+    assert (at["415555012345"], at["415555012346"]) in skip
+    rng = random.Random(5)
+    keys = {"".join(rng.choice("ab1") for _ in range(rng.randrange(7, 14))) for _ in range(300)} | {"x" * n for n in range(5, 20)} | {"é" * 9, "é" * 8 + "1"}
+    found = pii.kin(keys)
+    assert {(a, b) for a, own in found.items() for b in own} == {(a, b) for a in keys for b in keys if a != b and pii.alike(a, b)}
